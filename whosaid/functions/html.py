@@ -17,8 +17,12 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from whosaid.functions.binding import bind
-from whosaid.functions.tokens import RUN, fix_content, tokenize_raw
+from whosaid.functions.tokens import (
+    RUN,
+    fix_content,
+    replace_literals,
+    tokenize_raw,
+)
 
 # Workers get these helpers with the task, so they need not have the package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -163,13 +167,10 @@ def clean_html(html: Column, base_url: Column) -> Column:
     return _clean_batch(html, base_url)
 
 
-# Parts of a page that hold no text: whole elements, then single marks.
+#: Parts of a page that hold no text.
 NO_TEXT = (
-    r"(?is)<script[\s>].*?</script\s*>",
-    r"(?is)<style[\s>].*?</style\s*>",
-    r"(?is)<title[\s>].*?</title\s*>",
-    r"(?s)<!--.*?-->",
-    r"(?s)<[!?][^>]*>",
+    r"(?is)<script[\s>].*?</script\s*>|<style[\s>].*?</style\s*>"
+    r"|<title[\s>].*?</title\s*>|<!--.*?-->|<[!?][^>]*>"
 )
 
 #: Named and numbered entities of the punctuation that news text uses. The five
@@ -193,20 +194,15 @@ def html_tokens(html: Column, mode: str = "reference") -> Column:
     Inline tags are taken out without a gap, so that a word with a bold letter
     stays one word; the tags that remain are tokens.
     """
-    for pattern in NO_TEXT:
-        html = F.regexp_replace(html, pattern, "")
+    html = F.regexp_replace(html, NO_TEXT, "")
 
     def stays(piece: Column) -> Column:
         name = F.lower(F.regexp_extract(piece, TAG_NAME, 1))
         is_tag = piece.startswith("<") & (F.length(piece) > 1)
         return ~is_tag | name.isin(*RETAINED_TAGS)
 
-    def decoded(text: Column) -> Column:
-        out = text
-        for entity, char in PUNCTUATION_ENTITIES:
-            out = F.replace(out, F.lit(entity), F.lit(char))
-        return F.when(text.contains("&"), out).otherwise(text)
-
     runs = F.regexp_extract_all(html, F.lit(RUN), F.lit(0))
-    text = bind(F.array_join(F.filter(runs, stays), ""), decoded)
-    return bind(text, lambda t: fix_content(tokenize_raw(t), mode))
+    text = replace_literals(
+        F.array_join(F.filter(runs, stays), ""), PUNCTUATION_ENTITIES
+    )
+    return fix_content(tokenize_raw(text), mode)

@@ -18,7 +18,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 ZLIB = "zlib"
 
 
-def _inflate(data: bytes | None, encoding: str | None) -> str | None:
+def inflate_one(data: bytes | None, encoding: str | None) -> str | None:
+    """One payload's text."""
     if encoding != ZLIB:
         return ""
     if data is None:
@@ -28,14 +29,14 @@ def _inflate(data: bytes | None, encoding: str | None) -> str | None:
 
 def _inflate_or_none(data: bytes | None, encoding: str | None) -> str | None:
     try:
-        return _inflate(data, encoding)
+        return inflate_one(data, encoding)
     except zlib.error:
         return None
 
 
 @F.pandas_udf(StringType())
 def _inflate_batch(data: pd.Series, encoding: pd.Series) -> pd.Series:
-    return pd.Series([_inflate(d, e) for d, e in zip(data, encoding)])
+    return pd.Series([inflate_one(d, e) for d, e in zip(data, encoding)])
 
 
 @F.pandas_udf(StringType())

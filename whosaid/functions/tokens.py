@@ -7,7 +7,7 @@ engine can check the results.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -22,28 +22,36 @@ BRACKETS = {"-LRB-": "(", "-RRB-": ")", "-LSB-": "[", "-RSB-": "]"}
 RUN = r"</?[A-Za-z][^<>]*>|[^<]+|<"
 
 _SPACE = r"\s\x0B\p{Z}"
-_WORD = r"[\p{L}\p{N}\p{M}]"
+# The ranges are letters and digits too; naming them makes the test a lookup.
+_WORD = r"[0-9A-Za-zÀ-ÖØ-öø-ÿ\p{L}\p{N}\p{M}]"
 
-#: Entities that HTML cleaning leaves in text; "&amp;" comes last.
-ENTITIES = (
+#: Replacements in a run of text, in order: the entities that HTML cleaning
+#: leaves ("&amp;" last), then the typographic characters.
+LITERALS = (
     ("&nbsp;", " "),
     ("&quot;", '"'),
     ("&lt;", "<"),
     ("&gt;", ">"),
     ("&amp;", "&"),
+    ("“", " `` "),
+    ("„", " `` "),
+    ("‟", " `` "),
+    ("«", " `` "),
+    ("”", " '' "),
+    ("»", " '' "),
+    ("…", " ... "),
+    ("–", " -- "),
+    ("—", " -- "),
+    ("‘", "`"),
+    ("‚", "`"),
+    ("‛", "`"),
+    ("’", "'"),
 )
 
-#: Rewrites of one run of text, in order: (text that must occur, pattern,
-#: replacement with $n groups). They give quotes a direction and set
+#: Rewrites after them, in order: (character that must occur, pattern,
+#: replacement with $n groups). They give straight quotes a direction and set
 #: contractions apart.
-TYPOGRAPHY = "[‘’‚‛“”„‟«»…–—]"
 REWRITES = (
-    (None, "[“„‟«]", " `` "),
-    (None, "[”»]", " '' "),
-    (None, "…", " ... "),
-    (None, "[–—]", " -- "),
-    (None, "[‘‚‛]", "`"),
-    (None, "’", "'"),
     ('"', rf'(^|[{_SPACE}(\[{{`])"', "$1 `` "),
     ('"', '"', " '' "),
     ("'", rf"(^|[{_SPACE}(\[{{])'([^'{_SPACE}])", "$1` $2"),
@@ -57,18 +65,22 @@ REWRITES = (
 )
 
 
-def token_pattern(once: str = "") -> str:
+def token_pattern(once: str = "", addresses: bool = True) -> str:
     """The token pattern; ``once`` is put after each repeated group.
 
     With "+" the repeats never backtrack, which Java runs in a loop instead of
     by recursion, so that long chains cannot overflow the stack. The tokens are
-    the same either way.
+    the same either way. ``addresses`` has web and mail addresses as one token;
+    text without ":" and "@" has none, and is faster without.
     """
+    address = (
+        rf'https?://[^{_SPACE}"<>]*[\p{{L}}\p{{N}}/]',
+        rf"[\p{{L}}\p{{N}}._%+-]+{once}@[\p{{L}}\p{{N}}-]+"
+        rf"(?:\.[\p{{L}}\p{{N}}-]+)+{once}",
+    )
     return "|".join(
         (
-            rf'https?://[^{_SPACE}"<>]*[\p{{L}}\p{{N}}/]',
-            rf"[\p{{L}}\p{{N}}._%+-]+{once}@[\p{{L}}\p{{N}}-]+"
-            rf"(?:\.[\p{{L}}\p{{N}}-]+)+{once}",
+            *(address if addresses else ()),
             rf"(?:\p{{L}}\.){{2,}}{once}",
             r"(?:Mr|Mrs|Ms|Dr|Prof|Sen|Rep|Gov|Gen|Col|Lt|Sgt|St|Jr|Sr|vs)\.",
             rf"\p{{N}}+(?:[.,:/]\p{{N}}+)+{once}(?:-{_WORD}+)*{once}",
@@ -82,34 +94,39 @@ def token_pattern(once: str = "") -> str:
     )
 
 
-def _rewrite(needle: str | None, steps: list[tuple[str, str]]):
-    """One guarded group of rewrites, skipped for text that has none."""
+def replace_literals(text: Column, literals: Sequence[tuple[str, str]]) -> Column:
+    for old, new in literals:
+        text = F.replace(text, F.lit(old), F.lit(new))
+    return text
+
+
+def _rewrite(needle: str) -> Callable[[Column], Column]:
+    """The rewrites for one character, skipped for text without it."""
 
     def apply(text: Column) -> Column:
         out = text
-        for pattern, replacement in steps:
-            out = F.regexp_replace(out, pattern, replacement)
-        found = text.contains(needle) if needle else text.rlike(TYPOGRAPHY)
-        return F.when(found, out).otherwise(text)
+        for char, pattern, replacement in REWRITES:
+            if char == needle:
+                out = F.regexp_replace(out, pattern, replacement)
+        return F.when(text.contains(needle), out).otherwise(text)
 
     return apply
 
 
-def _entities(text: Column) -> Column:
-    out = text
-    for entity, char in ENTITIES:
-        out = F.replace(out, F.lit(entity), F.lit(char))
-    return F.when(text.contains("&"), out).otherwise(text)
-
-
 def _run_tokens(text: Column) -> Column:
-    passes: list[Callable[[Column], Column]] = [_entities]
-    for needle in (None, '"', "'"):
-        steps = [(p, r) for n, p, r in REWRITES if n == needle]
-        passes.append(_rewrite(needle, steps))
-    for step in passes:
-        text = bind(text, step)
-    return F.regexp_extract_all(text, F.lit(token_pattern("+")), F.lit(0))
+    text = replace_literals(text, LITERALS)
+    for needle in ('"', "'"):
+        text = bind(text, _rewrite(needle))
+
+    def extract(text: Column) -> Column:
+        addressed = text.contains("@") | text.contains("://")
+        short, full = (
+            F.regexp_extract_all(text, F.lit(token_pattern("+", found)), F.lit(0))
+            for found in (False, True)
+        )
+        return F.when(addressed, full).otherwise(short)
+
+    return bind(text, extract)
 
 
 def tokenize_raw(text: Column) -> Column:

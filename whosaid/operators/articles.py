@@ -50,6 +50,15 @@ def repartition_rows(df: DataFrame, partitions: int) -> DataFrame:
     return df.repartition(partitions) if partitions > 0 else df
 
 
+def spread_rows(df: DataFrame) -> DataFrame:
+    """Rows of an input too small or unsplittable to occupy every core, evened.
+
+    An input that has a partition per core is left as it is: no shuffle then.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def explode_occurrences(
     attributions: DataFrame, keep_canonical: bool = False
 ) -> DataFrame:
@@ -62,5 +71,12 @@ def explode_occurrences(
 
 
 def explode_quotations(articles: DataFrame) -> DataFrame:
-    """One row per span in ``quotationIndexes``, as ``quotationIndex``."""
-    return articles.select("*", F.explode("quotationIndexes").alias("quotationIndex"))
+    """One row per span in ``quotationIndexes``, as ``quotationIndex``.
+
+    The outer form with its own filter: for a plain explode Spark adds a filter
+    on the list's size below, and so computes the list twice.
+    """
+    rows = articles.select(
+        "*", F.explode_outer("quotationIndexes").alias("quotationIndex")
+    )
+    return rows.where(F.col("quotationIndex").isNotNull())

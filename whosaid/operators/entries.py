@@ -2,13 +2,21 @@
 
 from __future__ import annotations
 
+import sys
+
+import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
-from whosaid.functions.html import clean_html
-from whosaid.functions.payload import inflate_content
+from whosaid.functions.html import clean_one
+from whosaid.functions.payload import inflate_content, inflate_one
 from whosaid.functions.tokens import tokenize_raw
 
+# Workers get the helper with the task, so they need not have the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def _text(path: str) -> Column:
     """A field that is empty text where the record has none."""
@@ -19,11 +27,22 @@ def _first(path: str, field: str) -> Column:
     return F.coalesce(F.get(F.col(path), F.lit(0))[field], F.lit(""))
 
 
+@F.pandas_udf(StringType())
+def _clean_payload(
+    data: pd.Series, encoding: pd.Series, base_url: pd.Series
+) -> pd.Series:
+    rows = zip(data, encoding, base_url)
+    return pd.Series([clean_one(inflate_one(d, e), u) for d, e, u in rows])
+
+
 def _content(payload: str, url: Column, clean: bool, tokenize: bool) -> Column:
     """A payload's tokens, or its whole text as one; none without a payload."""
-    text = inflate_content(F.col(f"{payload}.data"), F.col(f"{payload}.encoding"))
+    data, encoding = F.col(f"{payload}.data"), F.col(f"{payload}.encoding")
     if clean:
-        text = clean_html(text, url)
+        # Both steps in one, so that the text goes through Python once.
+        text = _clean_payload(data, encoding, url)
+    else:
+        text = inflate_content(data, encoding)
     tokens = tokenize_raw(text) if tokenize else F.array(text)
     return F.when(F.col(payload).isNotNull(), tokens).otherwise(
         F.array().cast("array<string>")

@@ -30,8 +30,10 @@ def tag_articles(
     shared = articles.select(
         "articleUID", tag_template(tokens, min_len, max_len).alias("shared")
     )
-    rows = shared.select("articleUID", "shared.base", "shared.items").select(
-        "articleUID", "base", F.inline("items")
+    # A field, not a column, goes into the generator: Spark would add a filter on
+    # a column's size below, and so compute all of it a second time.
+    rows = shared.select(
+        "articleUID", F.col("shared.base").alias("base"), F.inline("shared.items")
     )
     return rows.select(
         "articleUID",

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from whosaid.operators.articles import spread_rows
 from whosaid.schemas import ARTICLE, ATTRIBUTIONS, MAPPING
 
 
@@ -16,12 +17,14 @@ def scan_articles(
 ) -> DataFrame:
     """Article JSON lines, gzip or plain, by path or glob.
 
-    A gzip file is one task, whatever its size. Where the files are few and
-    large, ``partitions`` spreads their rows once, before the costly steps.
-    Pass schema ENTRY for whole entries.
+    A gzip file is one task, whatever its size. Fewer files than cores have
+    their rows spread once, before the costly steps, and so do ``partitions``;
+    otherwise nothing is shuffled. Pass schema ENTRY for whole entries.
     """
     articles = spark.read.schema(schema).json(path)
-    return articles.repartition(partitions) if partitions > 0 else articles
+    if partitions > 0:
+        return articles.repartition(partitions)
+    return spread_rows(articles)
 
 
 def scan_attributions(spark: SparkSession, path: str | list[str]) -> DataFrame:

@@ -19,11 +19,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType
 
+from whosaid.operators.articles import spread_rows
+
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread_rows(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 def quoted_tokens(text: Column) -> Column:

@@ -10,7 +10,7 @@ from __future__ import annotations
 from whosaid.functions.html import NO_TEXT, PUNCTUATION_ENTITIES, RETAINED_TAGS
 from whosaid.functions.tokens import (
     CLOSE_UP,
-    ENTITIES,
+    LITERALS,
     REWRITES,
     RUN,
     token_pattern,
@@ -82,7 +82,7 @@ MAPPING = """mapping AS (
 
 def tokens_raw(expr: str) -> str:
     run = "r"
-    for entity, char in ENTITIES:
+    for entity, char in LITERALS:
         run = f"replace({run}, {text(entity)}, {text(char)})"
     for _, pattern, replacement in REWRITES:
         run = _replace(run, pattern, replacement)
@@ -125,8 +125,7 @@ def tokenized(expr: str) -> str:
 
 
 def _html_text(expr: str, decode: bool) -> str:
-    for pattern in NO_TEXT:
-        expr = _replace(expr, pattern, "")
+    expr = _replace(expr, NO_TEXT, "")
     retained = ", ".join(text(tag) for tag in RETAINED_TAGS)
     name = "lower(regexp_extract(r, '^</?([A-Za-z][A-Za-z0-9]*)', 1))"
     joined = f"""array_to_string(list_filter(
