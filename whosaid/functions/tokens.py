@@ -146,7 +146,7 @@ def tokenize_raw(text: Column) -> Column:
 
 def _dash_parts(token: Column, every_part: bool) -> Column:
     """``a-b`` as ``a``, ``-``, ``b``; trailing dashes make no part."""
-    parts = F.split(F.regexp_replace(token, "-+$", ""), "-")
+    parts = F.split(F.regexp_replace(token, r"-+\z", ""), "-")
 
     def spell(p: Column) -> Column:
         if every_part:

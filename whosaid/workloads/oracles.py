@@ -94,7 +94,7 @@ def tokens_raw(expr: str) -> str:
 
 def repaired(expr: str, bracket: str, every_part: bool = False) -> str:
     """``bracket``: "only" its character, or "then split" as well."""
-    parts = "string_split(regexp_replace(t, '-+$', ''), '-')"
+    parts = "string_split(regexp_replace(t, '-+\\z', ''), '-')"
     if every_part:
         dashed = (
             f"flatten(list_transform({parts}, lambda p, i: "
