@@ -25,14 +25,16 @@ _SPACE = r"\s\x0B\p{Z}"
 # The ranges are letters and digits too; naming them makes the test a lookup.
 _WORD = r"[0-9A-Za-zÀ-ÖØ-öø-ÿ\p{L}\p{N}\p{M}]"
 
-#: Replacements in a run of text, in order: the entities that HTML cleaning
-#: leaves ("&amp;" last), then the typographic characters.
-LITERALS = (
+#: Replacements in a run of text, in order: first the entities that HTML
+#: cleaning leaves ("&amp;" last), then the typographic characters.
+ENTITIES = (
     ("&nbsp;", " "),
     ("&quot;", '"'),
     ("&lt;", "<"),
     ("&gt;", ">"),
     ("&amp;", "&"),
+)
+TYPOGRAPHY = (
     ("“", " `` "),
     ("„", " `` "),
     ("‟", " `` "),
@@ -100,6 +102,19 @@ def replace_literals(text: Column, literals: Sequence[tuple[str, str]]) -> Colum
     return text
 
 
+def _entities(text: Column) -> Column:
+    out = replace_literals(text, ENTITIES)
+    return F.when(text.contains("&"), out).otherwise(text)
+
+
+def _typography(text: Column) -> Column:
+    # But for the guillemets, all these characters start with the same two
+    # bytes in UTF-8, so that one search tells whether a text has any.
+    shared_bytes = F.contains(text.cast("binary"), F.lit(b"\xe2\x80"))
+    found = shared_bytes | text.contains("«") | text.contains("»")
+    return F.when(found, replace_literals(text, TYPOGRAPHY)).otherwise(text)
+
+
 def _rewrite(needle: str) -> Callable[[Column], Column]:
     """The rewrites for one character, skipped for text without it."""
 
@@ -114,9 +129,8 @@ def _rewrite(needle: str) -> Callable[[Column], Column]:
 
 
 def _run_tokens(text: Column) -> Column:
-    text = replace_literals(text, LITERALS)
-    for needle in ('"', "'"):
-        text = bind(text, _rewrite(needle))
+    for step in (_entities, _typography, _rewrite('"'), _rewrite("'")):
+        text = bind(text, step)
 
     def extract(text: Column) -> Column:
         addressed = text.contains("@") | text.contains("://")
@@ -140,8 +154,12 @@ def tokenize_raw(text: Column) -> Column:
         is_tag = piece.startswith("<") & (F.length(piece) > 1)
         return F.when(is_tag, F.array(piece)).otherwise(_run_tokens(piece))
 
-    runs = F.regexp_extract_all(text, F.lit(RUN), F.lit(0))
-    return F.flatten(F.transform(runs, run))
+    def tokens(text: Column) -> Column:
+        runs = F.regexp_extract_all(text, F.lit(RUN), F.lit(0))
+        with_tags = F.flatten(F.transform(runs, run))
+        return F.when(text.contains("<"), with_tags).otherwise(_run_tokens(text))
+
+    return bind(text, tokens)
 
 
 def _dash_parts(token: Column, every_part: bool) -> Column:
@@ -165,6 +183,20 @@ def _dash_parts(token: Column, every_part: bool) -> Column:
     return bind(parts, spell)
 
 
+def _is_odd(token: Column) -> Column:
+    return token.startswith("<") | token.contains("-")
+
+
+def _repaired(tokens: Column, rule: Callable[[Column], Column]) -> Column:
+    """The rule for each token; a list without odd ones is left as it is."""
+
+    def apply(tokens: Column) -> Column:
+        repaired = F.flatten(F.transform(tokens, rule))
+        return F.when(F.exists(tokens, _is_odd), repaired).otherwise(tokens)
+
+    return bind(tokens, apply)
+
+
 def _repair(mode: str, bracket_only: bool) -> Callable[[Column], Column]:
     if mode not in ("reference", "clean"):
         raise ValueError(f"mode must be 'reference' or 'clean', not {mode!r}")
@@ -180,9 +212,8 @@ def _repair(mode: str, bracket_only: bool) -> Callable[[Column], Column]:
             bracket_tokens = F.concat(
                 F.array(bracket), _dash_parts(token, every_part)
             )
-        plain = ~(token.startswith("<") | token.contains("-"))
         return (
-            F.when(plain, F.array(token))
+            F.when(~_is_odd(token), F.array(token))
             .when(token.isin(*KEPT_TAGS), F.array(token))
             .when(token.startswith("<"), F.array().cast("array<string>"))
             .when(token.isin(*BRACKETS), bracket_tokens)
@@ -201,14 +232,12 @@ def fix_content(tokens: Column, mode: str = "reference") -> Column:
     escape is also split at its dashes, and only the first two parts of a word
     stay. ``mode="clean"`` has neither. Empty tokens are tokens.
     """
-    rule = _repair(mode, bracket_only=mode == "clean")
-    return F.flatten(F.transform(tokens, rule))
+    return _repaired(tokens, _repair(mode, bracket_only=mode == "clean"))
 
 
 def tokenize(text: Column, mode: str = "reference") -> Column:
     """Text to repaired tokens; a bracket escape becomes its bracket only."""
-    rule = _repair(mode, bracket_only=True)
-    return F.flatten(F.transform(tokenize_raw(text), rule))
+    return _repaired(tokenize_raw(text), _repair(mode, bracket_only=True))
 
 
 #: Spaces to close when tokens become text again: (pattern, replacement).

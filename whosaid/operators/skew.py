@@ -35,19 +35,21 @@ class KeyProfile:
 def profile_key(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> KeyProfile:
     """Count the rows per key, and list the hot keys with their parts.
 
-    Runs one job on the key column, and a second only if a key is hot. Rows are
-    counted before the shuffle, so a hot key costs nothing here.
+    Runs one job on the key column, and a second only if a key is hot. Keys
+    travel as hashes, and rows are counted before the shuffle, so neither long
+    nor hot keys cost anything here.
     """
     counts = (
         df.where(F.col(key).isNotNull())
-        .groupBy(F.col(key).alias("key"))
-        .agg(F.count(F.lit(1)).alias("n"))
+        .groupBy(F.xxhash64(key).alias("hash"))
+        .agg(
+            F.count(F.lit(1)).alias("n"),
+            F.max(F.octet_length(F.col(key).cast("string"))).alias("bytes"),
+        )
     )
     totals = counts.agg(
         F.count(F.lit(1)).alias("keys"),
-        F.coalesce(F.sum(F.octet_length(F.col("key").cast("string"))), F.lit(0)).alias(
-            "key_bytes"
-        ),
+        F.coalesce(F.sum("bytes"), F.lit(0)).alias("key_bytes"),
         F.coalesce(F.sum("n"), F.lit(0)).alias("rows"),
         F.coalesce(F.max("n"), F.lit(0)).alias("top"),
     ).first()
@@ -55,7 +57,7 @@ def profile_key(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> KeyProfile
     hot = ()
     if totals.top > part:
         hot_keys = counts.where(F.col("n") > part).select(
-            F.xxhash64("key").alias("hash"), F.ceil(F.col("n") / part).alias("parts")
+            "hash", F.ceil(F.col("n") / part).alias("parts")
         )
         # At most 1 / HOT_SHARE keys can each hold that share of the rows.
         hot = tuple((r["hash"], r["parts"]) for r in hot_keys.collect())

@@ -29,11 +29,14 @@ def mapped_pairs(
     links = mapping.groupBy(
         "articleUID", "canonicalQuotationDestination", "canonicalQuotationSource"
     ).agg(F.max("confidence").alias("confidence"))
+    # Counted ahead of the grouping, which would run once more for it. Copies
+    # make a link look hotter than it is, which only adds parts.
+    link_profile = profile_key(mapping, "canonicalQuotationDestination", hot_rows)
     joined = join_speakers(
         speakers,
         links,
         profile_key(speakers, "canonicalQuotation", hot_rows),
-        profile_key(links, "canonicalQuotationDestination", hot_rows),
+        link_profile,
     )
     pairs = joined.select(
         "articleUID",

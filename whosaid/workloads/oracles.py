@@ -10,9 +10,10 @@ from __future__ import annotations
 from whosaid.functions.html import NO_TEXT, PUNCTUATION_ENTITIES, RETAINED_TAGS
 from whosaid.functions.tokens import (
     CLOSE_UP,
-    LITERALS,
+    ENTITIES,
     REWRITES,
     RUN,
+    TYPOGRAPHY,
     token_pattern,
 )
 from whosaid.workloads.queries import FRACTION, PUBLISHERS, SEED
@@ -82,7 +83,7 @@ MAPPING = """mapping AS (
 
 def tokens_raw(expr: str) -> str:
     run = "r"
-    for entity, char in LITERALS:
+    for entity, char in (*ENTITIES, *TYPOGRAPHY):
         run = f"replace({run}, {text(entity)}, {text(char)})"
     for _, pattern, replacement in REWRITES:
         run = _replace(run, pattern, replacement)
