@@ -40,6 +40,12 @@ def test_cleaned_html_stays_as_it_is():
     assert clean_one(clean_one("<p>x<p>y<b>z", BASE), BASE) == "<p>x</p><p>yz</p>"
 
 
+def test_many_open_elements_take_linear_time():
+    depth = 200_000
+    cleaned = clean_one("<cite><div>" * depth + "x", BASE)
+    assert cleaned == "<cite>" * depth + "x" + "</cite>" * depth
+
+
 def test_clean_html_in_batches(spark):
     df = spark.createDataFrame(
         [(i, f"<div><p>{i}", BASE) for i in range(500)] + [(500, None, BASE)],

@@ -10,6 +10,7 @@ from whosaid.operators.articles import (
     filter_publisher,
     repartition_rows,
     sample_rows,
+    spread_rows,
 )
 from whosaid.operators.dedupe import dedupe_content, dedupe_pairs, one_per_article
 from whosaid.operators.entries import normalize_entries
@@ -293,11 +294,18 @@ def test_normalize_an_empty_record(spark):
     assert row.permalinkEntry.tokenizedContent == []
 
 
+def test_spread_rows(spark):
+    assert spread_rows(spark.range(100, numPartitions=1)).rdd.getNumPartitions() == 4
+    even = spark.range(100, numPartitions=3)
+    assert spread_rows(even) is even
+
+
 def test_run_metrics(spark):
     run = RunMetrics()
-    run.watch(spark.range(1234)).write.format("noop").mode("overwrite").save()
+    watched = run.watch(spark.range(1234), even=F.col("id") % 2 == 0)
+    watched.write.format("noop").mode("overwrite").save()
     report = run.report()
-    assert report["documents"] == 1234
+    assert (report["documents"], report["even"]) == (1234, 617)
     assert report["documents_per_second"] > 0
 
     run = RunMetrics()

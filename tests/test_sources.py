@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from whosaid.functions.payload import inflate_content
 from whosaid.plans.ingest import ingest_archives
 from whosaid.schemas import ENTRY
+from whosaid.sources import archives as archives_module
 from whosaid.sources.archives import scan_archives
 from whosaid.sources.scans import scan_articles, scan_attributions, scan_mapping
 from whosaid.sources.sinks import stage, work_folder, write_json, write_parquet
@@ -58,6 +59,22 @@ def test_many_members_come_in_batches(spark, tmp_path):
     assert df.where(F.decode("data", "UTF-8") != F.col("member")).count() == 0
 
 
+def test_large_members_come_in_pieces_of_whole_lines(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(archives_module, "BATCH_BYTES", 1000)
+    lines = [f"{i} {'é' * (i % 700)}" for i in range(300)]
+    make_archive(
+        tmp_path / "a.tar.gz",
+        [("a", "\n".join(lines).encode()), ("b", b""), ("c", b"\n"), ("d", b"x")],
+    )
+    df = scan_archives(spark, str(tmp_path), lines=True)
+    pieces = {}
+    for row in df.collect():
+        pieces.setdefault(row.member, []).append(bytes(row.data).decode())
+    assert "".join(pieces["a"]).split("\n") == lines
+    assert len(pieces["a"]) > 20
+    assert (pieces["c"], pieces["d"], "b" in pieces) == (["\n"], ["x"], False)
+
+
 def test_a_corrupt_archive_fails(spark, tmp_path):
     (tmp_path / "bad.tar.gz").write_bytes(gzip.compress(b"no tar" * 500)[:-40])
     with pytest.raises(Exception):
@@ -215,7 +232,9 @@ def test_ingest_archives(spark, tmp_path):
     assert found["1"].source.language == "en"
     assert found["1"].feed.title == ""
 
-    news = ingest_archives(spark, glob, types=["NEWS"], dedupe=True)
+    news = ingest_archives(
+        spark, glob, stream=True, spread=3, types=["NEWS"], dedupe=True
+    )
     assert sorted(r.feedEntry.identifier for r in news.collect()) == ["1", "3"]
 
     raw = ingest_archives(spark, glob, clean=False, tokenize=False, partitions=2)

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import re
 import sys
+from collections import Counter
 from html.parser import HTMLParser
 from urllib.parse import urljoin
 
@@ -64,6 +65,7 @@ class _BodyWriter(HTMLParser):
         self.base_url = base_url
         self.parts: list[str] = []
         self.open: list[str] = []
+        self.open_count = Counter()
         self.in_head = False
         self.silent = ""
 
@@ -88,6 +90,7 @@ class _BodyWriter(HTMLParser):
         self.parts.append(f"<{tag}{markup}>")
         if tag != "br":
             self.open.append(tag)
+            self.open_count[tag] += 1
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -97,7 +100,7 @@ class _BodyWriter(HTMLParser):
             self.silent = ""
         if tag == "head":
             self.in_head = False
-        elif tag == "br" or (tag == "p" and "p" not in self.open):
+        elif tag == "br" or (tag == "p" and not self.open_count["p"]):
             self.parts.append("<br>" if tag == "br" else "<p></p>")
         else:
             self._close(tag)
@@ -107,12 +110,12 @@ class _BodyWriter(HTMLParser):
             self.parts.append(_escape_text(data))
 
     def _close(self, tag):
-        if tag in self.open:
-            while True:
-                last = self.open.pop()
-                self.parts.append(f"</{last}>")
-                if last == tag:
-                    return
+        """Close the last such element, and all that was opened in it."""
+        last = "" if self.open_count[tag] else tag
+        while last != tag:
+            last = self.open.pop()
+            self.open_count[last] -= 1
+            self.parts.append(f"</{last}>")
 
     def _resolve(self, name, value):
         """The value, a link made absolute; None for a barred scheme."""

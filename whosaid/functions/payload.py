@@ -44,6 +44,11 @@ def _inflate_batch_or_null(data: pd.Series, encoding: pd.Series) -> pd.Series:
     return pd.Series([_inflate_or_none(d, e) for d, e in zip(data, encoding)])
 
 
+def is_unread(payload: Column) -> Column:
+    """Whether a payload is there but has an encoding that gives no text."""
+    return payload.isNotNull() & ~payload["encoding"].eqNullSafe(ZLIB)
+
+
 def inflate_content(data: Column, encoding: Column, on_error: str = "fail") -> Column:
     """zlib data to text; any other encoding gives empty text.
 

@@ -50,13 +50,15 @@ def repartition_rows(df: DataFrame, partitions: int) -> DataFrame:
     return df.repartition(partitions) if partitions > 0 else df
 
 
-def spread_rows(df: DataFrame) -> DataFrame:
-    """Rows of an input too small or unsplittable to occupy every core, evened.
+def spread_rows(scan: DataFrame, share: float = 0.5) -> DataFrame:
+    """A scan with partitions for at most this share of the cores, evened out.
 
-    An input that has a partition per core is left as it is: no shuffle then.
+    Small or unsplittable input would leave the other cores idle. Any larger
+    scan is left as it is, so it is never shuffled for this.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    idle = scan.rdd.getNumPartitions() <= share * cores
+    return scan.repartition(cores) if idle else scan
 
 
 def explode_occurrences(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import time
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 
@@ -22,15 +22,20 @@ class RunMetrics:
         self._observation = Observation()
         self._start = time.monotonic()
 
-    def watch(self, df: DataFrame) -> DataFrame:
-        return df.observe(self._observation, F.count(F.lit(1)).alias("documents"))
+    def watch(self, df: DataFrame, **conditions: Column) -> DataFrame:
+        """The same rows, counted, and also those that meet each condition."""
+        counts = [F.count_if(c).alias(name) for name, c in conditions.items()]
+        return df.observe(
+            self._observation, F.count(F.lit(1)).alias("documents"), *counts
+        )
 
     def report(self) -> dict[str, float | int | None]:
         """Call after the action; waits for it if it still runs."""
-        documents = self._observation.get["documents"]
+        counts = self._observation.get
+        documents = counts["documents"]
         seconds = time.monotonic() - self._start
         return {
-            "documents": documents,
+            **counts,
             "seconds": seconds,
             "ms_per_document": seconds / documents * 1000 if documents else None,
             "documents_per_second": documents / seconds if documents else None,

@@ -40,6 +40,17 @@ def ingest_entries(
     return repartition_rows(entries, partitions)
 
 
-def ingest_archives(spark: SparkSession, glob: str, **options) -> DataFrame:
-    """`ingest_entries` on the JSON lines in tar.gz archives."""
-    return ingest_entries(decode_records(scan_archives(spark, glob)), **options)
+def ingest_archives(
+    spark: SparkSession,
+    glob: str,
+    stream: bool = False,
+    spread: int = 0,
+    **options,
+) -> DataFrame:
+    """`ingest_entries` on the JSON lines in tar.gz archives.
+
+    ``stream`` is for archives too large to be read whole, and ``spread`` gives
+    the lines of few, large archives that many tasks.
+    """
+    members = scan_archives(spark, glob, stream=stream, lines=True)
+    return ingest_entries(decode_records(members, spread), **options)

@@ -13,6 +13,12 @@ from whosaid.operators.skew import HOT_ROWS, keep_listed, profile_key, spread_jo
 from whosaid.sources.sinks import stage
 
 
+def distinct_speakers(attributions: DataFrame) -> DataFrame:
+    """``(canonicalQuotation, speaker)`` of quotations that were seen, once each."""
+    seen = attributions.where(F.size("occurrences") > 0)
+    return seen.select("canonicalQuotation", "speaker").distinct()
+
+
 def mapped_pairs(
     attributions: DataFrame, mapping: DataFrame, hot_rows: int = HOT_ROWS
 ) -> DataFrame:
@@ -21,11 +27,7 @@ def mapped_pairs(
     How often a quotation was seen does not matter here, so each (quotation,
     speaker) joins once, and copies of a link are combined before the join.
     """
-    speakers = (
-        attributions.where(F.size("occurrences") > 0)
-        .select("canonicalQuotation", "speaker")
-        .distinct()
-    )
+    speakers = distinct_speakers(attributions)
     links = mapping.groupBy(
         "articleUID", "canonicalQuotationDestination", "canonicalQuotationSource"
     ).agg(F.max("confidence").alias("confidence"))

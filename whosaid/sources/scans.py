@@ -17,9 +17,10 @@ def scan_articles(
 ) -> DataFrame:
     """Article JSON lines, gzip or plain, by path or glob.
 
-    A gzip file is one task, whatever its size. Fewer files than cores have
-    their rows spread once, before the costly steps, and so do ``partitions``;
-    otherwise nothing is shuffled. Pass schema ENTRY for whole entries.
+    A gzip file is one task, whatever its size. Files that would leave half the
+    cores idle have their rows spread once, before the costly steps; otherwise
+    nothing is shuffled, unless ``partitions`` asks for it. Pass schema ENTRY
+    for whole entries.
     """
     articles = spark.read.schema(schema).json(path)
     if partitions > 0:

@@ -351,13 +351,14 @@ ORACLES: dict[str, str] = {
                canonicalQuotationSource, confidence, len(content) AS content_size
         FROM articles a JOIN mapping m
           ON m.articleUID = TRY_CAST(a.articleUID AS BIGINT)""",
-    "join_speakers": f"""WITH {ATTRIBUTIONS}, {MAPPING}
-        SELECT m.articleUID, speaker, extractedBy, canonicalQuotationSource,
+    "join_speakers": f"""WITH {ATTRIBUTIONS}, {MAPPING},
+        speakers AS (SELECT DISTINCT canonicalQuotation, speaker FROM occurrences)
+        SELECT m.articleUID, speaker, canonicalQuotation, canonicalQuotationSource,
                confidence
-        FROM occurrences o JOIN mapping m
-          ON o.canonicalQuotation = m.canonicalQuotationDestination""",
+        FROM speakers s JOIN mapping m
+          ON s.canonicalQuotation = m.canonicalQuotationDestination""",
     "dedupe_pairs": f"""WITH {ATTRIBUTIONS}, {MAPPING}
-        SELECT m.articleUID, speaker, canonicalQuotationSource AS quotation,
+        SELECT m.articleUID, speaker, canonicalQuotation AS quotation,
                max(confidence) AS confidence
         FROM occurrences o JOIN mapping m
           ON o.canonicalQuotation = m.canonicalQuotationDestination
@@ -365,8 +366,8 @@ ORACLES: dict[str, str] = {
     "dedupe_content": f"""SELECT CAST(min(doc_id * 2 + 1) AS VARCHAR) AS identifier,
         {_shown("content", "content")}
         FROM (SELECT doc_id, {QUOTED} AS content FROM documents) GROUP BY content""",
-    "run_metrics": f"""SELECT count(*) AS documents FROM documents
-        WHERE source IN ({_IN})""",
+    "run_metrics": """SELECT count(*) AS documents,
+        count_if(lang = 'de') AS unread FROM documents""",
     "tokenize_raw": _tokens_query(tokens_raw("text")),
     "tokenize": _tokens_query(tokenized("text")),
     "fix_content": _tokens_query(fixed(ODD)),

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from whosaid.functions.html import clean_html, html_tokens
-from whosaid.functions.payload import inflate_content
+from whosaid.functions.payload import inflate_content, is_unread
 from whosaid.functions.quotations import find_quotations, span_pairs, tag_quotation
 from whosaid.functions.tokens import fix_content, tokenize, tokenize_raw, untokenize
 from whosaid.operators.articles import (
@@ -32,20 +32,12 @@ from whosaid.operators.skew import profile_key
 from whosaid.plans.extract import extract_articles as extract_plan
 from whosaid.plans.ingest import ingest_archives as ingest_archives_plan
 from whosaid.plans.ingest import ingest_entries as ingest_plan
+from whosaid.plans.mapping import distinct_speakers
 from whosaid.plans.mapping import map_discarded as map_plan
 from whosaid.plans.tagging import tag_articles
 from whosaid.plans.tagging import tag_corpus as tag_plan
 from whosaid.schemas import ENTRY
-from whosaid.sources.archives import scan_archives as scan_archives_source
-from whosaid.sources.scans import (
-    scan_articles as scan_articles_source,
-)
-from whosaid.sources.scans import (
-    scan_attributions as scan_attributions_source,
-)
-from whosaid.sources.scans import (
-    scan_mapping as scan_mapping_source,
-)
+from whosaid.sources import archives, scans
 from whosaid.sources.sinks import stage, work_folder
 from whosaid.sources.sinks import write_json as write_json_sink
 from whosaid.sources.sinks import write_parquet as write_parquet_sink
@@ -84,20 +76,20 @@ def _texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def scan_articles(spark, sf_dir):
     path = work_folder(spark)
     write_json_sink(given.entries(spark, sf_dir), path, codec="GzipCodec")
-    articles = project_articles(scan_articles_source(spark, f"{path}/*.gz"))
+    articles = project_articles(scans.scan_articles(spark, f"{path}/*.gz"))
     return articles.select("articleUID", *shown("content", "content"))
 
 
 def scan_attributions(spark, sf_dir):
     path = work_folder(spark)
     write_json_sink(given.attributions(spark, sf_dir), path)
-    return explode_occurrences(scan_attributions_source(spark, path), True)
+    return explode_occurrences(scans.scan_attributions(spark, path), True)
 
 
 def scan_mapping(spark, sf_dir):
     path = work_folder(spark)
     write_json_sink(given.mapping(spark, sf_dir), path, codec="GzipCodec")
-    return scan_mapping_source(spark, path)
+    return scans.scan_mapping(spark, path)
 
 
 def scan_archives(spark, sf_dir):
@@ -106,7 +98,7 @@ def scan_archives(spark, sf_dir):
         F.encode("text", "UTF-8").alias("data"),
     )
     files = given.write_archives(members, work_folder(spark))
-    return scan_archives_source(spark, files).select(
+    return archives.scan_archives(spark, files).select(
         F.regexp_extract("member", r"records/(\d+)\.txt", 1)
         .cast("bigint")
         .alias("doc_id"),
@@ -136,7 +128,7 @@ def write_parquet(spark, sf_dir):
 def write_json(spark, sf_dir):
     path = work_folder(spark)
     write_json_sink(given.entries(spark, sf_dir), path, partitions=4)
-    back = scan_articles_source(spark, path, ENTRY)
+    back = scans.scan_articles(spark, path, ENTRY)
     return back.select(
         F.col("source.publisherType").alias("publisher"),
         F.col("permalinkEntry.identifier").alias("identifier"),
@@ -275,26 +267,31 @@ def mapping_joined(spark, sf_dir):
 
 
 def _speaker_pairs(spark, sf_dir) -> DataFrame:
-    seen = explode_occurrences(given.attributions(spark, sf_dir), True)
+    # Each speaker once per quotation, so that the result grows with the links.
+    speakers = distinct_speakers(given.attributions(spark, sf_dir))
     links = given.mapping(spark, sf_dir)
-    seen = seen.select("canonicalQuotation", "speaker", "extractedBy")
     return join_speakers(
-        seen,
+        speakers,
         links,
-        profile_key(seen, "canonicalQuotation"),
+        profile_key(speakers, "canonicalQuotation"),
         profile_key(links, "canonicalQuotationDestination"),
     )
 
 
 def speakers_joined(spark, sf_dir):
     return _speaker_pairs(spark, sf_dir).select(
-        "articleUID", "speaker", "extractedBy", "canonicalQuotationSource", "confidence"
+        "articleUID",
+        "speaker",
+        "canonicalQuotation",
+        "canonicalQuotationSource",
+        "confidence",
     )
 
 
 def pairs_deduped(spark, sf_dir):
+    # By the canonical quotation, which many links share.
     pairs = _speaker_pairs(spark, sf_dir).withColumnRenamed(
-        "canonicalQuotationSource", "quotation"
+        "canonicalQuotation", "quotation"
     )
     return dedupe_pairs(pairs)
 
@@ -309,9 +306,16 @@ def content_deduped(spark, sf_dir):
 
 def metrics(spark, sf_dir):
     run = RunMetrics()
-    kept = filter_publisher(given.entries(spark, sf_dir), PUBLISHERS)
-    write_json_sink(run.watch(kept), work_folder(spark))
-    return spark.createDataFrame([(run.report()["documents"],)], "documents bigint")
+    raw = run.watch(
+        given.raw_records(spark, sf_dir),
+        unread=is_unread(F.col("permalinkEntry.contentExtract")),
+    )
+    entries = normalize_entries(raw, clean=False, tokenize=False)
+    write_json_sink(entries, work_folder(spark))
+    report = run.report()
+    return spark.createDataFrame(
+        [(report["documents"], report["unread"])], "documents bigint, unread bigint"
+    )
 
 
 # Text functions.
