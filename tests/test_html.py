@@ -67,6 +67,7 @@ def test_clean_html_in_batches(spark):
         ("&ldquo;well-made&rdquo;", ["``", "well", "-", "made", "''"]),
         ("a<br>b<!-- <q> -->", ["a", "b"]),
         ("1 &lt; 2", ["1", "2"]),
+        ("R&ampD &copy &amp;copy;", ["R", "&", "D", "©", "&", "copy", ";"]),
     ],
 )
 def test_html_tokens(spark, html, expected):

@@ -188,6 +188,9 @@ PUNCTUATION_ENTITIES = (
     ("&bull;", "•"), ("&euro;", "€"), ("&pound;", "£"),
 )
 
+#: Entities that HTML reads without their semicolon too.
+OPEN_ENTITIES = "&(amp|lt|gt|quot|nbsp|copy|reg|middot|laquo|raquo|pound);?"
+
 TAG_NAME = r"^</?([A-Za-z][A-Za-z0-9]*)"
 
 
@@ -205,7 +208,7 @@ def html_tokens(html: Column, mode: str = "reference") -> Column:
         return ~is_tag | name.isin(*RETAINED_TAGS)
 
     runs = F.regexp_extract_all(html, F.lit(RUN), F.lit(0))
-    text = replace_literals(
-        F.array_join(F.filter(runs, stays), ""), PUNCTUATION_ENTITIES
-    )
+    text = F.array_join(F.filter(runs, stays), "")
+    text = F.regexp_replace(text, OPEN_ENTITIES, "&$1;")
+    text = replace_literals(text, PUNCTUATION_ENTITIES)
     return fix_content(tokenize_raw(text), mode)

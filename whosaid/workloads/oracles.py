@@ -7,7 +7,12 @@ the plain ones. Only the token patterns are shared.
 
 from __future__ import annotations
 
-from whosaid.functions.html import NO_TEXT, PUNCTUATION_ENTITIES, RETAINED_TAGS
+from whosaid.functions.html import (
+    NO_TEXT,
+    OPEN_ENTITIES,
+    PUNCTUATION_ENTITIES,
+    RETAINED_TAGS,
+)
 from whosaid.functions.tokens import (
     CLOSE_UP,
     ENTITIES,
@@ -125,7 +130,7 @@ def tokenized(expr: str) -> str:
     return repaired(tokens_raw(expr), "only")
 
 
-def _html_text(expr: str, decode: bool) -> str:
+def _html_text(expr: str) -> str:
     expr = _replace(expr, NO_TEXT, "")
     retained = ", ".join(text(tag) for tag in RETAINED_TAGS)
     name = "lower(regexp_extract(r, '^</?([A-Za-z][A-Za-z0-9]*)', 1))"
@@ -133,7 +138,8 @@ def _html_text(expr: str, decode: bool) -> str:
         regexp_extract_all({expr}, {text(RUN)}),
         lambda r: NOT (starts_with(r, '<') AND length(r) > 1)
                   OR {name} IN ({retained})), '')"""
-    for entity, char in PUNCTUATION_ENTITIES if decode else ():
+    joined = _replace(joined, OPEN_ENTITIES, "&$1;")
+    for entity, char in PUNCTUATION_ENTITIES:
         joined = f"replace({joined}, {text(entity)}, {text(char)})"
     return joined
 
@@ -376,10 +382,10 @@ ORACLES: dict[str, str] = {
         SELECT id AS articleUID, s AS start, e AS "end" FROM spans""",
     "tag_quotation": tagged(ARTICLES),
     "clean_html_tokens": _tokens_query(
-        fixed(tokens_raw(_html_text("html", decode=True))), "pages", "page_id"
+        fixed(tokens_raw(_html_text("html"))), "pages", "page_id"
     ),
     "html_tokens": _tokens_query(
-        fixed(tokens_raw(_html_text(_QUOTED_HTML, decode=True))), "pages", "page_id"
+        fixed(tokens_raw(_html_text(_QUOTED_HTML))), "pages", "page_id"
     ),
     "untokenize": f"SELECT doc_id, {_RESTORED} AS text FROM documents",
 }
