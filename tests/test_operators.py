@@ -180,6 +180,14 @@ def test_spread_join_parts_do_not_depend_on_row_order(skewed):
     assert rows(once) == rows(again)
 
 
+def test_spread_join_wants_keys_of_one_type(skewed):
+    left, right = skewed
+    profile = profile_key(left, "l", 0)
+    with pytest.raises(TypeError):
+        spread_join(left, right, "l", "k", left_profile=profile_key(left, "k", 20))
+    assert profile.keys == 3000
+
+
 def test_keep_listed(skewed):
     left, right = skewed
     keys = right.select("k")

@@ -107,6 +107,10 @@ def spread_join(
     right_hot = dict(right_profile.hot) if right_profile else {}
     if not left_hot and not right_hot:
         return _equi_join(left, right, left_key, right_key, [])
+    types = left.schema[left_key].dataType, right.schema[right_key].dataType
+    if types[0] != types[1]:
+        # Equal values of two types have different hashes.
+        raise TypeError(f"keys of types {types[0]} and {types[1]} cannot be spread")
     spark: SparkSession = left.sparkSession
     parts = spark.createDataFrame(
         [

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType
 
 from whosaid.operators.articles import spread_rows
+from whosaid.sources.sinks import stage
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -219,16 +220,18 @@ def raw_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 ARCHIVE_MEMBERS = 2_000
 
 
-def write_archives(members: DataFrame, folder: str) -> str:
+def write_archives(members: DataFrame) -> str:
     """Write rows ``(member, data)`` as tar.gz files; returns their glob.
 
     Each task writes its own files, named by its partition, and a task that is
     run again writes the same ones.
     """
-    uri = folder if ":/" in folder else f"file://{folder}"
+    staged = stage(members.select("member", "data"))
+    # Where Spark put the table, scheme included, is where the archives go.
+    folder = staged.inputFiles()[0].rsplit("/", 1)[0] + "-archives"
 
     def pack(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        filesystem, root = FileSystem.from_uri(re.sub("^file:/+", "file:///", uri))
+        filesystem, root = FileSystem.from_uri(re.sub("^file:/+", "file:///", folder))
         filesystem.create_dir(root, recursive=True)
         partition = TaskContext.get().partitionId()
         number = 0
@@ -241,16 +244,15 @@ def write_archives(members: DataFrame, folder: str) -> str:
                     filesystem.open_output_stream(name, compression=None) as out,
                     tarfile.open(fileobj=out, mode="w|gz") as archive,
                 ):
-                    folder_entry = tarfile.TarInfo("records")
-                    folder_entry.type = tarfile.DIRTYPE
-                    archive.addfile(folder_entry)
+                    records = tarfile.TarInfo("records")
+                    records.type = tarfile.DIRTYPE
+                    archive.addfile(records)
                     for member, data in zip(part["member"], part["data"]):
                         info = tarfile.TarInfo(f"records/{member}")
                         info.size = len(data)
                         archive.addfile(info, io.BytesIO(data))
                 yield pd.DataFrame({"name": [name]})
 
-    members.select("member", "data").mapInPandas(pack, "name string").write.format(
-        "noop"
-    ).mode("overwrite").save()
+    written = staged.mapInPandas(pack, "name string")
+    written.write.format("noop").mode("overwrite").save()
     return f"{folder}/*.tar.gz"

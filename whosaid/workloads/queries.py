@@ -97,7 +97,7 @@ def scan_archives(spark, sf_dir):
         F.concat("doc_id", F.lit(".txt")).alias("member"),
         F.encode("text", "UTF-8").alias("data"),
     )
-    files = given.write_archives(members, work_folder(spark))
+    files = given.write_archives(members)
     return archives.scan_archives(spark, files).select(
         F.regexp_extract("member", r"records/(\d+)\.txt", 1)
         .cast("bigint")
@@ -483,7 +483,7 @@ def ingest_archives(spark, sf_dir):
         F.concat("feedEntry.identifier", F.lit(".json")).alias("member"),
         F.encode(F.to_json(F.struct("*")), "UTF-8").alias("data"),
     )
-    files = given.write_archives(members, work_folder(spark))
+    files = given.write_archives(members)
     return _ingested(ingest_archives_plan(spark, files))
 
 
