@@ -32,10 +32,11 @@ class KeyProfile:
         return self.keys <= BROADCAST_KEYS and self.key_bytes <= BROADCAST_BYTES
 
 
-def profile_key(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> KeyProfile:
+def profile_key(df: DataFrame, key: str, hot_rows: int | None = None) -> KeyProfile:
     """Count the rows per key, and list the hot keys with their parts.
 
-    Runs one job on the key column, and a second only if a key is hot. Keys
+    A key is hot above ``hot_rows`` rows (`HOT_ROWS` if not given) and `HOT_SHARE`
+    of all. Runs one job on the key column, and a second only if one is hot. Keys
     travel as hashes, and rows are counted before the shuffle, so neither long
     nor hot keys cost anything here.
     """
@@ -53,7 +54,8 @@ def profile_key(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> KeyProfile
         F.coalesce(F.sum("n"), F.lit(0)).alias("rows"),
         F.coalesce(F.max("n"), F.lit(0)).alias("top"),
     ).first()
-    part = max(hot_rows, int(totals.rows * HOT_SHARE))
+    floor = HOT_ROWS if hot_rows is None else hot_rows
+    part = max(floor, int(totals.rows * HOT_SHARE), 1)
     hot = ()
     if totals.top > part:
         hot_keys = counts.where(F.col("n") > part).select(

@@ -8,14 +8,14 @@ from pyspark.sql import functions as F
 from whosaid.functions.tokens import fix_content, tokenize
 from whosaid.operators.articles import explode_occurrences, project_articles
 from whosaid.operators.joins import join_articles
-from whosaid.operators.skew import HOT_ROWS, keep_listed, profile_key
+from whosaid.operators.skew import keep_listed, profile_key
 
 
 def extract_articles(
     entries: DataFrame,
     attributions: DataFrame,
     mode: str = "reference",
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """One row per occurrence of a quotation in an article of the corpus.
 

@@ -9,7 +9,7 @@ from whosaid.functions.tokens import fix_content, tokenize
 from whosaid.operators.articles import cast_id, project_articles
 from whosaid.operators.dedupe import dedupe_pairs, one_per_article
 from whosaid.operators.joins import join_speakers
-from whosaid.operators.skew import HOT_ROWS, keep_listed, profile_key, spread_join
+from whosaid.operators.skew import keep_listed, profile_key, spread_join
 from whosaid.sources.sinks import stage
 
 
@@ -20,7 +20,7 @@ def distinct_speakers(attributions: DataFrame) -> DataFrame:
 
 
 def mapped_pairs(
-    attributions: DataFrame, mapping: DataFrame, hot_rows: int = HOT_ROWS
+    attributions: DataFrame, mapping: DataFrame, hot_rows: int | None = None
 ) -> DataFrame:
     """``(articleUID, speaker, quotation, confidence)``, without content.
 
@@ -54,7 +54,7 @@ def map_discarded(
     attributions: DataFrame,
     mapping: DataFrame,
     mode: str = "reference",
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """One row per (article, speaker, quotation), with the article's content.
 

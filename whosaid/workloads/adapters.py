@@ -32,10 +32,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def quoted_tokens(text: Column) -> Column:
     """Words, where one with a comma opens and one with a stop closes a quote."""
-    return F.transform(
-        F.split(text, " "),
-        lambda t: F.when(t.endswith(","), "``").when(t.endswith("."), "''").otherwise(t),
-    )
+
+    def mark(t: Column) -> Column:
+        return F.when(t.endswith(","), "``").when(t.endswith("."), "''").otherwise(t)
+
+    return F.transform(F.split(text, " "), mark)
 
 
 def odd_tokens(text: Column) -> Column:
@@ -155,7 +156,8 @@ def raw_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     Spanish records have no language and no content extract, German ones no
     author, and a German extract has an encoding that is not read.
     """
-    link = F.struct(F.concat(F.lit("http://news.example/"), F.col("doc_id")).alias("href"))
+    url = F.concat(F.lit("http://news.example/"), F.col("doc_id"))
+    link = F.struct(url.alias("href"))
     no_text = F.lit(None).cast("string")
     lang = F.array(F.struct(F.col("lang").alias("code")))
     lang = F.when(F.col("lang") == "es", F.slice(lang, 1, 0)).otherwise(lang)
@@ -216,6 +218,46 @@ def raw_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def write_skewed_copy(
+    spark: SparkSession, sf_dir: str, folder: str, copies: int
+) -> None:
+    """The text tables ``copies`` times over, a third of the rows with one key.
+
+    A third of the documents is empty, a third of the turns belongs to one
+    conversation, and a third of the pages is one page. Ids of documents and
+    pages stay unique.
+    """
+
+    def copied(name: str) -> DataFrame:
+        number = F.explode(F.sequence(F.lit(0), F.lit(copies - 1)))
+        rows = table(spark, sf_dir, name).select("*", number.alias("copy"))
+        return rows.withColumn("hot", F.col("copy") % 3 == 0)
+
+    def unique(key: str) -> Column:
+        return (F.col(key) * copies + F.col("copy")).alias(key)
+
+    hot_text = F.when(F.col("hot"), "").otherwise(F.concat_ws(" ", "copy", "text"))
+    tables = {
+        "documents": copied("documents").select(
+            unique("doc_id"), hot_text.alias("text"), "lang", "source", "n_chars"
+        ),
+        "conversations": copied("conversations").select(
+            F.when(F.col("hot"), 5).otherwise(unique("conv_id")).alias("conv_id"),
+            "turn",
+            "role",
+            "text",
+        ),
+        "pages": copied("pages").select(
+            unique("page_id"),
+            "url",
+            F.when(F.col("hot"), "<p>one <b>page</b>").otherwise(F.col("html"))
+            .alias("html"),
+        ),
+    }
+    for name, rows in tables.items():
+        rows.write.parquet(f"{folder}/{name}.parquet")
+
+
 #: An archive of the fixtures is closed at this many members.
 ARCHIVE_MEMBERS = 2_000
 

@@ -219,9 +219,8 @@ def _with_spans(spark, sf_dir) -> DataFrame:
             "articleUID", fix_content(F.col("content")).alias("content")
         )
     )
-    return fixed.select(
-        "articleUID", "content", find_quotations(F.col("content")).alias("quotationIndexes")
-    )
+    spans = find_quotations(F.col("content"))
+    return fixed.select("articleUID", "content", spans.alias("quotationIndexes"))
 
 
 def quotations(spark, sf_dir):
