@@ -6,7 +6,11 @@ from pyspark.sql import functions as F
 
 from tests import plain
 from whosaid.operators import skew
-from whosaid.operators.articles import project_articles
+from whosaid.operators.articles import (
+    explode_occurrences,
+    occurrence_ids,
+    project_articles,
+)
 from whosaid.plans.extract import extract_articles
 from whosaid.plans.ingest import ingest_entries
 from whosaid.plans.mapping import map_discarded, mapped_pairs
@@ -74,6 +78,17 @@ def test_scans_read_only_the_needed_fields(spark, tmp_path):
     assert "PushedFilters: [In(source, [src0])]" in plan or "EqualTo(source,src0)" in plan
 
 
+def test_ids_are_read_alone(spark, tmp_path):
+    attributions = adapters.attributions(spark, SF)
+    attributions.write.parquet(f"{tmp_path}/a")
+    ids = occurrence_ids(spark.read.parquet(f"{tmp_path}/a"))
+    assert "ReadSchema: struct<occurrences:array<struct<articleUID:string>>>" in (
+        executed(ids.groupBy("articleUID").count())
+    )
+    all_rows = explode_occurrences(attributions).select("articleUID")
+    assert sorted(ids.collect()) == sorted(all_rows.collect())
+
+
 def test_jobs_stay_in_the_jvm(spark):
     entries = adapters.entries(spark, SF)
     attributions = adapters.attributions(spark, SF)

@@ -72,6 +72,13 @@ def explode_occurrences(
     )
 
 
+def occurrence_ids(attributions: DataFrame) -> DataFrame:
+    """The article ids of `explode_occurrences`, reading nothing but them."""
+    return attributions.select(
+        F.explode(F.col("occurrences.articleUID")).alias("articleUID")
+    )
+
+
 def explode_quotations(articles: DataFrame) -> DataFrame:
     """One row per span in ``quotationIndexes``, as ``quotationIndex``.
 

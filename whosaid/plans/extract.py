@@ -6,7 +6,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from whosaid.functions.tokens import fix_content, tokenize
-from whosaid.operators.articles import explode_occurrences, project_articles
+from whosaid.operators.articles import (
+    explode_occurrences,
+    occurrence_ids,
+    project_articles,
+)
 from whosaid.operators.joins import join_articles
 from whosaid.operators.skew import keep_listed, profile_key
 
@@ -26,12 +30,11 @@ def extract_articles(
     """
     occurrences = explode_occurrences(attributions)
     articles = project_articles(entries)
-    profile = profile_key(occurrences, "articleUID", hot_rows)
+    ids = occurrence_ids(attributions)
+    profile = profile_key(ids, "articleUID", hot_rows)
 
     fixed = fix_content(F.col("content"), mode).alias("content")
-    listed = keep_listed(
-        articles, "articleUID", occurrences.select("articleUID"), profile
-    )
+    listed = keep_listed(articles, "articleUID", ids, profile)
     if listed is not None:
         listed = listed.select("articleUID", fixed)
         joined = join_articles(listed, occurrences, profile)
