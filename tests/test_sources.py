@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from whosaid.functions.payload import inflate_content
 from whosaid.plans.ingest import ingest_archives
+from whosaid.plans.tagging import tag_corpus
 from whosaid.schemas import ENTRY
 from whosaid.sources import archives as archives_module
 from whosaid.sources.archives import scan_archives
@@ -243,6 +244,33 @@ def test_ingest_archives(spark, tmp_path):
     assert texts["3"] == []
 
 
+@pytest.mark.parametrize("clean", [False, True])
+def test_ingest_of_a_corrupt_payload(spark, tmp_path, clean):
+    bad = record(1, "x")
+    bad["feedEntry"]["content"]["data"] = base64.b64encode(b"bad").decode()
+    lines = "\n".join(map(json.dumps, [bad, record(2, "good")]))
+    make_archive(tmp_path / "a.tar.gz", [("r", lines.encode())])
+    glob = f"{tmp_path}/*.tar.gz"
+    entries = ingest_archives(spark, glob, clean=clean, on_error="null")
+    tokens = {r.feedEntry.identifier: r.feedEntry.tokenizedContent for r in entries.collect()}
+    assert tokens == {"1": [], "2": ["good"]}
+    with pytest.raises(Exception):
+        ingest_archives(spark, glob, clean=clean).collect()
+    with pytest.raises(ValueError):
+        ingest_archives(spark, glob, clean=clean, on_error="skip")
+
+
+def test_a_line_that_is_no_json_gives_no_article(spark, tmp_path):
+    good = {
+        "feedEntry": {"identifier": "1"},
+        "permalinkEntry": {"tokenizedContent": ["``", *"abcdefgh", "''"]},
+    }
+    (tmp_path / "a.json").write_text("{broken\n" + json.dumps(good) + "\n")
+    articles = scan_articles(spark, str(tmp_path))
+    assert articles.count() == 2
+    assert [r.articleUID for r in tag_corpus(articles).collect()] == ["1"]
+
+
 def test_ingest_has_the_declared_schema(spark, tmp_path):
     make_archive(tmp_path / "a.tar.gz", [("r", json.dumps(record(1, "x")).encode())])
     df = ingest_archives(spark, f"{tmp_path}/*.tar.gz")

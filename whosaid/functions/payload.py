@@ -27,7 +27,8 @@ def inflate_one(data: bytes | None, encoding: str | None) -> str | None:
     return zlib.decompress(data).decode("utf-8", errors="replace")
 
 
-def _inflate_or_none(data: bytes | None, encoding: str | None) -> str | None:
+def inflate_or_none(data: bytes | None, encoding: str | None) -> str | None:
+    """One payload's text, none if the payload is corrupt."""
     try:
         return inflate_one(data, encoding)
     except zlib.error:
@@ -41,7 +42,7 @@ def _inflate_batch(data: pd.Series, encoding: pd.Series) -> pd.Series:
 
 @F.pandas_udf(StringType())
 def _inflate_batch_or_null(data: pd.Series, encoding: pd.Series) -> pd.Series:
-    return pd.Series([_inflate_or_none(d, e) for d, e in zip(data, encoding)])
+    return pd.Series([inflate_or_none(d, e) for d, e in zip(data, encoding)])
 
 
 def is_unread(payload: Column) -> Column:
@@ -54,7 +55,11 @@ def inflate_content(data: Column, encoding: Column, on_error: str = "fail") -> C
 
     A corrupt payload fails the job, or gives null with ``on_error="null"``.
     """
-    if on_error not in ("fail", "null"):
-        raise ValueError(f"on_error must be 'fail' or 'null', not {on_error!r}")
+    check_on_error(on_error)
     batch = _inflate_batch if on_error == "fail" else _inflate_batch_or_null
     return batch(data, encoding)
+
+
+def check_on_error(on_error: str) -> None:
+    if on_error not in ("fail", "null"):
+        raise ValueError(f"on_error must be 'fail' or 'null', not {on_error!r}")

@@ -34,7 +34,7 @@ def dedupe_content(
     """One entry per distinct content: that with the lowest numeric id.
 
     All entries without content count as copies of each other; ``keep_empty``
-    keeps them all. The group key is a SHA-256 of the content, so the tokens
+    keeps them all, and then reads its input twice. The group key is a SHA-256 of the content, so the tokens
     travel once, in the row itself. It is one aggregation, since its input is
     costly to compute twice: each task first keeps one entry per content of its
     own, so a text with countless copies sends one row per task.

@@ -11,7 +11,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from whosaid.functions.html import clean_one
-from whosaid.functions.payload import inflate_content, inflate_one
+from whosaid.functions.payload import (
+    check_on_error,
+    inflate_content,
+    inflate_one,
+    inflate_or_none,
+)
 from whosaid.functions.tokens import tokenize_raw
 
 # Workers get the helper with the task, so they need not have the package.
@@ -35,21 +40,34 @@ def _clean_payload(
     return pd.Series([clean_one(inflate_one(d, e), u) for d, e, u in rows])
 
 
-def _content(payload: str, url: Column, clean: bool, tokenize: bool) -> Column:
+@F.pandas_udf(StringType())
+def _clean_payload_or_null(
+    data: pd.Series, encoding: pd.Series, base_url: pd.Series
+) -> pd.Series:
+    rows = zip(data, encoding, base_url)
+    return pd.Series([clean_one(inflate_or_none(d, e), u) for d, e, u in rows])
+
+
+def _content(
+    payload: str, url: Column, clean: bool, tokenize: bool, on_error: str
+) -> Column:
     """A payload's tokens, or its whole text as one; none without a payload."""
     data, encoding = F.col(f"{payload}.data"), F.col(f"{payload}.encoding")
     if clean:
         # Both steps in one, so that the text goes through Python once.
-        text = _clean_payload(data, encoding, url)
+        check_on_error(on_error)
+        batch = _clean_payload if on_error == "fail" else _clean_payload_or_null
+        text = batch(data, encoding, url)
     else:
-        text = inflate_content(data, encoding)
+        text = inflate_content(data, encoding, on_error)
     tokens = tokenize_raw(text) if tokenize else F.array(text)
-    return F.when(F.col(payload).isNotNull(), tokens).otherwise(
-        F.array().cast("array<string>")
-    )
+    there = F.col(payload).isNotNull() & text.isNotNull()
+    return F.when(there, tokens).otherwise(F.array().cast("array<string>"))
 
 
-def _body(record: str, payload: str, clean: bool, tokenize: bool) -> Column:
+def _body(
+    record: str, payload: str, clean: bool, tokenize: bool, on_error: str
+) -> Column:
     url = _text(f"{record}.canonicalLink.href")
     return F.struct(
         F.coalesce(F.col(f"{record}.identifier"), F.lit(0))
@@ -62,17 +80,20 @@ def _body(record: str, payload: str, clean: bool, tokenize: bool) -> Column:
         _first(f"{record}.author", "email").alias("authorEmail"),
         _text(f"{record}.lastPublished").alias("lastPublished"),
         _text(f"{record}.dateFound").alias("dateFound"),
-        _content(f"{record}.{payload}", url, clean, tokenize).alias("tokenizedContent"),
+        _content(f"{record}.{payload}", url, clean, tokenize, on_error).alias(
+            "tokenizedContent"
+        ),
     ).alias(record)
 
 
 def normalize_entries(
-    raw: DataFrame, clean: bool = True, tokenize: bool = True
+    raw: DataFrame, clean: bool = True, tokenize: bool = True, on_error: str = "fail"
 ) -> DataFrame:
     """Records of schema RAW as entries of schema ENTRY.
 
     Absent text becomes empty, the first language and author count, and absent
-    content becomes no tokens.
+    content becomes no tokens. So does a corrupt payload with
+    ``on_error="null"``; otherwise it fails the job.
     """
     source = F.struct(
         _text("source.canonicalLink.href").alias("url"),
@@ -96,6 +117,6 @@ def normalize_entries(
     return raw.select(
         source.alias("source"),
         feed.alias("feed"),
-        _body("feedEntry", "content", clean, tokenize),
-        _body("permalinkEntry", "contentExtract", clean, tokenize),
+        _body("feedEntry", "content", clean, tokenize, on_error),
+        _body("permalinkEntry", "contentExtract", clean, tokenize, on_error),
     )

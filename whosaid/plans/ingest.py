@@ -27,6 +27,7 @@ def ingest_entries(
     clean: bool = True,
     tokenize: bool = True,
     keep_empty: bool = False,
+    on_error: str = "fail",
 ) -> DataFrame:
     """Records of schema RAW to entries of schema ENTRY.
 
@@ -34,7 +35,7 @@ def ingest_entries(
     duplicates are removed after the sample, as their order matters.
     """
     wanted = sample_rows(filter_publisher(raw, types), fraction, seed, sample_key)
-    entries = normalize_entries(wanted, clean, tokenize)
+    entries = normalize_entries(wanted, clean, tokenize, on_error)
     if dedupe:
         entries = dedupe_content(entries, keep_empty=keep_empty)
     return repartition_rows(entries, partitions)
