@@ -246,12 +246,17 @@ def tokenize(text: Column, mode: str = "reference") -> Column:
     return _repaired(tokenize_raw(text), _repair(mode, bracket_only=True))
 
 
-#: Spaces to close when tokens become text again: (pattern, replacement).
-CLOSE_UP = (
-    ("(``|`) ?", "$1"),
-    (" ?''", "''"),
-    ("``|''", '"'),
+#: How tokens become text again: quotes first, then the spaces to close, as
+#: (pattern, replacement).
+CLOSE_QUOTES = (
+    ("`` ", '"'),
+    ("``", '"'),
+    (" ''", '"'),
+    ("''", '"'),
+    ("` ", "'"),
     ("`", "'"),
+)
+CLOSE_UP = (
     (" ([nN]'[tT])( |$)", "$1$2"),
     (" ('[a-zA-Z])", "$1"),
     (r" +([,.;:!?%)\]}])", "$1"),
@@ -261,7 +266,7 @@ CLOSE_UP = (
 
 def untokenize(tokens: Column) -> Column:
     """Tokens to readable text."""
-    text = F.array_join(tokens, " ")
+    text = replace_literals(F.array_join(tokens, " "), CLOSE_QUOTES)
     for pattern, replacement in CLOSE_UP:
         text = F.regexp_replace(text, pattern, replacement)
     return text

@@ -14,6 +14,7 @@ from whosaid.functions.html import (
     RETAINED_TAGS,
 )
 from whosaid.functions.tokens import (
+    CLOSE_QUOTES,
     CLOSE_UP,
     ENTITIES,
     REWRITES,
@@ -285,6 +286,8 @@ _NORMALIZED = f"""SELECT
 FROM documents"""
 
 _RESTORED = f"array_to_string({tokens_raw('text')}, ' ')"
+for _old, _new in CLOSE_QUOTES:
+    _RESTORED = f"replace({_RESTORED}, {text(_old)}, {text(_new)})"
 for _pattern, _replacement in CLOSE_UP:
     _RESTORED = _replace(_RESTORED, _pattern, _replacement)
 
