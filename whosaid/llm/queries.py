@@ -5,8 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from whosaid.llm.decontaminate import contamination
 from whosaid.llm.jaccard_join import jaccard_components
+from whosaid.llm.suffix_dedup import remove_repeats
 from whosaid.llm.tables import table
 
 
@@ -15,8 +18,38 @@ def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"), k=3, percent=90)
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes in strings of 200 bytes that occur twice."""
+    cut = remove_repeats(table(spark, sf_dir, "documents"), length=200)
+    removed = F.aggregate(
+        "spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"]
+    )
+    return cut.select(
+        "doc_id",
+        "n_bytes",
+        removed.alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
+def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with passages of benchmark items."""
+    found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_jaccard_join": op1_jaccard_join,
+    "op3_suffix_dedup": op3_suffix_dedup,
+    "op9_decontaminate": op9_decontaminate,
 }
 
 ORACLES: dict[str, str] = {}
