@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from whosaid.llm.decontaminate import contamination
 from whosaid.llm.jaccard_join import jaccard_components
+from whosaid.llm.mixing import Level, mixed
+from whosaid.llm.sql import SQL
 from whosaid.llm.suffix_dedup import remove_repeats
 from whosaid.llm.tables import table
 
@@ -46,10 +48,38 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def mixture_levels() -> list[Level]:
+    """A tree over documents: four domains by the source's number, then
+    languages, then sources."""
+    number = F.coalesce(
+        F.expr("try_cast(regexp_extract(source, '([0-9]+)', 1) AS int)"), F.lit(0)
+    )
+    return [
+        ("domain", F.concat(F.lit("d"), number % 4), 4 - number % 4),
+        ("lang", F.col("lang"), F.when(F.col("lang") == "en", 5).otherwise(2)),
+        ("source", F.col("source"), 1 + number % 3),
+    ]
+
+
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As many tokens as there are, at the target weights, at most twice each."""
+    rows = mixed(table(spark, sf_dir, "documents"), mixture_levels(), F.col("total"))
+    return rows.select(
+        "doc.doc_id",
+        F.col("node_domain").alias("domain"),
+        F.col("node_lang").alias("lang"),
+        F.col("node_source").alias("source"),
+        "tokens",
+        "budget",
+        F.col("epoch").cast("long").alias("epoch"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_jaccard_join": op1_jaccard_join,
     "op3_suffix_dedup": op3_suffix_dedup,
     "op9_decontaminate": op9_decontaminate,
+    "op10_mixing": op10_mixing,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = dict(SQL)
