@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,8 +17,6 @@ from whosaid.llm.tables import checkpointed
 
 #: Longs of the parity sketch of a set.
 SKETCH = 8
-#: A worker forgets its words' hashes at this many.
-WORDS = 300_000
 
 U = np.uint64
 _MIX = U(0xBF58476D1CE4E5B9), U(0x94D049BB133111EB)
@@ -31,29 +30,104 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U(31))
 
 
-class WordHashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= WORDS:
-            self.clear()
-        out = self[word] = xxhash.xxh64_intdigest(word)
-        return out
+#: Texts are hashed in pieces of about this many bytes.
+PIECE = 1 << 20
 
+_BASE = 0x9E3779B97F4A7C15
+_SPACE = np.isin(np.arange(256), [32, 9, 10, 11, 12, 13])
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+_BYTE = mix(np.arange(1, 257, dtype=U) * U(0xD1342543DE82EF95))
+_BLANK = re.compile(rb"[ \t-\r]")
 
-def shingle_set(text: bytes, k: int, hashes: WordHashes) -> np.ndarray:
-    """Sorted 64-bit hashes of the distinct k-word shingles of a whole text.
 
-    A-Z are lower-cased and words are split at ASCII white space. Fewer than k
-    words are one shingle; no words have none.
+def _pieces(text: bytes) -> Iterator[bytes]:
+    """The text, cut at white space where it is very long."""
+    start = 0
+    while len(text) - start > PIECE:
+        blank = _BLANK.search(text, start + PIECE)
+        if not blank:
+            break
+        yield text[start : blank.end()]
+        start = blank.end()
+    yield text[start:] if start else text
+
+
+def _hashed(pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The hashes of all words of some pieces, and their number in each."""
+    sizes = np.array([len(p) + 1 for p in pieces])
+    buf = _LOWER[np.frombuffer(b"\n".join(pieces) + b"\n", np.uint8)]
+    inside = np.concatenate([[False], ~_SPACE[buf]])
+    edges = np.flatnonzero(inside[1:] != inside[:-1])
+    # The last byte is a space, so each word has an end.
+    starts, ends = edges[::2], edges[1::2]
+    power = np.full(len(buf) + 1, U(_BASE))
+    power[0] = 1
+    power = np.cumprod(power, dtype=U)
+    prefix = np.zeros(len(buf) + 1, U)
+    np.cumsum(_BYTE[buf] * power[:-1], dtype=U, out=prefix[1:])
+    inverse = np.full(len(buf) + 1, U(pow(_BASE, -1, 1 << 64)))
+    inverse[0] = 1
+    inverse = np.cumprod(inverse, dtype=U)
+    words = mix((prefix[ends] - prefix[starts]) * inverse[starts] + (ends - starts).astype(U))
+    upto = np.searchsorted(starts, np.cumsum(sizes))
+    return words, np.diff(upto, prepend=0)
+
+
+def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of all words of whole texts, and their number in each.
+
+    A-Z are lower-cased and words are split at ASCII white space.
     """
-    words = text.lower().split()
-    if not words:
-        return np.zeros(0, U)
-    h = np.fromiter(map(hashes.__getitem__, words), U, len(words))
-    size = min(k, len(h))
-    out = np.full(len(h) - size + 1, U(size))
-    for i in range(size):
-        out = mix(out * _STEP + h[i : len(h) - size + 1 + i])
-    return np.unique(out)
+    hashes, counts = [np.zeros(0, U)], np.zeros(len(texts), np.int64)
+    batch: list[bytes] = []
+    owners: list[int] = []
+
+    def flush() -> None:
+        words, n = _hashed(batch)
+        hashes.append(words)
+        np.add.at(counts, owners, n)
+        batch.clear()
+        owners.clear()
+
+    size = 0
+    for number, text in enumerate(texts):
+        for piece in _pieces(text):
+            batch.append(piece)
+            owners.append(number)
+            size += len(piece)
+            if size >= PIECE:
+                flush()
+                size = 0
+    if batch:
+        flush()
+    return np.concatenate(hashes), counts
+
+
+def shingle_sets(texts: list[bytes], k: int) -> list[np.ndarray]:
+    """Per text, the sorted hashes of its distinct k-word shingles.
+
+    Fewer than k words are one shingle; no words have none.
+    """
+    h, counts = word_hashes(texts)
+
+    def joined(h: np.ndarray, size: int) -> np.ndarray:
+        n = max(0, len(h) - size + 1)
+        out = np.full(n, U(size))
+        for i in range(size):
+            out = mix(out * _STEP + h[i : n + i])
+        return out
+
+    whole = joined(h, k)
+    ends = np.cumsum(counts)
+    sets = []
+    for start, end in zip((ends - counts).tolist(), ends.tolist()):
+        if end - start >= k:
+            s = np.sort(whole[start : end - k + 1])
+            sets.append(s[np.concatenate([[True], s[1:] != s[:-1]])])
+        else:
+            sets.append(joined(h[start:end], end - start) if end > start else h[:0])
+    return sets
 
 
 def bands(size: int, percent: int) -> list[tuple[int, int]]:
@@ -75,39 +149,59 @@ def furthest(size_sum: int, percent: int) -> int:
     return size_sum * (100 - percent) // (100 + percent)
 
 
+@dataclass(frozen=True)
+class Band:
+    """How the sets of a band are signed: the edges of the cells, and what is
+    mixed into the signature of each pair of a part's cells."""
+
+    needed: int
+    edges: np.ndarray
+    marks: np.ndarray
+
+
+def band(number: int, high: int, percent: int) -> Band:
+    d = furthest(2 * high, percent)
+    tag = mix(np.array([number + 1], U) * _STEP)
+    if d == 0:
+        return Band(0, np.zeros(0, U), tag)
+    needed = (d + 2) // 2
+    cells = 3 * (needed + 1)
+    edges = np.array([(c << 64) // cells for c in range(cells)], dtype=U)
+    places = np.arange(1, cells + 1, dtype=U).reshape(-1, 3)
+    return Band(needed, edges, mix(places * _STEP + tag))
+
+
 def signatures(s: np.ndarray, percent: int, cache: dict) -> np.ndarray:
     """The PartEnum signatures of a set.
 
     Two sets of a band differ in at most d elements. The hash domain is cut
-    into n = ceil((d + 1) / 2) parts or one more, so that the sets differ in at
+    into n = ceil((d + 1) / 2) parts and one more, so that the sets differ in at
     most one element in some part; each part has three cells, and each pair of
     its cells is a signature. The cell with the odd element is outside one of
     them. Signatures of empty cells are left out if n parts have none, since
-    then another signature is shared.
+    then another signature is shared. ``cache`` keeps the bands.
     """
     if len(s) not in cache:
         cache[len(s)] = bands(len(s), percent)
+    mixed = mix(s)
+    total = np.concatenate([s[:0], [U(0)], np.cumsum(mixed, dtype=U)])
     out = []
     for number, high in cache[len(s)]:
-        d = furthest(2 * high, percent)
-        tag = mix(np.array([number + 1], U) * _STEP)
-        if d == 0:
-            out.append(mix(tag + mix(s).sum(dtype=U)))
+        key = ("band", number)
+        if key not in cache:
+            cache[key] = band(number, high, percent)
+        b = cache[key]
+        if not b.needed:
+            out.append(mix(b.marks + total[-1]))
             continue
-        needed = (d + 2) // 2
-        cells = 3 * (needed + 1)
-        edges = np.array([(c << 64) // cells for c in range(cells)], dtype=U)
-        at = np.append(np.searchsorted(s, edges), len(s))
-        total = np.concatenate([np.zeros(1, U), np.cumsum(mix(s), dtype=U)])
-        sums = (total[at[1:]] - total[at[:-1]]).reshape(-1, 3)
+        at = np.append(np.searchsorted(s, b.edges), len(s))
+        sums = np.diff(total[at]).reshape(-1, 3)
         counts = np.diff(at).reshape(-1, 3)
-        pair_sums = np.stack([sums[:, 1] + sums[:, 2], sums[:, 0] + sums[:, 2],
-                              sums[:, 0] + sums[:, 1]], axis=1)
-        pair_counts = counts.sum(axis=1, keepdims=True) - counts
-        places = np.arange(cells, dtype=U).reshape(-1, 3) + U(1)
-        signed = mix(pair_sums + mix(places * _STEP + tag))
-        full = pair_counts > 0
-        if full.all(axis=1).sum() >= needed:
+        signed = mix(sums.sum(axis=1, keepdims=True, dtype=U) - sums + b.marks)
+        full = counts.sum(axis=1, keepdims=True) > counts
+        if full.all():
+            out.append(signed.ravel())
+        elif full.all(axis=1).sum() >= b.needed:
             out.append(signed[full])
         else:
             out.append(signed.ravel())
@@ -129,28 +223,25 @@ def prepared(docs: DataFrame, k: int, percent: int, segment_bytes: int) -> DataF
     the set, its sketch and those signatures."""
     texts, count = segments(docs, segment_bytes)
 
-    def sets(segment: pa.Table) -> Iterator[tuple[list, np.ndarray]]:
-        hashes = WordHashes()
-        for text, ids in merged(segment).items():
-            yield ids, shingle_set(text, k, hashes)
-
-    def signed(segment: pa.Table) -> np.ndarray:
+    def signed(segment: pa.Table) -> Iterator[tuple[list, np.ndarray, np.ndarray]]:
         cache: dict = {}
-        parts = [signatures(s, percent, cache) for _, s in sets(segment) if len(s)]
-        return np.concatenate(parts) if parts else np.zeros(0, U)
+        texts_ = merged(segment)
+        for ids, s in zip(texts_.values(), shingle_sets(list(texts_), k)):
+            yield ids, s, signatures(s, percent, cache) if len(s) else s
 
     def keys_of(segment: pa.Table) -> np.ndarray:
-        return np.unique(signed(segment))
+        return np.unique(np.concatenate([sig for _, _, sig in signed(segment)]))
 
     answers = repeated_keys(texts, keys_of, count)
 
     def keep(segment: pa.Table, answer: pa.Table) -> pa.Table:
-        keys, times = np.unique(signed(segment), return_counts=True)
+        all_signed = list(signed(segment))
+        keys, times = np.unique(
+            np.concatenate([sig for _, _, sig in all_signed]), return_counts=True
+        )
         shared = keys[flags(answer) | (times > 1)] if len(keys) else keys
-        cache: dict = {}
         rows = []
-        for ids, s in sets(segment):
-            sig = signatures(s, percent, cache) if len(s) else s
+        for ids, s, sig in all_signed:
             sig = sig[found(sig, shared)]
             known = [i for i in ids if i is not None]
             rows.append(
