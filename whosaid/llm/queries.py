@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from whosaid.llm.decontaminate import contamination
 from whosaid.llm.jaccard_join import jaccard_components
 from whosaid.llm.mixing import Level, mixed
+from whosaid.llm.sharding import shards, text_order
 from whosaid.llm.sql import SQL
 from whosaid.llm.suffix_dedup import remove_repeats
 from whosaid.llm.tables import table
@@ -20,6 +21,24 @@ def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"), k=3, percent=90)
 
 
+def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Eight shards of near equal bytes, by language, source and length."""
+    dims = [
+        text_order(F.col("lang")),
+        text_order(F.col("source")),
+        F.log1p(F.octet_length("text")),
+    ]
+    return shards(table(spark, sf_dir, "documents"), dims, n_shards=8).select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes in strings of 200 bytes that occur twice."""
     cut = remove_repeats(table(spark, sf_dir, "documents"), length=200)
@@ -77,6 +96,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_jaccard_join": op1_jaccard_join,
+    "op2_sharding": op2_sharding,
     "op3_suffix_dedup": op3_suffix_dedup,
     "op9_decontaminate": op9_decontaminate,
     "op10_mixing": op10_mixing,
