@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from whosaid.llm.decontaminate import contamination
 from whosaid.llm.jaccard_join import jaccard_components
 from whosaid.llm.mixing import Level, mixed
+from whosaid.llm.quality import THRESHOLD, held_out, scored, train
 from whosaid.llm.sharding import shards, text_order
 from whosaid.llm.sql import SQL
 from whosaid.llm.suffix_dedup import remove_repeats
@@ -54,6 +55,18 @@ def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's quality, learned from three quarters of the labels."""
+    docs = table(spark, sf_dir, "documents")
+    model = train(docs, table(spark, sf_dir, "labels"))
+    return scored(docs, model, ["doc_id"]).select(
+        "doc_id",
+        held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        F.when(F.col("score") >= THRESHOLD, 1).otherwise(0).alias("predicted"),
+    )
+
+
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with passages of benchmark items."""
     found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -98,6 +111,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_jaccard_join": op1_jaccard_join,
     "op2_sharding": op2_sharding,
     "op3_suffix_dedup": op3_suffix_dedup,
+    "op7_quality": op7_quality,
     "op9_decontaminate": op9_decontaminate,
     "op10_mixing": op10_mixing,
 }
