@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from whosaid.llm.tables import checkpointed
+from whosaid.llm.tables import stored
 
 # What a word is, and the letters that are lower-cased.
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -95,7 +95,7 @@ def build_index(docs: DataFrame, terms: DataFrame) -> DataFrame:
         "row", "doc_id", "pos", "w", after.alias("after"), F.xxhash64("w", after).alias("key")
     ).join(hinted(pairs), "key")
     single = tokens.join(hinted(alone), F.col("w") == F.col("only"))
-    return checkpointed(
+    return stored(
         followed.where((F.col("w") == F.col("first")) & (F.col("after") == F.col("second")))
         .select("row", "doc_id", "pos", "term")
         .union(single.select("row", "doc_id", "pos", "term"))
@@ -187,16 +187,16 @@ def indexed(
     """The index, the windows' terms as rows (window, length, offset, term,
     terms), and the items of each window as rows (window, item_id)."""
     listed = test_windows(benchmark, window)
-    numbered = checkpointed(
+    numbered = stored(
         listed.select("words").distinct().withColumn("window", F.monotonically_increasing_id())
     )
     pairs = terms_of(numbered)
-    terms = checkpointed(
+    terms = stored(
         pairs.select("first", "second")
         .distinct()
         .select(F.monotonically_increasing_id().alias("term"), "first", "second")
     )
-    windows = checkpointed(
+    windows = stored(
         pairs.join(
             terms,
             (pairs["first"] == terms["first"]) & pairs["second"].eqNullSafe(terms["second"]),
@@ -221,7 +221,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
     none. Repeated rows each have their own result.
     """
     index, windows, items = indexed(docs, benchmark, window)
-    matches = checkpointed(phrase_matches(index, windows))
+    matches = stored(phrase_matches(index, windows))
     end = F.col("start") + F.col("length")
     before = F.max(end).over(
         Window.partitionBy("row").orderBy("start", "length").rowsBetween(

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from whosaid.llm.components import components
 from whosaid.llm.segments import flags, found, merged, repeated_keys, segments
-from whosaid.llm.tables import checkpointed
+from whosaid.llm.tables import stored
 
 #: Longs of the parity sketch of a set.
 SKETCH = 8
@@ -268,7 +268,7 @@ def prepared(docs: DataFrame, k: int, percent: int, segment_bytes: int) -> DataF
             ),
         )
 
-    return checkpointed(
+    return stored(
         texts.groupBy("seg")
         .cogroup(answers.groupBy("seg"))
         .applyInArrow(
@@ -340,7 +340,7 @@ def jaccard_components(
         .select(F.col("r.node").alias("a"), F.col("m.node").alias("b"))
         .distinct()
     )
-    links = checkpointed(verified(stars, sets, percent))
+    links = stored(verified(stars, sets, percent))
 
     known = components(links)
     placed = members.join(known, F.col("m.node") == F.col("node"), "left").select(
@@ -352,7 +352,7 @@ def jaccard_components(
         .where("lo < hi")
         .select("sig")
     )
-    open_members = checkpointed(placed.join(mixed, "sig"))
+    open_members = stored(placed.join(mixed, "sig"))
     a = open_members.select("sig", F.col("m").alias("p"), F.col("c").alias("ca"))
     b = open_members.select("sig", F.col("m").alias("q"), F.col("c").alias("cb"))
     rest = (
@@ -360,7 +360,7 @@ def jaccard_components(
         .select(F.col("p.node").alias("a"), F.col("q.node").alias("b"))
         .distinct()
     )
-    more = checkpointed(verified(rest, sets, percent))
+    more = stored(verified(rest, sets, percent))
 
     labels = components(links.union(more).union(known.select("node", "component")))
     return (

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from whosaid.llm.tables import checkpointed
+from whosaid.llm.tables import stored
 
 #: Hexadecimal digits of the order key that name a stretch of a leaf's epoch.
 STRETCH = 3
@@ -113,11 +113,11 @@ def leaf_plans(
         F.sum("tokens").alias("leaf_tokens"),
         *[F.max(f"w_{n}").alias(f"w_{n}") for n in names],
     )
-    leaves = checkpointed(leaves.withColumn("capacity", F.col("leaf_tokens") * max_epochs))
+    leaves = stored(leaves.withColumn("capacity", F.col("leaf_tokens") * max_epochs))
     wanted = leaves.agg(F.coalesce(F.sum("leaf_tokens"), F.lit(0)).alias("total")).select(
         budget.cast("long").alias("wanted")
     )
-    plan = checkpointed(
+    plan = stored(
         leaves.join(leaf_budgets(leaves, names, wanted), list(names))
         .withColumn(
             "whole", F.expr("if(leaf_tokens > 0, budget div leaf_tokens, 0)").cast("int")
@@ -185,8 +185,8 @@ def mixed(
     nodes = [F.coalesce(node.cast("string"), F.lit("")).alias(n) for n, (_, node, _) in zip(names, levels)]
     weights = [w.cast("long").alias(f"w_{n}") for n, (_, _, w) in zip(names, levels)]
     tokens = estimated_tokens(F.col("text")).alias("tokens")
-    rows = checkpointed(docs.select(*nodes, *weights, "doc_id", tokens))
-    plan = checkpointed(leaf_plans(rows, names, budget, max_epochs, seed))
+    rows = stored(docs.select(*nodes, *weights, "doc_id", tokens))
+    plan = stored(leaf_plans(rows, names, budget, max_epochs, seed))
     if plan.count() <= BROADCAST_LEAVES:
         plan = F.broadcast(plan)
     carried = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), *nodes, tokens)

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from whosaid.llm.tables import checkpointed
+from whosaid.llm.tables import stored
 
 #: Bits of a coordinate and of the order among equal ones; digits of the key
 #: that one histogram resolves, and the number of histograms.
@@ -58,7 +58,7 @@ def shards(
     coords = [f"q{i}" for i in range(len(dims))]
     levels = max(0, ((points.agg(F.max("n")).first()[0] or 1) - 1).bit_length())
     for _ in range(levels):
-        points = checkpointed(_cut(points, coords))
+        points = stored(_cut(points, coords))
     return _numbered(points.withColumn("shard", F.col("lo").cast("int")))
 
 
@@ -70,7 +70,7 @@ def _points(
         raise ValueError("give target_bytes or n_shards")
     raw = [f"x{i}" for i in range(len(dims))]
     text = F.coalesce(F.col("text"), F.lit(""))
-    rows = checkpointed(
+    rows = stored(
         docs.select(
             F.col("doc_id").cast("long").alias("doc_id"),
             text_size(F.col("text")).alias("size"),
@@ -104,7 +104,7 @@ def _points(
     order = F.when(
         F.col("dealt"), F.xxhash64("group", "doc_id")
     ).otherwise(F.xxhash64("group"))
-    return checkpointed(
+    return stored(
         rows.join(groups, "group")
         .join(whole)
         .withColumn("dealt", dealt)
