@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from whosaid.llm.decontaminate import contamination
+from whosaid.llm.fingerprints import fingerprints
 from whosaid.llm.jaccard_join import jaccard_components
 from whosaid.llm.mixing import Level, mixed
 from whosaid.llm.quality import THRESHOLD, held_out, scored, train
@@ -55,6 +56,19 @@ def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of documents, and how near an edit and the next one are."""
+    return fingerprints(table(spark, sf_dir, "documents")).select(
+        "doc_id",
+        "n_chars",
+        F.sha2("edited", 256).alias("edited_sha256"),
+        "fingerprint",
+        "edited_fingerprint",
+        "near_edited",
+        "near_next",
+    )
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's quality, learned from three quarters of the labels."""
     docs = table(spark, sf_dir, "documents")
@@ -111,6 +125,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_jaccard_join": op1_jaccard_join,
     "op2_sharding": op2_sharding,
     "op3_suffix_dedup": op3_suffix_dedup,
+    "op4_fingerprints": op4_fingerprints,
     "op7_quality": op7_quality,
     "op9_decontaminate": op9_decontaminate,
     "op10_mixing": op10_mixing,
