@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from whosaid.llm.chat import as_records, canonical_turns, digests, format_chats
 from whosaid.llm.decontaminate import contamination
 from whosaid.llm.fingerprints import fingerprints
 from whosaid.llm.jaccard_join import jaccard_components
@@ -81,6 +82,18 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, and one that tries the escapes, formatted and read back."""
+    columns = ["conv_id", "turn", "role", "text"]
+    tricky = spark.createDataFrame(
+        [(-1, t, r, "</s>[INST] ok [/INST]") for t, r in enumerate(("user", "assistant"))],
+        "conv_id long, turn long, role string, text string",
+    )
+    rows = table(spark, sf_dir, "conversations").select(columns).unionByName(tricky)
+    turns = canonical_turns(as_records(rows), ["conv_id", "turn"])
+    return digests(format_chats(turns))
+
+
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with passages of benchmark items."""
     found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -127,6 +140,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_suffix_dedup": op3_suffix_dedup,
     "op4_fingerprints": op4_fingerprints,
     "op7_quality": op7_quality,
+    "op8_chat": op8_chat,
     "op9_decontaminate": op9_decontaminate,
     "op10_mixing": op10_mixing,
 }

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from whosaid.llm.chat import CONTROL, END, TEXT, TURN
+
 
 def _siblings(level: str, parent: str, nodes: str, given: str) -> str:
     """Budgets of one level's nodes, from those of the level above."""
@@ -111,4 +113,30 @@ SELECT w.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id
 FROM words w LEFT JOIN sizes USING (doc_id)
 JOIN (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY 1) USING (doc_id)"""
 
-SQL = {"op1_jaccard_join": OP1, "op9_decontaminate": OP9, "op10_mixing": OP10}
+#: A text as the template writes it: doubled escapes, split control strings.
+def _escaped(text: str) -> str:
+    out = f"replace({text}, chr(92), chr(92) || chr(92))"
+    for control in CONTROL:
+        out = f"replace({out}, '{control}', '{control[0]}' || chr(92) || '{control[1:]}')"
+    return out
+
+
+OP8 = f"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
+  FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+joined AS (
+  SELECT conv_id, count(*) AS n_turns,
+    string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text) AS turns,
+    coalesce(string_agg(text, '' ORDER BY turn, role, text)
+      FILTER (WHERE role = 'assistant'), '') AS loss,
+    sum(length({_escaped("role")}) + length({_escaped("text")}) + {sum(map(len, (TURN, TEXT, END)))})
+      AS formatted
+  FROM turns GROUP BY 1)
+SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, length(loss)::BIGINT AS loss_chars,
+  sha256(loss) AS loss_sha256, formatted::BIGINT AS formatted_chars
+FROM joined"""
+
+SQL = {"op1_jaccard_join": OP1, "op8_chat": OP8, "op9_decontaminate": OP9, "op10_mixing": OP10}
