@@ -11,12 +11,17 @@ from whosaid.llm.chat import as_records, canonical_turns, digests, format_chats
 from whosaid.llm.decontaminate import contamination
 from whosaid.llm.fingerprints import fingerprints
 from whosaid.llm.jaccard_join import jaccard_components
+from whosaid.llm.licenses import license_matches
 from whosaid.llm.mixing import Level, mixed
 from whosaid.llm.quality import THRESHOLD, held_out, scored, train
 from whosaid.llm.sharding import shards, text_order
 from whosaid.llm.sql import SQL
 from whosaid.llm.suffix_dedup import remove_repeats
 from whosaid.llm.tables import table
+from whosaid.llm.token_counts import read_vocabulary, token_counts
+
+#: The vocabulary whose pieces op5 counts.
+VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 
 
 def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -70,6 +75,18 @@ def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_token_counts(
+    spark: SparkSession, sf_dir: str, vocabulary: str = VOCABULARY
+) -> DataFrame:
+    """The number of pieces of every document."""
+    return token_counts(table(spark, sf_dir, "documents"), read_vocabulary(vocabulary))
+
+
+def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License notices in documents, with their spans."""
+    return license_matches(table(spark, sf_dir, "documents"))
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's quality, learned from three quarters of the labels."""
     docs = table(spark, sf_dir, "documents")
@@ -139,6 +156,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_sharding": op2_sharding,
     "op3_suffix_dedup": op3_suffix_dedup,
     "op4_fingerprints": op4_fingerprints,
+    "op5_token_counts": op5_token_counts,
+    "op6_licenses": op6_licenses,
     "op7_quality": op7_quality,
     "op8_chat": op8_chat,
     "op9_decontaminate": op9_decontaminate,
