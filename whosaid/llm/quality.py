@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import asdict, dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, DoubleType
 
 #: What is measured of a text, in the order of the features.
 FEATURES = (
@@ -104,21 +105,26 @@ def statistics(text: bytes) -> list[float]:
     ]
 
 
-def with_statistics(docs: DataFrame, keep: list[str]) -> DataFrame:
-    """The columns ``keep`` and an array ``x`` of each row's statistics."""
+def _measured(
+    docs: DataFrame,
+    keep: list[str],
+    name: str,
+    kind: DataType,
+    value: Callable[[np.ndarray], pa.Array],
+) -> DataFrame:
+    """The columns ``keep`` and one made of each row's statistics."""
     given = docs.select(
-        *keep, F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("_text")
+        *keep, F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("_measured")
     )
+    schema = given.drop("_measured").schema.add(name, kind)
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = [statistics(t) for t in batch.column("_text").to_pylist()]
+            x = [statistics(t) for t in batch.column("_measured").to_pylist()]
+            made = value(np.array(x).reshape(-1, len(FEATURES)))
             columns = [batch.column(c) for c in keep]
-            yield pa.RecordBatch.from_arrays(
-                [*columns, pa.array(x, pa.list_(pa.float64()))], [*keep, "x"]
-            )
+            yield pa.RecordBatch.from_arrays([*columns, made], [*keep, name])
 
-    schema = given.drop("_text").withColumn("x", F.array(F.lit(0.0))).schema
     return given.mapInArrow(measure, schema)
 
 
@@ -131,7 +137,6 @@ class Discriminant:
     means: list[list[float]]
     inverses: list[list[list[float]]]
     log_dets: list[float]
-    scale: float
 
     def to_json(self) -> str:
         return json.dumps(asdict(self))
@@ -140,20 +145,16 @@ class Discriminant:
     def from_json(cls, text: str) -> Discriminant:
         return cls(**json.loads(text))
 
-    def score(self, x: Column) -> Column:
-        """The probability of class 1, from the difference of log densities."""
+    def score(self, x: np.ndarray) -> np.ndarray:
+        """The probability of class 1 of each row of statistics, from the
+        difference of log densities."""
 
-        def log_density(i: int) -> Column:
-            # Rows of the inverse factor times the centred statistics.
-            centred = [x[j] - m for j, m in enumerate(self.means[i])]
-            distance = F.lit(0.0)
-            for row in self.inverses[i]:
-                z = sum((c * w for c, w in zip(centred, row) if w), F.lit(0.0))
-                distance = distance + z * z
-            return self.priors[i] - self.log_dets[i] - distance / 2
+        def log_density(i: int) -> np.ndarray:
+            z = (x - np.array(self.means[i])) @ np.array(self.inverses[i]).T
+            return self.priors[i] - self.log_dets[i] - (z * z).sum(axis=1) / 2
 
-        odds = (log_density(1) - log_density(0)) * self.scale
-        return F.lit(1.0) / (1 + F.exp(-F.greatest(F.least(odds, F.lit(500.0)), F.lit(-500.0))))
+        odds = np.clip(log_density(1) - log_density(0), -500, 500)
+        return 1 / (1 + np.exp(-odds))
 
 
 def fit(labelled: DataFrame, shrinkage: float = 0.01, pooled: float = 0.05) -> Discriminant:
@@ -182,7 +183,7 @@ def fit(labelled: DataFrame, shrinkage: float = 0.01, pooled: float = 0.05) -> D
     if min(n) < 2:
         share = (n[1] + 1) / (sum(n) + 2)
         zeros, nothing = [[0.0] * d] * 2, [[[0.0] * d] * d] * 2
-        return Discriminant([np.log(1 - share), np.log(share)], zeros, nothing, [0.0, 0.0], 1.0)
+        return Discriminant([np.log(1 - share), np.log(share)], zeros, nothing, [0.0, 0.0])
     means, scatters = [], []
     for c in (0, 1):
         mean = np.array(found[c]["s"]) / n[c]
@@ -205,7 +206,6 @@ def fit(labelled: DataFrame, shrinkage: float = 0.01, pooled: float = 0.05) -> D
         [m.tolist() for m in means],
         inverses,
         log_dets,
-        1.0,
     )
 
 
@@ -226,7 +226,10 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality") -> Discrim
     known = labels.select("doc_id", F.col(label).cast("int").alias("label")).dropna().distinct()
     rows = docs.select("doc_id", "text").where(~held_out(F.col("doc_id")))
     joined = rows.join(known, "doc_id")
-    return fit(with_statistics(joined, ["label"]))
+    def listed(x: np.ndarray) -> pa.Array:
+        return pa.array(x.tolist(), pa.list_(pa.float64()))
+
+    return fit(_measured(joined, ["label"], "x", ArrayType(DoubleType()), listed))
 
 
 def scored(docs: DataFrame, model: Discriminant, keep: list[str]) -> DataFrame:
@@ -234,4 +237,7 @@ def scored(docs: DataFrame, model: Discriminant, keep: list[str]) -> DataFrame:
 
     A null text counts as empty. Extra columns are left alone.
     """
-    return with_statistics(docs, keep).select(*keep, model.score(F.col("x")).alias("score"))
+    def score(x: np.ndarray) -> pa.Array:
+        return pa.array(model.score(x), pa.float64())
+
+    return _measured(docs, list(keep), "score", DoubleType(), score)

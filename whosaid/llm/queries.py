@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from whosaid.llm.chat import as_records, canonical_turns, digests, format_chats
@@ -29,14 +29,19 @@ def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"), k=3, percent=90)
 
 
-def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Eight shards of near equal bytes, by language, source and length."""
-    dims = [
+def shard_dims() -> list[Column]:
+    """The metadata of documents by which shards are cut."""
+    return [
         text_order(F.col("lang")),
         text_order(F.col("source")),
         F.log1p(F.octet_length("text")),
     ]
-    return shards(table(spark, sf_dir, "documents"), dims, n_shards=8).select(
+
+
+def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Eight shards of near equal bytes, by language, source and length."""
+    docs = table(spark, sf_dir, "documents")
+    return shards(docs, shard_dims(), n_shards=8).select(
         "doc_id",
         "size",
         "text_crc32",
