@@ -363,6 +363,7 @@ def jaccard_components(
     more = stored(verified(rest, sets, percent))
 
     labels = components(links.union(more).union(known.select("node", "component")))
+    linked_to = F.when(F.col("doc_id").isNotNull(), F.col("component"))
     return (
         texts.join(labels, "node", "left")
         .select(
@@ -370,5 +371,12 @@ def jaccard_components(
             F.col("size").alias("n_shingles"),
             F.coalesce("component", "node").alias("component"),
         )
-        .select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("component")).alias("component_id"))
+        .select(
+            "doc_id",
+            "n_shingles",
+            # Rows without words share a text, but no link.
+            F.when(F.col("n_shingles") == 0, F.col("doc_id"))
+            .otherwise(linked_to)
+            .alias("component_id"),
+        )
     )
