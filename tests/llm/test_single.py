@@ -122,11 +122,13 @@ def test_alignment_against_all_pairs():
     rng = random.Random(3)
     for _ in range(200):
         template = [rng.randrange(1, 9) for _ in range(rng.randrange(3, 15))]
-        words = [0] * 4 + [w for w in template if rng.random() > 0.1] + [0] * 4
+        gone = {rng.randrange(len(template)) for _ in range(3)}
+        words = [0] * 4 + [w for i, w in enumerate(template) if i not in gone] + [0] * 4
         pairs = licenses.aligned(template, words, 4)
         assert all(template[i] == words[j] and abs(j - 4 - i) <= 4 for i, j in pairs)
         assert all(a[0] < b[0] and a[1] < b[1] for a, b in zip(pairs, pairs[1:]))
-        assert len(pairs) == lcs(template, words) or len(words) > len(template) + 8
+        assert len(pairs) >= len(template) - len(gone)
+        assert len(pairs) <= lcs(template, words)
 
 
 def test_licenses_are_found_with_their_spans(spark):
