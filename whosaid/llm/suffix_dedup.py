@@ -35,53 +35,85 @@ _BYTE = mix(np.arange(1, 257, dtype=U) * U(0xD1342543DE82EF95))
 SPANS = "array<struct<start:long,end:long>>"
 
 
+_powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first n + 1 powers of the base and of its inverse; a task keeps those
+    for one block."""
+    if n > BLOCK * 2 or not _powers or len(_powers[0][0]) <= n:
+        made = []
+        for base in (_BASE, pow(_BASE, -1, 1 << 64)):
+            row = np.full(max(n, BLOCK + (1 << 12)) + 1, U(base))
+            row[0] = 1
+            made.append(np.cumprod(row, dtype=U))
+        if n > BLOCK * 2:
+            return made[0], made[1]
+        _powers[0] = made[0], made[1]
+    return _powers[0]
+
+
+def _ranges(first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """All numbers from each first to its last."""
+    sizes = last - first + 1
+    before = np.cumsum(sizes) - sizes
+    return np.arange(sizes.sum()) + np.repeat(first - before, sizes)
+
+
 class Pieces:
-    """Some pieces of texts, end to end: (text number, offset, bytes)."""
+    """Some pieces of texts, end to end: (text number, offset, bytes).
+
+    Only the prefix sums have an entry per byte; places are computed for the
+    cover samples, and for window starts near those that are shared.
+    """
 
     def __init__(self, parts: list[tuple[int, int, bytes]], length: int) -> None:
-        self.parts = parts
+        self.parts, self.length = parts, length
         buf = np.frombuffer(b"".join(p for _, _, p in parts), np.uint8)
-        n = len(buf)
-        sizes = np.array([len(p) for _, _, p in parts])
-        ends = np.cumsum(sizes)
-        self.starts = ends - sizes
-        self.piece_of = np.repeat(np.arange(len(parts)), sizes)
-        self.room = ends[self.piece_of] - np.arange(n)
-        local = np.arange(n) - self.starts[self.piece_of]
-        offsets = np.array([o for _, o, _ in parts])
-        self.residue = (local + offsets[self.piece_of] % PERIOD) % PERIOD
-        self.own = local < BLOCK
-        power = np.full(n + 1, U(_BASE))
-        power[0] = 1
-        power = np.cumprod(power, dtype=U)
-        self.inverse = np.full(n + 1, U(pow(_BASE, -1, 1 << 64)))
-        self.inverse[0] = 1
-        self.inverse = np.cumprod(self.inverse, dtype=U)
-        self.prefix = np.zeros(n + 1, U)
-        np.cumsum(_BYTE[buf] * power[:-1], dtype=U, out=self.prefix[1:])
-        self.length = length
+        self.sizes = np.array([len(p) for _, _, p in parts])
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        power, self.inverse = powers(len(buf))
+        self.prefix = np.zeros(len(buf) + 1, U)
+        np.cumsum(_BYTE[buf] * power[: len(buf)], dtype=U, out=self.prefix[1:])
 
     def fingerprints(self, at: np.ndarray, length: int) -> np.ndarray:
         return mix((self.prefix[at + length] - self.prefix[at]) * self.inverse[at])
 
-    def sample(self) -> np.ndarray:
-        """Where a cover sample starts."""
-        there = np.isin(self.residue, COVER)
-        return np.flatnonzero(there & (self.room >= self.length - PERIOD + 1))
+    def sample(self, lookahead: bool) -> tuple[np.ndarray, np.ndarray]:
+        """Where cover samples start, and the piece of each. With ``lookahead``
+        also those that the next piece of the same text counts as its own."""
+        depth = self.length - PERIOD + 1
+        cover = np.array(COVER)
+        at, pieces_ = [], []
+        for number, (_, offset, part) in enumerate(self.parts):
+            last = len(part) - depth
+            if not lookahead:
+                last = min(last, BLOCK - 1)
+            shift = offset % PERIOD
+            rounds = np.arange(0, last + shift + 1, PERIOD)
+            places = (rounds[:, None] + cover).ravel() - shift
+            places = places[(places >= 0) & (places <= last)]
+            at.append(places + self.starts[number])
+            pieces_.append(np.full(len(places), number))
+        return np.concatenate(at), np.concatenate(pieces_)
 
     def sample_keys(self, at: np.ndarray) -> np.ndarray:
         return self.fingerprints(at, self.length - PERIOD + 1)
 
     def candidates(self, shared: np.ndarray) -> np.ndarray:
         """Window starts with a shared sample in their first bytes."""
-        at = self.sample()
-        hits = at[found(self.sample_keys(at), shared)]
-        first = np.maximum(hits - PERIOD + 1, self.starts[self.piece_of[hits]])
-        depth = np.zeros(len(self.room) + 1, np.int32)
-        np.add.at(depth, first, 1)
-        np.add.at(depth, hits + 1, -1)
-        open_ = np.cumsum(depth[:-1]) > 0
-        return np.flatnonzero(open_ & self.own & (self.room >= self.length))
+        at, piece = self.sample(lookahead=True)
+        hit = found(self.sample_keys(at), shared)
+        hits, piece = at[hit], piece[hit]
+        start, size = self.starts[piece], self.sizes[piece]
+        first = np.maximum(hits - PERIOD + 1, start)
+        last = np.minimum(hits, start + np.minimum(size - self.length, BLOCK - 1))
+        first = np.maximum(first, np.concatenate([[0], np.maximum.accumulate(last)[:-1] + 1])[: len(last)])
+        some = first <= last
+        return _ranges(first[some], last[some])
+
+    def piece_of(self, at: np.ndarray) -> np.ndarray:
+        return np.searchsorted(self.starts, at, side="right") - 1
 
 
 def pieces(texts: list[bytes], length: int) -> Iterator[Pieces]:
@@ -106,8 +138,7 @@ def _joined(arrays: Iterator[np.ndarray]) -> np.ndarray:
 
 def _sample_keys(texts: list[bytes], length: int) -> np.ndarray:
     def keys(block: Pieces) -> np.ndarray:
-        at = block.sample()
-        return block.sample_keys(at[block.own[at]])
+        return block.sample_keys(block.sample(lookahead=False)[0])
 
     return _joined(map(keys, pieces(texts, length)))
 
@@ -192,12 +223,12 @@ def remove_repeats(
             at = at[found(block.fingerprints(at, length), repeated)]
             if not len(at):
                 continue
-            piece = block.piece_of[at]
+            piece = block.piece_of(at)
             breaks = np.flatnonzero((np.diff(at) > 1) | (np.diff(piece) > 0))
             first = at[np.append(0, breaks + 1)]
             last = at[np.append(breaks, len(at) - 1)]
-            for a, b in zip(first.tolist(), last.tolist()):
-                p = block.piece_of[a]
+            owners = block.piece_of(first).tolist()
+            for a, b, p in zip(first.tolist(), last.tolist(), owners):
                 number, offset, _ = block.parts[p]
                 base = offset - int(block.starts[p])
                 covered.setdefault(number, []).append((a + base, b + base + length))
