@@ -10,14 +10,16 @@ from whosaid.operators.articles import (
     filter_publisher,
     repartition_rows,
     sample_rows,
-    spread_rows,
 )
 from whosaid.operators.dedupe import dedupe_content, dedupe_pairs, one_per_article
 from whosaid.operators.entries import normalize_entries
 from whosaid.operators.joins import join_articles, join_mapping, join_speakers
 from whosaid.operators.metrics import RunMetrics
 from whosaid.operators.skew import keep_listed, profile_key, spread_join
+from whosaid.plans.ingest import ingest_entries
+from whosaid.plans.tagging import tag_corpus
 from whosaid.schemas import ATTRIBUTIONS, RAW
+from whosaid.workloads import adapters
 
 ENTRY = "permalinkEntry struct<identifier string, tokenizedContent array<string>>, note string"
 
@@ -57,13 +59,43 @@ def test_filter_publisher(spark):
 
 def test_sample_rows(spark):
     df = spark.range(20_000)
-    assert sample_rows(df, 1.0, 1) is df
-    assert 3_600 < sample_rows(df, 0.2, 1).count() < 4_400
-    keyed = sample_rows(df, 0.2, 1, key=F.col("id"))
-    moved = sample_rows(df.repartition(13), 0.2, 1, key=F.col("id"))
+    key = F.col("id")
+    assert sample_rows(df, 1.0, 1, key) is df
+    keyed = sample_rows(df, 0.2, 1, key)
     assert 3_600 < keyed.count() < 4_400
-    assert keyed.exceptAll(moved).count() == 0 == moved.exceptAll(keyed).count()
-    assert sample_rows(df, 0.2, 2, key=F.col("id")).exceptAll(keyed).count() > 0
+    for parts in (1, 4, 16):
+        moved = sample_rows(df.repartition(parts), 0.2, 1, key)
+        assert keyed.exceptAll(moved).count() == 0 == moved.exceptAll(keyed).count()
+    assert sample_rows(df, 0.2, 2, key).exceptAll(keyed).count() > 0
+    nulls = spark.createDataFrame([(None,)] * 3, "id string")
+    assert {sample_rows(nulls, 0.5, s, key).count() for s in range(20)} == {0, 3}
+
+
+def test_sampled_jobs_do_not_depend_on_partitions(spark):
+    entries = adapters.entries(spark, "/root/testdata/sf0.001")
+    raw = adapters.raw_records(spark, "/root/testdata/sf0.001")
+    found = set()
+    for parts in (1, 4, 16):
+        tagged = tag_corpus(entries.repartition(parts), fraction=0.3, seed=3)
+        kept = ingest_entries(raw.repartition(parts), fraction=0.3, seed=3, clean=False)
+        found.add(
+            (
+                frozenset(r.articleUID for r in tagged.select("articleUID").collect()),
+                frozenset(r[0] for r in kept.select("feedEntry.identifier").collect()),
+            )
+        )
+    assert len(found) == 1 and all(found.pop())
+
+
+def test_an_absent_publisher_is_the_empty_one(spark):
+    raw = adapters.raw_records(spark, "/root/testdata/sf0.001")
+    blank = raw.withColumn("source", F.col("source").dropFields("publisherType"))
+    blank = adapters.filled(blank, RAW)
+    n = raw.count()
+    for wanted, rows in ((["src0"], 0), ([""], n), (["", "src0"], n)):
+        before = ingest_entries(blank, types=wanted, clean=False, tokenize=False)
+        after = filter_publisher(normalize_entries(blank, False, False), wanted)
+        assert before.count() == after.count() == rows
 
 
 def test_repartition_rows(spark):
@@ -239,7 +271,7 @@ def test_dedupe_content(spark):
         ],
         ENTRY,
     )
-    assert kept(dedupe_content(df)) == ["3", "4", "6", "7", "9"]
+    assert kept(dedupe_content(df)) == ["3", "6", "7", "9"]
     assert kept(dedupe_content(df, keep_empty=True)) == ["3", "4", "5", "6", "7", "9"]
 
 
@@ -301,12 +333,6 @@ def test_normalize_an_empty_record(spark):
     assert row.permalinkEntry.tokenizedContent == []
 
 
-def test_spread_rows(spark):
-    assert spread_rows(spark.range(100, numPartitions=1)).rdd.getNumPartitions() == 4
-    even = spark.range(100, numPartitions=3)
-    assert spread_rows(even) is even
-
-
 def test_run_metrics(spark):
     run = RunMetrics()
     watched = run.watch(spark.range(1234), even=F.col("id") % 2 == 0)

@@ -5,6 +5,8 @@ import pytest
 
 import check
 from __spark_entry__ import entry, oracle_sql, queries
+from whosaid.workloads.oracles import ORACLES
+from whosaid.workloads.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
 
@@ -30,15 +32,15 @@ def test_entry(spark):
 
 def test_statements_belong_to_queries():
     assert set(oracle_sql()) <= set(queries())
-    assert set(queries()) - set(oracle_sql()) == {"clean_html"}
+    assert set(QUERIES) == set(ORACLES)
+    assert QUERIES.items() <= queries().items() and ORACLES.items() <= oracle_sql().items()
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, duck, name):
-    df = queries()[name](spark, SF)
+    df = QUERIES[name](spark, SF)
     columns, got = check.rows_of(df.columns, map(tuple, df.collect()))
     assert got
-    if name in oracle_sql():
-        relation = duck.sql(oracle_sql()[name])
-        expected = check.rows_of(relation.columns, relation.fetchall())
-        assert (columns, got) == expected
+    relation = duck.sql(ORACLES[name])
+    expected = check.rows_of(relation.columns, relation.fetchall())
+    assert (columns, got) == expected

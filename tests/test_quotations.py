@@ -62,7 +62,7 @@ def test_tag_quotation(spark):
 def random_articles():
     draw = random.Random(5)
     words = ["a", "b-c", "<p>", "<QUOTATION>", "x-<QUOTATION>", ""] * 6
-    words += [*plain.STARTS, *plain.ENDS]
+    words += list(plain.MARKERS)
     return [draw.choices(words, k=draw.randrange(120)) for _ in range(1500)]
 
 

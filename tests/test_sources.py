@@ -2,6 +2,8 @@ import base64
 import gzip
 import io
 import json
+import subprocess
+import sys
 import tarfile
 import zlib
 
@@ -163,14 +165,10 @@ def test_write_json_leaves_nulls_out(spark, tmp_path):
     assert part.read_text() == '{"i":2}\n'
 
 
-def test_write_json_single_file(spark, tmp_path):
-    path = f"{tmp_path}/out"
-    for size in (500, 20):
-        write_json(spark.range(size).repartition(4), path, single_file=True)
-        (part,) = (tmp_path / "out").glob("part-*")
-        assert len(part.read_text().splitlines()) == size
-    with pytest.raises(ValueError, match="single file"):
-        write_json(spark.range(30), path, single_file=True, single_file_rows=29)
+def test_write_json_in_one_file(spark, tmp_path):
+    write_json(spark.range(500).repartition(4), f"{tmp_path}/out", partitions=1)
+    (part,) = (tmp_path / "out").glob("part-*")
+    assert len(part.read_text().splitlines()) == 500
 
 
 def test_unknown_codec(spark, tmp_path):
@@ -192,6 +190,22 @@ def test_stage_cuts_the_lineage(spark):
     assert work_folder(spark) != work_folder(spark)
 
 
+def test_work_folders_end_with_the_application(tmp_path):
+    code = f"""
+from pyspark.sql import SparkSession
+from whosaid.sources.sinks import stage
+spark = (SparkSession.builder.master("local[1]")
+    .config("spark.checkpoint.dir", "{tmp_path}/shared").getOrCreate())
+assert stage(spark.range(3)).count() == 3
+import glob
+assert len(glob.glob("{tmp_path}/shared/whosaid-*/*")) == 1
+spark.stop()
+"""
+    subprocess.run([sys.executable, "-c", code], check=True, capture_output=True)
+    # What is left is Spark's own, empty folder.
+    assert not list((tmp_path / "shared").glob("whosaid-*"))
+
+
 def record(number, text, extract=None, publisher="NEWS"):
     def payload(t):
         data = base64.b64encode(zlib.compress(t.encode())).decode()
@@ -260,15 +274,29 @@ def test_ingest_of_a_corrupt_payload(spark, tmp_path, clean):
         ingest_archives(spark, glob, clean=clean, on_error="skip")
 
 
-def test_a_line_that_is_no_json_gives_no_article(spark, tmp_path):
+def test_a_line_that_is_no_json_fails_the_job(spark, tmp_path):
     good = {
         "feedEntry": {"identifier": "1"},
         "permalinkEntry": {"tokenizedContent": ["``", *"abcdefgh", "''"]},
     }
     (tmp_path / "a.json").write_text("{broken\n" + json.dumps(good) + "\n")
-    articles = scan_articles(spark, str(tmp_path))
-    assert articles.count() == 2
-    assert [r.articleUID for r in tag_corpus(articles).collect()] == ["1"]
+    with pytest.raises(Exception, match="MALFORMED_RECORD"):
+        tag_corpus(scan_articles(spark, str(tmp_path))).collect()
+
+
+def test_numbers_are_read_bare_and_quoted(spark, tmp_path):
+    lines = [
+        {"articleUID": 12, "confidence": 0.5},
+        {"articleUID": "12", "confidence": "0.5"},
+        {"articleUID": "x", "confidence": "y"},
+        {},
+    ]
+    (tmp_path / "m.json").write_text("\n".join(map(json.dumps, lines)))
+    rows = scan_mapping(spark, str(tmp_path)).collect()
+    assert [(r.articleUID, r.confidence) for r in rows] == [
+        (12, 0.5), (12, 0.5), (None, None), (None, None),
+    ]
+    assert scan_mapping(spark, str(tmp_path)).schema["articleUID"].dataType.typeName() == "long"
 
 
 def test_ingest_has_the_declared_schema(spark, tmp_path):

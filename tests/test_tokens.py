@@ -4,7 +4,14 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests import plain
-from whosaid.functions.tokens import fix_content, tokenize, tokenize_raw, untokenize
+from whosaid.functions.tokens import (
+    BRACKETS,
+    KEPT_TAGS,
+    fix_content,
+    tokenize,
+    tokenize_raw,
+    untokenize,
+)
 
 TOKENS = "tokens array<string>"
 
@@ -58,7 +65,7 @@ def test_fix_content_of_null_and_empty(spark):
 
 def test_fix_content_against_the_loop(spark):
     draw = random.Random(3)
-    words = [*plain.BRACKETS, *plain.KEPT, "<p>", "a", "b-c", "-", "--", "-x", "y-"]
+    words = [*BRACKETS, *KEPT_TAGS, "<p>", "a", "b-c", "-", "--", "-x", "y-"]
     words += ["p-q-r", "", "<", "a--b", "é-ß", "``", "''"]
     lists = [draw.choices(words, k=draw.randrange(12)) for _ in range(2000)]
     df = spark.createDataFrame(list(enumerate(lists)), f"i int, {TOKENS}")

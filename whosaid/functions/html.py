@@ -1,32 +1,20 @@
-"""HTML to clean HTML, and HTML to tokens.
+"""HTML to clean HTML, and HTML to tokens, as column expressions.
 
-`clean_html` parses, which no Spark expression can do, so it runs in Arrow
-batches. `html_tokens` needs tokens only and stays in the JVM.
+A page is cut into tags and runs of text; each piece is rewritten by itself, and
+the pieces are joined again. Markup is not balanced: an element that the page
+leaves open stays open.
 """
 
 from __future__ import annotations
 
-import re
-import sys
-from collections import Counter
-from html.parser import HTMLParser
-from urllib.parse import urljoin
+import json
+from html.entities import html5
 
-import pandas as pd
-from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
-from whosaid.functions.tokens import (
-    RUN,
-    fix_content,
-    replace_literals,
-    tokenize_raw,
-)
-
-# Workers get these helpers with the task, so they need not have the package.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
+from whosaid.functions.binding import bind
+from whosaid.functions.tokens import RUN, fix_content, tokenize_raw
 
 # The tags, attributes and link schemes that may reach the
 # output. Any other tag goes and its content stays.
@@ -44,171 +32,216 @@ SCHEMES = {
     "cite": ("http:", "https:"),
 }
 
-# Elements that only the head holds, and starts that end an open paragraph.
-_HEAD_TAGS = {
-    "html", "head", "title", "meta", "link", "style", "script", "base",
-    "noscript", "template",
-}
-_ENDS_PARAGRAPH = {
-    "address", "article", "aside", "blockquote", "center", "div", "dl",
-    "fieldset", "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5",
-    "h6", "header", "hr", "main", "nav", "ol", "p", "pre", "section", "table",
-    "ul", "li", "dd", "dt",
-}
-
-
-class _BodyWriter(HTMLParser):
-    """Collects the allowed markup of the body as balanced HTML."""
-
-    def __init__(self, base_url: str):
-        super().__init__(convert_charrefs=True)
-        self.base_url = base_url
-        self.parts: list[str] = []
-        self.open: list[str] = []
-        self.open_count = Counter()
-        self.in_head = False
-        self.silent = ""
-
-    def handle_starttag(self, tag, attrs):
-        if tag == "head":
-            self.in_head = True
-        elif tag not in _HEAD_TAGS:
-            self.in_head = False
-        if tag in ("script", "style") or (tag == "title" and self.in_head):
-            self.silent = tag
-        if tag in _ENDS_PARAGRAPH:
-            self._close("p")
-        if tag not in RETAINED_TAGS:
-            return
-        kept = [a for a in attrs if a[0] in ATTRIBUTES.get(tag, ())]
-        resolved = [(name, self._resolve(name, value)) for name, value in kept]
-        markup = "".join(
-            f' {name}="{_escape_attribute(value)}"'
-            for name, value in resolved
-            if value is not None
+#: Parts of a page that hold no text of its body. One that is never closed goes
+#: on to the end of the page.
+NO_TEXT = (
+    r"(?is)<head(?:\s[^>]*)?>.*?</head\s*>"
+    r"|<script(?:[\s/][^>]*)?>.*?(?:</script\s*>|\z)"
+    r"|<style(?:[\s/][^>]*)?>.*?(?:</style\s*>|\z)"
+    r"|<title(?:[\s/][^>]*)?>.*?(?:</title\s*>|\z)"
+    r"|<!--.*?(?:-->|\z)|<[!?][^>]*(?:>|\z)"
+)
+
+TAG_NAME = r"^</?([A-Za-z][A-Za-z0-9]*)"
+#: An attribute's name, and its value as it is written.
+ATTRIBUTE = r"""([^\s"'<>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'<>]+))?"""
+
+#: The entities that are read without their semicolon too, longest first.
+OPEN_NAMES = "|".join(
+    sorted((n for n in html5 if not n.endswith(";")), key=lambda n: (-len(n), n))
+)
+#: A numbered, a named or an open entity, other text, or a lone ampersand.
+ENTITY = (
+    rf"&#[xX][0-9A-Fa-f]{{1,7}};?|&#[0-9]{{1,8}};?|&[A-Za-z][A-Za-z0-9]*;"
+    rf"|&(?:{OPEN_NAMES})|[^&]+|&"
+)
+_NAMED = json.dumps({f"&{name}": text for name, text in html5.items()})
+
+#: Numbers that stand for characters of an old code page.
+_OLD_PAGE = {
+    str(n): bytes([n]).decode("cp1252", "replace")
+    for n in range(128, 160)
+    if bytes([n]).decode("cp1252", "ignore")
+}
+_SCHEME = r"^[A-Za-z][A-Za-z0-9+.-]*:"
+_ORIGIN = r"^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)"
+
+
+def _numbered(piece: Column) -> Column:
+    """The character of a numbered entity; no character for what is none."""
+    hexadecimal = F.regexp_extract(piece, r"^&#[xX]([0-9A-Fa-f]+)", 1)
+    decimal = F.regexp_extract(piece, r"^&#([0-9]+)", 1)
+    number = F.when(
+        hexadecimal != "", F.conv(hexadecimal, 16, 10).cast("bigint")
+    ).otherwise(decimal.try_cast("bigint"))
+
+    def character(n: Column) -> Column:
+        old = F.try_element_at(
+            F.from_json(F.lit(json.dumps(_OLD_PAGE)), "map<string,string>"), n.cast("string")
+        )
+        is_one = (n > 0) & (n <= 0x10FFFF) & ~n.between(0xD800, 0xDFFF)
+        bytes_ = F.unhex(F.lpad(F.hex(n), 8, "0"))
+        return F.coalesce(
+            F.when(n.between(128, 159), old),
+            F.when(is_one, F.decode(bytes_, "UTF-32")),
+            F.lit("�"),
         )
-        self.parts.append(f"<{tag}{markup}>")
-        if tag != "br":
-            self.open.append(tag)
-            self.open_count[tag] += 1
-
-    def handle_startendtag(self, tag, attrs):
-        self.handle_starttag(tag, attrs)
-
-    def handle_endtag(self, tag):
-        if tag == self.silent:
-            self.silent = ""
-        if tag == "head":
-            self.in_head = False
-        elif tag == "br" or (tag == "p" and not self.open_count["p"]):
-            self.parts.append("<br>" if tag == "br" else "<p></p>")
-        else:
-            self._close(tag)
-
-    def handle_data(self, data):
-        if not self.silent and not (self.in_head and data.isspace()):
-            self.parts.append(_escape_text(data))
-
-    def _close(self, tag):
-        """Close the last such element, and all that was opened in it."""
-        last = "" if self.open_count[tag] else tag
-        while last != tag:
-            last = self.open.pop()
-            self.open_count[last] -= 1
-            self.parts.append(f"</{last}>")
-
-    def _resolve(self, name, value):
-        """The value, a link made absolute; None for a barred scheme."""
-        value = value or ""
-        if name not in SCHEMES:
-            return value
-        try:
-            value = urljoin(self.base_url, value.strip()) or value
-        except ValueError:
-            pass
-        is_anchor = name == "href" and re.fullmatch(r"#\S*", value)
-        allowed = is_anchor or value.lower().startswith(SCHEMES[name])
-        return value if allowed else None
-
-    def result(self) -> str:
-        self.close()
-        while self.open:
-            self.parts.append(f"</{self.open.pop()}>")
-        return "".join(self.parts)
-
-
-def _escape_text(text: str) -> str:
-    text = text.replace("&", "&amp;").replace("<", "&lt;").replace(">", "&gt;")
-    return text.replace("\xa0", "&nbsp;")
-
-
-def _escape_attribute(text: str) -> str:
-    text = text.replace("&", "&amp;").replace('"', "&quot;")
-    return text.replace("\xa0", "&nbsp;")
-
-
-def clean_one(html: str | None, base_url: str | None) -> str | None:
-    """The allowed markup of one document's body."""
-    if html is None:
-        return None
-    writer = _BodyWriter(base_url or "")
-    writer.feed(html)
-    return writer.result()
-
-
-@F.pandas_udf(StringType())
-def _clean_batch(html: pd.Series, base_url: pd.Series) -> pd.Series:
-    return pd.Series([clean_one(h, b) for h, b in zip(html, base_url)])
 
+    return bind(number, character)
 
-def clean_html(html: Column, base_url: Column) -> Column:
-    """The body of a page, with the allowed tags and attributes only.
 
-    Links become absolute; script, style, comments and the head go; the text of
-    every other element stays.
-    """
-    return _clean_batch(html, base_url)
+def decode_entities(text: Column) -> Column:
+    """Text with its entities read; what is no entity stays as it is."""
 
+    def piece(p: Column) -> Column:
+        named = F.try_element_at(F.from_json(F.lit(_NAMED), "map<string,string>"), p)
+        return (
+            F.when(~p.startswith("&"), p)
+            .when(p.startswith("&#"), _numbered(p))
+            .otherwise(F.coalesce(named, p))
+        )
 
-#: Parts of a page that hold no text.
-NO_TEXT = (
-    r"(?is)<script[\s>].*?</script\s*>|<style[\s>].*?</style\s*>"
-    r"|<title[\s>].*?</title\s*>|<!--.*?-->|<[!?][^>]*>"
-)
+    def decoded(text: Column) -> Column:
+        pieces = F.regexp_extract_all(text, F.lit(ENTITY), F.lit(0))
+        read = F.array_join(F.transform(pieces, piece), "")
+        return F.when(text.contains("&"), read).otherwise(text)
 
-#: Named and numbered entities of the punctuation that news text uses. The five
-#: that markup needs are left to the tokenizer.
-PUNCTUATION_ENTITIES = (
-    ("&ldquo;", "“"), ("&#8220;", "“"), ("&rdquo;", "”"), ("&#8221;", "”"),
-    ("&lsquo;", "‘"), ("&#8216;", "‘"), ("&rsquo;", "’"), ("&#8217;", "’"),
-    ("&laquo;", "«"), ("&raquo;", "»"), ("&hellip;", "…"), ("&#8230;", "…"),
-    ("&ndash;", "–"), ("&#8211;", "–"), ("&mdash;", "—"), ("&#8212;", "—"),
-    ("&apos;", "'"), ("&#39;", "'"), ("&#34;", '"'), ("&#160;", "\xa0"),
-    ("&copy;", "©"), ("&reg;", "®"), ("&trade;", "™"), ("&middot;", "·"),
-    ("&bull;", "•"), ("&euro;", "€"), ("&pound;", "£"),
-)
+    return bind(text, decoded)
 
-#: Entities that HTML reads without their semicolon too.
-OPEN_ENTITIES = "&(amp|lt|gt|quot|nbsp|copy|reg|middot|laquo|raquo|pound);?"
 
-TAG_NAME = r"^</?([A-Za-z][A-Za-z0-9]*)"
+def _replaced(text: Column, *pairs: tuple[str, str]) -> Column:
+    for old, new in pairs:
+        text = F.replace(text, F.lit(old), F.lit(new))
+    return text
+
+
+def _escape_text(text: Column) -> Column:
+    return _replaced(text, ("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ("\xa0", "&nbsp;"))
+
+
+def _escape_attribute(text: Column) -> Column:
+    return _replaced(text, ("&", "&amp;"), ('"', "&quot;"), ("\xa0", "&nbsp;"))
+
+
+def _without_dots(path: Column) -> Column:
+    """A path without its ``.`` and ``..`` steps."""
+
+    def step(done: Column, part: Column) -> Column:
+        up = F.slice(done, F.lit(1), F.greatest(F.size(done) - 1, F.lit(1)))
+        return (
+            F.when(part == "..", up)
+            .when(part == ".", done)
+            .otherwise(F.concat(done, F.array(part)))
+        )
+
+    # A last step that is dots leaves its slash.
+    spelled = F.regexp_replace(path, r"/(\.\.?)$", "/$1/")
+    parts = F.split(spelled, "/")
+    start = F.slice(parts, 1, 1)
+    rest = F.slice(parts, F.lit(2), F.size(parts))
+    short = F.array_join(F.aggregate(rest, start, step), "/")
+    return F.when(path.contains("/."), short).otherwise(path)
+
+
+def resolve_link(base: Column, link: Column) -> Column:
+    """A link made absolute; as it is where the base has no host."""
+    origin = F.regexp_extract(base, _ORIGIN, 1)
+    path = F.regexp_extract(base, _ORIGIN + r"([^?#]*)", 2)
+    folder = F.coalesce(F.nullif(F.regexp_extract(path, r"^(.*/)", 1), F.lit("")), F.lit("/"))
+    own_path = F.regexp_extract(link, r"^([^?#]*)", 1)
+    own_rest = F.regexp_extract(link, r"^[^?#]*(.*)$", 1)
+
+    def absolute(prefix: Column) -> Column:
+        return F.concat(origin, _without_dots(F.concat(prefix, own_path)), own_rest)
+
+    return (
+        F.when(link.rlike(_SCHEME) | (origin == ""), link)
+        .when(link == "", base)
+        .when(link.startswith("//"), F.concat(F.regexp_extract(base, _SCHEME, 0), link))
+        .when(link.startswith("/"), absolute(F.lit("")))
+        .when(link.startswith("?"), F.concat(origin, path, link))
+        .when(link.startswith("#"), F.concat(F.regexp_extract(base, r"^([^#]*)", 1), link))
+        .otherwise(absolute(folder))
+    )
+
+
+def _attributes(piece: Column, name: Column, base: Column) -> Column:
+    """The allowed attributes of a start tag, as they are spelled in the output."""
+    rest = F.regexp_replace(piece, TAG_NAME, "")
+    pairs = F.arrays_zip(
+        F.regexp_extract_all(rest, F.lit(ATTRIBUTE), F.lit(1)).alias("key"),
+        F.regexp_extract_all(rest, F.lit(ATTRIBUTE), F.lit(2)).alias("value"),
+    )
+
+    def pair_key(pair: Column) -> Column:
+        return F.lower(pair["key"])
+
+    def is_allowed(pair: Column) -> Column:
+        found = F.lit(False)
+        for tag, keys in ATTRIBUTES.items():
+            found = found | ((name == tag) & pair_key(pair).isin(*keys))
+        return found
+
+    def spelled(pair: Column) -> Column:
+        value = F.regexp_replace(pair["value"], r"""^["']|["']$""", "")
+        key = pair_key(pair)
+
+        def written(value: Column) -> Column:
+            return F.concat(F.lit(" "), key, F.lit('="'), _escape_attribute(value), F.lit('"'))
+
+        def checked(link: Column) -> Column:
+            fits = F.lit(False)
+            for field, schemes in SCHEMES.items():
+                for scheme in schemes:
+                    fits = fits | ((key == field) & F.lower(link).startswith(scheme))
+            anchor = (key == "href") & link.rlike(r"^#\S*$")
+            return F.when(fits | anchor, written(link)).otherwise("")
+
+        def either(value: Column) -> Column:
+            link = bind(resolve_link(base, F.trim(value)), checked)
+            return F.when(key.isin(*SCHEMES), link).otherwise(written(value))
+
+        return bind(decode_entities(value), either)
+
+    return F.array_join(F.transform(F.filter(pairs, is_allowed), spelled), "")
+
+
+def _tag(piece: Column, base: Column) -> Column:
+    def rewritten(name: Column) -> Column:
+        end = F.when(name == "br", "<br>").otherwise(F.concat(F.lit("</"), name, F.lit(">")))
+        attributes = F.when(name.isin(*ATTRIBUTES), _attributes(piece, name, base)).otherwise("")
+        start = F.concat(F.lit("<"), name, attributes, F.lit(">"))
+        return (
+            F.when(~name.isin(*RETAINED_TAGS), "")
+            .when(piece.startswith("</"), end)
+            .otherwise(start)
+        )
+
+    return bind(F.lower(F.regexp_extract(piece, TAG_NAME, 1)), rewritten)
+
+
+def clean_html(html: Column, base_url: Column) -> Column:
+    """The body of a page, with the allowed tags and attributes only.
+
+    Links become absolute, and those of other schemes go; head, script, style
+    and comments go; the text of every other element stays, its entities read
+    and escaped again. Null gives null.
+    """
+
+    def piece(p: Column) -> Column:
+        is_tag = p.startswith("<") & (F.length(p) > 1)
+        text = _escape_text(decode_entities(p))
+        return F.when(is_tag, _tag(p, base_url)).otherwise(text)
+
+    body = F.regexp_replace(html, NO_TEXT, "")
+    pieces = F.regexp_extract_all(body, F.lit(RUN), F.lit(0))
+    return F.array_join(F.transform(pieces, piece), "")
 
 
-def html_tokens(html: Column, mode: str = "reference") -> Column:
-    """HTML to repaired tokens, as cleaning, tokenizing and repair give them.
+def html_tokens(html: Column, base_url: Column, mode: str = "reference") -> Column:
+    """HTML to repaired tokens: cleaned, tokenized and repaired.
 
     Inline tags are taken out without a gap, so that a word with a bold letter
     stays one word; the tags that remain are tokens.
     """
-    html = F.regexp_replace(html, NO_TEXT, "")
-
-    def stays(piece: Column) -> Column:
-        name = F.lower(F.regexp_extract(piece, TAG_NAME, 1))
-        is_tag = piece.startswith("<") & (F.length(piece) > 1)
-        return ~is_tag | name.isin(*RETAINED_TAGS)
-
-    runs = F.regexp_extract_all(html, F.lit(RUN), F.lit(0))
-    text = F.array_join(F.filter(runs, stays), "")
-    text = F.regexp_replace(text, OPEN_ENTITIES, "&$1;")
-    text = replace_literals(text, PUNCTUATION_ENTITIES)
-    return fix_content(tokenize_raw(text), mode)
+    return fix_content(tokenize_raw(clean_html(html, base_url)), mode)

@@ -22,25 +22,27 @@ def cast_id(identifier: Column) -> Column:
 
 
 def filter_publisher(entries: DataFrame, types: Sequence[str]) -> DataFrame:
-    """Entries whose publisher type is listed; an empty list keeps all."""
+    """Entries whose publisher type is listed; an empty list keeps all.
+
+    A record without a type has the empty one, before normalizing and after.
+    """
     if not types:
         return entries
-    return entries.where(F.col("source.publisherType").isin(*types))
+    given = F.col("source.publisherType")
+    listed = given.isin(*types)
+    return entries.where(listed | given.isNull() if "" in types else listed)
 
 
-def sample_rows(
-    df: DataFrame, fraction: float, seed: int, key: Column | None = None
-) -> DataFrame:
-    """Each row with probability ``fraction``; all rows from 1 up.
+def sample_rows(df: DataFrame, fraction: float, seed: int, key: Column) -> DataFrame:
+    """Each key with probability ``fraction``; all rows from 1 up.
 
-    With ``key``, a hash of the key and the seed decides, so that the sample
-    stays the same however the rows are partitioned or recomputed.
+    A hash of the key and the seed decides, so that the sample stays the same
+    however the rows are partitioned or recomputed. Rows with one key stay or go
+    together; a null counts as empty text.
     """
     if fraction >= 1:
         return df
-    if key is None:
-        return df.sample(False, fraction, seed)
-    salted = F.concat(F.lit(f"{seed}:"), key.cast("string"))
+    salted = F.concat(F.lit(f"{seed}:"), F.coalesce(key.cast("string"), F.lit("")))
     draw = F.conv(F.substring(F.md5(salted), 1, 8), 16, 10).cast("bigint")
     return df.where(draw < int(fraction * 2**32))
 
@@ -50,17 +52,6 @@ def repartition_rows(df: DataFrame, partitions: int) -> DataFrame:
     return df.repartition(partitions) if partitions > 0 else df
 
 
-def spread_rows(scan: DataFrame, share: float = 0.5) -> DataFrame:
-    """A scan with partitions for at most this share of the cores, evened out.
-
-    Small or unsplittable input would leave the other cores idle. Any larger
-    scan is left as it is, so it is never shuffled for this.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    idle = scan.rdd.getNumPartitions() <= share * cores
-    return scan.repartition(cores) if idle else scan
-
-
 def explode_occurrences(
     attributions: DataFrame, keep_canonical: bool = False
 ) -> DataFrame:

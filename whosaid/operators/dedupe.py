@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from whosaid.operators.articles import cast_id
@@ -33,24 +33,41 @@ def dedupe_content(
 ) -> DataFrame:
     """One entry per distinct content: that with the lowest numeric id.
 
-    All entries without content count as copies of each other; ``keep_empty``
-    keeps them all, and then reads its input twice. The group key is a SHA-256 of the content, so the tokens
-    travel once, in the row itself. It is one aggregation, since its input is
-    costly to compute twice: each task first keeps one entry per content of its
-    own, so a text with countless copies sends one row per task.
+    All entries without content, null or empty, count as copies of each other;
+    ``keep_empty`` keeps them all.
     """
-    if keep_empty:
-        is_empty = F.coalesce(F.size(content) <= 0, F.lit(True))
-        kept = entries.where(is_empty)
-        rest = entries.where(~is_empty)
-        return kept.unionByName(dedupe_content(rest, content, identifier))
-    columns = [F.col(f"`{c}`") for c in entries.columns]
-    number = cast_id(F.col(identifier))
+    row = F.struct(*[F.col(f"`{c}`") for c in entries.columns]).alias("_row")
+    number = F.col(identifier).alias("_identifier")
+    keyed = entries.select(row, content_key(content).alias("_key"), number)
+    return first_per_key(keyed, "_key", "_row", F.col("_identifier"), keep_empty)
+
+
+def content_key(content: str) -> Column:
+    """A SHA-256 of a token list; null for one that is empty or null."""
+    spelled = F.to_json(F.struct(F.col(content).alias("c")))
+    return F.when(F.size(content) > 0, F.unhex(F.sha2(spelled, 256)))
+
+
+def first_per_key(
+    keyed: DataFrame, key: str, row: str, identifier: Column, keep_empty: bool = False
+) -> DataFrame:
+    """The struct column ``row`` of one row per key: that with the lowest numeric
+    identifier. The null key, that of empty contents, is one like the others, or
+    keeps all of its rows.
+
+    One aggregation, since its input is costly to compute twice: each task first
+    keeps one row per key of its own, so that a key with countless rows sends
+    one per task.
+    """
+    number = cast_id(identifier)
     # An id that is no number comes last; equal ids are told apart by the row.
-    rank = F.struct(number.isNull(), number, F.xxhash64(*columns))
-    key = F.unhex(F.sha2(F.to_json(F.struct(F.col(content).alias("c"))), 256))
+    rank = F.struct(number.isNull(), number, F.xxhash64(row))
+    group = [F.col(key)]
+    if keep_empty:
+        group.append(F.when(F.col(key).isNull(), F.monotonically_increasing_id()).alias("_own"))
     return (
-        entries.groupBy(key.alias("_key"))
-        .agg(F.min_by(F.struct(*columns), rank).alias("_entry"))
-        .select("_entry.*")
+        keyed.withColumn("_rank", rank)
+        .groupBy(*group)
+        .agg(F.min_by(row, "_rank").alias("_kept"))
+        .select("_kept.*")
     )

@@ -2,25 +2,15 @@
 
 from __future__ import annotations
 
-import sys
+from collections.abc import Sequence
 
-import pandas as pd
-from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
-
-from whosaid.functions.html import clean_one
-from whosaid.functions.payload import (
-    check_on_error,
-    inflate_content,
-    inflate_one,
-    inflate_or_none,
-)
-from whosaid.functions.tokens import tokenize_raw
 
-# Workers get the helper with the task, so they need not have the package.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
+from whosaid.functions.binding import bind
+from whosaid.functions.html import clean_html
+from whosaid.functions.payload import inflate_content
+from whosaid.functions.tokens import tokenize_raw
 
 
 def _text(path: str) -> Column:
@@ -32,37 +22,21 @@ def _first(path: str, field: str) -> Column:
     return F.coalesce(F.get(F.col(path), F.lit(0))[field], F.lit(""))
 
 
-@F.pandas_udf(StringType())
-def _clean_payload(
-    data: pd.Series, encoding: pd.Series, base_url: pd.Series
-) -> pd.Series:
-    rows = zip(data, encoding, base_url)
-    return pd.Series([clean_one(inflate_one(d, e), u) for d, e, u in rows])
-
-
-@F.pandas_udf(StringType())
-def _clean_payload_or_null(
-    data: pd.Series, encoding: pd.Series, base_url: pd.Series
-) -> pd.Series:
-    rows = zip(data, encoding, base_url)
-    return pd.Series([clean_one(inflate_or_none(d, e), u) for d, e, u in rows])
-
-
 def _content(
     payload: str, url: Column, clean: bool, tokenize: bool, on_error: str
 ) -> Column:
     """A payload's tokens, or its whole text as one; none without a payload."""
     data, encoding = F.col(f"{payload}.data"), F.col(f"{payload}.encoding")
-    if clean:
-        # Both steps in one, so that the text goes through Python once.
-        check_on_error(on_error)
-        batch = _clean_payload if on_error == "fail" else _clean_payload_or_null
-        text = batch(data, encoding, url)
-    else:
-        text = inflate_content(data, encoding, on_error)
-    tokens = tokenize_raw(text) if tokenize else F.array(text)
-    there = F.col(payload).isNotNull() & text.isNotNull()
-    return F.when(there, tokens).otherwise(F.array().cast("array<string>"))
+    text = inflate_content(data, encoding, on_error)
+
+    def tokens(text: Column) -> Column:
+        listed = tokenize_raw(text) if tokenize else F.array(text)
+        return F.when(text.isNotNull(), listed)
+
+    # The cleaned text is long to make; it is bound, and so made once.
+    made = bind(clean_html(text, url) if clean else text, tokens)
+    there = F.when(F.col(payload).isNotNull(), made)
+    return F.coalesce(there, F.array().cast("array<string>"))
 
 
 def _body(
@@ -87,13 +61,18 @@ def _body(
 
 
 def normalize_entries(
-    raw: DataFrame, clean: bool = True, tokenize: bool = True, on_error: str = "fail"
+    raw: DataFrame,
+    clean: bool = True,
+    tokenize: bool = True,
+    on_error: str = "fail",
+    keep: Sequence[str] = (),
 ) -> DataFrame:
     """Records of schema RAW as entries of schema ENTRY.
 
     Absent text becomes empty, the first language and author count, and absent
     content becomes no tokens. So does a corrupt payload with
-    ``on_error="null"``; otherwise it fails the job.
+    ``on_error="null"``; otherwise it fails the job. ``keep`` names columns that
+    stay beside them.
     """
     source = F.struct(
         _text("source.canonicalLink.href").alias("url"),
@@ -115,6 +94,7 @@ def normalize_entries(
         _text("feed.channelLink.href").alias("channelUrl"),
     )
     return raw.select(
+        *keep,
         source.alias("source"),
         feed.alias("feed"),
         _body("feedEntry", "content", clean, tokenize, on_error),

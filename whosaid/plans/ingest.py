@@ -5,16 +5,20 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from whosaid.operators.articles import (
     filter_publisher,
     repartition_rows,
     sample_rows,
 )
-from whosaid.operators.dedupe import dedupe_content
+from whosaid.operators.dedupe import content_key, first_per_key
 from whosaid.operators.entries import normalize_entries
 from whosaid.sources.archives import decode_records, scan_archives
 
+#: A record as it came, beside what is computed from it.
+RECORD = "_record"
+
 
 def ingest_entries(
     raw: DataFrame,
@@ -31,27 +35,44 @@ def ingest_entries(
 ) -> DataFrame:
     """Records of schema RAW to entries of schema ENTRY.
 
-    Filter and sample come before the costly steps, which gives the same rows;
-    duplicates are removed after the sample, as their order matters.
+    Filter and sample come before the costly steps, which gives the same rows.
+    The sample is drawn by key, that of the feed entry if none is given.
+    Duplicates are removed after the sample, as their order matters, and before
+    any body is built: the records travel with their payloads as they came, next
+    to a digest of the permalink's tokens, and only those that stay are
+    normalized whole.
     """
-    wanted = sample_rows(filter_publisher(raw, types), fraction, seed, sample_key)
-    entries = normalize_entries(wanted, clean, tokenize, on_error)
+    key = F.col("feedEntry.identifier") if sample_key is None else sample_key
+    wanted = sample_rows(filter_publisher(raw, types), fraction, seed, key)
     if dedupe:
-        entries = dedupe_content(entries, keep_empty=keep_empty)
+        permalink = normalize_entries(
+            wanted.select("source", "feed", "feedEntry", "permalinkEntry", F.struct("*").alias(RECORD)),
+            clean,
+            tokenize,
+            on_error,
+            keep=[RECORD],
+        )
+        keyed = permalink.select(
+            RECORD, content_key("permalinkEntry.tokenizedContent").alias("_key")
+        )
+        wanted = first_per_key(
+            keyed, "_key", RECORD, F.col(f"{RECORD}.permalinkEntry.identifier"), keep_empty
+        )
+    entries = normalize_entries(wanted, clean, tokenize, on_error)
     return repartition_rows(entries, partitions)
 
 
 def ingest_archives(
     spark: SparkSession,
     glob: str,
-    stream: bool = False,
+    stream: bool = True,
     spread: int = 0,
     **options,
 ) -> DataFrame:
     """`ingest_entries` on the JSON lines in tar.gz archives.
 
-    ``stream`` is for archives too large to be read whole, and ``spread`` gives
-    the lines of few, large archives that many tasks.
+    ``spread`` gives the lines of few, large archives that many tasks; without
+    ``stream`` Spark reads each archive whole.
     """
     members = scan_archives(spark, glob, stream=stream, lines=True)
     return ingest_entries(decode_records(members, spread), **options)

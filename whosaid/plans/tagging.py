@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from whosaid.functions.quotations import (
@@ -47,8 +47,13 @@ def tag_corpus(
     fraction: float | None = None,
     seed: int = 0,
     mode: str = "reference",
+    sample_key: Column | None = None,
 ) -> DataFrame:
-    """Every quotation of every entry, or of a sample of the entries."""
+    """Every quotation of every entry, or of a sample of the entries.
+
+    The sample is drawn by key, that of the feed entry if none is given.
+    """
     if fraction is not None:
-        entries = sample_rows(entries, fraction, seed)
+        key = F.col("feedEntry.identifier") if sample_key is None else sample_key
+        entries = sample_rows(entries, fraction, seed, key)
     return tag_articles(project_articles(entries), mode)

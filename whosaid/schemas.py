@@ -40,6 +40,10 @@ MAPPING = (
     "confidence double, canonicalQuotationSource string"
 )
 
+#: The same two as they are written: numbers bare or quoted.
+ATTRIBUTIONS_TEXT = ATTRIBUTIONS.replace("patternConfidence double", "patternConfidence string")
+MAPPING_TEXT = MAPPING.replace("bigint", "string").replace("double", "string")
+
 _LINK = "struct<href string>"
 _LANG = "array<struct<code string>>"
 _AUTHOR = "array<struct<name string, email string>>"

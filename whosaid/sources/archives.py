@@ -99,13 +99,13 @@ def unpack_archives(archives: DataFrame, lines: bool = False) -> DataFrame:
 
 
 def scan_archives(
-    spark: SparkSession, glob: str, stream: bool = False, lines: bool = False
+    spark: SparkSession, glob: str, stream: bool = True, lines: bool = False
 ) -> DataFrame:
     """Every file in every archive as ``(path, member, data)``.
 
-    An archive is one task. Spark reads it whole, which its binary source
-    allows up to 2 GB; ``stream=True`` lets the task read it piece by piece
-    instead, of any size, from file systems that Arrow can open.
+    An archive is one task, which reads it piece by piece, of any size, from
+    file systems that Arrow can open. Without ``stream`` Spark reads it whole,
+    from any it knows, which its binary source allows up to 2 GB.
     """
     archives = spark.read.format("binaryFile").load(glob)
     columns = ["path"] if stream else ["path", "content"]

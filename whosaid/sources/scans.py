@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from whosaid.operators.articles import spread_rows
-from whosaid.schemas import ARTICLE, ATTRIBUTIONS, MAPPING
+from whosaid.schemas import ARTICLE, ATTRIBUTIONS_TEXT, MAPPING_TEXT
+
+
+def _read(spark: SparkSession, path: str | list[str], schema: str | StructType) -> DataFrame:
+    """JSON lines of a schema whose leaves are text; a line that is no record
+    fails the job."""
+    return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
 
 
 def scan_articles(
@@ -17,22 +23,41 @@ def scan_articles(
 ) -> DataFrame:
     """Article JSON lines, gzip or plain, by path or glob.
 
-    A gzip file is one task, whatever its size. Files that would leave half the
-    cores idle have their rows spread once, before the costly steps; otherwise
-    nothing is shuffled, unless ``partitions`` asks for it. Pass schema ENTRY
-    for whole entries.
+    A gzip file is one task, whatever its size; ``partitions`` spreads the rows
+    of few large files before the costly steps, and 0 shuffles nothing. Pass
+    schema ENTRY for whole entries.
     """
-    articles = spark.read.schema(schema).json(path)
-    if partitions > 0:
-        return articles.repartition(partitions)
-    return spread_rows(articles)
+    articles = _read(spark, path, schema)
+    return articles.repartition(partitions) if partitions > 0 else articles
 
 
 def scan_attributions(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Quotations with speaker and occurrences."""
-    return spark.read.schema(ATTRIBUTIONS).json(path)
+    """Quotations with speaker and occurrences.
+
+    Numbers may be written bare or quoted; text that is no number is null.
+    """
+
+    def typed(o: Column) -> Column:
+        return F.struct(
+            o["articleUID"].alias("articleUID"),
+            o["quotation"].alias("quotation"),
+            o["extractedBy"].alias("extractedBy"),
+            o["patternConfidence"].try_cast("double").alias("patternConfidence"),
+        )
+
+    rows = _read(spark, path, ATTRIBUTIONS_TEXT)
+    return rows.withColumn("occurrences", F.transform("occurrences", typed))
 
 
 def scan_mapping(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Discarded pairs with the quotation that stands for them."""
-    return spark.read.schema(MAPPING).json(path)
+    """Discarded pairs with the quotation that stands for them.
+
+    Numbers may be written bare or quoted; text that is no number is null.
+    """
+    rows = _read(spark, path, MAPPING_TEXT)
+    return rows.withColumns(
+        {
+            "articleUID": F.col("articleUID").try_cast("bigint"),
+            "confidence": F.col("confidence").try_cast("double"),
+        }
+    )

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,9 +14,6 @@ CODECS = {
     "SnappyCodec": "snappy",
 }
 
-#: The most rows that `write_json` puts into one file.
-SINGLE_FILE_ROWS = 1_000_000
-
 
 def write_parquet(df: DataFrame, path: str) -> None:
     """Save as Parquet; fails if the path exists."""
@@ -32,47 +28,44 @@ def codec_name(codec: str) -> str:
 
 
 def write_json(
-    df: DataFrame,
-    path: str,
-    codec: str | None = None,
-    partitions: int = 0,
-    single_file: bool = False,
-    single_file_rows: int = SINGLE_FILE_ROWS,
+    df: DataFrame, path: str, codec: str | None = None, partitions: int = 0
 ) -> None:
     """Save as JSON lines; null fields are left out.
 
-    Fails if the path exists. ``partitions`` is the number of files.
-    ``single_file`` replaces the target by one file; it is for small results
-    and refuses larger ones, since one task would have to write them.
+    Fails if the path exists. ``partitions`` is the number of files, 0 for one
+    per task.
     """
     writer_codec = codec_name(codec) if codec else "none"
-    if single_file:
-        rows = df.count()
-        if rows > single_file_rows:
-            raise ValueError(
-                f"{rows} rows are too many for a single file "
-                f"(limit {single_file_rows}); write a folder instead"
-            )
-        partitions = 1
     if partitions > 0:
         df = df.repartition(partitions)
-    mode = "overwrite" if single_file else "errorifexists"
-    df.write.mode(mode).option("compression", writer_codec).json(path)
+    df.write.mode("errorifexists").option("compression", writer_codec).json(path)
+
+
+_folders: dict[str, str] = {}
 
 
 def work_folder(spark: SparkSession) -> str:
     """A new folder for intermediate tables, in the cluster's shared one.
 
-    ``spark.checkpoint.dir`` names it. Where that is unset a local session gets
-    a temporary folder; a cluster must name one that all executors reach.
+    ``spark.checkpoint.dir`` names it. Where that is unset, a local session
+    writes beside its warehouse, and a cluster must name one that all executors
+    reach. All such folders of an application are deleted when it ends.
     """
     context = spark.sparkContext
-    shared = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if not shared:
-        if not context.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a shared folder")
-        shared = tempfile.mkdtemp(prefix="whosaid-")
-    return f"{shared.rstrip('/')}/whosaid-{uuid.uuid4().hex}"
+    if context.applicationId not in _folders:
+        shared = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+        if not shared:
+            if not context.master.split("[")[0] == "local":
+                raise ValueError("set spark.checkpoint.dir to a shared folder")
+            shared = spark.conf.get("spark.sql.warehouse.dir")
+        folder = f"{shared.rstrip('/')}/whosaid-{context.applicationId}"
+        jvm = context._jvm
+        where = jvm.org.apache.hadoop.fs.Path(folder)
+        files = where.getFileSystem(context._jsc.hadoopConfiguration())
+        files.mkdirs(where)
+        files.deleteOnExit(where)
+        _folders[context.applicationId] = folder
+    return f"{_folders[context.applicationId]}/{uuid.uuid4().hex}"
 
 
 def stage(df: DataFrame, folder: str | None = None) -> DataFrame:

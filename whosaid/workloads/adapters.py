@@ -17,17 +17,18 @@ from pyarrow.fs import FileSystem
 from pyspark import TaskContext, cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType
+from pyspark.sql.types import BinaryType, DataType, StructType
 
-from whosaid.operators.articles import spread_rows
+from whosaid.schemas import RAW
 from whosaid.sources.sinks import stage
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    # A test table is one row group, which is one busy task of all its splits.
-    return spread_rows(spark.read.parquet(f"{sf_dir}/{name}.parquet"), share=1)
+    # A test table can be one row group, which is one busy task of all its splits.
+    rows = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return rows.repartition(spark.sparkContext.defaultParallelism)
 
 
 def quoted_tokens(text: Column) -> Column:
@@ -218,6 +219,85 @@ def raw_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def quote_tags(html: Column) -> Column:
+    """Bold text as quotations, so that pages have some."""
+    return F.regexp_replace(F.regexp_replace(html, "<b>", "<q>"), "<br>", "</q>")
+
+
+#: Markup that is added to every fourth page: entities and links of all kinds,
+#: and elements that are never closed.
+ODD_MARKUP = (
+    '<p>caf&eacute; it&#x27;s &#233;t&#233; &copy 2 &nosuch; 1 < 2 '
+    '<a href="../up?x=1#y" title="a &quot;b&quot;" onclick="z()">up</a>'
+    '<q cite="/c">said</q>',
+    "a<!-- open <b>comment",
+    "x<script>open code <p>",
+    "<a href=javascript:x()>j</a><a HREF='mailto:a@b.c' rel=nofollow>m</a>"
+    '<blockquote cite="ftp://x">f</blockquote><a href="#t">t</a>'
+    '<a href="//h.example/z">h</a><a href="rel/./a/../b">r</a>',
+)
+
+
+def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pages with odd markup at their ends."""
+    end = F.get(F.array(*map(F.lit, ODD_MARKUP)), (F.col("page_id") % 4).cast("int"))
+    rows = table(spark, sf_dir, "pages")
+    return rows.withColumn("html", F.concat("html", end))
+
+
+def raw_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Schema RAW with web pages as payloads: as they are in the feed, with
+    quotations in the extract."""
+
+    def payload(html: Column) -> Column:
+        return F.struct(F.lit("zlib").alias("encoding"), deflate(html).alias("data"))
+
+    link = F.struct(F.col("url").alias("href"))
+    empty = F.struct(F.lit("web").alias("publisherType"))
+    feed_entry = F.struct(
+        F.col("page_id").alias("identifier"),
+        link.alias("canonicalLink"),
+        payload(F.col("html")).alias("content"),
+    )
+    permalink = F.struct(
+        (F.col("page_id") * 2 + 1).alias("identifier"),
+        link.alias("canonicalLink"),
+        payload(quote_tags(F.col("html"))).alias("contentExtract"),
+    )
+    rows = pages(spark, sf_dir).select(
+        empty.alias("source"), feed_entry.alias("feedEntry"), permalink.alias("permalinkEntry")
+    )
+    return filled(rows, RAW)
+
+
+def filled(rows: DataFrame, schema: str) -> DataFrame:
+    """Rows with all fields of a schema; those they lack are null."""
+
+    def field(have: StructType | None, want: DataType, value: Column | None) -> Column:
+        if value is None:
+            return F.lit(None).cast(want)
+        if not isinstance(want, StructType):
+            return value.cast(want)
+        there = {f.name: f.dataType for f in have.fields}
+        return F.struct(
+            *[
+                field(there.get(f.name), f.dataType, value[f.name] if f.name in there else None)
+                .alias(f.name)
+                for f in want.fields
+            ]
+        )
+
+    want = StructType.fromDDL(schema)
+    there = {f.name: f.dataType for f in rows.schema.fields}
+    return rows.select(
+        *[
+            field(there.get(f.name), f.dataType, F.col(f.name) if f.name in there else None)
+            .alias(f.name)
+            for f in want.fields
+        ]
+    )
+
+
 def write_skewed_copy(
     spark: SparkSession, sf_dir: str, folder: str, copies: int
 ) -> None:

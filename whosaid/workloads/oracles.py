@@ -7,12 +7,6 @@ the plain ones. Only the token patterns are shared.
 
 from __future__ import annotations
 
-from whosaid.functions.html import (
-    NO_TEXT,
-    OPEN_ENTITIES,
-    PUNCTUATION_ENTITIES,
-    RETAINED_TAGS,
-)
 from whosaid.functions.tokens import (
     CLOSE_QUOTES,
     CLOSE_UP,
@@ -22,6 +16,7 @@ from whosaid.functions.tokens import (
     TYPOGRAPHY,
     token_pattern,
 )
+from whosaid.workloads.adapters import ODD_MARKUP
 from whosaid.workloads.queries import FRACTION, PUBLISHERS, SEED
 
 
@@ -131,18 +126,96 @@ def tokenized(expr: str) -> str:
     return repaired(tokens_raw(expr), "only")
 
 
-def _html_text(expr: str) -> str:
-    expr = _replace(expr, NO_TEXT, "")
-    retained = ", ".join(text(tag) for tag in RETAINED_TAGS)
+# Cleaning, stated by its own patterns; of named entities it has those that the
+# pages use.
+
+_GONE = "|".join(
+    (
+        r"(?is)<head[^a-z>]*>.*?</head\s*>",
+        *(rf"<{t}(?:[^a-z][^>]*)?>.*?(?:</{t}\s*>|\z)" for t in ("script", "style", "title")),
+        r"<!--.*?(?:-->|\z)",
+        r"<[!?][^>]*(?:>|\z)",
+    )
+)
+_NAMES = {
+    "amp": "&", "lt": "<", "gt": ">", "quot": '"', "nbsp": "\xa0", "copy": "©",
+    "middot": "·", "eacute": "é",
+}
+_KEPT = "a blockquote br caption cite h1 h2 h3 h4 h5 h6 p q".split()
+
+
+def _list(values) -> str:
+    return ", ".join(map(text, values))
+
+
+def _entities_read(expr: str) -> str:
+    open_names = "|".join(n for n in _NAMES if n not in ("eacute",))
+    cut = rf"&#[xX][0-9A-Fa-f]+;?|&#[0-9]+;?|&[a-zA-Z0-9]+;|&(?:{open_names})|[^&]+|&"
+    name = "regexp_extract(e, '^&([a-zA-Z0-9]+);?$', 1)"
+    named = " ".join(f"WHEN {text(n)} THEN {text(c)}" for n, c in _NAMES.items())
+    return f"""array_to_string(list_transform(regexp_extract_all({expr}, {text(cut)}),
+        lambda e: CASE
+          WHEN regexp_matches(e, '^&#[xX]')
+            THEN chr(CAST('0x' || rtrim(regexp_extract(e, '[0-9A-Fa-f]+;?$'), ';') AS INT))
+          WHEN regexp_matches(e, '^&#') THEN chr(CAST(regexp_extract(e, '[0-9]+') AS INT))
+          WHEN starts_with(e, '&') THEN CASE {name} {named} ELSE e END
+          ELSE e END), '')"""
+
+
+def _swapped(expr: str, *pairs: tuple[str, str]) -> str:
+    for old, new in pairs:
+        expr = f"replace({expr}, {text(old)}, {text(new)})"
+    return expr
+
+
+def _link(value: str) -> str:
+    """A link against the base ``url``, http://host/folder/page in all pages."""
+    host = "regexp_extract(url, '^https?://[^/]+')"
+    folder = "regexp_extract(url, '^https?://[^/]+(/.*/)', 1)"
+    path = f"{host} || regexp_replace(regexp_replace(regexp_replace({folder} || {value}, "
+    path += "'/\\./', '/', 'g'), '/[^/]+/\\.\\./', '/'), '^/\\.\\./', '/')"
+    return f"""CASE WHEN regexp_matches({value}, '^[a-zA-Z]+:') THEN {value}
+        WHEN starts_with({value}, '//') THEN regexp_extract(url, '^[a-z]+:') || {value}
+        WHEN starts_with({value}, '/') THEN {host} || {value}
+        WHEN starts_with({value}, '#') THEN url || {value}
+        ELSE {path} END"""
+
+
+def _html_cleaned(html: str) -> str:
+    """The cleaned markup of an expression, next to a column ``url``."""
+    escaped = _swapped(
+        _entities_read("r"), ("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ("\xa0", "&nbsp;")
+    )
     name = "lower(regexp_extract(r, '^</?([A-Za-z][A-Za-z0-9]*)', 1))"
-    joined = f"""array_to_string(list_filter(
-        regexp_extract_all({expr}, {text(RUN)}),
-        lambda r: NOT (starts_with(r, '<') AND length(r) > 1)
-                  OR {name} IN ({retained})), '')"""
-    joined = _replace(joined, OPEN_ENTITIES, "&$1;")
-    for entity, char in PUNCTUATION_ENTITIES:
-        joined = f"replace({joined}, {text(entity)}, {text(char)})"
-    return joined
+    value = "regexp_replace(m, '^[^=]*=\\s*[\"'']?|[\"'']$', '', 'g')"
+    key = "lower(regexp_extract(m, '^[a-zA-Z]+'))"
+    read = _entities_read(value)
+    quoted = ("&", "&amp;"), ('"', "&quot;")
+    link = _link("v")
+    # Each attribute as (key, value read, link resolved).
+    attributes = f"""array_to_string(list_transform(list_transform(list_transform(
+        regexp_extract_all(r, '[a-zA-Z]+\\s*=\\s*(?:"[^"]*"|''[^'']*''|[^\\s"''<>]+)'),
+        lambda m: {{'k': {key}, 'v': {read}}}),
+        lambda p: list_transform([p.v], lambda v: {{'k': p.k, 'v': v, 'l': {link}}})[1]),
+        lambda p: CASE
+          WHEN {name} = 'a' AND p.k IN ('title', 'target', 'rel')
+            THEN ' ' || p.k || '="' || {_swapped("p.v", *quoted)} || '"'
+          WHEN {name} = 'a' AND p.k = 'href' AND regexp_matches(p.l, '^(?i)(ftp|https?|mailto):')
+            OR {name} IN ('q', 'blockquote') AND p.k = 'cite' AND regexp_matches(p.l, '^(?i)https?:')
+            THEN ' ' || p.k || '="' || {_swapped("p.l", *quoted)} || '"'
+          ELSE '' END), '')"""
+    return f"""array_to_string(list_transform(
+        regexp_extract_all({_replace(html, _GONE, "")}, '</?[a-zA-Z][^<>]*>|[^<]+|<'),
+        lambda r: CASE
+          WHEN NOT (starts_with(r, '<') AND length(r) > 1) THEN {escaped}
+          WHEN {name} NOT IN ({_list(_KEPT)}) THEN ''
+          WHEN {name} = 'br' THEN '<br>'
+          WHEN starts_with(r, '</') THEN '</' || {name} || '>'
+          ELSE '<' || {name} || {attributes} || '>' END), '')"""
+
+
+_ODD = " ".join(f"WHEN {i} THEN {text(m)}" for i, m in enumerate(ODD_MARKUP))
+ODD_PAGES = f"(SELECT page_id, url, html || CASE page_id % 4 {_ODD} END AS html FROM pages)"
 
 
 # Relations.
@@ -293,6 +366,25 @@ for _pattern, _replacement in CLOSE_UP:
 
 _QUOTED_HTML = "replace(replace(html, '<b>', '<q>'), '<br>', '</q>')"
 
+_NONE = ", ".join(f"'' AS {{0}}_{f}" for f in ("title", "authorName", "authorEmail", "lastPublished", "dateFound"))
+_ENTRIES = f"""SELECT
+    'http://news.example/' || doc_id AS source_url, '' AS source_title,
+    lang AS source_language, '' AS source_description, '' AS source_lastPosted,
+    '' AS source_lastPublished, '' AS source_dateFound,
+    source AS source_publisherType,
+    'http://news.example/' || doc_id AS feed_url, '' AS feed_title,
+    lang AS feed_language, '' AS feed_lastPosted, '' AS feed_lastPublished,
+    '' AS feed_dateFound, '' AS feed_channelUrl,
+    CAST(doc_id AS VARCHAR) AS feedEntry_identifier,
+    'http://news.example/' || doc_id AS feedEntry_url,
+    lang AS feedEntry_language, {_NONE.format("feedEntry")},
+    text AS feedEntry_content, CAST(1 AS BIGINT) AS feedEntry_content_size,
+    CAST(doc_id * 2 + 1 AS VARCHAR) AS permalinkEntry_identifier,
+    'http://news.example/' || doc_id AS permalinkEntry_url,
+    lang AS permalinkEntry_language, {_NONE.format("permalinkEntry")},
+    {_shown(QUOTED, "permalinkEntry_content")}
+FROM documents"""
+
 ORACLES: dict[str, str] = {
     "tag_corpus": tagged(ARTICLES),
     "tag_corpus_odd_tokens": tagged(_ODD_ARTICLES),
@@ -314,23 +406,30 @@ ORACLES: dict[str, str] = {
         SELECT uid AS articleUID, confidence, speaker,
                {_digested("content", "content")}, {_shown("quotation", "quotation")}
         FROM joined""",
-    "ingest_entries": f"""SELECT {_INGESTED_COLUMNS}
+    "ingest_entries": f"SELECT {_INGESTED_COLUMNS} FROM ({_INGESTED})",
+    "ingest_entries_filtered": f"""SELECT {_INGESTED_COLUMNS}
         FROM ({_INGESTED} WHERE source IN ({_IN}))""",
-    "ingest_entries_distinct": f"""SELECT {_INGESTED_COLUMNS}
-        FROM ({_INGESTED} WHERE {_sampled("doc_id", 0.5)})
+    "ingest_entries_sampled": f"""SELECT {_INGESTED_COLUMNS}
+        FROM ({_INGESTED} WHERE {_sampled("doc_id", FRACTION)})""",
+    "ingest_html": f"""SELECT {_INGESTED_COLUMNS} FROM (
+        SELECT 'web' AS publisher, CAST(page_id AS VARCHAR) AS feed_id,
+               CAST(page_id * 2 + 1 AS VARCHAR) AS permalink_id,
+               {tokens_raw(_html_cleaned("html"))} AS feed,
+               {tokens_raw(_html_cleaned(_QUOTED_HTML))} AS permalink FROM {ODD_PAGES})""",
+    "ingest_entries_distinct": f"""SELECT {_INGESTED_COLUMNS} FROM ({_INGESTED})
         QUALIFY row_number() OVER (
             PARTITION BY permalink ORDER BY CAST(permalink_id AS BIGINT)) = 1""",
     "ingest_archives": f"SELECT {_INGESTED_COLUMNS} FROM ({_INGESTED})",
     "scan_articles": _ARTICLE_TEXTS,
     "scan_attributions": f"WITH {ATTRIBUTIONS} SELECT * FROM occurrences",
     "scan_mapping": f"WITH {MAPPING} SELECT * FROM mapping",
+    "scan_attributions_quoted": f"WITH {ATTRIBUTIONS} SELECT * FROM occurrences",
+    "scan_mapping_quoted": f"WITH {MAPPING} SELECT * FROM mapping",
     "scan_archives": "SELECT doc_id, text FROM documents",
     "inflate_content": "SELECT doc_id, CASE WHEN lang = 'fr' THEN '' ELSE text END "
     "AS text FROM documents",
     "write_parquet": _ARTICLE_TEXTS,
-    "write_json": f"""SELECT source AS publisher,
-        CAST(doc_id * 2 + 1 AS VARCHAR) AS identifier, {_shown(QUOTED, "content")}
-        FROM documents""",
+    "write_json": _ENTRIES,
     "write_json_gzip": _ARTICLE_TEXTS,
     "write_json_lz4": _ARTICLE_TEXTS,
     "write_json_bzip2": _ARTICLE_TEXTS,
@@ -353,25 +452,24 @@ ORACLES: dict[str, str] = {
                count(*) OVER (PARTITION BY id) AS spans FROM spans""",
     "join_articles": f"""WITH {ARTICLES}, {ATTRIBUTIONS}
         SELECT articleUID, speaker, extractedBy, patternConfidence, quotation,
-               len(content) AS content_size
+               {_digested("content", "content")}
         FROM articles JOIN occurrences USING (articleUID)""",
     "join_mapping": f"""WITH {ARTICLES}, {MAPPING}
         SELECT m.articleUID, canonicalQuotationDestination,
-               canonicalQuotationSource, confidence, len(content) AS content_size
+               canonicalQuotationSource, confidence, {_digested("content", "content")}
         FROM articles a JOIN mapping m
           ON m.articleUID = TRY_CAST(a.articleUID AS BIGINT)""",
-    "join_speakers": f"""WITH {ATTRIBUTIONS}, {MAPPING},
-        speakers AS (SELECT DISTINCT canonicalQuotation, speaker FROM occurrences)
+    "join_speakers": f"""WITH {ARTICLES}, {ATTRIBUTIONS}, {MAPPING}
         SELECT m.articleUID, speaker, canonicalQuotation, canonicalQuotationSource,
-               confidence
-        FROM speakers s JOIN mapping m
-          ON s.canonicalQuotation = m.canonicalQuotationDestination""",
-    "dedupe_pairs": f"""WITH {ATTRIBUTIONS}, {MAPPING}
-        SELECT m.articleUID, speaker, canonicalQuotation AS quotation,
-               max(confidence) AS confidence
-        FROM occurrences o JOIN mapping m
-          ON o.canonicalQuotation = m.canonicalQuotationDestination
-        GROUP BY ALL""",
+               confidence, o.articleUID AS seen_in, extractedBy,
+               {_digested("content", "content")}
+        FROM occurrences o
+        JOIN mapping m ON o.canonicalQuotation = m.canonicalQuotationDestination
+        JOIN articles a ON m.articleUID = TRY_CAST(a.articleUID AS BIGINT)""",
+    "dedupe_pairs": f"""WITH {_MAP_ROWS}
+        SELECT uid AS articleUID, speaker, quote AS quotation, confidence,
+               {_digested("content", "content")}
+        FROM pairs JOIN numbered USING (uid)""",
     "dedupe_content": f"""SELECT CAST(min(doc_id * 2 + 1) AS VARCHAR) AS identifier,
         {_shown("content", "content")}
         FROM (SELECT doc_id, {QUOTED} AS content FROM documents) GROUP BY content""",
@@ -384,11 +482,12 @@ ORACLES: dict[str, str] = {
     "find_quotations": f"""WITH {ARTICLES}, {token_rows("articles", "content")}, {SPANS}
         SELECT id AS articleUID, s AS start, e AS "end" FROM spans""",
     "tag_quotation": tagged(ARTICLES),
+    "clean_html": f"SELECT page_id, {_html_cleaned('html')} AS html FROM {ODD_PAGES}",
     "clean_html_tokens": _tokens_query(
-        fixed(tokens_raw(_html_text("html"))), "pages", "page_id"
+        fixed(tokens_raw(_html_cleaned("html"))), ODD_PAGES, "page_id"
     ),
     "html_tokens": _tokens_query(
-        fixed(tokens_raw(_html_text(_QUOTED_HTML))), "pages", "page_id"
+        fixed(tokens_raw(_html_cleaned(_QUOTED_HTML))), ODD_PAGES, "page_id"
     ),
     "untokenize": f"SELECT doc_id, {_RESTORED} AS text FROM documents",
 }

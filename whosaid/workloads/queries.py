@@ -32,7 +32,6 @@ from whosaid.operators.skew import profile_key
 from whosaid.plans.extract import extract_articles as extract_plan
 from whosaid.plans.ingest import ingest_archives as ingest_archives_plan
 from whosaid.plans.ingest import ingest_entries as ingest_plan
-from whosaid.plans.mapping import distinct_speakers
 from whosaid.plans.mapping import map_discarded as map_plan
 from whosaid.plans.tagging import tag_articles
 from whosaid.plans.tagging import tag_corpus as tag_plan
@@ -92,6 +91,38 @@ def scan_mapping(spark, sf_dir):
     return scans.scan_mapping(spark, path)
 
 
+def _as_lines(rows: DataFrame, quoted: DataFrame) -> DataFrame:
+    """Both tables as JSON lines."""
+    lines = [df.select(F.to_json(F.struct("*"))) for df in (rows, quoted)]
+    return lines[0].union(lines[1])
+
+
+def scan_attributions_quoted(spark, sf_dir):
+    """Every other row with its numbers as text."""
+    path = work_folder(spark)
+    rows = given.attributions(spark, sf_dir)
+    odd = F.pmod(F.xxhash64("speaker"), F.lit(2)) == 1
+    quoted = rows.where(odd).withColumn(
+        "occurrences",
+        F.transform(
+            "occurrences",
+            lambda o: o.withField("patternConfidence", o["patternConfidence"].cast("string")),
+        ),
+    )
+    _as_lines(rows.where(~odd), quoted).write.text(path)
+    return explode_occurrences(scans.scan_attributions(spark, path), True)
+
+
+def scan_mapping_quoted(spark, sf_dir):
+    """Every other row with its numbers as text."""
+    path = work_folder(spark)
+    rows = given.mapping(spark, sf_dir)
+    odd = F.pmod("articleUID", F.lit(2)) == 1
+    text = {c: F.col(c).cast("string") for c in ("articleUID", "confidence")}
+    _as_lines(rows.where(~odd), rows.where(odd).withColumns(text)).write.text(path)
+    return scans.scan_mapping(spark, path)
+
+
 def scan_archives(spark, sf_dir):
     members = _texts(spark, sf_dir).select(
         F.concat("doc_id", F.lit(".txt")).alias("member"),
@@ -128,12 +159,7 @@ def write_parquet(spark, sf_dir):
 def write_json(spark, sf_dir):
     path = work_folder(spark)
     write_json_sink(given.entries(spark, sf_dir), path, partitions=4)
-    back = scans.scan_articles(spark, path, ENTRY)
-    return back.select(
-        F.col("source.publisherType").alias("publisher"),
-        F.col("permalinkEntry.identifier").alias("identifier"),
-        *shown("permalinkEntry.tokenizedContent", "content"),
-    )
+    return _flat_entries(scans.scan_articles(spark, path, ENTRY))
 
 
 def _write_json_with(codec: str) -> Query:
@@ -153,7 +179,8 @@ def write_json_single_file(spark, sf_dir):
         .groupBy("lang", "source")
         .agg(F.count(F.lit(1)).alias("documents"))
     )
-    write_json_sink(report, path, single_file=True)
+    # One file, as the report has a row per language and source.
+    write_json_sink(report, path, partitions=1)
     schema = "lang string, source string, documents bigint"
     return spark.read.schema(schema).json(f"{path}/part-*.json")
 
@@ -247,7 +274,7 @@ def articles_joined(spark, sf_dir):
         "extractedBy",
         "patternConfidence",
         "quotation",
-        F.size("content").cast("bigint").alias("content_size"),
+        *digested("content", "content"),
     )
 
 
@@ -261,18 +288,24 @@ def mapping_joined(spark, sf_dir):
         "canonicalQuotationDestination",
         "canonicalQuotationSource",
         "confidence",
-        F.size("content").cast("bigint").alias("content_size"),
+        *digested("content", "content"),
     )
 
 
 def _speaker_pairs(spark, sf_dir) -> DataFrame:
-    # Each speaker once per quotation, so that the result grows with the links.
-    speakers = distinct_speakers(given.attributions(spark, sf_dir))
+    """Every occurrence with every link, and the linked article's content."""
+    seen = explode_occurrences(given.attributions(spark, sf_dir), keep_canonical=True)
+    seen = seen.select(
+        "canonicalQuotation", "speaker", F.col("articleUID").alias("seen_in"), "extractedBy"
+    )
     links = given.mapping(spark, sf_dir)
+    merged = join_mapping(
+        given.articles(spark, sf_dir), links, profile_key(links, "articleUID")
+    )
     return join_speakers(
-        speakers,
-        links,
-        profile_key(speakers, "canonicalQuotation"),
+        seen,
+        merged,
+        profile_key(seen, "canonicalQuotation"),
         profile_key(links, "canonicalQuotationDestination"),
     )
 
@@ -284,15 +317,19 @@ def speakers_joined(spark, sf_dir):
         "canonicalQuotation",
         "canonicalQuotationSource",
         "confidence",
+        "seen_in",
+        "extractedBy",
+        *digested("content", "content"),
     )
 
 
 def pairs_deduped(spark, sf_dir):
-    # By the canonical quotation, which many links share.
     pairs = _speaker_pairs(spark, sf_dir).withColumnRenamed(
-        "canonicalQuotation", "quotation"
+        "canonicalQuotationSource", "quotation"
+    )
+    return dedupe_pairs(pairs).select(
+        "articleUID", "speaker", "quotation", "confidence", *digested("content", "content")
     )
-    return dedupe_pairs(pairs)
 
 
 def content_deduped(spark, sf_dir):
@@ -371,24 +408,23 @@ def quotations_tagged(spark, sf_dir):
 
 
 def html_cleaned(spark, sf_dir):
-    return given.table(spark, sf_dir, "pages").select(
+    return given.pages(spark, sf_dir).select(
         "page_id", clean_html(F.col("html"), F.col("url")).alias("html")
     )
 
 
 def html_cleaned_tokens(spark, sf_dir):
     cleaned = clean_html(F.col("html"), F.col("url"))
-    tokens = given.table(spark, sf_dir, "pages").select(
+    tokens = given.pages(spark, sf_dir).select(
         "page_id", fix_content(tokenize_raw(cleaned)).alias("tokens")
     )
     return tokens.select("page_id", *shown("tokens", "tokens"))
 
 
 def html_tokens_native(spark, sf_dir):
-    quoted = F.regexp_replace("html", "<b>", "<q>")
-    quoted = F.regexp_replace(quoted, "<br>", "</q>")
-    tokens = given.table(spark, sf_dir, "pages").select(
-        "page_id", html_tokens(quoted).alias("tokens")
+    quoted = given.quote_tags(F.col("html"))
+    tokens = given.pages(spark, sf_dir).select(
+        "page_id", html_tokens(quoted, F.col("url")).alias("tokens")
     )
     return tokens.select("page_id", *shown("tokens", "tokens"))
 
@@ -440,9 +476,8 @@ def tag_corpus(spark, sf_dir):
 
 
 def tag_corpus_sample(spark, sf_dir):
-    articles = given.articles(spark, sf_dir)
-    kept = sample_rows(articles, FRACTION, SEED, key=F.col("articleUID"))
-    return _tag_output(tag_articles(kept))
+    entries = given.entries(spark, sf_dir)
+    return _tag_output(tag_plan(entries, fraction=FRACTION, seed=SEED))
 
 
 def tag_corpus_odd(spark, sf_dir):
@@ -464,16 +499,24 @@ def _ingested(entries: DataFrame) -> DataFrame:
 
 
 def ingest(spark, sf_dir):
+    return _ingested(ingest_plan(given.raw_records(spark, sf_dir), partitions=4))
+
+
+def ingest_filtered(spark, sf_dir):
+    return _ingested(ingest_plan(given.raw_records(spark, sf_dir), types=PUBLISHERS))
+
+
+def ingest_sampled(spark, sf_dir):
     raw = given.raw_records(spark, sf_dir)
-    return _ingested(ingest_plan(raw, types=PUBLISHERS, partitions=4))
+    return _ingested(ingest_plan(raw, fraction=FRACTION, seed=SEED))
 
 
 def ingest_distinct(spark, sf_dir):
-    raw = given.raw_records(spark, sf_dir)
-    key = F.col("feedEntry.identifier")
-    return _ingested(
-        ingest_plan(raw, fraction=0.5, seed=SEED, sample_key=key, dedupe=True)
-    )
+    return _ingested(ingest_plan(given.raw_records(spark, sf_dir), dedupe=True))
+
+
+def ingest_html(spark, sf_dir):
+    return _ingested(ingest_plan(given.raw_pages(spark, sf_dir)))
 
 
 def ingest_archives(spark, sf_dir):
@@ -494,10 +537,15 @@ QUERIES: dict[str, Query] = {
     "map_discarded": map_discarded,
     "ingest_entries": ingest,
     "ingest_entries_distinct": ingest_distinct,
+    "ingest_entries_filtered": ingest_filtered,
+    "ingest_entries_sampled": ingest_sampled,
+    "ingest_html": ingest_html,
     "ingest_archives": ingest_archives,
     "scan_articles": scan_articles,
     "scan_attributions": scan_attributions,
     "scan_mapping": scan_mapping,
+    "scan_attributions_quoted": scan_attributions_quoted,
+    "scan_mapping_quoted": scan_mapping_quoted,
     "scan_archives": scan_archives,
     "inflate_content": inflate,
     "write_parquet": write_parquet,
