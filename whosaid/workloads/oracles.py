@@ -171,13 +171,13 @@ def _swapped(expr: str, *pairs: tuple[str, str]) -> str:
 def _link(value: str) -> str:
     """A link against the base ``url``, http://host/folder/page in all pages."""
     host = "regexp_extract(url, '^https?://[^/]+')"
-    folder = "regexp_extract(url, '^https?://[^/]+(/.*/)', 1)"
+    folder = "regexp_extract(url, '^https?://[^/]+(/[^?#]*/)', 1)"
     path = f"{host} || regexp_replace(regexp_replace(regexp_replace({folder} || {value}, "
     path += "'/\\./', '/', 'g'), '/[^/]+/\\.\\./', '/'), '^/\\.\\./', '/')"
     return f"""CASE WHEN regexp_matches({value}, '^[a-zA-Z]+:') THEN {value}
         WHEN starts_with({value}, '//') THEN regexp_extract(url, '^[a-z]+:') || {value}
         WHEN starts_with({value}, '/') THEN {host} || {value}
-        WHEN starts_with({value}, '#') THEN url || {value}
+        WHEN starts_with({value}, '#') THEN regexp_replace(url, '#.*', '') || {value}
         ELSE {path} END"""
 
 
