@@ -15,7 +15,7 @@ from whosaid.operators.dedupe import dedupe_content, dedupe_pairs, one_per_artic
 from whosaid.operators.entries import normalize_entries
 from whosaid.operators.joins import join_articles, join_mapping, join_speakers
 from whosaid.operators.metrics import RunMetrics
-from whosaid.operators.skew import keep_listed, profile_key, spread_join
+from whosaid.operators.skew import key_parts, spread_join
 from whosaid.plans.ingest import ingest_entries
 from whosaid.plans.tagging import tag_corpus
 from whosaid.schemas import ATTRIBUTIONS, RAW
@@ -143,35 +143,37 @@ def skewed(spark):
     return left, right
 
 
-def test_profile_key(spark, skewed):
-    left, right = skewed
-    cold = profile_key(left, "k")
-    assert cold.hot == () and cold.fits_broadcast
-    hot = profile_key(left, "k", hot_rows=100)
-    (key_hash,) = spark.sql("SELECT xxhash64('hot')").first()
-    assert hot.hot == ((key_hash, 10),)
-    assert hot.keys == left.select("k").dropna().distinct().count()
-    assert profile_key(left.where("k = 'none'"), "k").keys == 0
-
-
-@pytest.mark.parametrize("left_hot", [False, True])
-@pytest.mark.parametrize("right_hot", [False, True])
-def test_spread_join_gives_the_plain_join(skewed, left_hot, right_hot):
+def test_key_parts(spark, skewed):
+    left, _ = skewed
+    parts = {r["_key"]: r["_parts"] for r in key_parts(left, "k", hot_rows=100).collect()}
+    assert parts["hot"] == 10 and set(parts) == {
+        r.k for r in left.select("k").dropna().distinct().collect()
+    }
+    assert sum(p > 1 for p in parts.values()) == 1
+    assert key_parts(left.limit(0), "k").collect() == []
+
+
+@pytest.mark.parametrize("left_is_hot", [False, True])
+@pytest.mark.parametrize("hot_rows", [None, 50, 5])
+def test_spread_join_gives_the_plain_join(skewed, left_is_hot, hot_rows):
     left, right = skewed
     right = right.withColumnRenamed("k", "k2")
-    joined = spread_join(
-        left,
-        right,
-        "k",
-        "k2",
-        profile_key(left, "k", 50) if left_hot else None,
-        profile_key(right, "k2", 5) if right_hot else None,
-    )
+    joined = spread_join(left, right, "k", "k2", hot_rows, left_is_hot)
     plain = left.join(right, F.col("k") == F.col("k2"))
     assert joined.columns == plain.columns
     assert rows(joined) == rows(plain)
 
 
+def test_spread_join_prepares_what_has_a_partner(skewed):
+    left, right = skewed
+    for hot_rows in (None, 20):
+        joined = spread_join(
+            right, left, "k", "k", hot_rows, prepare=lambda df: df.withColumn("made", F.upper("k"))
+        )
+        plain = right.withColumn("made", F.upper("k")).join(left, "k")
+        assert rows(joined) == rows(plain)
+
+
 def test_spread_join_uses_many_tasks_for_a_hot_key(spark, skewed):
     left, right = skewed
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
@@ -179,8 +181,8 @@ def test_spread_join_uses_many_tasks_for_a_hot_key(spark, skewed):
     try:
         hot_right = right.where("k = 'hot'").limit(1)
 
-        def tasks(profile):
-            joined = spread_join(hot_right, left, "k", "k", right_profile=profile)
+        def tasks(hot_rows):
+            joined = spread_join(hot_right, left, "k", "k", hot_rows)
             return (
                 joined.withColumn("task", F.spark_partition_id())
                 .groupBy("task")
@@ -189,7 +191,7 @@ def test_spread_join_uses_many_tasks_for_a_hot_key(spark, skewed):
             )
 
         assert len(tasks(None)) == 1
-        spread = tasks(profile_key(left, "k", 20))
+        spread = tasks(20)
         assert len(spread) > 4
         assert sum(r["count"] for r in spread) == 1000
         assert max(r["count"] for r in spread) < 500
@@ -200,33 +202,15 @@ def test_spread_join_uses_many_tasks_for_a_hot_key(spark, skewed):
 
 def test_spread_join_parts_do_not_depend_on_row_order(skewed):
     left, right = skewed
-    profile = profile_key(left, "k", 20)
-    once = spread_join(right, left.repartition(5, "l"), "k", "k", right_profile=profile)
-    again = spread_join(
-        right,
-        left.orderBy(F.desc("l")).repartition(5, "l"),
-        "k",
-        "k",
-        right_profile=profile,
-    )
+    once = spread_join(right, left.repartition(5, "l"), "k", "k", 20)
+    again = spread_join(right, left.orderBy(F.desc("l")).repartition(5, "l"), "k", "k", 20)
     assert rows(once) == rows(again)
 
 
 def test_spread_join_wants_keys_of_one_type(skewed):
     left, right = skewed
-    hot = profile_key(left, "k", 20)
     with pytest.raises(TypeError):
-        spread_join(left, right, "l", "k", left_profile=hot)
-
-
-def test_keep_listed(skewed):
-    left, right = skewed
-    keys = right.select("k")
-    profile = profile_key(right, "k")
-    listed = keep_listed(left, "k", keys, profile)
-    assert rows(listed) == rows(left.join(keys.distinct(), "k", "left_semi"))
-    too_many = type(profile)(keys=10**7, key_bytes=10**7)
-    assert keep_listed(left, "k", keys, too_many) is None
+        spread_join(left, right, "l", "k")
 
 
 def test_named_joins(spark):

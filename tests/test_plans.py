@@ -1,3 +1,4 @@
+import re
 from collections import Counter
 
 import pytest
@@ -5,7 +6,6 @@ from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from tests import plain
-from whosaid.operators import skew
 from whosaid.operators.articles import (
     explode_occurrences,
     occurrence_ids,
@@ -100,27 +100,54 @@ def test_jobs_stay_in_the_jvm(spark):
         assert "Cartesian" not in executed(df) and "NestedLoop" not in executed(df)
 
 
-def test_map_joins_articles_last(spark):
-    plan = optimized(
-        map_discarded(
-            adapters.entries(spark, SF),
-            adapters.attributions(spark, SF),
-            adapters.mapping(spark, SF),
-        )
-    )
-    # The narrow tables are one stored scan by now: one join, one semi join.
-    assert plan.count("Join Inner") == 1
-    assert plan.count("Join LeftSemi") == 1
+@pytest.mark.parametrize("hot_rows", [None, 2])
+def test_articles_move_once_and_are_repaired_once(spark, tmp_path, hot_rows):
+    adapters.entries(spark, SF).write.parquet(f"{tmp_path}/e")
+    entries = spark.read.parquet(f"{tmp_path}/e")
+    attributions = adapters.attributions(spark, SF)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for df in (
+            extract_articles(entries, attributions, hot_rows=hot_rows),
+            map_discarded(entries, attributions, adapters.mapping(spark, SF), hot_rows=hot_rows),
+        ):
+            df.collect()
+            plan = executed(df).split("== Initial Plan ==")[0].splitlines()
+            scans = [i for i, line in enumerate(plan) if "FileScan parquet [feedEntry" in line]
+            # Cold and hot articles share one scan and its one exchange.
+            assert len(scans) == 1
+            assert sum("Exchange" in plan[i] for i in above(plan, scans[0])) == 1
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def above(plan, i):
+    """The lines of a node's parents."""
+    depth = [len(re.match(r"[\s:|+-]*", line)[0]) for line in plan]
+    at = depth[i]
+    for j in range(i - 1, -1, -1):
+        if depth[j] < at:
+            at = depth[j]
+            yield j
+
+
+def test_no_token_list_is_aggregated(spark):
+    raw = adapters.raw_records(spark, SF)
+    plan = executed(ingest_entries(raw, dedupe=True))
+    sums = [line for line in plan.splitlines() if "Aggregate" in line]
+    assert sums and not any("tokenizedContent" in line for line in sums)
 
 
 # What the jobs give, on small made inputs with a hot key.
 
 
-@pytest.fixture(params=["few ids", "many ids"])
-def either_way(request, monkeypatch):
-    """Runs a test with the ids broadcast, and with too many for that."""
-    if request.param == "many ids":
-        monkeypatch.setattr(skew, "BROADCAST_KEYS", 0)
+@pytest.fixture(params=["small tables", "large tables"])
+def either_way(request, spark):
+    """Runs a test as on small tables, and without any broadcast."""
+    if request.param == "large tables":
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 def test_extract(spark, either_way):

@@ -2,28 +2,38 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from whosaid.operators.articles import cast_id
-from whosaid.operators.skew import KeyProfile, spread_join
+from whosaid.operators.skew import spread_join
+
+Prepare = Callable[[DataFrame], DataFrame]
 
 
 def join_articles(
-    articles: DataFrame, occurrences: DataFrame, profile: KeyProfile | None = None
+    articles: DataFrame,
+    occurrences: DataFrame,
+    hot_rows: int | None = None,
+    prepare: Prepare | None = None,
 ) -> DataFrame:
     """Articles with the occurrences found in them, by text id.
 
-    ``profile`` is that of the occurrences' ids; a hot article's rows are then
-    spread over tasks.
+    A hot article's occurrences are spread over tasks; ``prepare`` is done once
+    to each article that has any.
     """
     return spread_join(
-        articles, occurrences, "articleUID", "articleUID", right_profile=profile
+        articles, occurrences, "articleUID", "articleUID", hot_rows, prepare=prepare
     )
 
 
 def join_mapping(
-    articles: DataFrame, mapping: DataFrame, profile: KeyProfile | None = None
+    articles: DataFrame,
+    mapping: DataFrame,
+    hot_rows: int | None = None,
+    prepare: Prepare | None = None,
 ) -> DataFrame:
     """Articles with the mapping rows that name them, by numeric id.
 
@@ -34,25 +44,23 @@ def join_mapping(
         *[c for c in articles.columns if c != "articleUID"],
     )
     return spread_join(
-        by_number, mapping, "articleUID", "articleUID", right_profile=profile
+        by_number, mapping, "articleUID", "articleUID", hot_rows, prepare=prepare
     )
 
 
 def join_speakers(
-    quotations: DataFrame,
-    links: DataFrame,
-    quotation_profile: KeyProfile | None = None,
-    link_profile: KeyProfile | None = None,
+    quotations: DataFrame, links: DataFrame, hot_rows: int | None = None
 ) -> DataFrame:
     """Quotations that have a speaker, with the links that lead to them.
 
-    The canonical quotation must equal the link's destination exactly.
+    The canonical quotation must equal the link's destination exactly. Either
+    side may be hot.
     """
     return spread_join(
         quotations,
         links,
         "canonicalQuotation",
         "canonicalQuotationDestination",
-        quotation_profile,
-        link_profile,
+        hot_rows,
+        left_is_hot=True,
     )

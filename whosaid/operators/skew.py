@@ -2,92 +2,37 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: A key is hot from this share of the rows on, so at most 1,000 keys are.
-HOT_SHARE = 1e-3
-#: Below this many rows a key is never hot.
+#: The rows of one key that a task is given; a key with more is hot.
 HOT_ROWS = 100_000
-#: The largest key list that is broadcast, in bytes and keys.
-BROADCAST_BYTES = 64 * 2**20
-BROADCAST_KEYS = 1_000_000
 
 
-@dataclass(frozen=True)
-class KeyProfile:
-    """What one pass over a join key tells: its size, and the hot keys.
+def key_parts(df: DataFrame, key: str, hot_rows: int | None = None) -> DataFrame:
+    """Rows (_key, _parts): each key of a table once, and how many tasks' work
+    its rows are.
 
-    ``hot`` has ``(hash of the key, parts)`` for each hot key.
+    A table, whatever its size: nothing of it goes to the driver. Rows are
+    counted before the shuffle. Null is no key.
     """
+    rows = F.ceil(F.count(F.lit(1)) / (HOT_ROWS if hot_rows is None else hot_rows))
+    known = df.where(F.col(key).isNotNull())
+    return known.groupBy(F.col(key).alias("_key")).agg(rows.alias("_parts"))
 
-    keys: int
-    key_bytes: int
-    hot: tuple[tuple[int, int], ...] = ()
 
-    @property
-    def fits_broadcast(self) -> bool:
-        return self.keys <= BROADCAST_KEYS and self.key_bytes <= BROADCAST_BYTES
-
-
-def profile_key(df: DataFrame, key: str, hot_rows: int | None = None) -> KeyProfile:
-    """Count the rows per key, and list the hot keys with their parts.
-
-    A key is hot above ``hot_rows`` rows (`HOT_ROWS` if not given) and `HOT_SHARE`
-    of all. Runs one job on the key column, and a second only if one is hot. Keys
-    travel as hashes, and rows are counted before the shuffle, so neither long
-    nor hot keys cost anything here.
-    """
-    counts = (
-        df.where(F.col(key).isNotNull())
-        .groupBy(F.xxhash64(key).alias("hash"))
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.max(F.octet_length(F.col(key).cast("string"))).alias("bytes"),
-        )
-    )
-    totals = counts.agg(
-        F.count(F.lit(1)).alias("keys"),
-        F.coalesce(F.sum("bytes"), F.lit(0)).alias("key_bytes"),
-        F.coalesce(F.sum("n"), F.lit(0)).alias("rows"),
-        F.coalesce(F.max("n"), F.lit(0)).alias("top"),
-    ).first()
-    floor = HOT_ROWS if hot_rows is None else hot_rows
-    part = max(floor, int(totals.rows * HOT_SHARE), 1)
-    hot = ()
-    if totals.top > part:
-        hot_keys = counts.where(F.col("n") > part).select(
-            "hash", F.ceil(F.col("n") / part).alias("parts")
-        )
-        # At most 1 / HOT_SHARE keys can each hold that share of the rows.
-        hot = tuple((r["hash"], r["parts"]) for r in hot_keys.collect())
-    return KeyProfile(totals.keys, totals.key_bytes, hot)
+def _own_part(df: DataFrame, parts: Column) -> Column:
+    """A row's part, from its values and its partition's number, not from a
+    random draw: a task that is run again deals its rows the same way, and
+    copies of one row still spread."""
+    values = [F.col(f"`{c}`") for c in df.columns]
+    return F.pmod(F.xxhash64(*values) + F.spark_partition_id(), parts)
 
 
-def _deal(
-    df: DataFrame, key: str, parts: DataFrame, own: str, other: str, is_hot: bool
-) -> DataFrame:
-    """Give each row of a hot key one of its own parts, and all the other's.
-
-    The part comes from the row's values and its partition's number, not from a
-    random draw: a task that is run again deals its rows the same way, and
-    copies of one row still spread.
-    """
-    spread = F.lit(0)
-    if is_hot:
-        values = [F.col(f"`{c}`") for c in df.columns]
-        spread = F.xxhash64(*values) + F.spark_partition_id()
-    own_part = F.coalesce(F.pmod("_spread", f"_{own}_parts"), F.lit(0))
-    last_other = F.coalesce(F.col(f"_{other}_parts") - 1, F.lit(0))
-    return (
-        df.withColumn("_spread", spread)
-        .join(F.broadcast(parts), F.xxhash64(key) == F.col("_hash"), "left")
-        .withColumn(f"_{own}", own_part)
-        .withColumn(f"_{other}", F.explode(F.sequence(F.lit(0), last_other)))
-        .drop("_spread", "_hash", "_left_parts", "_right_parts")
-    )
+def _each_part(parts: Column) -> Column:
+    return F.explode(F.sequence(F.lit(0).cast("bigint"), parts - 1))
 
 
 def spread_join(
@@ -95,36 +40,70 @@ def spread_join(
     right: DataFrame,
     left_key: str,
     right_key: str,
-    left_profile: KeyProfile | None = None,
-    right_profile: KeyProfile | None = None,
+    hot_rows: int | None = None,
+    left_is_hot: bool = False,
+    prepare: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
-    """Inner equi-join in which the profiled hot keys go to many tasks.
-
-    A hot key's rows are dealt into parts, and the matching rows of the other
-    side are copied to each part. Without hot keys it is a plain join. Spark
-    picks the strategy; columns of both sides are kept, but for the right key
-    where the names are the same.
+    """Inner equi-join in which hot keys go to many tasks.
+
+    Left rows without a partner go first: they meet the list of the right
+    side's keys, by the key, and stay partitioned by it. ``prepare`` may then
+    change what is left, row by row or key by key; it must keep the key and
+    ``_parts``. Cold keys are joined right there. Rows of a hot key, few on the
+    left, are dealt into parts on the right, and the left's rows copied to each.
+    With ``left_is_hot`` a key is also hot for its rows on the left, which are
+    then dealt as well.
+
+    One plan for all sizes, and no job while it is built. Columns of both sides
+    are kept, but for the right key where the names are the same.
     """
-    left_hot = dict(left_profile.hot) if left_profile else {}
-    right_hot = dict(right_profile.hot) if right_profile else {}
-    if not left_hot and not right_hot:
-        return _equi_join(left, right, left_key, right_key, [])
     types = left.schema[left_key].dataType, right.schema[right_key].dataType
     if types[0] != types[1]:
         # Equal values of two types have different hashes.
         raise TypeError(f"keys of types {types[0]} and {types[1]} cannot be spread")
-    spark: SparkSession = left.sparkSession
-    parts = spark.createDataFrame(
-        [
-            (h, left_hot.get(h, 1), right_hot.get(h, 1))
-            for h in sorted({*left_hot, *right_hot})
-        ],
-        "_hash bigint, _left_parts bigint, _right_parts bigint",
+    parts = key_parts(right, right_key, hot_rows)
+    if left_is_hot:
+        own = key_parts(left, left_key, hot_rows).withColumnRenamed("_parts", "_own")
+        parts = parts.join(own, "_key").select(
+            "_key", F.struct(F.col("_parts").alias("right"), F.col("_own").alias("left")).alias("_parts")
+        )
+    else:
+        parts = parts.select(
+            "_key",
+            F.struct(F.col("_parts").alias("right"), F.lit(1).cast("bigint").alias("left")).alias("_parts"),
+        )
+    hot = (F.col("_parts.right") > 1) | (F.col("_parts.left") > 1)
+
+    columns = left.columns
+    kept = left.join(parts, F.col(left_key) == F.col("_key")).drop("_key")
+    if prepare is not None:
+        kept = prepare(kept)
+        columns = [c for c in kept.columns if c != "_parts"]
+    few = parts.where(hot).withColumnRenamed("_parts", "_dealt")
+    marked = right.join(few, F.col(right_key) == F.col("_key"), "left").drop("_key")
+
+    cold = _equi_join(
+        kept.where(~hot).select(columns),
+        marked.where(F.col("_dealt").isNull()).drop("_dealt"),
+        left_key,
+        right_key,
+        [],
+    )
+    at_left, at_right = _own_part(left, F.col("_parts.left")), _own_part(right, F.col("_dealt.right"))
+    if prepare is not None:
+        at_left = F.lit(0).cast("bigint")
+    hot_left = (
+        kept.where(hot)
+        .withColumn("_left", at_left)
+        .select(*columns, "_left", _each_part(F.col("_parts.right")).alias("_right"))
     )
-    left = _deal(left, left_key, parts, "left", "right", bool(left_hot))
-    right = _deal(right, right_key, parts, "right", "left", bool(right_hot))
-    joined = _equi_join(left, right, left_key, right_key, ["_left", "_right"])
-    return joined.drop("_left", "_right")
+    hot_right = (
+        marked.where(F.col("_dealt").isNotNull())
+        .withColumn("_right", at_right)
+        .select(*right.columns, "_right", _each_part(F.col("_dealt.left")).alias("_left"))
+    )
+    dealt = _equi_join(hot_left, hot_right, left_key, right_key, ["_left", "_right"])
+    return cold.union(dealt.drop("_left", "_right").select(cold.columns))
 
 
 def _equi_join(left, right, left_key, right_key, parts):
@@ -134,16 +113,3 @@ def _equi_join(left, right, left_key, right_key, parts):
     on = [F.col(left_key) == F.col(right_key)]
     on += [F.col(p) == F.col(f"{p}_r") for p in parts]
     return left.join(right, on, "inner").drop(*[f"{p}_r" for p in parts])
-
-
-def keep_listed(
-    df: DataFrame, key: str, keys: DataFrame, profile: KeyProfile
-) -> DataFrame | None:
-    """Rows whose key is listed, without a shuffle; None if the list is too long.
-
-    ``keys`` has one column; ``profile`` is its measured size.
-    """
-    if not profile.fits_broadcast:
-        return None
-    listed = keys.distinct().toDF("_listed")
-    return df.join(F.broadcast(listed), df[key] == listed["_listed"], "left_semi")

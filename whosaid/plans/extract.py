@@ -6,13 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from whosaid.functions.tokens import fix_content, tokenize
-from whosaid.operators.articles import (
-    explode_occurrences,
-    occurrence_ids,
-    project_articles,
-)
+from whosaid.operators.articles import explode_occurrences, project_articles
 from whosaid.operators.joins import join_articles
-from whosaid.operators.skew import keep_listed, profile_key
 
 
 def extract_articles(
@@ -23,30 +18,22 @@ def extract_articles(
 ) -> DataFrame:
     """One row per occurrence of a quotation in an article of the corpus.
 
-    The occurrences' ids are counted first. If they are few, articles without
-    an occurrence are dropped before any shuffle, and each article is repaired
-    once. If not, the join comes first and only its result is repaired. The ids
-    of hot articles are spread over tasks.
+    Articles move once, to the ids of the occurrences; those without one go, and
+    each of the others is repaired once. The rows of hot articles are spread
+    over tasks.
     """
-    occurrences = explode_occurrences(attributions)
-    articles = project_articles(entries)
-    ids = occurrence_ids(attributions)
-    profile = profile_key(ids, "articleUID", hot_rows)
-
-    fixed = fix_content(F.col("content"), mode).alias("content")
-    listed = keep_listed(articles, "articleUID", ids, profile)
-    if listed is not None:
-        listed = listed.select("articleUID", fixed)
-        joined = join_articles(listed, occurrences, profile)
-        content = F.col("content")
-    else:
-        joined = join_articles(articles, occurrences, profile)
-        content = fixed
+
+    def repair(articles: DataFrame) -> DataFrame:
+        return articles.withColumn("content", fix_content(F.col("content"), mode))
+
+    joined = join_articles(
+        project_articles(entries), explode_occurrences(attributions), hot_rows, repair
+    )
     return joined.select(
         "articleUID",
         "extractedBy",
         "patternConfidence",
         "speaker",
-        content,
+        "content",
         tokenize(F.col("quotation"), mode).alias("quotation"),
     )

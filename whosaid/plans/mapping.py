@@ -6,10 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from whosaid.functions.tokens import fix_content, tokenize
-from whosaid.operators.articles import cast_id, project_articles
-from whosaid.operators.dedupe import dedupe_pairs, one_per_article
-from whosaid.operators.joins import join_speakers
-from whosaid.operators.skew import keep_listed, profile_key, spread_join
+from whosaid.operators.articles import project_articles
+from whosaid.operators.dedupe import dedupe_pairs
+from whosaid.operators.joins import join_mapping, join_speakers
 from whosaid.sources.sinks import stage
 
 
@@ -26,28 +25,18 @@ def mapped_pairs(
     """``(articleUID, speaker, quotation, confidence)``, without content.
 
     How often a quotation was seen does not matter here, so each (quotation,
-    speaker) joins once, and copies of a link are combined before the join.
+    speaker) joins once.
     """
-    speakers = distinct_speakers(attributions)
-    links = mapping.groupBy(
-        "articleUID", "canonicalQuotationDestination", "canonicalQuotationSource"
-    ).agg(F.max("confidence").alias("confidence"))
-    # Counted ahead of the grouping, which would run once more for it. Copies
-    # make a link look hotter than it is, which only adds parts.
-    link_profile = profile_key(mapping, "canonicalQuotationDestination", hot_rows)
-    joined = join_speakers(
-        speakers,
-        links,
-        profile_key(speakers, "canonicalQuotation", hot_rows),
-        link_profile,
+    links = mapping.where(F.col("articleUID").isNotNull())
+    joined = join_speakers(distinct_speakers(attributions), links, hot_rows)
+    return dedupe_pairs(
+        joined.select(
+            "articleUID",
+            "speaker",
+            F.col("canonicalQuotationSource").alias("quotation"),
+            "confidence",
+        )
     )
-    pairs = joined.select(
-        "articleUID",
-        "speaker",
-        F.col("canonicalQuotationSource").alias("quotation"),
-        "confidence",
-    )
-    return dedupe_pairs(pairs.where(F.col("articleUID").isNotNull()))
 
 
 def map_discarded(
@@ -59,32 +48,22 @@ def map_discarded(
 ) -> DataFrame:
     """One row per (article, speaker, quotation), with the article's content.
 
-    The narrow tables are joined and deduplicated first, and stored, as the
-    rest of the plan depends on their size. The articles come last: if the
-    pairs name few, all others are dropped before any shuffle.
+    The narrow tables are joined, deduplicated and stored first, since their
+    rows are counted and then joined: that is the one job of building the plan.
+    Articles move once, to the ids of the pairs; of an id's articles one stays,
+    and it is repaired once.
     """
     pairs = stage(mapped_pairs(attributions, mapping, hot_rows))
-    profile = profile_key(pairs, "articleUID", hot_rows)
 
-    articles = project_articles(entries).select(
-        cast_id(F.col("articleUID")).alias("articleUID"), "content"
-    )
-    articles = articles.where(F.col("articleUID").isNotNull())
-    fixed = fix_content(F.col("content"), mode).alias("content")
-    listed = keep_listed(articles, "articleUID", pairs.select("articleUID"), profile)
-    if listed is not None:
-        articles = one_per_article(listed).select("articleUID", fixed)
-        content = F.col("content")
-    else:
-        articles = one_per_article(articles)
-        content = fixed
-    joined = spread_join(
-        articles, pairs, "articleUID", "articleUID", right_profile=profile
-    )
+    def one_repaired(articles: DataFrame) -> DataFrame:
+        one = articles.groupBy("articleUID", "_parts").agg(F.min("content").alias("content"))
+        return one.withColumn("content", fix_content(F.col("content"), mode))
+
+    joined = join_mapping(project_articles(entries), pairs, hot_rows, one_repaired)
     return joined.select(
         "articleUID",
         "confidence",
         "speaker",
-        content,
+        "content",
         tokenize(F.col("quotation"), mode).alias("quotation"),
     )

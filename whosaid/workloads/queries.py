@@ -28,7 +28,6 @@ from whosaid.operators.dedupe import dedupe_content, dedupe_pairs
 from whosaid.operators.entries import normalize_entries
 from whosaid.operators.joins import join_articles, join_mapping, join_speakers
 from whosaid.operators.metrics import RunMetrics
-from whosaid.operators.skew import profile_key
 from whosaid.plans.extract import extract_articles as extract_plan
 from whosaid.plans.ingest import ingest_archives as ingest_archives_plan
 from whosaid.plans.ingest import ingest_entries as ingest_plan
@@ -265,9 +264,7 @@ def quotations(spark, sf_dir):
 
 def articles_joined(spark, sf_dir):
     seen = explode_occurrences(given.attributions(spark, sf_dir))
-    joined = join_articles(
-        given.articles(spark, sf_dir), seen, profile_key(seen, "articleUID")
-    )
+    joined = join_articles(given.articles(spark, sf_dir), seen)
     return joined.select(
         "articleUID",
         "speaker",
@@ -280,9 +277,7 @@ def articles_joined(spark, sf_dir):
 
 def mapping_joined(spark, sf_dir):
     links = given.mapping(spark, sf_dir)
-    joined = join_mapping(
-        given.articles(spark, sf_dir), links, profile_key(links, "articleUID")
-    )
+    joined = join_mapping(given.articles(spark, sf_dir), links)
     return joined.select(
         "articleUID",
         "canonicalQuotationDestination",
@@ -298,16 +293,8 @@ def _speaker_pairs(spark, sf_dir) -> DataFrame:
     seen = seen.select(
         "canonicalQuotation", "speaker", F.col("articleUID").alias("seen_in"), "extractedBy"
     )
-    links = given.mapping(spark, sf_dir)
-    merged = join_mapping(
-        given.articles(spark, sf_dir), links, profile_key(links, "articleUID")
-    )
-    return join_speakers(
-        seen,
-        merged,
-        profile_key(seen, "canonicalQuotation"),
-        profile_key(links, "canonicalQuotationDestination"),
-    )
+    merged = join_mapping(given.articles(spark, sf_dir), given.mapping(spark, sf_dir))
+    return join_speakers(seen, merged)
 
 
 def speakers_joined(spark, sf_dir):
