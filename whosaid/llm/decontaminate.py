@@ -17,8 +17,9 @@ WINDOW = 10
 #: a shuffle.
 BROADCAST_TERMS = 200_000
 
-#: The term that marks a document's end; it holds the number of words.
-END = "\x00end"
+#: What follows a document's last word: the term of it, at the position that is
+#: the number of words. No word has these characters.
+END = ("\x00end", "\x00")
 
 
 def words_of(text: Column) -> Column:
@@ -76,30 +77,28 @@ def build_index(docs: DataFrame, terms: DataFrame) -> DataFrame:
     rows = docs.select(
         F.monotonically_increasing_id().alias("row"),
         F.col("doc_id").cast("long").alias("doc_id"),
-        F.concat(words_of(F.col("text")), F.array(F.lit(END))).alias("words"),
+        F.concat(words_of(F.col("text")), F.array(*map(F.lit, END))).alias("words"),
     )
     tokens = rows.select("row", "doc_id", "words", F.posexplode("words").alias("pos", "w"))
-    listed = terms.union(
-        terms.sparkSession.createDataFrame(
-            [(-1, END, None)], "term long, first string, second string"
-        )
-    )
-    pairs = listed.where("second is not null").select(
-        "term", "first", "second", F.xxhash64("first", "second").alias("key")
-    )
-    alone = listed.where("second is null").select("term", F.col("first").alias("only"))
     few = terms.count() <= BROADCAST_TERMS
-    hinted = (lambda df: F.broadcast(df)) if few else (lambda df: df)
+    hinted = F.broadcast if few else (lambda df: df)
+    end = terms.sparkSession.createDataFrame([(-1, *END)], terms.schema)
+    pairs = terms.where("second is not null").union(end)
     after = F.get("words", F.col("pos") + 1)
-    followed = tokens.select(
-        "row", "doc_id", "pos", "w", after.alias("after"), F.xxhash64("w", after).alias("key")
-    ).join(hinted(pairs), "key")
-    single = tokens.join(hinted(alone), F.col("w") == F.col("only"))
-    return stored(
-        followed.where((F.col("w") == F.col("first")) & (F.col("after") == F.col("second")))
+    postings = (
+        tokens.select(
+            "row", "doc_id", "pos", "w", after.alias("after"), F.xxhash64("w", after).alias("key")
+        )
+        .join(hinted(pairs.withColumn("key", F.xxhash64("first", "second"))), "key")
+        .where((F.col("w") == F.col("first")) & (F.col("after") == F.col("second")))
         .select("row", "doc_id", "pos", "term")
-        .union(single.select("row", "doc_id", "pos", "term"))
     )
+    alone = terms.where("second is null")
+    if not alone.isEmpty():
+        # Windows of one word, whatever follows it, are looked up in their own pass.
+        single = tokens.join(hinted(alone), F.col("w") == F.col("first"))
+        postings = postings.union(single.select("row", "doc_id", "pos", "term"))
+    return stored(postings)
 
 
 def phrase_matches(index: DataFrame, windows: DataFrame) -> DataFrame:
