@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from whosaid.llm.decontaminate import contamination
 from whosaid.llm.jaccard_join import jaccard_components
 from whosaid.llm.mixing import mixed
-from whosaid.llm.quality import THRESHOLD, scored, train
+from whosaid.llm.quality import THRESHOLD, measured, scored, train
 from whosaid.llm.queries import mixture_levels, shard_dims
 from whosaid.llm.sharding import shards
 from whosaid.llm.tables import stored, table
@@ -24,7 +24,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     It learns from the labelled documents of the corpus that are not held out,
     and scores each of ``docs`` by its text.
     """
-    model = train(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    learned_from = measured(table(spark, sf_dir, "documents"), ["doc_id"])
+    model = train(learned_from, table(spark, sf_dir, "labels"))
     return scored(docs, model, docs.columns).where(F.col("score") >= THRESHOLD).select(
         docs.columns
     )

@@ -202,10 +202,13 @@ def test_quality_of_odd_tables(spark):
         [(i, i % 2, 0) for i in range(12)] + [(3, 1, 0), (4, None, 0), (None, 1, 1), (10**6, 0, 0)],
         "doc_id long, quality int, toxic int",
     )
-    model = quality.train(df, labels)
+    statistics = quality.measured(df, ["doc_id"])
+    model = quality.train(statistics, labels)
+    again = quality.scored_statistics(statistics, model).collect()
     got = quality.scored(df, model, ["doc_id", "size"]).collect()
     assert len(got) == df.count() and all(0 <= r.score <= 1 for r in got)
-    none = quality.train(df, labels.limit(0))
+    assert sorted(r.score for r in again) == sorted(r.score for r in got)
+    none = quality.train(statistics, labels.limit(0))
     assert {r.score for r in quality.scored(df, none, ["doc_id"]).collect()} == {0.5}
     assert quality.scored(plain.empty(spark), model, ["doc_id"]).collect() == []
 

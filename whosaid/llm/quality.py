@@ -215,21 +215,27 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(remainder == HELD_OUT, F.lit(False))
 
 
-def train(docs: DataFrame, labels: DataFrame, label: str = "quality") -> Discriminant:
-    """A discriminant of the labelled rows of docs that are not held out.
+def _listed(x: np.ndarray) -> pa.Array:
+    return pa.array(x.tolist(), pa.list_(pa.float64()))
 
-    All such rows count; their texts stay where they are if the labels are few
-    enough for Spark to broadcast, and else meet them by doc_id. Rows without a
-    label, and labels without a row, are not used; labels that repeat a doc_id
-    with one value count once.
+
+def measured(docs: DataFrame, keep: list[str]) -> DataFrame:
+    """The columns ``keep`` and ``x``, the statistics of each row's text.
+
+    A null text counts as empty. Extra columns are left alone.
     """
-    known = labels.select("doc_id", F.col(label).cast("int").alias("label")).dropna().distinct()
-    rows = docs.select("doc_id", "text").where(~held_out(F.col("doc_id")))
-    joined = rows.join(known, "doc_id")
-    def listed(x: np.ndarray) -> pa.Array:
-        return pa.array(x.tolist(), pa.list_(pa.float64()))
+    return _measured(docs, list(keep), "x", ArrayType(DoubleType()), _listed)
 
-    return fit(_measured(joined, ["label"], "x", ArrayType(DoubleType()), listed))
+
+def train(statistics: DataFrame, labels: DataFrame, label: str = "quality") -> Discriminant:
+    """A discriminant of the labelled rows (doc_id, x) that are not held out.
+
+    All such rows count. Statistics meet their labels, so no text is moved. Rows
+    without a label, and labels without a row, are not used; labels that repeat
+    a doc_id with one value count once.
+    """
+    known = labels.select("doc_id", F.col(label).cast("int").alias("label")).dropna().distinct()
+    return fit(statistics.where(~held_out(F.col("doc_id"))).join(known, "doc_id"))
 
 
 def scored(docs: DataFrame, model: Discriminant, keep: list[str]) -> DataFrame:
@@ -237,7 +243,23 @@ def scored(docs: DataFrame, model: Discriminant, keep: list[str]) -> DataFrame:
 
     A null text counts as empty. Extra columns are left alone.
     """
+
     def score(x: np.ndarray) -> pa.Array:
         return pa.array(model.score(x), pa.float64())
 
     return _measured(docs, list(keep), "score", DoubleType(), score)
+
+
+def scored_statistics(statistics: DataFrame, model: Discriminant) -> DataFrame:
+    """Rows (doc_id, score) of rows (doc_id, x)."""
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = np.array(batch.column("x").to_pylist()).reshape(-1, len(FEATURES))
+            made = pa.array(model.score(x), pa.float64())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), made], ["doc_id", "score"]
+            )
+
+    rows = statistics.select(F.col("doc_id").cast("long").alias("doc_id"), "x")
+    return rows.mapInArrow(score, "doc_id long, score double")

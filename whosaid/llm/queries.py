@@ -13,11 +13,11 @@ from whosaid.llm.fingerprints import fingerprints
 from whosaid.llm.jaccard_join import jaccard_components
 from whosaid.llm.licenses import license_matches
 from whosaid.llm.mixing import Level, mixed
-from whosaid.llm.quality import THRESHOLD, held_out, scored, train
+from whosaid.llm.quality import THRESHOLD, held_out, measured, scored_statistics, train
 from whosaid.llm.sharding import shards, text_order
 from whosaid.llm.sql import SQL
 from whosaid.llm.suffix_dedup import remove_repeats
-from whosaid.llm.tables import table
+from whosaid.llm.tables import stored, table
 from whosaid.llm.token_counts import read_vocabulary, token_counts
 
 #: The vocabulary whose pieces op5 counts.
@@ -94,9 +94,10 @@ def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's quality, learned from three quarters of the labels."""
-    docs = table(spark, sf_dir, "documents")
-    model = train(docs, table(spark, sf_dir, "labels"))
-    return scored(docs, model, ["doc_id"]).select(
+    # Texts are read once: their statistics are learned from and scored.
+    statistics = stored(measured(table(spark, sf_dir, "documents"), ["doc_id"]))
+    model = train(statistics, table(spark, sf_dir, "labels"))
+    return scored_statistics(statistics, model).select(
         "doc_id",
         held_out(F.col("doc_id")).alias("held_out"),
         "score",
