@@ -233,9 +233,14 @@ def clean_html(html: Column, base_url: Column) -> Column:
         text = _escape_text(decode_entities(p))
         return F.when(is_tag, _tag(p, base_url)).otherwise(text)
 
-    body = F.regexp_replace(html, NO_TEXT, "")
-    pieces = F.regexp_extract_all(body, F.lit(RUN), F.lit(0))
-    return F.array_join(F.transform(pieces, piece), "")
+    def cleaned(html: Column) -> Column:
+        body = F.regexp_replace(html, NO_TEXT, "")
+        pieces = F.regexp_extract_all(body, F.lit(RUN), F.lit(0))
+        marked = F.array_join(F.transform(pieces, piece), "")
+        # Plain text has nothing to cut.
+        return F.when(html.contains("<"), marked).otherwise(_escape_text(decode_entities(html)))
+
+    return bind(html, cleaned)
 
 
 def html_tokens(html: Column, base_url: Column, mode: str = "reference") -> Column:
