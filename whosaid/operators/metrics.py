@@ -15,7 +15,9 @@ class RunMetrics:
     >>> write_json(metrics.watch(entries), path)
     >>> metrics.report()
 
-    The count is exact when tasks are run again, and takes no second pass.
+    It takes no second pass. Watch what is written: after the last shuffle a task
+    that is run again counts once, while a stage ahead of a shuffle that is run
+    again, as when an executor is lost, counts its rows twice.
     """
 
     def __init__(self) -> None:

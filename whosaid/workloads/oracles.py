@@ -2,20 +2,12 @@
 
 The statements follow the definitions, not the plans: spans come from window
 functions over marker rows, tagged content from token rows, and the joins are
-the plain ones. Only the token patterns are shared.
+the plain ones. Patterns are spelled here once more, by the rules, so that an
+error in those of the library shows.
 """
 
 from __future__ import annotations
 
-from whosaid.functions.tokens import (
-    CLOSE_QUOTES,
-    CLOSE_UP,
-    ENTITIES,
-    REWRITES,
-    RUN,
-    TYPOGRAPHY,
-    token_pattern,
-)
 from whosaid.workloads.adapters import ODD_MARKUP
 from whosaid.workloads.queries import FRACTION, PUBLISHERS, SEED
 
@@ -81,17 +73,53 @@ MAPPING = """mapping AS (
 
 # Text functions, as expressions.
 
+_SPACE = r"\s\x0B\p{Z}"
+_LETTERS = r"[\p{L}\p{N}\p{M}]"
+#: Entities, then typographic characters, in the order in which they are read:
+#: (pattern, what it becomes).
+_READ = (
+    ("&nbsp;", " "), ("&quot;", '"'), ("&lt;", "<"), ("&gt;", ">"), ("&amp;", "&"),
+    ("[“„‟«]", " `` "), ("[”»]", " '' "), ("…", " ... "), ("[–—]", " -- "),
+    ("[‘‚‛]", "`"), ("’", "'"),
+)
+#: A straight double quote opens at the start and after space or brackets, and
+#: closes elsewhere; a single one opens there before a letter; contractions are
+#: set apart.
+_QUOTES = (
+    (rf'(^|[{_SPACE}([{{`])"', "$1 `` "),
+    ('"', " '' "),
+    (rf"(^|[{_SPACE}([{{])'([^'{_SPACE}])", "$1` $2"),
+    (r"(\p{L})([nN]'[tT])([^\p{L}\p{N}\p{M}'-]|$)", "$1 $2$3"),
+    (
+        rf"({_LETTERS})('(?i:s|m|d|re|ve|ll))([^\p{{L}}\p{{N}}\p{{M}}'-]|$)",
+        "$1 $2$3",
+    ),
+)
+#: Tokens: web and mail addresses, initials, titles, numbers, words with inner
+#: dashes and apostrophes, quotes, dots, dashes, and any other character.
+_TOKEN = "|".join(
+    (
+        rf'https?://[^{_SPACE}"<>]*[\p{{L}}\p{{N}}/]',
+        r"[\p{L}\p{N}._%+-]+@[\p{L}\p{N}-]+(?:\.[\p{L}\p{N}-]+)+",
+        r"(?:\p{L}\.){2,}",
+        r"(?:Mrs?|Ms|Dr|Prof|Sen|Rep|Gov|Gen|Col|Lt|Sgt|St|[JS]r|vs)\.",
+        rf"\p{{N}}+(?:[.,:/]\p{{N}}+)+(?:-{_LETTERS}+)*",
+        rf"'?{_LETTERS}+(?:['-]{_LETTERS}+)*",
+        "``|''",
+        r"\.{3}|-{2,}",
+        rf"[^{_SPACE}]",
+    )
+)
+_PIECES = "</?[a-zA-Z][^<>]*>|[^<]+|<"
+
 
 def tokens_raw(expr: str) -> str:
     run = "r"
-    for entity, char in (*ENTITIES, *TYPOGRAPHY):
-        run = f"replace({run}, {text(entity)}, {text(char)})"
-    for _, pattern, replacement in REWRITES:
+    for pattern, replacement in (*_READ, *_QUOTES):
         run = _replace(run, pattern, replacement)
-    pattern = text(token_pattern())
-    return f"""flatten(list_transform(regexp_extract_all({expr}, {text(RUN)}),
+    return f"""flatten(list_transform(regexp_extract_all({expr}, {text(_PIECES)}),
         lambda r: CASE WHEN starts_with(r, '<') AND length(r) > 1 THEN [r]
-                       ELSE regexp_extract_all({run}, {pattern}) END))"""
+                       ELSE regexp_extract_all({run}, {text(_TOKEN)}) END))"""
 
 
 def repaired(expr: str, bracket: str, every_part: bool = False) -> str:
@@ -358,10 +386,18 @@ _NORMALIZED = f"""SELECT
         "AS permalinkEntry_content_size")}
 FROM documents"""
 
+#: Tokens as text again: quotes lose their inner space, then contractions, stops
+#: and brackets theirs.
 _RESTORED = f"array_to_string({tokens_raw('text')}, ' ')"
-for _old, _new in CLOSE_QUOTES:
-    _RESTORED = f"replace({_RESTORED}, {text(_old)}, {text(_new)})"
-for _pattern, _replacement in CLOSE_UP:
+for _pattern, _replacement in (
+    ("`` ?", '"'),
+    (" ?''", '"'),
+    ("` ?", "'"),
+    (" ([nN]'[tT])( |$)", "$1$2"),
+    (" ('[a-zA-Z])", "$1"),
+    (r" +([,.;:!?%)\]}])", "$1"),
+    (r"([(\[{$#]) +", "$1"),
+):
     _RESTORED = _replace(_RESTORED, _pattern, _replacement)
 
 _QUOTED_HTML = "replace(replace(html, '<b>', '<q>'), '<br>', '</q>')"
