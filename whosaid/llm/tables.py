@@ -2,51 +2,20 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
-_folders: dict[str, str] = {}
+from whosaid.sources.sinks import work_folder
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _hadoop_path(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    where = jvm.org.apache.hadoop.fs.Path(path)
-    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """This application's part of the folder that ``spark.checkpoint.dir`` names.
-
-    The driver and all executors share it, so that stored tables survive a lost
-    executor. It is deleted when the application ends. A local session without
-    the setting, as in tests, gets a folder of its own.
-    """
-    context = spark.sparkContext
-    if context.applicationId not in _folders:
-        base = context.getConf().get("spark.checkpoint.dir") or spark.conf.get(
-            "spark.checkpoint.dir", None
-        )
-        if not base:
-            if not context.master.startswith("local["):
-                raise ValueError("set spark.checkpoint.dir to a shared folder")
-            base = tempfile.mkdtemp(prefix="tables-")
-        folder = f"{base}/tables-{context.applicationId}"
-        files, where = _hadoop_path(spark, folder)
-        files.mkdirs(where)
-        files.deleteOnExit(where)
-        _folders[context.applicationId] = folder
-    return _folders[context.applicationId]
-
-
 def stored(df: DataFrame) -> DataFrame:
-    """The rows, computed once and kept as a table in the shared folder."""
-    path = f"{shared_folder(df.sparkSession)}/{uuid.uuid4().hex}"
+    """The rows, computed once and kept as a table in the shared folder that
+    ``spark.checkpoint.dir`` names, so that they survive a lost executor. The
+    table is deleted when the application ends."""
+    path = work_folder(df.sparkSession)
     df.write.parquet(path)
     kept = df.sparkSession.read.schema(df.schema).parquet(path)
     kept.stored_at = path
@@ -55,5 +24,7 @@ def stored(df: DataFrame) -> DataFrame:
 
 def drop(df: DataFrame) -> None:
     """Delete a stored table that no unread result needs."""
-    files, where = _hadoop_path(df.sparkSession, df.stored_at)
+    spark = df.sparkSession
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(df.stored_at)
+    files = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     files.delete(where, True)
