@@ -85,6 +85,21 @@ def test_sketches_never_differ_more_than_sets():
         assert bits <= len(np.setxor1d(a, b))
 
 
+def test_wide_sketches_of_sets_of_any_size():
+    rng = np.random.default_rng(4)
+    for n, m in ((1, 3), (100, 100), (100, 900), (3000, 2500), (5, 4000)):
+        s = np.unique(rng.integers(0, 2**64, n + m, dtype=np.uint64))
+        a, b = s[:n], s[n // 2 :]
+        distance = jaccard_join.sketch_distance(
+            jaccard_join.wide_sketch(a), jaccard_join.wide_sketch(b)
+        )
+        assert distance <= len(np.setxor1d(a, b))
+        same = jaccard_join.sketch_distance(
+            jaccard_join.wide_sketch(a), jaccard_join.wide_sketch(a)
+        )
+        assert same == 0 and (distance > 0 or n == 1)
+
+
 def test_words_of_very_long_texts_are_those_of_the_whole(monkeypatch):
     texts = [t.encode() for t in plain.odd_texts(seed=9) if t]
     whole = jaccard_join.word_hashes(texts)

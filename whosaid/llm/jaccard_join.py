@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -217,10 +217,28 @@ def sketch(s: np.ndarray) -> list[int]:
     return np.packbits(bits.astype(np.uint8)).view(np.int64).tolist()
 
 
+def wide_sketch(s: np.ndarray) -> bytes:
+    """Parity of the number of elements in each part of the domain, with four
+    parts or more per element."""
+    parts = 1 << max(9, (4 * len(s) - 1).bit_length())
+    at = (mix(s) & U(parts - 1)).astype(np.int64)
+    return np.packbits((np.bincount(at, minlength=parts) & 1).astype(np.uint8)).tobytes()
+
+
+def sketch_distance(x: bytes, y: bytes) -> int:
+    """The bits in which two wide sketches differ; the wider one is folded."""
+    a, b = np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)
+    while len(a) > len(b):
+        a = a[: len(a) // 2] ^ a[len(a) // 2 :]
+    while len(b) > len(a):
+        b = b[: len(b) // 2] ^ b[len(b) // 2 :]
+    return int(np.bitwise_count(a ^ b).sum())
+
+
 def prepared(docs: DataFrame, k: int, percent: int, segment_bytes: int) -> DataFrame:
     """One stored row per distinct text: node (its smallest doc_id), the ids of
     its rows, the size of its set, and, if a signature of it occurs elsewhere,
-    the set, its sketch and those signatures."""
+    the set, its two sketches and those signatures."""
     texts, count = segments(docs, segment_bytes)
 
     def signed(segment: pa.Table) -> Iterator[tuple[list, np.ndarray, np.ndarray]]:
@@ -251,6 +269,7 @@ def prepared(docs: DataFrame, k: int, percent: int, segment_bytes: int) -> DataF
                     "size": len(s),
                     "sketch": sketch(s) if len(sig) else None,
                     "sigs": sig.view(np.int64).tolist() if known else [],
+                    "wide": wide_sketch(s) if len(sig) and known else None,
                     "elements": s.tobytes() if len(sig) and known else None,
                 }
             )
@@ -263,6 +282,7 @@ def prepared(docs: DataFrame, k: int, percent: int, segment_bytes: int) -> DataF
                     ("size", pa.int64()),
                     ("sketch", pa.list_(pa.int64())),
                     ("sigs", pa.list_(pa.int64())),
+                    ("wide", pa.binary()),
                     ("elements", pa.binary()),
                 ]
             ),
@@ -274,7 +294,7 @@ def prepared(docs: DataFrame, k: int, percent: int, segment_bytes: int) -> DataF
         .applyInArrow(
             keep,
             "node long, ids array<long>, size long, sketch array<long>, "
-            "sigs array<long>, elements binary",
+            "sigs array<long>, wide binary, elements binary",
         )
     )
 
@@ -290,24 +310,44 @@ def may_link(a: str, b: str, percent: int) -> Column:
     return (F.abs(size_a - size_b) <= d) & (bits <= d)
 
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sets are similar enough, by the sets themselves."""
-    left = sets.select(F.col("node").alias("a"), F.col("elements").alias("x"))
-    right = sets.select(F.col("node").alias("b"), F.col("elements").alias("y"))
+def _passing(
+    pairs: DataFrame, texts: DataFrame, column: str, test: Callable[[dict, dict], bool]
+) -> DataFrame:
+    """The pairs (a, b) for which a test of the size and one column of each holds."""
+
+    def side(name: str) -> DataFrame:
+        row = F.struct("size", F.col(column).alias("value"))
+        return texts.select(F.col("node").alias(name), row.alias(f"row_{name}"))
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            good = []
-            for x, y in zip(batch.column("x"), batch.column("y")):
-                s = np.frombuffer(x.as_buffer(), U)
-                t = np.frombuffer(y.as_buffer(), U)
-                both = int(found(s, t).sum())
-                good.append(100 * both >= percent * (len(s) + len(t) - both))
+            rows = zip(batch.column("row_a"), batch.column("row_b"))
+            good = [test(x.as_py(), y.as_py()) for x, y in rows]
             yield batch.filter(pa.array(good, pa.bool_())).select(["a", "b"])
 
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(
-        check, "a long, b long"
-    )
+    joined = pairs.join(side("a"), "a").join(side("b"), "b")
+    return joined.select("a", "b", "row_a", "row_b").mapInArrow(check, "a long, b long")
+
+
+def verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose sets are similar enough.
+
+    Wide sketches, a tenth of the sets, tell most of the other pairs apart; the
+    sets themselves decide on the rest. ``pairs`` is stored in between, so that
+    sets move for those only.
+    """
+
+    def near(x: dict, y: dict) -> bool:
+        d = furthest(x["size"] + y["size"], percent)
+        return sketch_distance(x["value"], y["value"]) <= d
+
+    def similar(x: dict, y: dict) -> bool:
+        s, t = np.frombuffer(x["value"], U), np.frombuffer(y["value"], U)
+        both = int(found(s, t).sum())
+        return 100 * both >= percent * (len(s) + len(t) - both)
+
+    left = stored(_passing(pairs, texts, "wide", near))
+    return _passing(left, texts, "elements", similar)
 
 
 def jaccard_components(
@@ -327,7 +367,7 @@ def jaccard_components(
     """
     texts = prepared(docs, k, percent, segment_bytes)
     linked = texts.where("node is not null and size(sigs) > 0")
-    sets = linked.select("node", "elements")
+    sets = linked.select("node", "size", "wide", "elements")
     members = linked.select(
         F.explode(F.array_distinct("sigs")).alias("sig"),
         F.struct("node", "size", "sketch").alias("m"),
