@@ -368,23 +368,22 @@ def jaccard_components(
     texts = prepared(docs, k, percent, segment_bytes)
     linked = texts.where("node is not null and size(sigs) > 0")
     sets = linked.select("node", "size", "wide", "elements")
-    members = linked.select(
-        F.explode(F.array_distinct("sigs")).alias("sig"),
-        F.struct("node", "size", "sketch").alias("m"),
-    )
-    first = members.groupBy("sig").agg(F.min("m").alias("r"))
+    sketches = linked.select("node", F.struct("node", "size", "sketch").alias("m"))
+    members = linked.select(F.explode(F.array_distinct("sigs")).alias("sig"), "node")
+    first = members.groupBy("sig").agg(F.min("node").alias("a"))
+    pairs = members.join(first, "sig").where("node <> a").select("a", F.col("node").alias("b"))
     stars = (
-        members.join(first, "sig")
-        .where(F.col("m.node") != F.col("r.node"))
+        pairs.distinct()
+        .join(sketches.select(F.col("node").alias("a"), F.col("m").alias("r")), "a")
+        .join(sketches.select(F.col("node").alias("b"), "m"), "b")
         .where(may_link("m", "r", percent))
-        .select(F.col("r.node").alias("a"), F.col("m.node").alias("b"))
-        .distinct()
+        .select("a", "b")
     )
     links = stored(verified(stars, sets, percent))
 
     known = components(links)
-    placed = members.join(known, F.col("m.node") == F.col("node"), "left").select(
-        "sig", "m", F.coalesce("component", "m.node").alias("c")
+    placed = members.join(known, "node", "left").select(
+        "sig", "node", F.coalesce("component", "node").alias("c")
     )
     mixed = (
         placed.groupBy("sig")
@@ -392,7 +391,9 @@ def jaccard_components(
         .where("lo < hi")
         .select("sig")
     )
-    open_members = stored(placed.join(mixed, "sig"))
+    open_members = stored(
+        placed.join(mixed, "sig").join(sketches, "node").select("sig", "m", "c")
+    )
     a = open_members.select("sig", F.col("m").alias("p"), F.col("c").alias("ca"))
     b = open_members.select("sig", F.col("m").alias("q"), F.col("c").alias("cb"))
     rest = (
