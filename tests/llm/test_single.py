@@ -154,6 +154,51 @@ def test_licenses_are_found_with_their_spans(spark):
         licenses.build_index({"short": "a b"})
 
 
+NEAR = {
+    "Licensed under CC BY 4.0.": "CC-BY-4.0 short notice",
+    "Licensed under CC BY-SA 4.0.": "CC-BY-SA-4.0 notice",
+    "Licensed under CC BY-NC 4.0.": "CC-BY-NC-4.0 notice",
+    "Licensed under CC BY-NC-SA 3.0.": "CC-BY-NC-SA-3.0 notice",
+    "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International "
+    "License.": "CC-BY-NC-4.0 long notice",
+    "This work is licensed under a Creative Commons Attribution-Non-Commercial 4.0 International "
+    "License.": "CC-BY-NC-4.0 long notice",
+    "This work is licensed under the GNU General Public License, version 2.": "GPL-2.0 notice",
+    "This work is licensed under the GNU General Public License, version 3.0.": "GPL-3.0 notice",
+    "This work is licensed under the GNU General Public License v3.": "GPL-3.0 notice",
+    "This work is licensed under the GNU General Public License, version 3.1.": "GPL notice",
+    "This work is licensed under the GNU Lesser General Public License, version 3.":
+        "LGPL-3.0 notice",
+    "This work is licensed under the GNU Lesser General Public License, version 2.1.":
+        "LGPL-2.1 notice",
+    "This work is licensed under the GNU Affero General Public License, version 3.":
+        "AGPL-3.0 notice",
+    "Released under the BSD License.": "BSD notice",
+    "Released under the BSD 3-Clause License.": "BSD-3-Clause notice",
+    "Released under the MIT License.": "MIT notice",
+    "Licensed under the Apache License 2.0.": "Apache-2.0 notice",
+    "Licensed under the Apache License, Version 1.1.": "Apache-1.1 notice",
+    "All rights reserved.": "All rights reserved",
+    "Released under the Foo License.": None,
+    "Licensed under CC BY-XX 4.0.": None,
+}
+
+
+def test_near_variants_are_told_apart():
+    index = licenses.build_index(licenses.TEMPLATES, licenses.MARKS)
+    for text, name in NEAR.items():
+        for around in (text, f"w1 w2. {text} w3 4 w5"):
+            got = licenses.find_licenses(around, index, licenses.COVERAGE)
+            assert [m[0] for m in got] == [name] * (name is not None), (around, got)
+
+
+def test_every_template_finds_itself():
+    index = licenses.build_index(licenses.TEMPLATES, licenses.MARKS)
+    for name, text in licenses.TEMPLATES.items():
+        got = licenses.find_licenses(f"w1 {text} w2", index, licenses.COVERAGE)
+        assert [(m[0], m[1]) for m in got] == [(name, 1.0)], (name, got)
+
+
 def test_every_long_shared_run_hits_the_index():
     index = licenses.build_index(licenses.TEMPLATES)
     for template in index.templates:
