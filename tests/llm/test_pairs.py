@@ -236,6 +236,26 @@ def test_proximity(spark):
     assert sorted(map(tuple, rows)) == [(0, 0, 3), (2, 0, 2), (2, 1, 3), (3, 0, 3)]
 
 
+def test_proximity_of_windows_of_several_words(spark):
+    texts = ["a b c", "a b x c", "b a c", "c q b a", "a b x x x c", "a b", "z z a b x c a b c", None]
+    df = plain.frame(spark, texts, False)
+    items = [(1, "a b c"), (2, "b b a"), (3, "c")]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = {r.doc_id: (r.n_near, r.items) for r in decontaminate.near_passages(df, bench, 10, 4).collect()}
+
+    def stretches(words, wanted):
+        ends = set()
+        for end in range(1, len(words) + 1):
+            if words[end - 1] in wanted and wanted <= set(words[max(0, end - 4) : end]):
+                ends.add(end)
+        return len(ends)
+
+    for i, text in enumerate(texts):
+        n = {k: stretches((text or "").split(), set(t.split())) for k, t in items}
+        assert got[i] == (sum(n.values()), [str(k) for k in sorted(n) if n[k]]), text
+    assert got[1][1] == got[2][1] == ["1", "2", "3"] and got[4][1] == ["2", "3"]
+
+
 def test_decontamination_stays_in_the_jvm(spark):
     found = decontaminate.contamination(
         plain.frame(spark, ["a b"], False),

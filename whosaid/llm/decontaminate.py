@@ -13,6 +13,8 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 #: Words of a window.
 WINDOW = 10
+#: Words of a stretch that holds all words of a window in any order.
+WITHIN = 12
 #: The index's terms are broadcast up to this many; more of them are joined by
 #: a shuffle.
 BROADCAST_TERMS = 200_000
@@ -67,6 +69,13 @@ def terms_of(windows: DataFrame) -> DataFrame:
     )
 
 
+def words_as_terms(windows: DataFrame) -> DataFrame:
+    """Rows as of terms_of, with each single word as a term, whatever follows it."""
+    return windows.select(
+        "window", F.size("words").alias("length"), F.posexplode("words").alias("offset", "first")
+    ).withColumn("second", F.lit(None).cast("string"))
+
+
 def build_index(docs: DataFrame, terms: DataFrame) -> DataFrame:
     """The stored index: rows (row, doc_id, pos, term) for the given terms.
 
@@ -151,11 +160,52 @@ def phrase_matches(index: DataFrame, windows: DataFrame) -> DataFrame:
 def proximity_matches(index: DataFrame, windows: DataFrame, within: int) -> DataFrame:
     """Rows (row, window, start, end): all of a window's terms in any order
     within a stretch of ``within`` words, one row per smallest such stretch of
-    each end. ``windows`` as for phrase_matches; equal terms count once.
+    each end. ``windows`` as for phrase_matches; equal terms count once. For
+    windows of several words the terms have to be single words (``indexed`` with
+    ``near``): a pair is gone where a word is inserted or exchanged.
+
+    A window's terms are ranked by their postings. Only places of the rarest with
+    the second within the stretch are looked at; the postings of all terms are
+    joined to the blocks of ``within`` words around them.
     """
-    terms = windows.select("window", "term").distinct()
-    terms = terms.withColumn("terms", F.count("*").over(Window.partitionBy("window")))
-    hits = index.join(terms, "term").select("row", "window", "term", "terms", "pos")
+    counts = index.groupBy("term").agg(F.count("*").alias("n"))
+    listed = windows.select("window", "term").distinct()
+    listed = listed.withColumn("terms", F.count("*").over(Window.partitionBy("window")))
+    ranked = (
+        listed.join(counts, "term")
+        .withColumn("seen", F.count("*").over(Window.partitionBy("window")))
+        .withColumn("rank", F.row_number().over(Window.partitionBy("window").orderBy("n", "term")))
+        .where("seen = terms")
+        .select("window", "term", "terms", "rank")
+    )
+
+    def block(pos: str | Column) -> Column:
+        return F.floor(F.col(pos) / within)
+
+    blocks = F.explode(F.sequence(block("at") - 1, block("at") + 1)).alias("block")
+    rarest = (
+        index.join(ranked.where("rank = 1"), "term")
+        .select("row", "window", "terms", F.col("pos").alias("at"))
+        .select("row", "window", "terms", "at", blocks)
+    )
+    second = index.join(ranked.where("rank = 2").select("term", "window"), "term").select(
+        "row", "window", block("pos").alias("block"), "pos"
+    )
+    places = ["row", "window", "block"]
+    both = (
+        rarest.where("terms > 1")
+        .join(second, places)
+        .where(F.abs(F.col("pos") - F.col("at")) < within)
+        .select("row", "window", "terms", "at")
+        .distinct()
+        .select("row", "window", "terms", "at", blocks)
+    )
+    wanted = rarest.where("terms = 1").union(both).select(*places, "terms").distinct()
+    hits = (
+        wanted.join(ranked.select("window", "term"), "window")
+        .join(index.withColumn("block", block("pos")), ["row", "block", "term"])
+        .select("row", "window", "term", "terms", "pos")
+    )
     near = (
         Window.partitionBy("row", "window").orderBy("pos").rangeBetween(-(within - 1), 0)
     )
@@ -181,15 +231,19 @@ def proximity_matches(index: DataFrame, windows: DataFrame, within: int) -> Data
 
 
 def indexed(
-    docs: DataFrame, benchmark: DataFrame, window: int = WINDOW
+    docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, near: bool = False
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """The index, the windows' terms as rows (window, length, offset, term,
-    terms), and the items of each window as rows (window, item_id)."""
+    terms), and the items of each window as rows (window, item_id).
+
+    With ``near`` the terms are single words, for proximity_matches; without, a
+    word with its successor, which exact phrases need fewer postings of.
+    """
     listed = test_windows(benchmark, window)
     numbered = stored(
         listed.select("words").distinct().withColumn("window", F.monotonically_increasing_id())
     )
-    pairs = terms_of(numbered)
+    pairs = words_as_terms(numbered) if near else terms_of(numbered)
     terms = stored(
         pairs.select("first", "second")
         .distinct()
@@ -211,6 +265,40 @@ def indexed(
     return build_index(docs, terms), windows, items
 
 
+def near_passages(
+    docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, within: int = WITHIN
+) -> DataFrame:
+    """Rows (row, doc_id, n_near, items) for each row of (doc_id, text).
+
+    n_near counts the stretches of at most ``within`` words that hold all
+    distinct words of a window of a benchmark item in any order, the smallest of
+    each end and window; items are the sorted ids of the items with such a
+    window. Words may be inserted or exchanged.
+    """
+    index, windows, items = indexed(docs, benchmark, window, near=True)
+    matches = stored(proximity_matches(index, windows, within))
+    n_near = matches.groupBy("row").agg(F.count("*").alias("n_near"))
+    seen = (
+        matches.select("row", "window")
+        .distinct()
+        .join(items, "window")
+        .groupBy("row")
+        .agg(F.array_sort(F.collect_set("item_id")).alias("items"))
+    )
+    return (
+        index.where("term = -1")
+        .select("row", "doc_id")
+        .join(n_near, "row", "left")
+        .join(seen, "row", "left")
+        .select(
+            "row",
+            "doc_id",
+            F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near"),
+            F.coalesce("items", F.array().cast("array<string>")).alias("items"),
+        )
+    )
+
+
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """Rows (row, doc_id, n_words, n_hit, items) for each row of (doc_id, text).
 

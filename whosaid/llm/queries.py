@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from whosaid.llm.chat import as_records, canonical_turns, digests, format_chats
-from whosaid.llm.decontaminate import contamination
+from whosaid.llm.decontaminate import contamination, near_passages
 from whosaid.llm.fingerprints import fingerprints
 from whosaid.llm.jaccard_join import jaccard_components
 from whosaid.llm.licenses import license_matches
@@ -130,6 +130,17 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_proximity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with all words of a window of a benchmark item close together."""
+    found = near_passages(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_near",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+    )
+
+
 def mixture_levels() -> list[Level]:
     """A tree over documents: four domains by the source's number, then
     languages, then sources."""
@@ -170,4 +181,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_mixing": op10_mixing,
 }
 
+#: Further results of the same operators, beside the columns of their contracts.
+MORE: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op9_proximity": op9_proximity}
+
 ORACLES: dict[str, str] = dict(SQL)
