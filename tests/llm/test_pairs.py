@@ -27,6 +27,30 @@ def test_jaccard_join_against_all_pairs(spark, k, percent):
     assert [r[2] for r in rows if r[0] is None] == [None]
 
 
+@pytest.mark.parametrize("meeting", [3, 500])
+def test_links_against_all_pairs(spark, monkeypatch, meeting):
+    monkeypatch.setattr(jaccard_join, "MEETING", meeting)
+    texts = plain.odd_texts(seed=5, count=25)
+    base = [f"b{i}" for i in range(60)]
+    texts += [" ".join([*base[:i], "new", *base[i + 1 :]]) for i in range(12)]
+    other = spark.createDataFrame([(10, " ".join(base))], "doc_id long, text string")
+    df = plain.frame(spark, texts).select("doc_id", "text").union(other)
+    got = jaccard_join.jaccard_degrees(df, 3, 80, segment_bytes=2000).collect()
+    rows = [(r.doc_id, plain.shingles(r.text, 3)) for r in df.collect()]
+
+    def near(s, t):
+        return bool(s & t) and 100 * len(s & t) >= 80 * len(s | t)
+
+    want = Counter(
+        (i, len(s), None if i is None else sum(near(s, t) for j, t in rows if j is not None) - bool(s))
+        for i, s in rows
+    )
+    assert Counter((r.doc_id, r.n_shingles, r.n_links) for r in got) == want
+    assert max(r.n_links or 0 for r in got) >= 12
+    same = jaccard_components(df, 3, 80, segment_bytes=2000).collect()
+    assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in got) == Counter(map(tuple, same))
+
+
 def test_jaccard_join_at_the_threshold(spark):
     # 19 of 21 is above nine tenths, 18 of 20 equals it, 17 of 19 is below.
     texts = []

@@ -8,6 +8,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -236,34 +237,35 @@ def sketch_distance(x: bytes, y: bytes) -> int:
 
 
 def prepared(docs: DataFrame, k: int, percent: int, segment_bytes: int) -> DataFrame:
-    """One stored row per distinct text: node (its smallest doc_id), the ids of
-    its rows, the size of its set, and, if a signature of it occurs elsewhere,
-    the set, its two sketches and those signatures."""
+    """One stored row per distinct text: key (a hash of it), node (its smallest
+    doc_id), the ids of its rows, the size of its set, and, if a signature of it
+    occurs elsewhere, the set, its two sketches and those signatures."""
     texts, count = segments(docs, segment_bytes)
 
-    def signed(segment: pa.Table) -> Iterator[tuple[list, np.ndarray, np.ndarray]]:
+    def signed(segment: pa.Table) -> Iterator[tuple[bytes, list, np.ndarray, np.ndarray]]:
         cache: dict = {}
         texts_ = merged(segment)
-        for ids, s in zip(texts_.values(), shingle_sets(list(texts_), k)):
-            yield ids, s, signatures(s, percent, cache) if len(s) else s
+        for (text, ids), s in zip(texts_.items(), shingle_sets(list(texts_), k)):
+            yield text, ids, s, signatures(s, percent, cache) if len(s) else s
 
     def keys_of(segment: pa.Table) -> np.ndarray:
-        return np.unique(np.concatenate([sig for _, _, sig in signed(segment)]))
+        return np.unique(np.concatenate([sig for *_, sig in signed(segment)]))
 
     answers = repeated_keys(texts, keys_of, count)
 
     def keep(segment: pa.Table, answer: pa.Table) -> pa.Table:
         all_signed = list(signed(segment))
         keys, times = np.unique(
-            np.concatenate([sig for _, _, sig in all_signed]), return_counts=True
+            np.concatenate([sig for *_, sig in all_signed]), return_counts=True
         )
         shared = keys[flags(answer) | (times > 1)] if len(keys) else keys
         rows = []
-        for ids, s, sig in all_signed:
+        for text, ids, s, sig in all_signed:
             sig = sig[found(sig, shared)]
             known = [i for i in ids if i is not None]
             rows.append(
                 {
+                    "key": xxhash.xxh64_intdigest(text, seed=1) - (1 << 63),
                     "node": min(known) if known else None,
                     "ids": ids,
                     "size": len(s),
@@ -277,6 +279,7 @@ def prepared(docs: DataFrame, k: int, percent: int, segment_bytes: int) -> DataF
             rows,
             schema=pa.schema(
                 [
+                    ("key", pa.int64()),
                     ("node", pa.int64()),
                     ("ids", pa.list_(pa.int64())),
                     ("size", pa.int64()),
@@ -293,7 +296,7 @@ def prepared(docs: DataFrame, k: int, percent: int, segment_bytes: int) -> DataF
         .cogroup(answers.groupBy("seg"))
         .applyInArrow(
             keep,
-            "node long, ids array<long>, size long, sketch array<long>, "
+            "key long, node long, ids array<long>, size long, sketch array<long>, "
             "sigs array<long>, wide binary, elements binary",
         )
     )
@@ -350,6 +353,103 @@ def verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     return _passing(left, texts, "elements", similar)
 
 
+#: Members of a signature that meet in one task of a join of all with all.
+MEETING = 500
+
+
+def _met(members: DataFrame) -> DataFrame:
+    """Rows (p, q): all pairs of members (sig, m) of one signature, the one with
+    the smaller m.node first; once for each signature that they share.
+
+    A signature with many members is dealt into blocks, and each pair of blocks
+    is a key of its own: no task gets more than a few blocks of a hot one.
+    """
+    counts = members.groupBy("sig").agg(F.ceil(F.count("*") / MEETING).alias("blocks"))
+    dealt = stored(
+        members.join(counts, "sig").withColumn(
+            "block", F.pmod(F.xxhash64("m.node"), F.col("blocks"))
+        )
+    )
+    others = F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)
+    a = dealt.select("sig", F.col("block").alias("i"), F.explode(others).alias("j"), F.col("m").alias("p"))
+    b = dealt.select("sig", F.explode(others).alias("i"), F.col("block").alias("j"), F.col("m").alias("q"))
+    return a.join(b, ["sig", "i", "j"]).where("p.node < q.node")
+
+
+def jaccard_links(
+    docs: DataFrame, k: int = 5, percent: int = 80, segment_bytes: int = 4 << 20
+) -> tuple[DataFrame, DataFrame]:
+    """All verified links between distinct texts, and the texts.
+
+    The links are stored rows (a, b) of two keys with a < b, each once, those
+    within a component too. The texts are rows (key, node, ids, size): key is a
+    hash of the text, ids are the doc_ids of its rows, which are copies of each
+    other, node is the smallest of them. Texts without words or without a row
+    that has a doc_id have no links. A family of n texts has up to the square of
+    n links; that many are compared.
+    """
+    texts = prepared(docs, k, percent, segment_bytes)
+    linked = texts.where("node is not null and size(sigs) > 0").select(
+        F.col("key").alias("node"), "size", "sketch", "sigs", "wide", "elements"
+    )
+    members = linked.select(
+        F.explode(F.array_distinct("sigs")).alias("sig"), F.struct("node", "size", "sketch").alias("m")
+    )
+    pairs = (
+        _met(members)
+        .where(may_link("p", "q", percent))
+        .select(F.col("p.node").alias("a"), F.col("q.node").alias("b"))
+        .distinct()
+    )
+    return stored(verified(pairs, linked, percent)), texts.select("key", "node", "ids", "size")
+
+
+def jaccard_degrees(
+    docs: DataFrame, k: int = 5, percent: int = 80, segment_bytes: int = 4 << 20
+) -> DataFrame:
+    """Rows (doc_id, n_shingles, component_id, n_links) for each row of (doc_id, text).
+
+    n_links counts the other rows with a doc_id whose set is similar enough,
+    copies included; the other columns are those of jaccard_components. Rows
+    without a doc_id have null links, rows without words none.
+    """
+    links, texts = jaccard_links(docs, k, percent, segment_bytes)
+    rows = F.size(F.filter("ids", lambda i: i.isNotNull()))
+    own = texts.select("key", "node", rows.cast("long").alias("rows"))
+    both = links.union(links.select("b", "a"))
+    others = (
+        both.join(own.select(F.col("key").alias("b"), "rows"), "b")
+        .groupBy(F.col("a").alias("key"))
+        .agg(F.sum("rows").alias("others"))
+    )
+    labels = components(
+        links.join(own.select(F.col("key").alias("a"), F.col("node").alias("na")), "a")
+        .join(own.select(F.col("key").alias("b"), F.col("node").alias("nb")), "b")
+        .select(F.col("na").alias("a"), F.col("nb").alias("b"))
+    )
+    n_links = F.coalesce("others", F.lit(0)) + rows - 1
+    counted = texts.join(others, "key", "left").withColumn(
+        "links", F.when(F.col("size") == 0, F.lit(0)).otherwise(n_links).cast("long")
+    )
+    return (
+        counted.join(labels, "node", "left")
+        .select(
+            F.explode("ids").alias("doc_id"),
+            F.col("size").alias("n_shingles"),
+            F.coalesce("component", "node").alias("component"),
+            "links",
+        )
+        .select(
+            "doc_id",
+            "n_shingles",
+            F.when(F.col("n_shingles") == 0, F.col("doc_id"))
+            .when(F.col("doc_id").isNotNull(), F.col("component"))
+            .alias("component_id"),
+            F.when(F.col("doc_id").isNotNull(), F.col("links")).alias("n_links"),
+        )
+    )
+
+
 def jaccard_components(
     docs: DataFrame, k: int = 5, percent: int = 80, segment_bytes: int = 4 << 20
 ) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from whosaid.llm.chat import as_records, canonical_turns, digests, format_chats
 from whosaid.llm.decontaminate import contamination, near_passages
 from whosaid.llm.fingerprints import fingerprints
-from whosaid.llm.jaccard_join import jaccard_components
+from whosaid.llm.jaccard_join import jaccard_components, jaccard_degrees
 from whosaid.llm.licenses import license_matches
 from whosaid.llm.mixing import Level, mixed
 from whosaid.llm.quality import THRESHOLD, held_out, measured, scored_statistics, train
@@ -29,6 +29,11 @@ def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"), k=3, percent=90)
 
 
+def op1_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same, with each document's number of links."""
+    return jaccard_degrees(table(spark, sf_dir, "documents"), k=3, percent=90)
+
+
 def shard_dims() -> list[Column]:
     """The metadata of documents by which shards are cut."""
     return [
@@ -182,6 +187,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 #: Further results of the same operators, beside the columns of their contracts.
-MORE: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op9_proximity": op9_proximity}
+MORE: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_links": op1_links,
+    "op9_proximity": op9_proximity,
+}
 
 ORACLES: dict[str, str] = dict(SQL)
