@@ -13,7 +13,7 @@ from whosaid.llm.mixing import mixed
 from whosaid.llm.quality import THRESHOLD, measured, scored, train
 from whosaid.llm.queries import mixture_levels, shard_dims
 from whosaid.llm.sharding import shards
-from whosaid.llm.tables import stored, table
+from whosaid.llm.tables import numbered, stored, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -32,19 +32,32 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group that shares four fifths of its five-word
-    shingles: the one with the smallest doc_id. Documents without words or
-    without an id stay."""
-    groups = jaccard_components(docs, k=5, percent=80)
-    dropped = groups.where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(dropped, "doc_id", "left_anti").select(docs.columns)
+    """One row of each group that shares four fifths of its five-word shingles:
+    the one with the smallest doc_id, and of several the first. Rows without a
+    doc_id come last in their group; documents without words stay."""
+    rows = numbered(docs, "_row")
+    groups = jaccard_components(
+        rows.select(F.col("_row").alias("doc_id"), "text"), k=5, percent=80
+    ).select(F.col("doc_id").alias("_row"), "component_id")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row")
+    kept = (
+        groups.join(rows.select("_row", "doc_id"), "_row")
+        .groupBy("component_id")
+        .agg(F.min(order)["_row"].alias("_row"))
+    )
+    dropped = stored(rows.select("_row").join(kept, "_row", "left_anti"))
+    return rows.join(dropped, "_row", "left_anti").select(docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a passage of ten words of a benchmark item."""
-    found = contamination(docs, table(spark, sf_dir, "benchmark"))
-    dropped = found.where("n_hit > 0").select("doc_id").distinct()
-    return docs.join(dropped, "doc_id", "left_anti").select(docs.columns)
+    """Rows without a passage of ten words of a benchmark item, each by its own
+    text, whatever its doc_id."""
+    rows = numbered(docs, "_row")
+    found = contamination(
+        rows.select(F.col("_row").alias("doc_id"), "text"), table(spark, sf_dir, "benchmark")
+    )
+    dropped = found.where("n_hit > 0").select(F.col("doc_id").alias("_row"))
+    return rows.join(dropped, "_row", "left_anti").select(docs.columns)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -72,6 +72,34 @@ def test_pipeline_stages(spark):
     assert max(size) <= 1.1 * min(size)
 
 
+@pytest.mark.parametrize("as_table", [True, False])
+def test_stages_decide_by_row(spark, as_table):
+    bench = spark.read.parquet(f"{SF}/benchmark.parquet").where("length(text) > 100").first().text
+    near = " ".join(f"n{i}" for i in range(100))
+    rows = [
+        (3, "one two three"), (3, "one two three"), (3, "one two three"),
+        (None, "four five six"), (None, "four five six"), (None, "one two three"),
+        (5, near + " x"), (4, near + " y"), (None, near + " z"), (4, near + " y"), (6, near),
+        (7, "seven"), (7, "eight"), (8, None), (8, ""), (None, ""),
+        (9, "w " + bench), (9, "clean nine"), (None, "v " + bench + " v v v v v v v v v v v v v v"),
+        (None, "clean none"),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    docs = stored(docs.repartition(3)) if as_table else docs
+    stages = dict(corpus_pipeline.STAGES)
+
+    def listed(df):
+        return sorted(map(tuple, df.collect()), key=repr)
+
+    clean = listed(stages["benchmark decontamination"](spark, docs, SF))
+    assert clean == sorted((r for r in rows if bench not in (r[1] or "")), key=repr)
+    single = listed(stages["n-gram Jaccard join"](spark, docs, SF))
+    assert [r for r in single if bench not in (r[1] or "")] == sorted([
+        (3, "one two three"), (None, "four five six"), (4, near + " y"), (7, "seven"),
+        (7, "eight"), (8, None), (8, ""), (None, ""), (9, "clean nine"), (None, "clean none"),
+    ], key=repr)
+
+
 def test_run_is_its_stages(spark):
     assert corpus_pipeline.ORACLE_SQL is None and len(corpus_pipeline.STAGES) == 5
     rows = corpus_pipeline.run(spark, SF)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
 from whosaid.sources.sinks import work_folder
 
@@ -22,6 +24,30 @@ def stored(df: DataFrame) -> DataFrame:
     return kept
 
 
+def numbered(df: DataFrame, name: str) -> DataFrame:
+    """The rows with a number each in column ``name``, which is the same whenever
+    and in whatever parts they are read: that of the file, and the row's in it.
+    What is no table of Parquet files as it stands is stored first."""
+    place = ["_metadata.file_path", "_metadata.row_index"]
+    try:
+        df.select(*place)
+        whole = df._jdf.queryExecution().analyzed().getClass().getSimpleName() == "LogicalRelation"
+    except AnalysisException:
+        whole = False
+    if not whole:
+        df = stored(df)
+    path, index = f"{name}_path", f"{name}_index"
+    files = stored(
+        df.select(F.col(place[0]).alias(path))
+        .distinct()
+        .withColumn(name, F.row_number().over(Window.orderBy(path)).cast("long"))
+    )
+    rows = df.select("*", F.col(place[0]).alias(path), F.col(place[1]).alias(index))
+    return rows.join(F.broadcast(files), path).select(
+        *df.columns, (F.col(name) * (1 << 40) + F.col(index)).alias(name)
+    )
+
+
 def drop(df: DataFrame) -> None:
     """Delete a stored table that no unread result needs."""
     spark = df.sparkSession
