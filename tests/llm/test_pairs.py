@@ -208,6 +208,20 @@ def test_repeats_across_blocks_of_a_long_text(spark, monkeypatch):
     repeats_agree(spark, texts, 200)
 
 
+def test_repeated_tails_of_texts_that_end_behind_a_block(spark, monkeypatch):
+    rng = random.Random(7)
+    monkeypatch.setattr(suffix_dedup, "BLOCK", 256)
+    texts = []
+    for blocks in (1, 2):
+        for rest in (127, 128, 151, 175, 199, 200):
+            for tail in (200, 235, 270):
+                n = blocks * 256 + rest
+                text = "".join(rng.choice("abcdefgh") for _ in range(n))
+                before = "".join(rng.choice("abcdefgh") for _ in range(rng.randrange(300)))
+                texts += [text, before + text[-tail:]]
+    repeats_agree(spark, texts, 200, segment_bytes=20_000)
+
+
 def test_repeated_rows_are_repeats(spark):
     df = plain.frame(spark, ["a" * 20 + str(i) * 300 for i in range(5)])
     rows = remove_repeats(df).select("doc_id", F.octet_length("kept").alias("n")).collect()

@@ -61,16 +61,17 @@ def _ranges(first: np.ndarray, last: np.ndarray) -> np.ndarray:
 
 
 class Pieces:
-    """Some pieces of texts, end to end: (text number, offset, bytes).
+    """Some pieces of texts, end to end: (text number, offset, bytes, whether a
+    further piece of the text follows).
 
     Only the prefix sums have an entry per byte; places are computed for the
     cover samples, and for window starts near those that are shared.
     """
 
-    def __init__(self, parts: list[tuple[int, int, bytes]], length: int) -> None:
+    def __init__(self, parts: list[tuple[int, int, bytes, bool]], length: int) -> None:
         self.parts, self.length = parts, length
-        buf = np.frombuffer(b"".join(p for _, _, p in parts), np.uint8)
-        self.sizes = np.array([len(p) for _, _, p in parts])
+        buf = np.frombuffer(b"".join(p for _, _, p, _ in parts), np.uint8)
+        self.sizes = np.array([len(p) for _, _, p, _ in parts])
         self.starts = np.cumsum(self.sizes) - self.sizes
         power, self.inverse = powers(len(buf))
         self.prefix = np.zeros(len(buf) + 1, U)
@@ -85,9 +86,9 @@ class Pieces:
         depth = self.length - PERIOD + 1
         cover = np.array(COVER)
         at, pieces_ = [], []
-        for number, (_, offset, part) in enumerate(self.parts):
+        for number, (_, offset, part, more) in enumerate(self.parts):
             last = len(part) - depth
-            if not lookahead:
+            if more and not lookahead:
                 last = min(last, BLOCK - 1)
             shift = offset % PERIOD
             rounds = np.arange(0, last + shift + 1, PERIOD)
@@ -125,7 +126,8 @@ def pieces(texts: list[bytes], length: int) -> Iterator[Pieces]:
             if parts and size + len(part) > BLOCK + length:
                 yield Pieces(parts, length)
                 parts, size = [], 0
-            parts.append((number, offset, part))
+            more = offset + BLOCK < len(text) - length + 1
+            parts.append((number, offset, part, more))
             size += len(part)
     if parts:
         yield Pieces(parts, length)
@@ -229,7 +231,7 @@ def remove_repeats(
             last = at[np.append(breaks, len(at) - 1)]
             owners = block.piece_of(first).tolist()
             for a, b, p in zip(first.tolist(), last.tolist(), owners):
-                number, offset, _ = block.parts[p]
+                number, offset, *_ = block.parts[p]
                 base = offset - int(block.starts[p])
                 covered.setdefault(number, []).append((a + base, b + base + length))
         out: dict[str, list] = {c: [] for c in ("doc_id", "n_bytes", "spans", "kept")}
