@@ -296,6 +296,47 @@ def test_layouts_become_turns(spark):
         assert [(r.role, r.text) for r in got if r.conv_id == i] == [(None, None)]
 
 
+def test_optional_keys_and_unread_records(spark):
+    records = [
+        ('{"id": 7, "prompt": "p", "completion": "c", "metadata": {"a": [1]}}', [("user", "p"), ("assistant", "c")]),
+        ('{"messages": [{"role": "user", "content": "u"}, {"role": "bot", "content": "a", "weight": 0}]}',
+         [("user", "u"), ("assistant", "a")]),
+        ('{"prompt": "p", "completion": "c", "rejected": "r"}', None),
+        ('{"messages": ["u", "a"]}', None),
+        ('{"messages": [{"role": "user", "content": "u"}, "a"]}', None),
+        ("no json", None),
+    ]
+    df = spark.createDataFrame(
+        [(i, 0, r) for i, (r, _) in enumerate(records)], "conv_id long, turn long, record string"
+    )
+    turns = chat.canonical_turns(df, ["conv_id", "turn"])
+    got = turns.orderBy("conv_id", "part").collect()
+    for i, (record, want) in enumerate(records):
+        rows = [(r.role, r.text, r.unread) for r in got if r.conv_id == i]
+        assert rows == ([(*w, None) for w in want] if want else [(None, None, record)])
+    with pytest.raises(Exception, match="no known layout"):
+        chat.format_chats(turns).collect()
+    assert len(chat.format_chats(turns.where("unread is null")).collect()) == 2
+
+
+def test_conversations_are_dealt_to_all_layouts(spark):
+    shapes = ["ua", "sua", "uua", "suua", "uaua", "a", "u" * 70 + "a"]
+    names = {"u": "user", "s": "system", "a": "assistant"}
+    rows = [
+        (6 * n + kind, t, names[c], f"{n} {t} <|end|>")
+        for n, shape in enumerate(shapes) for kind in range(6) for t, c in enumerate(shape)
+    ]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    turns = chat.canonical_turns(chat.as_records(df), ["conv_id", "turn"])
+    layouts = {"message", "value", "nested", "prompt", "instruction", "messages", "conversations"}
+    assert {r.layout for r in turns.select("layout").distinct().collect()} == layouts
+    got = {r.conv_id: chat.read_back(r.formatted) for r in chat.format_chats(turns).collect()}
+    want = {}
+    for conv_id, _, role, text in rows:
+        want.setdefault(conv_id, []).append((role, text))
+    assert got == want
+
+
 def test_formatted_chats_are_read_back(spark):
     rows = [
         (1, 1, "assistant", "</s>[INST]\\"), (1, 0, "user", None), (1, 2, "assistant", "é😀"),

@@ -124,6 +124,21 @@ LAYOUTS: dict[str, Mapping] = {
 }
 
 
+#: Keys that say something about a record or a turn and are no text of it. Their
+#: paths, and those below them, do not count for a layout.
+OPTIONAL = frozenset(
+    "id uuid conversation_id message_id parent_id index source dataset origin url license lang "
+    "language weight score rating timestamp created_at date metadata meta tags category".split()
+)
+
+
+def _counted(paths: set[str]) -> set[str]:
+    """The paths without those of optional keys."""
+    return {
+        p for p in paths if not any(k.removesuffix("[]") in OPTIONAL for k in p.split("."))
+    }
+
+
 def _at(value: object, path: str) -> object:
     for key in path.split("."):
         value = value.get(key) if isinstance(value, dict) else None
@@ -135,7 +150,8 @@ def _spelled(value: object) -> str:
 
 
 def turns_of(record: object, mapping: Mapping) -> Iterator[tuple[str, str]]:
-    """The canonical (role, text) turns of a record."""
+    """The canonical (role, text) turns of a record; an item of a list that is
+    no record is refused."""
     for path, role in mapping.fields:
         text = _at(record, path)
         if text is not None:
@@ -143,6 +159,8 @@ def turns_of(record: object, mapping: Mapping) -> Iterator[tuple[str, str]]:
     if mapping.turns is not None:
         items = _at(record, mapping.turns) if mapping.turns else [record]
         for item in items or []:
+            if not isinstance(item, dict):
+                raise ValueError("a turn is no record")
             role = _spelled(_at(item, mapping.role))
             yield ROLES.get(role, role), _spelled(_at(item, mapping.text))
 
@@ -153,19 +171,21 @@ def canonical_turns(
     record: str = "record",
     layouts: dict[str, Mapping] | None = None,
 ) -> DataFrame:
-    """The columns ``keep`` and (layout, part, role, text): a row per turn of
-    each JSON record, numbered by ``part`` within the record.
-
-    A record's layout is looked up by the fingerprint of its nested field paths.
-    A record that is null, no JSON or of no known layout has one row with null
-    role and text, and the fingerprint as its layout (null without any), so that
-    nothing is lost. A known record without turns has no rows. A null text is
-    empty text.
+    """The columns ``keep`` and (layout, part, role, text, unread): a row per turn
+    of each JSON record, numbered by ``part`` within the record.
+
+    A record's layout is looked up by the fingerprint of its nested field paths,
+    and if that is unknown, of those without the paths of optional keys. A record
+    that is null, no JSON or of no known layout has one row with null role and
+    text, the fingerprint as its layout (null without any), and the whole record
+    in ``unread`` (empty for a null), so that nothing is lost; ``unread`` is null
+    in other rows. A known record without turns has no rows. A null text is empty
+    text.
     """
     known = dict(LAYOUTS if layouts is None else layouts)
     given = records.select(*keep, F.col(record).alias("_record"))
     schema = given.drop("_record").schema
-    for field in ("layout", "part", "role", "text"):
+    for field in ("layout", "part", "role", "text", "unread"):
         schema = schema.add(field, "integer" if field == "part" else "string")
 
     def convert(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -178,23 +198,28 @@ def canonical_turns(
                 except ValueError:
                     value = None
                 if value is None:
-                    rows.append((i, None, 0, None, None))
+                    rows.append((i, None, 0, None, None, text or ""))
                     continue
                 paths = frozenset(paths_of(value))
                 if paths not in seen:
                     seen[paths] = schema_fingerprint(set(paths))
                 mapping = known.get(seen[paths])
                 if mapping is None:
-                    rows.append((i, seen[paths], 0, None, None))
+                    mapping = known.get(schema_fingerprint(_counted(set(paths))))
+                try:
+                    turns = None if mapping is None else list(turns_of(value, mapping))
+                except ValueError:
+                    turns = None
+                if turns is None:
+                    rows.append((i, seen[paths], 0, None, None, text))
                     continue
-                turns = turns_of(value, mapping)
-                rows += [(i, mapping.name, n, r, t) for n, (r, t) in enumerate(turns)]
-            at, *values = zip(*rows) if rows else ([], [], [], [], [])
+                rows += [(i, mapping.name, n, r, t, None) for n, (r, t) in enumerate(turns)]
+            at, *values = zip(*rows) if rows else ([], [], [], [], [], [])
             kept = batch.select(list(keep)).take(pa.array(at, pa.int64()))
-            types = (pa.string(), pa.int32(), pa.string(), pa.string())
+            types = (pa.string(), pa.int32(), pa.string(), pa.string(), pa.string())
             yield pa.RecordBatch.from_arrays(
                 [*kept.columns, *(pa.array(v, t) for v, t in zip(values, types))],
-                [*keep, "layout", "part", "role", "text"],
+                [*keep, "layout", "part", "role", "text", "unread"],
             )
 
     return given.mapInArrow(convert, schema)
@@ -234,7 +259,10 @@ FORMATTED = pa.schema(
 
 def format_chats(turns: DataFrame, learned: Sequence[str] = ("assistant",)) -> DataFrame:
     """Rows (conv_id, formatted, loss_mask), one per conversation of the rows
-    (conv_id, turn, part, role, text).
+    (conv_id, turn, part, role, text), and ``unread`` if there is such a column.
+
+    A row with a record that was not read fails the job: an empty turn would
+    stand for its texts. Take such rows apart by ``unread is not null`` first.
 
     Turns are in the order of (turn, part), then role and text. The mask's spans
     are the code points of the formatted text that hold texts of the ``learned``
@@ -242,13 +270,22 @@ def format_chats(turns: DataFrame, learned: Sequence[str] = ("assistant",)) -> D
     conv_id are one conversation. Rows are sorted by Spark and read one at a
     time; a conversation is as large as its text, and no more than one is held.
     """
+    text = F.coalesce("text", F.lit(""))
+    if "unread" in turns.columns:
+        said = F.concat(
+            F.lit("a record of no known layout in conversation "),
+            F.coalesce(F.col("conv_id").cast("string"), F.lit("null")),
+            F.lit(": "),
+            F.substring("unread", 1, 200),
+        )
+        text = F.when(F.col("unread").isNull(), text).otherwise(F.raise_error(said))
     ordered = (
         turns.select(
             F.col("conv_id").cast("long").alias("conv_id"),
             "turn",
             "part",
             F.coalesce("role", F.lit("")).alias("role"),
-            F.coalesce("text", F.lit("")).alias("text"),
+            text.alias("text"),
         )
         .repartition("conv_id")
         .sortWithinPartitions("conv_id", "turn", "part", "role", "text")
@@ -328,21 +365,81 @@ def digests(chats: DataFrame) -> DataFrame:
     )
 
 
+#: Turns of a conversation that are written as one record at most.
+TOGETHER = 64
+
+
 def as_records(rows: DataFrame) -> DataFrame:
-    """Rows (conv_id, turn, record): turns by row as JSON in three layouts, by
-    conversation, as they come from different sources."""
-    role = F.coalesce("role", F.lit(""))
-    text = F.coalesce("text", F.lit(""))
-    plain = F.to_json(F.struct(role.alias("role"), text.alias("content")))
-    shared = F.to_json(F.struct(role.alias("from"), text.alias("value")))
+    """Rows (conv_id, turn, record): turns by row as JSON in several layouts, by
+    conversation, as they come from different sources.
+
+    Half of the conversations are records of one turn each, in three layouts. The
+    others are one record: a prompt or an instruction where the roles fit, else a
+    list of messages or of conversations. Those of more than ``TOGETHER`` turns
+    or without an id are records of single turns.
+    """
+    turns = rows.select(
+        "conv_id",
+        "turn",
+        F.coalesce("role", F.lit("")).alias("role"),
+        F.coalesce("text", F.lit("")).alias("text"),
+    )
+    kind: Column = F.pmod(F.coalesce(F.col("conv_id"), F.lit(0)), F.lit(6))
+    whole = (
+        turns.where(kind >= 3)
+        .groupBy(F.col("conv_id").alias("whole"))
+        .agg(F.count("*").alias("n"))
+        .where(F.col("whole").isNotNull() & (F.col("n") <= TOGETHER))
+    )
+    turns = turns.join(whole, F.col("conv_id") == F.col("whole"), "left")
+
+    plain = F.to_json(F.struct("role", F.col("text").alias("content")))
+    shared = F.to_json(F.struct(F.col("role").alias("from"), F.col("text").alias("value")))
     nested = F.to_json(
         F.struct(
-            F.struct(
-                F.struct(role.alias("role")).alias("author"),
-                F.struct(text.alias("text")).alias("content"),
-            ).alias("message")
+            F.struct(F.struct("role").alias("author"), F.struct("text").alias("content")).alias(
+                "message"
+            )
+        )
+    )
+    single = F.when(kind % 3 == 0, plain).when(kind % 3 == 1, shared).otherwise(nested)
+    ones = turns.where("whole is null").select("conv_id", "turn", single.alias("record"))
+
+    def text(n: int) -> Column:
+        return F.get("t", F.lit(n))["text"]
+
+    def fields(*names: str) -> Column:
+        return F.to_json(F.struct(*(text(n).alias(name) for n, name in enumerate(names))))
+
+    def items(role: str, content: str) -> Column:
+        return F.transform(
+            "t", lambda x: F.struct(x["role"].alias(role), x["text"].alias(content))
         )
+
+    roles = F.array_join(F.transform("t", lambda x: x["role"]), ",")
+    asked = (
+        F.when(roles == "user,assistant", fields("prompt", "completion"))
+        .when(roles == "system,user,assistant", fields("system", "prompt", "completion"))
+    )
+    told = (
+        F.when(roles == "user,assistant", fields("instruction", "output"))
+        .when(roles == "user,user,assistant", fields("instruction", "input", "output"))
+        .when(roles == "system,user,assistant", fields("system", "instruction", "output"))
+        .when(
+            roles == "system,user,user,assistant", fields("system", "instruction", "input", "output")
+        )
+    )
+    messages = F.to_json(F.struct(items("role", "content").alias("messages")))
+    conversations = F.to_json(F.struct(items("from", "value").alias("conversations")))
+    record = (
+        F.when(kind == 3, F.coalesce(asked, messages))
+        .when(kind == 4, F.coalesce(told, conversations))
+        .otherwise(messages)
+    )
+    together = (
+        turns.where("whole is not null")
+        .groupBy("conv_id")
+        .agg(F.sort_array(F.collect_list(F.struct("turn", "role", "text"))).alias("t"))
+        .select("conv_id", F.get("t", F.lit(0))["turn"].alias("turn"), record.alias("record"))
     )
-    kind: Column = F.pmod(F.coalesce(F.col("conv_id"), F.lit(0)), F.lit(3))
-    record = F.when(kind == 0, plain).when(kind == 1, shared).otherwise(nested)
-    return rows.select("conv_id", "turn", record.alias("record"))
+    return ones.union(together)
