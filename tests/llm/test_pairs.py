@@ -27,6 +27,24 @@ def test_jaccard_join_against_all_pairs(spark, k, percent):
     assert [r[2] for r in rows if r[0] is None] == [None]
 
 
+def test_members_of_a_hot_signature_meet_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "MEETING", 10)
+    rows = [(sig, (i,)) for sig, n in ((1, 95), (2, 1), (3, 2)) for i in range(n)]
+    members = spark.createDataFrame(rows, "sig long, m struct<node:long>")
+    met = jaccard_join._met(members)
+    got = [(r.sig, r.p.node, r.q.node) for r in met.select("sig", "p", "q").collect()]
+    want = [(1, a, b) for a in range(95) for b in range(a + 1, 95)] + [(3, 0, 1)]
+    assert sorted(got) == want
+    most = met.groupBy("sig", "i", "j").count().agg(F.max("count")).first()[0]
+    assert most < 95 * 94 // 2 // 10
+
+    # Sets that share signatures of empty cells only: many, and in no component.
+    texts = [f"x{i} y{i} z{i} v{i}" for i in range(60)] + ["x1 y1 z1 v1 u1"]
+    df = plain.frame(spark, texts, extra=False)
+    components_ = {r.doc_id: r.component_id for r in jaccard_components(df, 1, 80).collect()}
+    assert components_ == {i: 1 if i == 60 else i for i in range(61)}
+
+
 @pytest.mark.parametrize("meeting", [3, 500])
 def test_links_against_all_pairs(spark, monkeypatch, meeting):
     monkeypatch.setattr(jaccard_join, "MEETING", meeting)

@@ -491,13 +491,14 @@ def jaccard_components(
         .where("lo < hi")
         .select("sig")
     )
-    open_members = stored(
-        placed.join(mixed, "sig").join(sketches, "node").select("sig", "m", "c")
+    open_members = (
+        placed.join(mixed, "sig")
+        .join(sketches, "node")
+        .select("sig", F.struct("m.*", "c").alias("m"))
     )
-    a = open_members.select("sig", F.col("m").alias("p"), F.col("c").alias("ca"))
-    b = open_members.select("sig", F.col("m").alias("q"), F.col("c").alias("cb"))
     rest = (
-        a.join(b, (a["sig"] == b["sig"]) & (F.col("ca") < F.col("cb")) & may_link("p", "q", percent))
+        _met(open_members)
+        .where((F.col("p.c") != F.col("q.c")) & may_link("p", "q", percent))
         .select(F.col("p.node").alias("a"), F.col("q.node").alias("b"))
         .distinct()
     )
