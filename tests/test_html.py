@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from whosaid.functions.html import clean_html, decode_entities, html_tokens, resolve_link
+from whosaid.functions.quotations import find_quotations
 from whosaid.functions.tokens import fix_content, tokenize_raw
 
 BASE = "http://e.org/d/page"
@@ -9,7 +10,7 @@ BASE = "http://e.org/d/page"
 CLEANED = [
     ("plain & simple", "plain &amp; simple"),
     ("<div>a<b>b</b><i>c</i></div>", "abc"),
-    ("<p>one<p>two", "<p>one<p>two"),
+    ("<p>one<p>two", "<p>one</p><p>two</p>"),
     ("<p>a<br/>b</p></br>", "<p>a<br>b</p><br>"),
     ("<script>var t='</p>';</script>x<style>p{}</style>", "x"),
     ("<!-- gone -->x<!doctype html>", "x"),
@@ -28,16 +29,43 @@ CLEANED = [
     ("a<style type=x>open <p>", "a"),
     (
         "<p>caf&eacute; it&#x27;s &#233;t&#233; &#128512; &#146; &#0; &#xD800; &nosuch; &copy2",
-        "<p>café it's été 😀 ’ � � &amp;nosuch; ©2",
+        "<p>café it's été 😀 ’ � � &amp;nosuch; ©2</p>",
     ),
     (
         "<a HREF='../x/./y?q=../z' title='a \"b\"'>",
-        '<a href="http://e.org/x/y?q=../z" title="a &quot;b&quot;">',
+        '<a href="http://e.org/x/y?q=../z" title="a &quot;b&quot;"></a>',
     ),
-    ("<a title='x href=y'>", '<a title="x href=y">'),
-    ("<a title>", '<a title="">'),
+    ("<a title='x href=y'>", '<a title="x href=y"></a>'),
+    ("<a title>", '<a title=""></a>'),
     ("a < b", "a &lt; b"),
     ("", ""),
+    # Elements that stay open, cross each other, or end without a start.
+    ("<blockquote>a", "<blockquote>a</blockquote>"),
+    ("<div><p>one</div>two", "<p>one</p>two"),
+    ("<p>a<div>b</div>c</p>d", "<p>a</p>bcd"),
+    ("<p>a<hr>b", "<p>a</p>b"),
+    ("<q>a<p>b</q>c", "<q>a<p>bc</p></q>"),
+    ("<span><q>a</span>b</q>", "<q>a</q>b"),
+    ("<b><q>a</b>b</q>", "<q>a</q>b"),
+    ("<ul><li><p>x<li><q>y</ul>z", "<p>x</p><q>y</q>z"),
+    ("<li><p>a<ul><li>b</ul>c</li>d", "<p>a</p>bcd"),
+    ("<h1>a<h2>b</h1>c", "<h1>a</h1><h2>b</h2>c"),
+    ("<a>one<a>two", "<a>one</a><a>two</a>"),
+    ("<table><tr><td><p>a<td><q>b<tr><td>c</table>d", "<p>a</p><q>b</q>cd"),
+    ("<p><table><td></p>x</table>y", "<p></p>xy"),
+    ("</q>x</p></div>", "x"),
+    ("<q/>x<p />y", "<q></q>x<p></p>y"),
+    ("<a href=/x/>l", '<a href="http://e.org/x/">l</a>'),
+    ("<made-up><q>a</made-up>b", "<q>ab</q>"),
+    ("<q>" * 300 + "x", "<q>" * 300 + "x" + "</q>" * 300),
+    ("<p>" * 1000, "<p></p>" * 1000),
+    # Brackets in quotes.
+    ('<a href="/x>y">t</a>', '<a href="http://e.org/x>y">t</a>'),
+    ("<p title='a<q>b'>t", "<p>t</p>"),
+    ('<p title="<!-- x">y', "<p>y</p>"),
+    ("<script a='>'>z</script>y", "y"),
+    ("<a title=it's>b</a>", "<a title=\"it\">b</a>"),
+    ("<a title='x", "&lt;a title='x"),
     (None, None),
 ]
 
@@ -106,6 +134,8 @@ def test_all_named_entities(spark):
         ('<q cite="http://x">a</q>', ["a", "</q>"]),
         ("&ldquo;well-made&rdquo;", ["``", "well", "-", "made", "''"]),
         ("a<br>b<!-- <q> -->", ["a", "b"]),
+        ('<a href="x>y">a</a>', ["a"]),
+        ("<blockquote>a<p>b", ["<blockquote>", "a", "b", "</blockquote>"]),
         ("1 &lt; 2", ["1", "2"]),
         ("R&ampD &copy &amp;copy;", ["R", "&", "D", "©", "&", "copy", ";"]),
         ("it&#x27;s &#233;t&#233;<!-- open", ["it", "'s", "été"]),
@@ -116,3 +146,17 @@ def test_html_tokens(spark, html, expected):
     assert df.select(html_tokens(F.col("h"), F.col("u")).alias("x")).first().x == expected
     steps = fix_content(tokenize_raw(clean_html(F.col("h"), F.col("u"))))
     assert df.select(steps.alias("x")).first().x == expected
+
+
+def test_a_quotation_that_the_page_leaves_open(spark):
+    html = "<div><blockquote>" + " ".join("abcdefghijkl") + "</div> more"
+    df = spark.createDataFrame([(html, BASE)], "h string, u string")
+    spans = find_quotations(html_tokens(F.col("h"), F.col("u")))
+    assert [list(s) for s in df.select(spans.alias("s")).first().s] == [[0, 13]]
+
+
+def test_a_page_of_many_pieces(spark):
+    html = "<div>a<q>b" * 5_000
+    df = spark.createDataFrame([(html, BASE)], "h string, u string")
+    found = df.select(clean_html(F.col("h"), F.col("u")).alias("c")).first().c
+    assert found == "a<q>b" * 5_000 + "</q>" * 5_000

@@ -18,8 +18,10 @@ from whosaid.functions.binding import bind
 KEPT_TAGS = ("<q>", "<blockquote>", "</q>", "</blockquote>")
 BRACKETS = {"-LRB-": "(", "-RRB-": ")", "-LSB-": "[", "-RSB-": "]"}
 
+#: The rest of a tag behind its name; a quoted value may hold any character.
+TAG_TAIL = r"""(?:[^<>"'=]++|=\s*+(?:"[^"]*+"|'[^']*+')|[="'])*+"""
 #: A tag, a run of text between tags, or a stray "<".
-RUN = r"</?[A-Za-z][^<>]*>|[^<]+|<"
+RUN = rf"</?[A-Za-z]{TAG_TAIL}>|[^<]+|<"
 
 _SPACE = r"\s\x0B\p{Z}"
 _WORD = r"[\p{L}\p{N}\p{M}]"

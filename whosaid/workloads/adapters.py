@@ -224,8 +224,8 @@ def quote_tags(html: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(html, "<b>", "<q>"), "<br>", "</q>")
 
 
-#: Markup that is added to every fourth page: entities and links of all kinds,
-#: and elements that are never closed.
+#: Markup that is added to the pages in turn: entities and links of all kinds,
+#: elements that are never closed or cross each other, and quoted brackets.
 ODD_MARKUP = (
     '<p>caf&eacute; it&#x27;s &#233;t&#233; &copy 2 &nosuch; 1 < 2 '
     '<a href="../up?x=1#y" title="a &quot;b&quot;" onclick="z()">up</a>'
@@ -235,12 +235,18 @@ ODD_MARKUP = (
     "<a href=javascript:x()>j</a><a HREF='mailto:a@b.c' rel=nofollow>m</a>"
     '<blockquote cite="ftp://x">f</blockquote><a href="#t">t</a>'
     '<a href="//h.example/z">h</a><a href="rel/./a/../b">r</a>',
+    "<div><p>one <q>two</div>three</q></p><blockquote>four <p>five",
+    '<a href="x>y" title="<q>">six</a><span data-x=\'</span>\'><q>seven</span>eight</q>',
+    "<ul><li><p>nine<li><q>ten</ul>eleven<h1>a<h2>b</h1>c</h2><a href=m>d<a href=n>e",
+    "<table><tr><td><p>f</b><td>g<blockquote>h</table>i</blockquote></p>j<h3>k<p>l</h3>m",
 )
 
 
 def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The pages with odd markup at their ends."""
-    end = F.get(F.array(*map(F.lit, ODD_MARKUP)), (F.col("page_id") % 4).cast("int"))
+    end = F.get(
+        F.array(*map(F.lit, ODD_MARKUP)), (F.col("page_id") % len(ODD_MARKUP)).cast("int")
+    )
     rows = table(spark, sf_dir, "pages")
     return rows.withColumn("html", F.concat("html", end))
 

@@ -110,7 +110,7 @@ _TOKEN = "|".join(
         rf"[^{_SPACE}]",
     )
 )
-_PIECES = "</?[a-zA-Z][^<>]*>|[^<]+|<"
+_PIECES = r"""</?[a-zA-Z](?:[^<>"'=]|=\s*"[^"]*"|=\s*'[^']*'|=|["'])*>|[^<]+|<"""
 
 
 def tokens_raw(expr: str) -> str:
@@ -157,14 +157,29 @@ def tokenized(expr: str) -> str:
 # Cleaning, stated by its own patterns; of named entities it has those that the
 # pages use.
 
-_GONE = "|".join(
+#: What stands in a tag behind its name, and the pieces of a page: parts without
+#: text, tags, runs of text, and a lone "<".
+_IN_TAG = r"""(?:[^<>"'=]|=\s*"[^"]*"|=\s*'[^']*'|=|["'])*"""
+_PARTS = "|".join(
     (
-        r"(?is)<head[^a-z>]*>.*?</head\s*>",
-        *(rf"<{t}(?:[^a-z][^>]*)?>.*?(?:</{t}\s*>|\z)" for t in ("script", "style", "title")),
+        rf"(?is)<head(?:[^a-z<>]{_IN_TAG})?>.*?</head\s*>",
+        *(
+            rf"<{t}(?:[^a-z<>]{_IN_TAG})?>.*?(?:</{t}\s*>|\z)"
+            for t in ("script", "style", "title")
+        ),
         r"<!--.*?(?:-->|\z)",
         r"<[!?][^>]*(?:>|\z)",
+        rf"</?[a-z]{_IN_TAG}>|[^<]+|<",
     )
 )
+# Which elements nest how; only those that the pages and the odd markup have.
+_BOUNDS = "button caption table td th".split()
+_BLOCK_NAMES = (
+    "article aside blockquote div dl dd dt footer form h1 h2 h3 h4 h5 h6 header li main "
+    "nav ol p pre section tr ul"
+).split() + _BOUNDS
+_INLINE_NAMES = "a b cite em i q small span strong u".split()
+_END_P = [n for n in _BLOCK_NAMES if n not in ("button", "caption", "td", "th", "tr")]
 _NAMES = {
     "amp": "&", "lt": "<", "gt": ">", "quot": '"', "nbsp": "\xa0", "copy": "©",
     "middot": "·", "eacute": "é",
@@ -232,18 +247,84 @@ def _html_cleaned(html: str) -> str:
             OR {name} IN ('q', 'blockquote') AND p.k = 'cite' AND regexp_matches(p.l, '^(?i)https?:')
             THEN ' ' || p.k || '="' || {_swapped("p.l", *quoted)} || '"'
           ELSE '' END), '')"""
-    return f"""array_to_string(list_transform(
-        regexp_extract_all({_replace(html, _GONE, "")}, '</?[a-zA-Z][^<>]*>|[^<]+|<'),
+    # Each piece as its text in the output, the element's name if it nests, and
+    # whether it is an end tag.
+    pieces = f"""list_transform(
+        regexp_extract_all({html}, {text(_PARTS)}),
         lambda r: CASE
-          WHEN NOT (starts_with(r, '<') AND length(r) > 1) THEN {escaped}
-          WHEN {name} NOT IN ({_list(_KEPT)}) THEN ''
-          WHEN {name} = 'br' THEN '<br>'
-          WHEN starts_with(r, '</') THEN '</' || {name} || '>'
-          ELSE '<' || {name} || {attributes} || '>' END), '')"""
+          WHEN NOT (starts_with(r, '<') AND length(r) > 1)
+            THEN {{'t': {escaped}, 'n': '', 'e': false}}
+          ELSE {{'t': CASE WHEN {name} NOT IN ({_list(_KEPT)}) THEN ''
+                          WHEN {name} = 'br' THEN '<br>'
+                          ELSE '<' || {name} || {attributes} || '>' END,
+                'n': CASE WHEN {name} IN ({_list(_BLOCK_NAMES + _INLINE_NAMES)})
+                          THEN {name} ELSE '' END,
+                'e': starts_with(r, '</')}} END)"""
+    return _nested(pieces)
+
+
+def _nested(pieces: str) -> str:
+    """The pieces as one text in which each open element is closed: a list of open
+    names, the innermost first, goes along the page."""
+
+    def ends(names: str) -> str:
+        return (
+            f"array_to_string(list_transform({names}, lambda n: CASE WHEN n IN "
+            f"({_list(_KEPT)}) THEN '</' || n || '>' ELSE '' END), '')"
+        )
+
+    def depth(stack: str, wanted: str, walls: str) -> str:
+        """How far down the first wanted name is, 0 if a wall is nearer."""
+        found = f"coalesce(list_position(list_transform({stack}, lambda n: {wanted}), true), 0)"
+        wall = f"list_position(list_transform({stack}[:{found} - 1], lambda n: {walls}), true)"
+        return f"CASE WHEN {found} > 0 AND coalesce({wall}, 0) = 0 THEN {found} ELSE 0 END"
+
+    def one_of(names) -> str:
+        return f"n IN ({_list(names)})"
+
+    item = depth("s.o", "n = 'li'", one_of([*_BOUNDS, "ul", "ol"]))
+    cell = depth("s.o", one_of(("td", "th", "caption")), "n = 'table'")
+    row = depth("s.o", one_of(("tr", "caption")), "n = 'table'")
+    term = depth("s.o", one_of(("dd", "dt")), one_of([*_BOUNDS, "dl"]))
+    link = depth("s.o", "n = 'a'", one_of(_BLOCK_NAMES))
+    own = (
+        f"CASE WHEN p.n = 'li' THEN {item} WHEN p.n IN ('td', 'th') THEN {cell} "
+        f"WHEN p.n = 'tr' THEN {row} WHEN p.n IN ('dd', 'dt') THEN {term} "
+        f"WHEN p.n = 'a' THEN {link} ELSE 0 END"
+    )
+    paragraph = (
+        f"k + CASE WHEN p.n IN ({_list(_END_P)}) "
+        f"THEN {depth('s.o[k + 1:]', one_of(['p']), one_of(_BOUNDS))} ELSE 0 END"
+    )
+    heads = "('h1', 'h2', 'h3', 'h4', 'h5', 'h6')"
+    heading = f"k + CASE WHEN p.n IN {heads} AND s.o[k + 1] IN {heads} THEN 1 ELSE 0 END"
+    started = (
+        f"list_transform(list_transform(list_transform([{own}], lambda k: {paragraph}), "
+        f"lambda k: {heading}), lambda k: {{'x': s.x || {ends('s.o[:k]')} || p.t, "
+        "'o': [p.n] || s.o[k + 1:]})[1]"
+    )
+    in_table = "('td', 'th', 'tr', 'caption')"
+    at_end = f"""CASE
+        WHEN p.n IN {in_table} THEN {depth("s.o", "n = p.n", "n = 'table'")}
+        WHEN p.n IN {heads} THEN {depth("s.o", f"n IN {heads}", one_of(_BOUNDS))}
+        WHEN p.n = 'li' THEN {depth("s.o", "n = 'li'", one_of([*_BOUNDS, "ol", "ul"]))}
+        WHEN p.n = 'table' THEN {depth("s.o", "n = 'table'", "false")}
+        WHEN p.n IN ({_list([*_BLOCK_NAMES, "a"])})
+          THEN {depth("s.o", "n = p.n", one_of(_BOUNDS))}
+        ELSE {depth("s.o", "n = p.n", one_of(_BLOCK_NAMES))} END"""
+    ended = (
+        f"list_transform([{at_end}], lambda k: {{'x': s.x || {ends('s.o[:k]')}, "
+        "'o': s.o[k + 1:]})[1]"
+    )
+    walked = f"""list_reduce({pieces}, lambda s, p: CASE
+        WHEN p.n = '' THEN {{'x': s.x || p.t, 'o': s.o}}
+        WHEN p.e THEN {ended}
+        ELSE {started} END, {{'x': '', 'o': CAST([] AS VARCHAR[])}})"""
+    return f"list_transform([{walked}], lambda s: s.x || {ends('s.o')})[1]"
 
 
 _ODD = " ".join(f"WHEN {i} THEN {text(m)}" for i, m in enumerate(ODD_MARKUP))
-ODD_PAGES = f"(SELECT page_id, url, html || CASE page_id % 4 {_ODD} END AS html FROM pages)"
+ODD_PAGES = f"(SELECT page_id, url, html || CASE page_id % {len(ODD_MARKUP)} {_ODD} END AS html FROM pages)"
 
 
 # Relations.
