@@ -13,6 +13,7 @@ from whosaid.llm.fingerprints import fingerprints
 from whosaid.llm.jaccard_join import jaccard_components, jaccard_degrees
 from whosaid.llm.licenses import license_matches
 from whosaid.llm.mixing import Level, mixed
+from whosaid.llm.passages import repeated_passages, with_rows
 from whosaid.llm.quality import THRESHOLD, held_out, measured, scored_statistics, train
 from whosaid.llm.sharding import shards, text_order
 from whosaid.llm.sql import SQL
@@ -173,6 +174,21 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words in passages of 35 words that occur twice."""
+    docs = table(spark, sf_dir, "documents")
+    removed = F.aggregate(
+        "spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"]
+    )
+    cut = repeated_passages(docs).select(
+        "digest",
+        "n_words",
+        removed.alias("n_removed"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+    return with_rows(docs, stored(cut))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_jaccard_join": op1_jaccard_join,
     "op2_sharding": op2_sharding,
@@ -184,6 +200,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_chat": op8_chat,
     "op9_decontaminate": op9_decontaminate,
     "op10_mixing": op10_mixing,
+    "op13_passages": op13_passages,
 }
 
 #: Further results of the same operators, beside the columns of their contracts.

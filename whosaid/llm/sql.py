@@ -139,4 +139,32 @@ SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, length(loss)::BIGINT AS
   sha256(loss) AS loss_sha256, formatted::BIGINT AS formatted_chars
 FROM joined"""
 
-SQL = {"op1_jaccard_join": OP1, "op8_chat": OP8, "op9_decontaminate": OP9, "op10_mixing": OP10}
+OP13 = r"""
+WITH split AS (
+  SELECT row_number() OVER () AS r, doc_id,
+    coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w
+  FROM documents),
+windows AS (
+  SELECT r, i, array_to_string(w[i:i + 34], ' ') AS passage
+  FROM split, unnest(range(1, len(w) - 33)) AS t(i)),
+twice AS (SELECT passage FROM windows GROUP BY 1 HAVING count(*) > 1),
+covered AS (
+  SELECT DISTINCT r, i + k AS i
+  FROM windows JOIN twice USING (passage), unnest(range(0, 35)) AS u(k)),
+kept AS (
+  SELECT r, string_agg(w[i], ' ' ORDER BY i) AS text
+  FROM split, unnest(range(1, len(w) + 1)) AS t(i)
+  WHERE (r, i) NOT IN (SELECT (r, i) FROM covered)
+  GROUP BY 1),
+removed AS (SELECT r, count(*) AS n FROM covered GROUP BY 1)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_removed,
+  sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM split LEFT JOIN removed USING (r) LEFT JOIN kept USING (r)"""
+
+SQL = {
+    "op1_jaccard_join": OP1,
+    "op8_chat": OP8,
+    "op9_decontaminate": OP9,
+    "op10_mixing": OP10,
+    "op13_passages": OP13,
+}
