@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import string
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,6 +13,7 @@ from whosaid.llm.decontaminate import contamination, near_passages
 from whosaid.llm.fingerprints import fingerprints
 from whosaid.llm.jaccard_join import jaccard_components, jaccard_degrees
 from whosaid.llm.licenses import license_matches
+from whosaid.llm.merkle import merkle_manifest
 from whosaid.llm.mixing import Level, mixed
 from whosaid.llm.passages import repeated_passages, with_rows
 from whosaid.llm.quality import THRESHOLD, held_out, measured, scored_statistics, train
@@ -174,6 +176,17 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The manifest of all documents; a third is checked with lower-cased text."""
+    fold = F.translate("text", string.ascii_uppercase, string.ascii_lowercase)
+    crc = F.crc32(F.col("doc_id").cast("string"))
+    text = F.when(crc % 3 == 0, fold).otherwise(F.col("text"))
+    manifest = merkle_manifest(table(spark, sf_dir, "documents"), checked={"text": text})
+    return manifest.select(
+        "doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified"
+    )
+
+
 def op13_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words in passages of 35 words that occur twice."""
     docs = table(spark, sf_dir, "documents")
@@ -200,6 +213,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_chat": op8_chat,
     "op9_decontaminate": op9_decontaminate,
     "op10_mixing": op10_mixing,
+    "op12_merkle": op12_merkle,
     "op13_passages": op13_passages,
 }
 

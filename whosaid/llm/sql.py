@@ -161,10 +161,79 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_removed,
   sha256(coalesce(kept.text, '')) AS kept_sha256
 FROM split LEFT JOIN removed USING (r) LEFT JOIN kept USING (r)"""
 
+#: The remainders of a CRC-32 by byte, and that of a text of ASCII characters.
+CRC_TABLE = """SELECT list_transform(range(256), lambda n: list_reduce(range(8), lambda c, i:
+    CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, n)) AS crc"""
+
+
+def crc32(text: str) -> str:
+    return f"""xor(list_reduce(list_transform(string_split({text}, ''), lambda c: ascii(c)::BIGINT),
+        lambda c, b: xor(c >> 8, crc[(xor(c, b) & 255) + 1]), 4294967295), 4294967295)"""
+
+
+def _leaf(text: str) -> str:
+    values = ("doc_id::VARCHAR", "source", "lang", "n_chars::VARCHAR", text)
+    spelled = (f"coalesce(octet_length(encode({v})) || ':' || {v}, '-')" for v in values)
+    return f"sha256({' || '.join(spelled)})"
+
+
+def _tree(name: str, leaves: str) -> str:
+    """All nodes above leaves (tree, slot, total, h), and what is beside each."""
+    return f"""{name} AS (
+  SELECT tree, 0 AS level, slot, total, h FROM {leaves}
+  UNION ALL
+  SELECT tree, level + 1, slot // 8, (total + 7) // 8, sha256(string_agg(h, '' ORDER BY slot))
+  FROM {name} WHERE total > 1 GROUP BY tree, level, slot // 8, total),
+{name}_beside AS (
+  SELECT a.tree, a.level, a.slot,
+    coalesce(string_agg(b.h, '' ORDER BY b.slot) FILTER (b.slot < a.slot), '') AS l,
+    coalesce(string_agg(b.h, '' ORDER BY b.slot) FILTER (b.slot > a.slot), '') AS r
+  FROM {name} a JOIN {name} b ON a.tree = b.tree AND a.level = b.level AND a.slot // 8 = b.slot // 8
+  WHERE a.total > 1 GROUP BY ALL)"""
+
+
+def _path(leaves: str, nodes: str) -> str:
+    return f"""(SELECT v.tree, v.slot, list({{'l': l, 'r': r}} ORDER BY level) AS path
+    FROM {leaves} v JOIN {nodes}_beside n ON v.tree = n.tree AND n.slot = v.slot >> (3 * level)
+    GROUP BY 1, 2)"""
+
+
+OP12 = f"""
+WITH RECURSIVE crcs AS ({CRC_TABLE}),
+rows AS (
+  SELECT doc_id, coalesce('1' || lang, '0') AS tree, {_leaf("text")} AS h,
+    CASE WHEN {crc32("doc_id::VARCHAR")} % 3 = 0
+      THEN {_leaf("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")}
+      ELSE {_leaf("text")} END AS changed
+  FROM documents, crcs),
+leaves AS (
+  SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, h) - 1 AS slot,
+    count(*) OVER (PARTITION BY tree) AS total
+  FROM rows),
+{_tree("nodes", "leaves")},
+tops AS (
+  SELECT '' AS tree, tree AS lang, row_number() OVER (ORDER BY tree) - 1 AS slot,
+    count(*) OVER () AS total, h
+  FROM nodes WHERE total = 1),
+{_tree("upper", "tops")},
+paths AS (
+  SELECT doc_id, v.h AS leaf, changed, t.h AS subroot,
+    coalesce(p.path, []) || coalesce(q.path, []) AS path
+  FROM leaves v JOIN tops t ON v.tree = t.lang
+  LEFT JOIN {_path("leaves", "nodes")} p ON v.tree = p.tree AND v.slot = p.slot
+  LEFT JOIN {_path("tops", "upper")} q ON t.slot = q.slot),
+folded AS (
+  SELECT doc_id, leaf, subroot, (SELECT h FROM upper WHERE total = 1) AS root,
+    sha256(array_to_string(list_transform(path, lambda x: x.l || x.r), '')) AS proof_sha256,
+    list_reduce(path, lambda node, x: sha256(x.l || node || x.r), changed) AS folded_root
+  FROM paths)
+SELECT *, folded_root = root AS verified FROM folded"""
+
 SQL = {
     "op1_jaccard_join": OP1,
     "op8_chat": OP8,
     "op9_decontaminate": OP9,
     "op10_mixing": OP10,
+    "op12_merkle": OP12,
     "op13_passages": OP13,
 }
