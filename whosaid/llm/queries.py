@@ -17,6 +17,7 @@ from whosaid.llm.merkle import merkle_manifest
 from whosaid.llm.mixing import Level, mixed
 from whosaid.llm.passages import repeated_passages, with_rows
 from whosaid.llm.quality import THRESHOLD, held_out, measured, scored_statistics, train
+from whosaid.llm.repair import repair_report
 from whosaid.llm.sharding import shards, text_order
 from whosaid.llm.sql import SQL
 from whosaid.llm.suffix_dedup import remove_repeats
@@ -176,6 +177,38 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def damaged(conversations: DataFrame) -> DataFrame:
+    """Rows of conversations, one in four damaged in one of five ways."""
+    given = conversations.select(
+        "conv_id",
+        "turn",
+        *[F.coalesce(c, F.lit(" ")).alias(c) for c in ("role", "text")],
+    )
+    place = [F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn")]
+    kind = F.crc32(F.concat(place[0], F.lit(":"), place[1])) % 20
+    text = F.when(F.col("kind") == 1, "").when(
+        F.col("kind") == 2, F.translate("text", ".!?", "")
+    )
+    copies = F.when(F.col("kind") == 3, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    return (
+        given.withColumn("kind", kind)
+        .where("kind <> 0")
+        .withColumn("copy", F.explode(copies))
+        .select(
+            "conv_id",
+            "turn",
+            F.when(F.col("kind") == 4, "user").otherwise(F.col("role")).alias("role"),
+            text.otherwise(F.col("text")).alias("text"),
+        )
+    )
+
+
+def op11_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cheapest repairs of all conversations, after some damage."""
+    conversations = table(spark, sf_dir, "conversations")
+    return repair_report(damaged(conversations), conversations.select("conv_id"))
+
+
 def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The manifest of all documents; a third is checked with lower-cased text."""
     fold = F.translate("text", string.ascii_uppercase, string.ascii_lowercase)
@@ -213,6 +246,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_chat": op8_chat,
     "op9_decontaminate": op9_decontaminate,
     "op10_mixing": op10_mixing,
+    "op11_repair": op11_repair,
     "op12_merkle": op12_merkle,
     "op13_passages": op13_passages,
 }

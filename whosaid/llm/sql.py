@@ -229,11 +229,95 @@ folded AS (
   FROM paths)
 SELECT *, folded_root = root AS verified FROM folded"""
 
+_BLANKS = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+
+
+def _step(state: str, letter: str, cost: str) -> str:
+    return f"{{'c': {state}.c + {cost}, 'a': {state}.a || '{letter}'}}"
+
+
+def _least(*found: str) -> str:
+    return f"list_min([{', '.join(found)}])"
+
+
+def _inserts(s: str, then: str) -> str:
+    """``then``, with t for the four states s after inserted turns."""
+    user = _least(f"{s}[3]", *(_step(f"{s}[{i}]", "I", "5") for i in (1, 2, 4)))
+    return f"""list_transform([{user}], lambda u: list_transform([[{s}[1], {s}[2], u,
+        {_least(f"{s}[4]", _step("u", "I", "5"))}]], lambda t: {then})[1])[1]"""
+
+
+def _row(role: str, state: str) -> str:
+    """What a row can add to a state that leads to one role: kept, or made so."""
+    kept = f"CASE WHEN x.i = '{role}' AND x.p < 9 THEN {_step(state, 'K', 'x.p')} ELSE none END"
+    made = f"CASE WHEN x.p < 9 THEN {_step(state, 'R', '1 + x.p')} ELSE none END"
+    return f"{kept}, {made}"
+
+
+_NONE = "{'c': 1000000000000, 'a': ''}"
+_KEPT_SYSTEM = f"CASE WHEN x.i = 's' AND x.p < 9 THEN {_step('t[1]', 'K', 'x.p')} ELSE none END"
+_ROW = f"""[{_step("t[1]", "D", "2")}, {_least(_step("t[2]", "D", "2"), _KEPT_SYSTEM)},
+    {_least(_step("t[3]", "D", "2"), _row("u", "t[1]"), _row("u", "t[2]"), _row("u", "t[4]"))},
+    {_least(_step("t[4]", "D", "2"), _row("a", "t[3]"))}]"""
+_SEARCH = f"""list_reduce(rows, lambda s, x: {_inserts("s", _ROW)},
+    [{{'c': 0::BIGINT, 'a': ''}}, none, none, none])"""
+
+OP11 = f"""
+WITH crcs AS ({CRC_TABLE}),
+given AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    {crc32("coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')")} % 20 AS kind
+  FROM conversations, crcs),
+damaged AS (
+  SELECT conv_id, turn, CASE kind WHEN 4 THEN 'user' ELSE role END AS role,
+    CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+  FROM given, unnest(range(CASE kind WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END))),
+placed AS (
+  SELECT *, rtrim(text, {_BLANKS}) AS body,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text)) AS n
+  FROM damaged),
+faults AS (
+  SELECT *, CASE WHEN body = '' THEN 'blank'
+      WHEN n > min(n) OVER (PARTITION BY conv_id, role, text) THEN 'duplicate'
+      WHEN NOT regexp_matches(body, '[.!?]$') THEN 'truncated' ELSE '' END AS fault,
+    lag(role) OVER (PARTITION BY conv_id ORDER BY n) AS before
+  FROM placed),
+listed AS (
+  SELECT conv_id, max(turn) - min(turn) + 1 - count(DISTINCT turn) AS gaps,
+    count(*) FILTER (fault = 'blank') AS blank,
+    count(*) FILTER (fault = 'duplicate') AS duplicate,
+    count(*) FILTER (fault = 'truncated') AS truncated,
+    count(*) FILTER (before IS NOT NULL AND before[1] || role[1] NOT IN ('su', 'ua', 'au'))
+      AS illegal,
+    list({{'i': role[1], 'r': role, 't': text, 'p': CASE WHEN fault IN ('blank', 'duplicate')
+      THEN 9 WHEN fault = 'truncated' THEN 5 ELSE 0 END}} ORDER BY n) AS rows
+  FROM faults GROUP BY 1),
+searched AS (
+  SELECT *, list_transform([{_SEARCH}], lambda s: {_inserts("s", _least("t[1]", "t[4]"))})[1] AS best
+  FROM listed, (SELECT {_NONE} AS none)),
+walked AS (
+  SELECT *, list_reduce(string_split(best.a, ''), lambda w, e:
+    list_transform([CASE WHEN w.s = 'u' THEN 'assistant' ELSE 'user' END], lambda free: CASE e
+      WHEN 'D' THEN {{'k': w.k + 1, 's': w.s, 'o': w.o}}
+      WHEN 'I' THEN {{'k': w.k, 's': free[1], 'o': list_append(w.o, free || ':')}}
+      WHEN 'K' THEN {{'k': w.k + 1, 's': rows[w.k].i, 'o': list_append(w.o, rows[w.k].r || ':' || rows[w.k].t)}}
+      WHEN 'R' THEN {{'k': w.k + 1, 's': free[1], 'o': list_append(w.o, free || ':' || rows[w.k].t)}}
+      ELSE w END)[1],
+    {{'k': 1, 's': '', 'o': CAST([] AS VARCHAR[])}}).o AS lines
+  FROM searched),
+ids AS (SELECT DISTINCT conv_id FROM conversations)
+SELECT ids.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0) AS blank,
+  coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+  coalesce(illegal, 0) AS illegal, coalesce(best.c, 0)::BIGINT AS cost, coalesce(best.a, '') AS audit,
+  sha256(coalesce(array_to_string(lines, chr(10)), '')) AS repaired_sha256
+FROM ids LEFT JOIN walked ON ids.conv_id IS NOT DISTINCT FROM walked.conv_id"""
+
 SQL = {
     "op1_jaccard_join": OP1,
     "op8_chat": OP8,
     "op9_decontaminate": OP9,
     "op10_mixing": OP10,
+    "op11_repair": OP11,
     "op12_merkle": OP12,
     "op13_passages": OP13,
 }
