@@ -165,6 +165,25 @@ def _answered(answers: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
 
 
+def _windows(
+    ids: np.ndarray, begin: np.ndarray, sizes: np.ndarray, window: int, bits: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The hash, the start and the snippet of each window, some snippets at a time."""
+    keys, at, own = [np.zeros(0, U)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for low in range(0, len(sizes), 1 << 13):
+        some = slice(low, low + (1 << 13))
+        base, count = begin[some][0], sizes[some]
+        owner = np.repeat(np.arange(len(count)), count)
+        hashed = grams(mix(ids[base : base + len(owner)].astype(U) + U(1)), window)
+        starts = np.arange(len(hashed))
+        ends = begin[some] - base + count
+        starts = starts[starts + window <= ends[owner[: len(hashed)]]]
+        keys.append(hashed[starts] >> U(64 - bits))
+        at.append(starts + base)
+        own.append(owner[starts] + low)
+    return np.concatenate(keys), np.concatenate(at), np.concatenate(own)
+
+
 def extended(bucket: pa.Table, window: int, bits: int) -> pa.Table:
     """The windows of some snippets that stand at two places, by their words.
 
@@ -190,16 +209,16 @@ def extended(bucket: pa.Table, window: int, bits: int) -> pa.Table:
 
     words = pc.split_pattern(pa.array(snippets, pa.large_binary()), b" ")
     sizes = np.diff(words.offsets.to_numpy())
-    ids = words.flatten().dictionary_encode().indices.to_numpy()
+    ids = words.flatten().dictionary_encode().indices.to_numpy().astype(np.int32)
+    del words, snippets
     begin = np.cumsum(sizes) - sizes
-    owner = np.repeat(np.arange(len(snippets)), sizes)
-    keys = grams(mix(ids.astype(U) + U(1)), window) >> U(64 - bits)
-    at = np.arange(len(keys))
-    at = at[at + window <= (begin + sizes)[owner[: len(keys)]]]
-
-    at = at[np.argsort(keys[at], kind="stable")]
-    sorted_keys = keys[at]
-    new = np.concatenate([[True], sorted_keys[1:] != sorted_keys[:-1]])[: len(at)]
+    keys, at, own = _windows(ids, begin, sizes, window, bits)
+
+    order = np.argsort(keys, kind="stable")
+    keys, at, own = keys[order], at[order], own[order]
+    del order
+    new = np.concatenate([[True], keys[1:] != keys[:-1]])[: len(at)]
+    del keys
     group = np.cumsum(new) - 1
     same = np.ones(len(at), bool)
     leader = at[new][group] if len(at) else at
@@ -213,14 +232,15 @@ def extended(bucket: pa.Table, window: int, bits: int) -> pa.Table:
                 for g, a in zip(group.tolist(), at.tolist())
             ]
         )
-    own = owner[at]
-    place = np.stack([seg[own], text_no[first[own]], start[first[own]] + at - begin[own]])
     lead = np.zeros(group.max() + 1 if len(group) else 0, np.int64)
     lead[group[::-1]] = np.arange(len(at))[::-1]
-    other = (place != place[:, lead[group]]).any(axis=0) | (times[own] > 1)
+    other = times[own] > 1
+    offset = at - begin[own]
+    for place in (seg[own], text_no[first[own]], start[first[own]] + offset):
+        other |= place != place[lead[group]]
     twice = np.bincount(group, other, len(lead)) > 0
-    mask = np.zeros(len(snippets), np.int64)
-    np.bitwise_or.at(mask, own, twice[group].astype(np.int64) << (at - begin[own]))
+    mask = np.zeros(len(sizes), np.int64)
+    np.bitwise_or.at(mask, own, twice[group].astype(np.int64) << offset)
 
     all_masks = np.repeat(mask, times)
     all_segs = np.repeat(seg, times)
@@ -259,7 +279,7 @@ def repeated_passages(
     docs: DataFrame,
     window: int = 35,
     segment_bytes: int = 8 << 20,
-    bucket_bytes: int = 32 << 20,
+    bucket_bytes: int = 16 << 20,
     hot_segments: int = 1000,
     key_bits: int = KEY_BITS,
 ) -> DataFrame:
