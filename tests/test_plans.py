@@ -131,6 +131,16 @@ def above(plan, i):
             yield j
 
 
+def test_duplicates_are_chosen_by_narrow_rows(spark):
+    raw = adapters.raw_records(spark, SF)
+    plan = executed(ingest_entries(raw, dedupe=True))
+    assert "SortAggregate" not in plan and "Sort [" not in plan
+    assert "ShuffledHashJoin" in plan and "partial_min_by" in plan
+    # The permalink was inflated when the records were stored; what is left is the
+    # other body, of the records that stay.
+    assert plan.count("ArrowEvalPython") == 1 and "contentExtract" not in plan
+
+
 def test_no_token_list_is_aggregated(spark):
     raw = adapters.raw_records(spark, SF)
     plan = executed(ingest_entries(raw, dedupe=True))
@@ -242,3 +252,49 @@ def test_schemas(spark):
     assert tagged.schema.simpleString() == (
         "struct<articleUID:string,content:array<string>,quotation:array<string>>"
     )
+
+
+# Articles of one id that are very many.
+
+
+@pytest.fixture
+def many_of_one_id(spark):
+    entries = spark.range(100_000).select(
+        F.struct(F.when(F.col("id") < 99_000, "1").otherwise(F.col("id").cast("string")).alias("identifier")).alias("feedEntry"),
+        F.struct(F.array(F.lit("c-d"), (F.col("id") % 7).cast("string")).alias("tokenizedContent")).alias("permalinkEntry"),
+    )
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "100")
+    yield entries.repartition(16)
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+
+
+def largest_part(df):
+    """Rows of the largest task that joins articles to the ids."""
+    return df.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+
+
+def test_articles_of_a_hot_id_are_dealt(spark, many_of_one_id):
+    attributions = spark.createDataFrame(
+        [("s", "c", [seen("1"), seen("99500"), seen("x")])], ATTRIBUTIONS
+    )
+    plain = extract_articles(many_of_one_id, attributions)
+    dealt = extract_articles(many_of_one_id, attributions, hot_rows=10_000, repeated_ids=True)
+    assert plain.count() == 99_001 and largest_part(plain) == 99_000
+    # Dealt by hash: parts are even but for chance.
+    assert largest_part(dealt) <= 1.25 * 10_000
+    columns = ["articleUID", "content", "speaker", "quotation"]
+    assert dealt.groupBy(columns).count().exceptAll(plain.groupBy(columns).count()).count() == 0
+    assert dealt.count() == 99_001
+
+
+def test_map_chooses_over_the_parts_of_a_hot_id(spark, many_of_one_id):
+    attributions = spark.createDataFrame([("s", "c", [seen("1")])], ATTRIBUTIONS)
+    mapping = spark.createDataFrame([(1, "c", 0.5, "q"), (99_500, "c", 0.5, "r")], MAPPING)
+    plain = map_discarded(many_of_one_id, attributions, mapping)
+    dealt = map_discarded(many_of_one_id, attributions, mapping, hot_rows=10_000, repeated_ids=True)
+    found = sorted(map(tuple, dealt.collect()))
+    assert found == sorted(map(tuple, plain.collect())) and len(found) == 2

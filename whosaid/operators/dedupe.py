@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from whosaid.operators.articles import cast_id
+from whosaid.sources.sinks import stage
 
 
 def dedupe_pairs(df: DataFrame) -> DataFrame:
@@ -20,9 +24,10 @@ def dedupe_pairs(df: DataFrame) -> DataFrame:
     return df.groupBy("articleUID", "speaker", "quotation").agg(*values)
 
 
-def one_per_article(articles: DataFrame) -> DataFrame:
-    """One content per article id: the smallest."""
-    return articles.groupBy("articleUID").agg(F.min("content").alias("content"))
+def one_per_article(articles: DataFrame, also: Sequence[str] = ()) -> DataFrame:
+    """One content per article id: the smallest. ``also`` are further columns of
+    the key."""
+    return articles.groupBy("articleUID", *also).agg(F.min("content").alias("content"))
 
 
 def dedupe_content(
@@ -34,40 +39,51 @@ def dedupe_content(
     """One entry per distinct content: that with the lowest numeric id.
 
     All entries without content, null or empty, count as copies of each other;
-    ``keep_empty`` keeps them all.
+    ``keep_empty`` keeps them all. The entries are stored first, see
+    ``first_per_key``.
     """
-    row = F.struct(*[F.col(f"`{c}`") for c in entries.columns]).alias("_row")
-    number = F.col(identifier).alias("_identifier")
-    keyed = entries.select(row, content_key(content).alias("_key"), number)
-    return first_per_key(keyed, "_key", "_row", F.col("_identifier"), keep_empty)
+    row = F.struct(*[F.col(f"`{c}`") for c in entries.columns])
+    ranked = entries.select(
+        row.alias("_row"),
+        content_key(F.col(content)).alias("_key"),
+        content_rank(F.col(identifier), row).alias("_rank"),
+    )
+    return first_per_key(ranked, F.col("_key"), keep_empty).select("_row.*")
 
 
-def content_key(content: str) -> Column:
+def content_key(tokens: Column) -> Column:
     """A SHA-256 of a token list; null for one that is empty or null."""
-    spelled = F.to_json(F.struct(F.col(content).alias("c")))
-    return F.when(F.size(content) > 0, F.unhex(F.sha2(spelled, 256)))
+    spelled = F.to_json(F.struct(tokens.alias("c")))
+    return F.when(F.size(tokens) > 0, F.unhex(F.sha2(spelled, 256)))
 
 
-def first_per_key(
-    keyed: DataFrame, key: str, row: str, identifier: Column, keep_empty: bool = False
-) -> DataFrame:
-    """The struct column ``row`` of one row per key: that with the lowest numeric
-    identifier. The null key, that of empty contents, is one like the others, or
-    keeps all of its rows.
+def content_rank(identifier: Column, row: Column) -> Column:
+    """The order of entries with one content, as a number of fixed width: by their
+    numeric id, those whose id is no number last, then by a hash of the row."""
+    number = cast_id(identifier).cast("decimal(20,0)") + F.lit(Decimal(1 << 63))
+    last = F.lit(Decimal(1 << 64))
+    tie = F.pmod(F.xxhash64(row), F.lit(_TIES))
+    scaled = F.coalesce(number, last).cast("decimal(20,0)") * F.lit(Decimal(_TIES))
+    return (scaled + tie).cast("decimal(38,0)")
+
 
-    One aggregation, since its input is costly to compute twice: each task first
-    keeps one row per key of its own, so that a key with countless rows sends
-    one per task.
+_TIES = 10**18
+
+
+def first_per_key(ranked: DataFrame, key: Column, keep_empty: bool = False) -> DataFrame:
+    """The rows that have the lowest ``_rank`` of their key, one per key.
+
+    The null key, that of empty contents, is one like the others, or keeps all of
+    its rows. The rows are stored, once and as they are, each with a number. Only
+    key, rank and number go through the aggregation, in buffers of fixed width
+    that are combined before the shuffle, so that a key with countless rows sends
+    one per task. The numbers that it gives then pick the stored rows, by a hash
+    table: nothing wide is sorted or held.
     """
-    number = cast_id(identifier)
-    # An id that is no number comes last; equal ids are told apart by the row.
-    rank = F.struct(number.isNull(), number, F.xxhash64(row))
-    group = [F.col(key)]
+    stored = stage(ranked.withColumn("_number", F.monotonically_increasing_id()))
+    group = [key]
     if keep_empty:
-        group.append(F.when(F.col(key).isNull(), F.monotonically_increasing_id()).alias("_own"))
-    return (
-        keyed.withColumn("_rank", rank)
-        .groupBy(*group)
-        .agg(F.min_by(row, "_rank").alias("_kept"))
-        .select("_kept.*")
-    )
+        group.append(F.when(key.isNull(), F.col("_number")))
+    first = stored.groupBy(*group).agg(F.min_by("_number", "_rank").alias("_number"))
+    chosen = first.select("_number").hint("shuffle_hash")
+    return stored.join(chosen, "_number", "left_semi").drop("_number", "_rank")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -39,41 +39,36 @@ def _content(
     return F.coalesce(there, F.array().cast("array<string>"))
 
 
-def _body(
-    record: str, payload: str, clean: bool, tokenize: bool, on_error: str
-) -> Column:
-    url = _text(f"{record}.canonicalLink.href")
+def _body(record: str, content: Column) -> Column:
     return F.struct(
         F.coalesce(F.col(f"{record}.identifier"), F.lit(0))
         .cast("string")
         .alias("identifier"),
-        url.alias("url"),
+        _text(f"{record}.canonicalLink.href").alias("url"),
         _text(f"{record}.title").alias("title"),
         _first(f"{record}.lang", "code").alias("language"),
         _first(f"{record}.author", "name").alias("authorName"),
         _first(f"{record}.author", "email").alias("authorEmail"),
         _text(f"{record}.lastPublished").alias("lastPublished"),
         _text(f"{record}.dateFound").alias("dateFound"),
-        _content(f"{record}.{payload}", url, clean, tokenize, on_error).alias(
-            "tokenizedContent"
-        ),
-    ).alias(record)
+        content.alias("tokenizedContent"),
+    )
 
 
-def normalize_entries(
-    raw: DataFrame,
-    clean: bool = True,
-    tokenize: bool = True,
-    on_error: str = "fail",
-    keep: Sequence[str] = (),
-) -> DataFrame:
-    """Records of schema RAW as entries of schema ENTRY.
+#: The payload of each of a record's two bodies.
+PAYLOADS = {"feedEntry": "content", "permalinkEntry": "contentExtract"}
 
-    Absent text becomes empty, the first language and author count, and absent
-    content becomes no tokens. So does a corrupt payload with
-    ``on_error="null"``; otherwise it fails the job. ``keep`` names columns that
-    stay beside them.
-    """
+
+def body_content(
+    record: str, clean: bool = True, tokenize: bool = True, on_error: str = "fail"
+) -> Column:
+    """The tokens of a record's body, from its payload."""
+    url = _text(f"{record}.canonicalLink.href")
+    return _content(f"{record}.{PAYLOADS[record]}", url, clean, tokenize, on_error)
+
+
+def entry_columns(contents: Mapping[str, Column]) -> dict[str, Column]:
+    """The columns of schema ENTRY from a record and the tokens of bodies."""
     source = F.struct(
         _text("source.canonicalLink.href").alias("url"),
         _text("source.title").alias("title"),
@@ -93,10 +88,19 @@ def normalize_entries(
         _text("feed.dateFound").alias("dateFound"),
         _text("feed.channelLink.href").alias("channelUrl"),
     )
-    return raw.select(
-        *keep,
-        source.alias("source"),
-        feed.alias("feed"),
-        _body("feedEntry", "content", clean, tokenize, on_error),
-        _body("permalinkEntry", "contentExtract", clean, tokenize, on_error),
-    )
+    bodies = {record: _body(record, content) for record, content in contents.items()}
+    return {"source": source, "feed": feed} | bodies
+
+
+def normalize_entries(
+    raw: DataFrame, clean: bool = True, tokenize: bool = True, on_error: str = "fail"
+) -> DataFrame:
+    """Records of schema RAW as entries of schema ENTRY.
+
+    Absent text becomes empty, the first language and author count, and absent
+    content becomes no tokens. So does a corrupt payload with
+    ``on_error="null"``; otherwise it fails the job.
+    """
+    contents = {r: body_content(r, clean, tokenize, on_error) for r in PAYLOADS}
+    made = entry_columns(contents)
+    return raw.select(*[column.alias(name) for name, column in made.items()])

@@ -18,15 +18,18 @@ def join_articles(
     occurrences: DataFrame,
     hot_rows: int | None = None,
     prepare: Prepare | None = None,
+    repeated_ids: bool = False,
 ) -> DataFrame:
     """Articles with the occurrences found in them, by text id.
 
     A hot article's occurrences are spread over tasks; ``prepare`` is done once
-    to each article that has any.
+    to each article that has any. ``repeated_ids`` counts the articles by id and
+    spreads those of a hot id too.
     """
     return spread_join(
-        articles, occurrences, "articleUID", "articleUID", hot_rows, prepare=prepare
-    )
+        articles, occurrences, "articleUID", "articleUID", hot_rows,
+        prepare=prepare, deal_left=repeated_ids,
+    )
 
 
 def join_mapping(
@@ -34,18 +37,23 @@ def join_mapping(
     mapping: DataFrame,
     hot_rows: int | None = None,
     prepare: Prepare | None = None,
+    repeated_ids: bool = False,
+    combine: Prepare | None = None,
 ) -> DataFrame:
     """Articles with the mapping rows that name them, by numeric id.
 
-    The article's text id is cast; the mapping's id is kept.
+    The article's text id is cast; the mapping's id is kept. ``repeated_ids`` is
+    as in ``join_articles``; ``combine`` does over the parts of a hot id what
+    ``prepare`` did to each.
     """
     by_number = articles.select(
         cast_id(F.col("articleUID")).alias("articleUID"),
         *[c for c in articles.columns if c != "articleUID"],
     )
     return spread_join(
-        by_number, mapping, "articleUID", "articleUID", hot_rows, prepare=prepare
-    )
+        by_number, mapping, "articleUID", "articleUID", hot_rows,
+        prepare=prepare, deal_left=repeated_ids, combine=combine,
+    )
 
 
 def join_speakers(

@@ -15,19 +15,25 @@ def extract_articles(
     attributions: DataFrame,
     mode: str = "reference",
     hot_rows: int | None = None,
+    repeated_ids: bool = False,
 ) -> DataFrame:
     """One row per occurrence of a quotation in an article of the corpus.
 
     Articles move once, to the ids of the occurrences; those without one go, and
     each of the others is repaired once. The rows of hot articles are spread
-    over tasks.
+    over tasks. ``repeated_ids`` spreads the articles of an id that has very many,
+    too; it reads the ids once more.
     """
 
     def repair(articles: DataFrame) -> DataFrame:
         return articles.withColumn("content", fix_content(F.col("content"), mode))
 
     joined = join_articles(
-        project_articles(entries), explode_occurrences(attributions), hot_rows, repair
+        project_articles(entries),
+        explode_occurrences(attributions),
+        hot_rows,
+        repair,
+        repeated_ids,
     )
     return joined.select(
         "articleUID",

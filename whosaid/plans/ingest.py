@@ -7,19 +7,16 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from whosaid.functions.binding import bind
 from whosaid.operators.articles import (
     filter_publisher,
     repartition_rows,
     sample_rows,
 )
-from whosaid.operators.dedupe import content_key, first_per_key
-from whosaid.operators.entries import normalize_entries
+from whosaid.operators.dedupe import content_key, content_rank, first_per_key
+from whosaid.operators.entries import body_content, entry_columns, normalize_entries
 from whosaid.sources.archives import decode_records, scan_archives
 
-#: A record as it came, beside what is computed from it.
-RECORD = "_record"
-
-
 def ingest_entries(
     raw: DataFrame,
     types: Sequence[str] = (),
@@ -37,31 +34,42 @@ def ingest_entries(
 
     Filter and sample come before the costly steps, which gives the same rows.
     The sample is drawn by key, that of the feed entry if none is given.
-    Duplicates are removed after the sample, as their order matters, and before
-    any body is built: the records travel with their payloads as they came, next
-    to a digest of the permalink's tokens, and only those that stay are
-    normalized whole.
+    Duplicates are removed after the sample, as their order matters. The permalink's
+    tokens are made once, for all records, and stored with the records as they
+    came; the feed entry's body is made for those that stay.
     """
     key = F.col("feedEntry.identifier") if sample_key is None else sample_key
     wanted = sample_rows(filter_publisher(raw, types), fraction, seed, key)
+    how = clean, tokenize, on_error
     if dedupe:
-        permalink = normalize_entries(
-            wanted.select("source", "feed", "feedEntry", "permalinkEntry", F.struct("*").alias(RECORD)),
-            clean,
-            tokenize,
-            on_error,
-            keep=[RECORD],
-        )
-        keyed = permalink.select(
-            RECORD, content_key("permalinkEntry.tokenizedContent").alias("_key")
-        )
-        wanted = first_per_key(
-            keyed, "_key", RECORD, F.col(f"{RECORD}.permalinkEntry.identifier"), keep_empty
-        )
-    entries = normalize_entries(wanted, clean, tokenize, on_error)
+        contents = {"feedEntry": body_content("feedEntry", *how), "permalinkEntry": F.col("_made.tokens")}
+        made = entry_columns(contents)
+        once = _distinct(wanted, body_content("permalinkEntry", *how), keep_empty)
+        entries = once.select(*[column.alias(name) for name, column in made.items()])
+    else:
+        entries = normalize_entries(wanted, *how)
     return repartition_rows(entries, partitions)
 
 
+def _distinct(raw: DataFrame, tokens: Column, keep_empty: bool) -> DataFrame:
+    """The records to keep, each with its permalink's tokens as ``_made.tokens``
+    instead of the payload."""
+
+    def both(tokens: Column) -> Column:
+        return F.struct(tokens.alias("tokens"), content_key(tokens).alias("key"))
+
+    row = F.struct(*[F.col(c) for c in ("source", "feed", "feedEntry", "permalinkEntry")])
+    ranked = raw.select(
+        "source",
+        "feed",
+        "feedEntry",
+        F.col("permalinkEntry").dropFields("contentExtract").alias("permalinkEntry"),
+        bind(tokens, both).alias("_made"),
+        content_rank(F.col("permalinkEntry.identifier"), row).alias("_rank"),
+    )
+    return first_per_key(ranked, F.col("_made.key"), keep_empty)
+
+
 def ingest_archives(
     spark: SparkSession,
     glob: str,

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from whosaid.functions.tokens import fix_content, tokenize
 from whosaid.operators.articles import project_articles
-from whosaid.operators.dedupe import dedupe_pairs
+from whosaid.operators.dedupe import dedupe_pairs, one_per_article
 from whosaid.operators.joins import join_mapping, join_speakers
 from whosaid.sources.sinks import stage
 
@@ -45,21 +45,37 @@ def map_discarded(
     mapping: DataFrame,
     mode: str = "reference",
     hot_rows: int | None = None,
+    repeated_ids: bool = False,
 ) -> DataFrame:
     """One row per (article, speaker, quotation), with the article's content.
 
     The narrow tables are joined, deduplicated and stored first, since their
     rows are counted and then joined: that is the one job of building the plan.
     Articles move once, to the ids of the pairs; of an id's articles one stays,
-    and it is repaired once.
+    and it is repaired once. ``repeated_ids`` spreads the articles of an id that
+    has very many; it reads the ids once more.
     """
     pairs = stage(mapped_pairs(attributions, mapping, hot_rows))
 
     def one_repaired(articles: DataFrame) -> DataFrame:
-        one = articles.groupBy("articleUID", "_parts").agg(F.min("content").alias("content"))
-        return one.withColumn("content", fix_content(F.col("content"), mode))
+        one = one_per_article(articles, ["_parts", "_left"])
+        return one.withColumn("_given", F.col("content")).withColumn(
+            "content", fix_content(F.col("content"), mode)
+        )
+
+    def one_of_parts(articles: DataFrame) -> DataFrame:
+        first = F.min(F.struct("_given", "content")).alias("_one")
+        one = articles.groupBy("articleUID", "_parts").agg(first)
+        return one.select("articleUID", "_parts", "_one.*")
 
-    joined = join_mapping(project_articles(entries), pairs, hot_rows, one_repaired)
+    joined = join_mapping(
+        project_articles(entries),
+        pairs,
+        hot_rows,
+        one_repaired,
+        repeated_ids,
+        one_of_parts if repeated_ids else None,
+    )
     return joined.select(
         "articleUID",
         "confidence",
