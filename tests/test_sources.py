@@ -11,12 +11,19 @@ import pytest
 from pyspark.sql import functions as F
 
 from whosaid.functions.payload import inflate_content
+from whosaid.operators.metrics import RunMetrics
 from whosaid.plans.ingest import ingest_archives
 from whosaid.plans.tagging import tag_corpus
 from whosaid.schemas import ENTRY
 from whosaid.sources import archives as archives_module
 from whosaid.sources.archives import scan_archives
-from whosaid.sources.scans import scan_articles, scan_attributions, scan_mapping
+from whosaid.sources.scans import (
+    CORRUPT,
+    good_rows,
+    scan_articles,
+    scan_attributions,
+    scan_mapping,
+)
 from whosaid.sources.sinks import stage, work_folder, write_json, write_parquet
 
 
@@ -304,3 +311,55 @@ def test_ingest_has_the_declared_schema(spark, tmp_path):
     df = ingest_archives(spark, f"{tmp_path}/*.tar.gz")
     declared = spark.createDataFrame([], ENTRY).schema
     assert df.schema.simpleString() == declared.simpleString()
+
+
+def test_lines_that_are_no_records_are_kept_on_demand(spark, tmp_path):
+    good = [{"articleUID": i, "confidence": 0.5, "canonicalQuotationSource": "s"} for i in range(3)]
+    lines = [*map(json.dumps, good), '{"articleUID": 7, "conf', "no json", "", '{"articleUID": 8}{']
+    (tmp_path / "m.json").write_text("\n".join(lines))
+    rows = scan_mapping(spark, str(tmp_path), on_error="keep")
+    broken = rows.where(F.col(CORRUPT).isNotNull())
+    assert {r[CORRUPT] for r in broken.select(CORRUPT, "articleUID").collect()} >= {lines[3], lines[4]}
+    assert all(r.articleUID is None for r in broken.collect() if not r[CORRUPT].endswith("}{"))
+    run = RunMetrics()
+    kept = good_rows(rows, run).select("articleUID").collect()
+    assert {0, 1, 2} <= {r.articleUID for r in kept} <= {0, 1, 2, 8}
+    report = run.report()
+    assert report["documents"] == len(kept) + report["corrupt"]
+    assert CORRUPT not in good_rows(rows, RunMetrics()).columns
+    with pytest.raises(Exception, match="MALFORMED_RECORD"):
+        scan_mapping(spark, str(tmp_path)).collect()
+    with pytest.raises(ValueError):
+        scan_mapping(spark, str(tmp_path), on_error="drop")
+
+
+def test_committed_rows_count_what_is_there(tmp_path):
+    """A task that fails at first, and leaves half a file, is counted once."""
+    code = f"""
+from pyspark import TaskContext
+from pyspark.sql import SparkSession, functions as F
+from whosaid.operators.metrics import RunMetrics, committed_files, committed_rows
+from whosaid.sources.sinks import write_json, write_parquet
+spark = (SparkSession.builder.master("local[2,4]").config("spark.ui.enabled", "false")
+    .config("spark.sql.shuffle.partitions", "3").getOrCreate())
+@F.udf("long")
+def fails_at_first(i):
+    if i == 77 and TaskContext.get().attemptNumber() == 0:
+        raise ValueError("first attempt")
+    return i
+once = spark.range(0, 300, 1, 3).withColumn("i", fails_at_first("id"))
+for name, df in (("before", once.repartition(3, "i")), ("while", once)):
+    for form, write in (("json", write_json), ("parquet", write_parquet)):
+        path = "{tmp_path}/" + name + form
+        run = RunMetrics()
+        write(run.watch(df), path)
+        assert committed_rows(spark, path, form) == 300
+        assert run.report(committed_rows(spark, path, form))["documents"] == 300
+        files = {{r.file: r.documents for r in committed_files(spark, path, form).collect()}}
+        assert len(files) == 3 and sum(files.values()) == 300
+empty = "{tmp_path}/empty"
+write_parquet(once.where("id < 0"), empty)
+assert committed_rows(spark, empty, "parquet") == 0
+spark.stop()
+"""
+    subprocess.run([sys.executable, "-c", code], check=True, capture_output=True)

@@ -542,6 +542,10 @@ ORACLES: dict[str, str] = {
     "scan_mapping": f"WITH {MAPPING} SELECT * FROM mapping",
     "scan_attributions_quoted": f"WITH {ATTRIBUTIONS} SELECT * FROM occurrences",
     "scan_mapping_quoted": f"WITH {MAPPING} SELECT * FROM mapping",
+    "scan_articles_kept": f"""SELECT * FROM ({_ARTICLE_TEXTS})
+        UNION ALL SELECT 'corrupt', '', count_if(doc_id % 7 = 3) FROM documents""",
+    "scan_mapping_kept": f"""WITH {MAPPING} SELECT * FROM mapping
+        UNION ALL SELECT count_if(articleUID % 5 = 2), 'corrupt', 0, '' FROM mapping""",
     "scan_archives": "SELECT doc_id, text FROM documents",
     "inflate_content": "SELECT doc_id, CASE WHEN lang = 'fr' THEN '' ELSE text END "
     "AS text FROM documents",
@@ -592,6 +596,8 @@ ORACLES: dict[str, str] = {
         FROM (SELECT doc_id, {QUOTED} AS content FROM documents) GROUP BY content""",
     "run_metrics": """SELECT count(*) AS documents,
         count_if(lang = 'de') AS unread FROM documents""",
+    "committed_rows": """SELECT 'json' AS form, count(*) AS documents FROM documents
+        UNION ALL SELECT 'parquet', count_if(source <> 'src0') FROM documents""",
     "tokenize_raw": _tokens_query(tokens_raw("text")),
     "tokenize": _tokens_query(tokenized("text")),
     "fix_content": _tokens_query(fixed(ODD)),

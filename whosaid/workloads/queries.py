@@ -27,7 +27,7 @@ from whosaid.operators.articles import (
 from whosaid.operators.dedupe import dedupe_content, dedupe_pairs
 from whosaid.operators.entries import normalize_entries
 from whosaid.operators.joins import join_articles, join_mapping, join_speakers
-from whosaid.operators.metrics import RunMetrics
+from whosaid.operators.metrics import RunMetrics, committed_rows
 from whosaid.plans.extract import extract_articles as extract_plan
 from whosaid.plans.ingest import ingest_archives as ingest_archives_plan
 from whosaid.plans.ingest import ingest_entries as ingest_plan
@@ -122,6 +122,52 @@ def scan_mapping_quoted(spark, sf_dir):
     return scans.scan_mapping(spark, path)
 
 
+def _with_broken_lines(df: DataFrame, broken: Column) -> DataFrame:
+    """JSON lines, and behind some of them the same line cut short, or no JSON."""
+    line = F.to_json(F.struct("*"))
+    cut = F.when(F.length(line) % 2 == 0, F.concat(F.lit("x"), line)).otherwise(
+        F.expr("left(to_json(struct(*)), 40)")
+    )
+    lines = F.when(broken, F.array(line, cut)).otherwise(F.array(line))
+    return df.select(F.explode(lines).alias("value"))
+
+
+def scan_articles_kept(spark, sf_dir):
+    """Articles among broken lines, and a last row with the number of these."""
+    path = work_folder(spark)
+    entries = given.entries(spark, sf_dir)
+    broken = F.col("feedEntry.identifier").cast("bigint") % 7 == 3
+    _with_broken_lines(entries, broken).write.option("compression", "gzip").text(path)
+    run = RunMetrics()
+    rows = scans.good_rows(scans.scan_articles(spark, f"{path}/*.gz", on_error="keep"), run)
+    articles = project_articles(rows)
+    good = stage(articles.select("articleUID", *shown("content", "content")))
+    corrupt = run.report()["corrupt"]
+    count = spark.createDataFrame([("corrupt", "", corrupt)], good.schema)
+    return good.union(count)
+
+
+def scan_mapping_kept(spark, sf_dir):
+    """The mapping among broken lines, and a last row with the number of these."""
+    path = work_folder(spark)
+    mapping = given.mapping(spark, sf_dir)
+    _with_broken_lines(mapping, F.col("articleUID") % 5 == 2).write.text(path)
+    run = RunMetrics()
+    good = stage(scans.good_rows(scans.scan_mapping(spark, path, on_error="keep"), run))
+    corrupt = run.report()["corrupt"]
+    return good.union(spark.createDataFrame([(corrupt, "corrupt", 0.0, "")], good.schema))
+
+
+def committed(spark, sf_dir):
+    """What two jobs left, by the files they committed."""
+    entries = given.entries(spark, sf_dir)
+    paths = {form: work_folder(spark) for form in ("json", "parquet")}
+    write_json_sink(entries, paths["json"], codec="GzipCodec", partitions=3)
+    write_parquet_sink(entries.where(F.col("source.publisherType") != "src0"), paths["parquet"])
+    counts = [(form, committed_rows(spark, path, form)) for form, path in paths.items()]
+    return spark.createDataFrame(counts, "form string, documents bigint")
+
+
 def scan_archives(spark, sf_dir):
     members = _texts(spark, sf_dir).select(
         F.concat("doc_id", F.lit(".txt")).alias("member"),
@@ -533,6 +579,8 @@ QUERIES: dict[str, Query] = {
     "scan_mapping": scan_mapping,
     "scan_attributions_quoted": scan_attributions_quoted,
     "scan_mapping_quoted": scan_mapping_quoted,
+    "scan_articles_kept": scan_articles_kept,
+    "scan_mapping_kept": scan_mapping_kept,
     "scan_archives": scan_archives,
     "inflate_content": inflate,
     "write_parquet": write_parquet,
@@ -556,6 +604,7 @@ QUERIES: dict[str, Query] = {
     "dedupe_pairs": pairs_deduped,
     "dedupe_content": content_deduped,
     "run_metrics": metrics,
+    "committed_rows": committed,
     "tokenize_raw": raw_tokens,
     "tokenize": repaired_tokens,
     "fix_content": _fixed("reference"),
