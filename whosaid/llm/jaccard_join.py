@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from whosaid.llm.components import components
 from whosaid.llm.segments import flags, found, merged, repeated_keys, segments
-from whosaid.llm.tables import stored
+from whosaid.llm.tables import drop, stored
 
 #: Longs of the parity sketch of a set.
 SKETCH = 8
@@ -131,9 +131,9 @@ def shingle_sets(texts: list[bytes], k: int) -> list[np.ndarray]:
     return sets
 
 
-def bands(size: int, percent: int) -> list[tuple[int, int]]:
-    """The size bands (number, largest size) in which a set of this size looks
-    for partners: its own and the next."""
+def bands(size: int, percent: int) -> list[tuple[int, int, int]]:
+    """The size bands (number, smallest and largest size) in which a set of this
+    size looks for partners: its own and the next."""
     number, low = 0, 1
     while True:
         high = max(low, low * 100 // percent)
@@ -141,7 +141,7 @@ def bands(size: int, percent: int) -> list[tuple[int, int]]:
             break
         number, low = number + 1, high + 1
     after = high + 1
-    return [(number, high), (number + 1, max(after, after * 100 // percent))]
+    return [(number, low, high), (number + 1, after, max(after, after * 100 // percent))]
 
 
 def furthest(size_sum: int, percent: int) -> int:
@@ -152,47 +152,81 @@ def furthest(size_sum: int, percent: int) -> int:
 
 @dataclass(frozen=True)
 class Band:
-    """How the sets of a band are signed: the edges of the cells, and what is
-    mixed into the signature of each pair of a part's cells."""
+    """How the sets of a band are signed: parts that may have signatures without
+    elements, the edges of the cells, and what is mixed into the signature of each
+    pair of a part's cells."""
 
-    needed: int
+    spare: int
     edges: np.ndarray
     marks: np.ndarray
 
 
-def band(number: int, high: int, percent: int) -> Band:
+def spare_parts(size: int, needed: int) -> int:
+    """Parts beyond those that are needed, so that sets of this size seldom have
+    more parts than that with an empty pair of cells.
+
+    More parts forgive more, but have smaller cells: the number with the least
+    chance is taken, or the first whose chance is below a thousandth.
+    """
+    best = (2.0, 1)
+    for spare in range(1, 13 + needed // 6):
+        parts = needed + spare
+        empty = min(1.0, 3 * (1 - 2 / (3 * parts)) ** size)
+        term = within = (1 - empty) ** parts
+        for i in range(1, spare + 1):
+            term *= (parts - i + 1) / i * (empty / (1 - empty) if empty < 1 else 0.0)
+            within += term
+        best = min(best, (1 - within, spare))
+        if best[0] < 1e-3:
+            break
+    return best[1]
+
+
+def band(number: int, low: int, high: int, percent: int) -> Band:
     d = furthest(2 * high, percent)
     tag = mix(np.array([number + 1], U) * _STEP)
     if d == 0:
         return Band(0, np.zeros(0, U), tag)
     needed = (d + 2) // 2
-    cells = 3 * (needed + 1)
+    spare = spare_parts(low, needed)
+    cells = 3 * (needed + spare)
     edges = np.array([(c << 64) // cells for c in range(cells)], dtype=U)
     places = np.arange(1, cells + 1, dtype=U).reshape(-1, 3)
-    return Band(needed, edges, mix(places * _STEP + tag))
+    return Band(spare, edges, mix(places * _STEP + tag))
+
+
+def prefix(s: np.ndarray, percent: int, number: int) -> np.ndarray:
+    """Keys, for a band, of a sorted set's first elements: sets that are similar
+    enough have one of them in common, that of their first common element."""
+    needed = -(-len(s) * percent // 100)
+    return mix(mix(s[: len(s) - needed + 1]) + mix(np.array([~number & _ALL], U)))
+
+
+_ALL = (1 << 64) - 1
 
 
 def signatures(s: np.ndarray, percent: int, cache: dict) -> np.ndarray:
     """The PartEnum signatures of a set.
 
     Two sets of a band differ in at most d elements. The hash domain is cut
-    into n = ceil((d + 1) / 2) parts and one more, so that the sets differ in at
-    most one element in some part; each part has three cells, and each pair of
+    into n = ceil((d + 1) / 2) parts and j more, so that the sets differ in at
+    most one element in j + 1 parts; each part has three cells, and each pair of
     its cells is a signature. The cell with the odd element is outside one of
-    them. Signatures of empty cells are left out if n parts have none, since
-    then another signature is shared. ``cache`` keeps the bands.
+    them. Only signatures with elements are given: a set in which j parts or
+    fewer have a pair without any shares another one. Sets with more such parts have
+    the keys of their prefix, too. ``cache`` keeps the bands.
     """
     if len(s) not in cache:
         cache[len(s)] = bands(len(s), percent)
     mixed = mix(s)
     total = np.concatenate([s[:0], [U(0)], np.cumsum(mixed, dtype=U)])
     out = []
-    for number, high in cache[len(s)]:
+    for number, low, high in cache[len(s)]:
         key = ("band", number)
         if key not in cache:
-            cache[key] = band(number, high, percent)
+            cache[key] = band(number, low, high, percent)
         b = cache[key]
-        if not b.needed:
+        if not b.spare:
             out.append(mix(b.marks + total[-1]))
             continue
         at = np.append(np.searchsorted(s, b.edges), len(s))
@@ -200,12 +234,9 @@ def signatures(s: np.ndarray, percent: int, cache: dict) -> np.ndarray:
         counts = np.diff(at).reshape(-1, 3)
         signed = mix(sums.sum(axis=1, keepdims=True, dtype=U) - sums + b.marks)
         full = counts.sum(axis=1, keepdims=True) > counts
-        if full.all():
-            out.append(signed.ravel())
-        elif full.all(axis=1).sum() >= b.needed:
-            out.append(signed[full])
-        else:
-            out.append(signed.ravel())
+        out.append(signed[full])
+        if (~full.all(axis=1)).sum() > b.spare:
+            out.append(prefix(s, percent, number))
     return np.concatenate(out)
 
 
@@ -298,7 +329,8 @@ def prepared(docs: DataFrame, k: int, percent: int, segment_bytes: int) -> DataF
             keep,
             "key long, node long, ids array<long>, size long, sketch array<long>, "
             "sigs array<long>, wide binary, elements binary",
-        )
+        ),
+        release=True,
     )
 
 
@@ -333,7 +365,7 @@ def _passing(
 
 
 def verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sets are similar enough.
+    """The pairs (a, b) whose sets are similar enough, as a stored table.
 
     Wide sketches, a tenth of the sets, tell most of the other pairs apart; the
     sets themselves decide on the rest. ``pairs`` is stored in between, so that
@@ -349,8 +381,10 @@ def verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
         both = int(found(s, t).sum())
         return 100 * both >= percent * (len(s) + len(t) - both)
 
-    left = stored(_passing(pairs, texts, "wide", near))
-    return _passing(left, texts, "elements", similar)
+    left = stored(_passing(pairs, texts, "wide", near), release=True)
+    links = stored(_passing(left, texts, "elements", similar), release=True)
+    drop(left)
+    return links
 
 
 #: Members of a signature that meet in one task of a join of all with all.
@@ -365,10 +399,8 @@ def _met(members: DataFrame) -> DataFrame:
     is a key of its own: no task gets more than a few blocks of a hot one.
     """
     counts = members.groupBy("sig").agg(F.ceil(F.count("*") / MEETING).alias("blocks"))
-    dealt = stored(
-        members.join(counts, "sig").withColumn(
-            "block", F.pmod(F.xxhash64("m.node"), F.col("blocks"))
-        )
+    dealt = members.join(counts, "sig").withColumn(
+        "block", F.pmod(F.xxhash64("m.node"), F.col("blocks"))
     )
     others = F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)
     a = dealt.select("sig", F.col("block").alias("i"), F.explode(others).alias("j"), F.col("m").alias("p"))
@@ -376,6 +408,19 @@ def _met(members: DataFrame) -> DataFrame:
     return a.join(b, ["sig", "i", "j"]).where("p.node < q.node")
 
 
+def _pairs(met: DataFrame) -> DataFrame:
+    return met.select(F.col("p.node").alias("a"), F.col("q.node").alias("b")).distinct()
+
+
+def _near(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """The pairs that sizes and sketches do not rule out."""
+    own = texts.select("node", F.struct("size", "sketch").alias("m"))
+    p = own.select(F.col("node").alias("a"), F.col("m").alias("p"))
+    q = own.select(F.col("node").alias("b"), F.col("m").alias("q"))
+    both = pairs.join(p, "a").join(q, "b")
+    return both.where(may_link("p", "q", percent)).select("a", "b")
+
+
 def jaccard_links(
     docs: DataFrame, k: int = 5, percent: int = 80, segment_bytes: int = 4 << 20
 ) -> tuple[DataFrame, DataFrame]:
@@ -393,15 +438,11 @@ def jaccard_links(
         F.col("key").alias("node"), "size", "sketch", "sigs", "wide", "elements"
     )
     members = linked.select(
-        F.explode(F.array_distinct("sigs")).alias("sig"), F.struct("node", "size", "sketch").alias("m")
-    )
-    pairs = (
-        _met(members)
-        .where(may_link("p", "q", percent))
-        .select(F.col("p.node").alias("a"), F.col("q.node").alias("b"))
-        .distinct()
+        F.explode(F.array_distinct("sigs")).alias("sig"), F.struct("node").alias("m")
     )
-    return stored(verified(pairs, linked, percent)), texts.select("key", "node", "ids", "size")
+    # Only numbers meet; sketches go to the distinct pairs.
+    links = verified(_near(_pairs(_met(members)), linked, percent), linked, percent)
+    return links, texts.select("key", "node", "ids", "size")
 
 
 def jaccard_degrees(
@@ -468,18 +509,10 @@ def jaccard_components(
     texts = prepared(docs, k, percent, segment_bytes)
     linked = texts.where("node is not null and size(sigs) > 0")
     sets = linked.select("node", "size", "wide", "elements")
-    sketches = linked.select("node", F.struct("node", "size", "sketch").alias("m"))
     members = linked.select(F.explode(F.array_distinct("sigs")).alias("sig"), "node")
     first = members.groupBy("sig").agg(F.min("node").alias("a"))
     pairs = members.join(first, "sig").where("node <> a").select("a", F.col("node").alias("b"))
-    stars = (
-        pairs.distinct()
-        .join(sketches.select(F.col("node").alias("a"), F.col("m").alias("r")), "a")
-        .join(sketches.select(F.col("node").alias("b"), "m"), "b")
-        .where(may_link("m", "r", percent))
-        .select("a", "b")
-    )
-    links = stored(verified(stars, sets, percent))
+    links = verified(_near(pairs.distinct(), linked, percent), sets, percent)
 
     known = components(links)
     placed = members.join(known, "node", "left").select(
@@ -491,18 +524,12 @@ def jaccard_components(
         .where("lo < hi")
         .select("sig")
     )
-    open_members = (
-        placed.join(mixed, "sig")
-        .join(sketches, "node")
-        .select("sig", F.struct("m.*", "c").alias("m"))
-    )
-    rest = (
-        _met(open_members)
-        .where((F.col("p.c") != F.col("q.c")) & may_link("p", "q", percent))
-        .select(F.col("p.node").alias("a"), F.col("q.node").alias("b"))
-        .distinct()
+    open_members = stored(
+        placed.join(mixed, "sig").select("sig", F.struct("node", "c").alias("m")), release=True
     )
-    more = stored(verified(rest, sets, percent))
+    rest = _pairs(_met(open_members).where("p.c <> q.c"))
+    more = verified(_near(rest, linked, percent), sets, percent)
+    drop(open_members)
 
     labels = components(links.union(more).union(known.select("node", "component")))
     linked_to = F.when(F.col("doc_id").isNotNull(), F.col("component"))

@@ -13,12 +13,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stored(df: DataFrame) -> DataFrame:
+#: Spark's setting that deletes the shuffle files of a query when it ends.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def stored(df: DataFrame, release: bool = False) -> DataFrame:
     """The rows, computed once and kept as a table in the shared folder that
     ``spark.checkpoint.dir`` names, so that they survive a lost executor. The
-    table is deleted when the application ends."""
+    table is deleted when the application ends. ``release`` deletes the shuffles
+    that made it, which nothing reads again, when it is written."""
     path = work_folder(df.sparkSession)
-    df.write.parquet(path)
+    conf = df.sparkSession.conf
+    before = conf.get(CLEANUP)
+    conf.set(CLEANUP, str(release or before == "true").lower())
+    try:
+        df.write.parquet(path)
+    finally:
+        conf.set(CLEANUP, before)
     kept = df.sparkSession.read.schema(df.schema).parquet(path)
     kept.stored_at = path
     return kept
