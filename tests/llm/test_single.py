@@ -1,5 +1,6 @@
 """Fingerprints, token counts, licenses, quality and chats."""
 
+import json
 import random
 import zlib
 from collections import Counter
@@ -353,3 +354,21 @@ def test_formatted_chats_are_read_back(spark):
     assert chat.read_back(got[2].formatted) == [("", ""), ("user", "x"), ("user", "x")]
     assert set(got) == {1, 2, None}
     assert chat.format_chats(turns.limit(0)).collect() == []
+
+
+def test_keys_with_dots_and_brackets_are_no_layout(spark):
+    records = [
+        {"message.author.role": "user", "message.content.text": "hi"},
+        {"messages[]": "secret"},
+        {"": {"prompt": "a", "completion": "b"}},
+        {"prompt": "a", "completion": "b", "x.id": "c"},
+        {"prompt": "a", "completion": "b", "x\\did": "c"},
+        {"message": {"author": {"role": "user"}, "content": {"text": "hi"}}},
+    ]
+    rows = [(i, 0, json.dumps(r)) for i, r in enumerate(records)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, record string")
+    got = chat.canonical_turns(df, ["conv_id", "turn"]).collect()
+    unread = {r.conv_id: json.loads(r.unread) for r in got if r.unread is not None}
+    assert unread == dict(enumerate(records[:5]))
+    assert [(r.role, r.text) for r in got if r.conv_id == 5] == [("user", "hi")]
+    assert len({frozenset(chat.paths_of(r)) for r in records}) == len(records)

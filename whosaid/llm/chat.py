@@ -55,12 +55,24 @@ class Mapping:
     text: str = ""
 
 
+#: How a key writes the characters that mean something in a path.
+_IN_KEY = str.maketrans({"\\": "\\\\", ".": "\\d", "[": "\\o", "]": "\\c", "\n": "\\n"})
+
+
+def _step(key: str) -> str:
+    """A key as a step of a path; no two keys have one."""
+    return key.translate(_IN_KEY) or "\\e"
+
+
 def paths_of(value: object, prefix: str = "") -> set[str]:
-    """The field paths of a JSON value; all items of a list share one path."""
+    """The field paths of a JSON value; all items of a list share one path.
+
+    Keys with dots or brackets are no nested fields or lists, see ``_step``.
+    """
     if isinstance(value, dict):
         out = set()
         for key, item in value.items():
-            out |= paths_of(item, f"{prefix}.{key}" if prefix else key)
+            out |= paths_of(item, f"{prefix}.{_step(key)}" if prefix else _step(key))
         return out
     if isinstance(value, list):
         out = {f"{prefix}[]"}
