@@ -2,6 +2,7 @@
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import check
 import corpus_pipeline
@@ -100,6 +101,28 @@ def test_stages_decide_by_row(spark, as_table):
     ], key=repr)
 
 
+@pytest.mark.parametrize("as_table", [True, False])
+def test_stages_with_columns_of_any_name(spark, as_table):
+    names = [n for n in plain.CLASHING if n not in ("score", "text")]
+    names += ["score", "_row", "_measured", "_metadata", "doc", "tokens_", "a.b"]
+    texts = ["Plain words that say something, here and there.", None, "", "one two three", "one two three"]
+    docs = plain.frame(spark, texts).drop(*plain.CLASHING)
+    docs = docs.withColumns({n: F.lit(i) for i, n in enumerate(names)})
+    docs = stored(docs) if as_table else docs
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        got = stage(spark, docs, SF)
+        assert got.columns == docs.columns, name
+        assert all(r["_metadata"] == names.index("_metadata") for r in got.collect()), name
+    name, stage = corpus_pipeline.STAGES[-1]
+    assert stage(spark, docs, SF).count() == docs.count()
+
+
+def test_stages_of_an_empty_table(spark):
+    docs = plain.empty(spark)
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, docs, SF).collect() == [], name
+
+
 def test_run_is_its_stages(spark):
     assert corpus_pipeline.ORACLE_SQL is None and len(corpus_pipeline.STAGES) == 5
     rows = corpus_pipeline.run(spark, SF)
