@@ -363,3 +363,32 @@ assert committed_rows(spark, empty, "parquet") == 0
 spark.stop()
 """
     subprocess.run([sys.executable, "-c", code], check=True, capture_output=True)
+
+
+def test_payloads_reach_python_some_at_a_time(tmp_path):
+    """Workers that inflate 300 MB of text in one partition hold little of it."""
+    code = f"""
+import glob, zlib
+from pyspark.sql import SparkSession, functions as F
+from whosaid.functions.payload import inflate_content
+spark = (SparkSession.builder.master("local[1]").config("spark.ui.enabled", "false")
+    .config("spark.driver.memory", "2g").getOrCreate())
+rows = spark.createDataFrame([(zlib.compress(b"word " * 20_000),)], "data binary")
+rows = rows.crossJoin(spark.range(3000)).coalesce(1)
+for how in ("fail", "null"):
+    text = inflate_content(F.col("data"), F.lit("zlib"), how)
+    assert rows.agg(F.sum(F.length(text))).first()[0] == 300_000_000
+peaks = []
+for path in glob.glob("/proc/[0-9]*/status"):
+    try:
+        command = open(path.replace("status", "cmdline")).read()
+        if "pyspark" in command and "daemon" in command:
+            lines = dict(line.split(":", 1) for line in open(path))
+            peaks.append(int(lines["VmHWM"].split()[0]) // 1024)
+    except (OSError, KeyError):
+        pass
+print(max(peaks))
+spark.stop()
+"""
+    ran = subprocess.run([sys.executable, "-c", code], check=True, capture_output=True, text=True)
+    assert int(ran.stdout.split()[-1]) < 250
