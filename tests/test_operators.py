@@ -305,6 +305,24 @@ def test_dedupe_pairs(spark):
     assert one_per_article(df).count() == 2
 
 
+def test_dedupe_pairs_joins_articles_to_what_remains(spark):
+    pairs = spark.range(4000).selectExpr(
+        "id % 4 AS articleUID", "'s' AS speaker", "'q' AS quotation", "id / 4000 AS confidence"
+    )
+    articles = spark.createDataFrame(
+        [("1", ["b"]), ("1", ["a"]), ("2", ["c"]), ("x", ["d"]), (None, ["e"]), ("9", ["f"])],
+        "articleUID string, content array<string>",
+    )
+    out = dedupe_pairs(pairs, articles)
+    assert {tuple(map(str, r)) for r in out.collect()} == {
+        ("1", "s", "q", "0.99925", "['a']"),
+        ("2", "s", "q", "0.9995", "['c']"),
+    }
+    # Contents are in no row of the table that is aggregated by pair.
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert not [line for line in plan.splitlines() if "Aggregate" in line and "speaker" in line]
+
+
 # Entries and metrics.
 
 
