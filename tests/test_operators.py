@@ -19,6 +19,7 @@ from whosaid.operators.skew import key_parts, spread_join
 from whosaid.plans.ingest import ingest_entries
 from whosaid.plans.tagging import tag_corpus
 from whosaid.schemas import ATTRIBUTIONS, RAW
+from whosaid.sources.sinks import write_json
 from whosaid.workloads import adapters
 
 ENTRY = "permalinkEntry struct<identifier string, tokenizedContent array<string>>, note string"
@@ -346,3 +347,14 @@ def test_run_metrics(spark):
     run = RunMetrics()
     run.watch(spark.range(0)).write.format("noop").mode("overwrite").save()
     assert run.report()["ms_per_document"] is None
+
+
+def test_parts_grow_in_number_with_their_rows(spark, tmp_path):
+    rows = spark.range(25_000)
+    assert repartition_rows(rows, 1).rdd.getNumPartitions() == 3
+    assert repartition_rows(rows, 5).rdd.getNumPartitions() == 5
+    assert repartition_rows(rows.limit(0), 2).count() == 0
+    assert repartition_rows(rows, 1).distinct().count() == 25_000
+    write_json(rows, f"{tmp_path}/out", partitions=2)
+    assert len(list((tmp_path / "out").glob("part-*"))) == 3
+    assert spark.read.json(f"{tmp_path}/out").distinct().count() == 25_000
