@@ -93,5 +93,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     of the shared folder and read again by the next."""
     docs = table(spark, sf_dir, "documents")
     for _, stage in STAGES:
-        docs = stored(stage(spark, docs, sf_dir))
+        docs = stored(stage(spark, docs, sf_dir), release=True)
     return docs

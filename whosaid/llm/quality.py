@@ -120,7 +120,7 @@ def _measured(
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = [statistics(t) for t in batch.column("_measured").to_pylist()]
+            x = [statistics(t.as_py()) for t in batch.column("_measured")]
             made = value(np.array(x).reshape(-1, len(FEATURES)))
             columns = [batch.column(c) for c in keep]
             yield pa.RecordBatch.from_arrays([*columns, made], [*keep, name])
@@ -241,13 +241,17 @@ def train(statistics: DataFrame, labels: DataFrame, label: str = "quality") -> D
 def scored(docs: DataFrame, model: Discriminant, keep: list[str]) -> DataFrame:
     """The columns ``keep`` and each row's score, from its text alone.
 
-    A null text counts as empty. Extra columns are left alone.
+    A null text counts as empty. Extra columns are left alone; only the text goes
+    to Python.
     """
 
-    def score(x: np.ndarray) -> pa.Array:
-        return pa.array(model.score(x), pa.float64())
+    @F.arrow_udf(DoubleType())
+    def score(texts: pa.Array) -> pa.Array:
+        x = [statistics(t.as_py()) for t in texts]
+        return pa.array(model.score(np.array(x).reshape(-1, len(FEATURES))), pa.float64())
 
-    return _measured(docs, list(keep), "score", DoubleType(), score)
+    text = F.coalesce(F.col("text"), F.lit("")).cast("binary")
+    return docs.select(*keep, score(text).alias("score"))
 
 
 def scored_statistics(statistics: DataFrame, model: Discriminant) -> DataFrame:
