@@ -318,3 +318,91 @@ def test_decontamination_stays_in_the_jvm(spark):
         spark.createDataFrame([(1, "a b")], "item_id long, text string"),
     )
     assert "Python" not in found._jdf.queryExecution().toString()
+
+
+def near_copies(seed, bases=2, count=60, words=100):
+    """Words of copies of some texts, with none to many words changed, often alike."""
+    rng = random.Random(seed)
+    texts = []
+    for base in range(bases):
+        first = [f"b{i}" if i % 3 else f"b{base}-{i}" for i in range(words)]
+        for _ in range(count):
+            copy = list(first)
+            for i in rng.sample(range(words), rng.randrange(0, words // 4)):
+                copy[i] = f"e{rng.randrange(40 * words)}" if rng.random() < 0.8 else f"e{i}"
+            texts.append(" ".join(copy))
+    return texts
+
+
+@pytest.mark.parametrize("few, k, percent", [(1, 3, 60), (4, 1, 90), (2, 2, 100)])
+def test_components_by_differences_from_pivots(spark, monkeypatch, few, k, percent):
+    monkeypatch.setattr(jaccard_join, "FEW", few)
+    monkeypatch.setattr(jaccard_join, "KEYS", 300)
+    texts = plain.odd_texts(seed=few, count=15) + near_copies(seed=few + k)
+    got = {r.doc_id: r.component_id for r in jaccard_components(
+        plain.frame(spark, texts, extra=False), k, percent, segment_bytes=4000
+    ).collect()}
+    sets = {i: plain.shingles(t, k) for i, t in enumerate(texts)}
+    assert got == plain.components(sets, percent)
+
+
+@pytest.mark.parametrize("percent", [60, 80, 90, 100])
+def test_linked_sets_share_a_key_of_their_differences(percent):
+    rng = np.random.default_rng(percent)
+    checked = 0
+    for _ in range(300):
+        size = int(rng.integers(1, 80))
+        pool = np.unique(rng.integers(0, 1 << 64, 3 * size, dtype=np.uint64))
+        base = rng.permutation(pool)[:size]
+
+        def changed(base, n):
+            kept = rng.permutation(base)[n // 2 :]
+            return np.unique(np.concatenate([kept, rng.permutation(pool)[: n - n // 2]]))
+
+        far = changed(base, int(rng.integers(0, size + 1)))
+        pivot, x = np.sort(base), changed(far, int(rng.integers(0, 4)))
+        y = changed(far, int(rng.integers(0, 1 + size // 4)))
+
+        def linked(s, t):
+            both = len(np.intersect1d(s, t))
+            return 100 * both >= percent * (len(s) + len(t) - both)
+
+        if not len(x) or not len(y) or not linked(x, y) or linked(x, pivot) and linked(y, pivot):
+            continue
+        checked += 1
+        (kx, nx, _), (ky, ny, _) = (
+            jaccard_join.difference_keys(pivot, s, percent) for s in (x, y)
+        )
+        kx, ky = (
+            keys[:n] if linked(s, pivot) or not linked(other, pivot) else keys
+            for keys, n, s, other in ((kx, nx, x, y), (ky, ny, y, x))
+        )
+        assert len(np.intersect1d(kx, ky))
+    assert checked > 10
+
+
+def test_pairs_of_near_copies_are_not_all_listed(spark, monkeypatch):
+    """Texts that share signatures, many in one component and many in none."""
+    rows = []
+    met_ = jaccard_join._met
+
+    def met(members):
+        out = met_(members)
+        if "at" in members.schema["m"].dataType.names:
+            out = out.where(jaccard_join._meets(90))
+        else:
+            out = out.where("p.c <> q.c")
+        rows.append(out.count())
+        return out
+
+    monkeypatch.setattr(jaccard_join, "_met", met)
+    listed = {}
+    for count in (100, 300):
+        texts = near_copies(seed=7, bases=1, count=count, words=200)
+        got = {r.doc_id: r.component_id for r in jaccard_components(
+            plain.frame(spark, texts, extra=False), k=1, percent=90
+        ).collect()}
+        sets = {i: plain.shingles(t, 1) for i, t in enumerate(texts)}
+        assert got == plain.components(sets, 90)
+        listed[count] = rows.pop()
+    assert listed[300] < 6 * max(listed[100], 300), listed

@@ -345,22 +345,28 @@ def may_link(a: str, b: str, percent: int) -> Column:
     return (F.abs(size_a - size_b) <= d) & (bits <= d)
 
 
-def _passing(
-    pairs: DataFrame, texts: DataFrame, column: str, test: Callable[[dict, dict], bool]
-) -> DataFrame:
-    """The pairs (a, b) for which a test of the size and one column of each holds."""
+def _with_rows(pairs: DataFrame, texts: DataFrame, column: str) -> DataFrame:
+    """The pairs with (size, value) of both, value being one column, as row_a and row_b."""
 
     def side(name: str) -> DataFrame:
         row = F.struct("size", F.col(column).alias("value"))
         return texts.select(F.col("node").alias(name), row.alias(f"row_{name}"))
 
+    return pairs.join(side("a"), "a").join(side("b"), "b")
+
+
+def _passing(
+    pairs: DataFrame, texts: DataFrame, column: str, test: Callable[[dict, dict], bool]
+) -> DataFrame:
+    """The pairs (a, b) for which a test of the size and one column of each holds."""
+
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = zip(batch.column("row_a"), batch.column("row_b"))
             good = [test(x.as_py(), y.as_py()) for x, y in rows]
             yield batch.filter(pa.array(good, pa.bool_())).select(["a", "b"])
 
-    joined = pairs.join(side("a"), "a").join(side("b"), "b")
+    joined = _with_rows(pairs, texts, column)
     return joined.select("a", "b", "row_a", "row_b").mapInArrow(check, "a long, b long")
 
 
@@ -421,6 +427,148 @@ def _near(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     return both.where(may_link("p", "q", percent)).select("a", "b")
 
 
+#: Members of a signature whose pairs are listed; more are told apart by a pivot first.
+FEW = 16
+#: Roles of a member of a key: it links with the pivot; it doesn't, and meets all; it
+#: doesn't, and meets those that do. Two meet if the product of their roles is 1 at most.
+LINKED, OUTER, OUTER_LINKED = 0, 1, 2
+#: Keys that a task gives at a time.
+KEYS = 1 << 16
+
+
+def difference_keys(
+    pivot: np.ndarray, s: np.ndarray, percent: int
+) -> tuple[np.ndarray, int, int]:
+    """Elements in which a set differs from a pivot, by which it meets others: first
+    those for all, whose number is given, then those for sets that link with the
+    pivot. The last number is the size of the whole difference.
+
+    Of two sets that link, x and y, let r be the sizes of their differences from the
+    pivot and D the largest distance of linked sets of their sizes. The differences
+    have (r_x + r_y - D) / 2 elements in common, or more. If that is 0 or less, x and
+    y both link with the pivot: D grows less than the sizes do. Otherwise they meet in
+    the first elements of an order, in all but as many as they have in common, less
+    one. Elements that the pivot lacks come first, as they are the rarer ones.
+    """
+    added, removed = s[~found(s, pivot)], pivot[~found(pivot, s)]
+    r = len(added) + len(removed)
+    # No partner has more than furthest, so both have r - furthest in common.
+    least = max(1, r - furthest(len(s) + len(s) * 100 // percent, percent))
+    # A partner that doesn't link with the pivot is further from it than that.
+    further = (len(pivot) - len(s)) * (100 - percent) // (100 + percent) + 1
+    outer = max(least, -(-(r + further) // 2))
+    keys = np.concatenate([added, removed])[: max(0, r - least + 1)]
+    return keys, max(0, r - outer + 1), r
+
+
+def _measured(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Stored rows (a, b, element, role, size, r, rest): b's keys from a, the pivot of a
+    signature of b, with b's role and size, the size of its difference from a and the
+    number of elements after this one; and a row without an element for each b that
+    links with an a of another component.
+
+    The pivot of a signature is the member with the most signatures, so that the
+    signatures of a family seldom have different ones.
+    """
+    one = members.select("sig", "m.node", "m.c")
+    ranked = one.join(one.groupBy("node").agg(F.count("*").alias("degree")), "node")
+    pivots = ranked.groupBy("sig").agg(F.max(F.struct("degree", "node", "c")).alias("pivot"))
+    pairs = (
+        one.join(pivots, "sig")
+        .where("node <> pivot.node")
+        .select(
+            F.col("pivot.node").alias("a"),
+            F.col("node").alias("b"),
+            (F.col("pivot.c") != F.col("c")).alias("apart"),
+        )
+        .distinct()
+    )
+    ints = ["role", "size", "r", "rest"]
+    schema = pa.schema(
+        [(c, pa.int64()) for c in ("a", "b", "element")] + [(c, pa.int32()) for c in ints]
+    )
+
+    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out: list[tuple] = []
+        size = 0
+        for batch in batches:
+            for a, b, apart, x, y in zip(*batch.columns):
+                p, s = (np.frombuffer(v["value"].as_py(), U) for v in (x, y))
+                elements, n, r = difference_keys(p, s, percent)
+                linked = r <= furthest(len(p) + len(s), percent)
+                if linked:
+                    elements = elements[:n]
+                place = np.arange(len(elements))
+                role = LINKED if linked else np.where(place < n, OUTER, OUTER_LINKED)
+                at = np.empty((4, len(elements)), np.int32)
+                at[:] = [place * 0 + role, place * 0 + len(s), place * 0 + r, r - 1 - place]
+                new = linked and apart.as_py()
+                out.append((a.as_py(), b.as_py(), elements.view(np.int64), at, new))
+                size += len(elements) + 1
+                if size >= KEYS:
+                    yield keys_of(out)
+                    out, size = [], 0
+        if out:
+            yield keys_of(out)
+
+    def keys_of(out: list[tuple]) -> pa.RecordBatch:
+        sizes = [len(o[2]) for o in out]
+        new = [o for o in out if o[4]]
+        ends = [
+            np.concatenate([np.repeat(ids, sizes), more]).astype(np.int64)
+            for ids, more in (([o[i] for o in out], [o[i] for o in new]) for i in (0, 1))
+        ]
+        element = pa.array(np.concatenate([o[2] for o in out]))
+        element = pa.concat_arrays([element, pa.nulls(len(new), pa.int64())])
+        at = np.concatenate([*[o[3] for o in out], np.zeros((4, len(new)), np.int32)], axis=1)
+        columns = [*map(pa.array, ends), element, *map(pa.array, at)]
+        return pa.RecordBatch.from_arrays(columns, schema=schema)
+
+    rows = _with_rows(pairs, sets, "elements").select("a", "b", "apart", "row_a", "row_b")
+    return stored(
+        rows.mapInArrow(keys, "a long, b long, element long, role int, size int, r int, rest int"),
+        release=True,
+    )
+
+
+def _open(members: DataFrame, known: DataFrame) -> DataFrame:
+    """Stored rows (sig, m, rows) of the members (sig, node, at) that have a member of
+    another component to meet; m is (node, c, at), c the component as known, and
+    rows the number of those members of the signature."""
+    placed = members.join(known, "node", "left").select(
+        "sig", "node", "at", F.coalesce("component", "node").alias("c")
+    )
+    least, outer = F.min("at.role"), F.count_if(F.col("at.role") == OUTER)
+    mixed = (
+        placed.groupBy("sig")
+        .agg(
+            F.min("c").alias("lo"),
+            F.max("c").alias("hi"),
+            least.alias("least"),
+            F.when(least == LINKED, F.count("*")).otherwise(outer).alias("rows"),
+        )
+        .where((F.col("lo") < F.col("hi")) & (F.col("rows") > 1))
+        .select("sig", "least", "rows")
+    )
+    return stored(
+        placed.join(mixed, "sig")
+        .where((F.col("least") == LINKED) | (F.col("at.role") == OUTER))
+        .select("sig", F.struct("node", "c", "at").alias("m"), "rows"),
+        release=True,
+    )
+
+
+def _meets(percent: int) -> Column:
+    """False only for pairs (p, q) of a key that are of one component, that by their
+    roles meet elsewhere, or whose differences have too few elements in common if this
+    is the first one."""
+    d = F.expr(f"(p.at.size + q.at.size) * {100 - percent} div {100 + percent}")
+    wanted = F.col("p.at.r") + F.col("q.at.r") - d
+    common = 1 + F.least("p.at.rest", "q.at.rest")
+    roles = F.col("p.at.role") * F.col("q.at.role")
+    return (F.col("p.c") != F.col("q.c")) & (roles <= 1) & (2 * common >= wanted)
+
+
 def jaccard_links(
     docs: DataFrame, k: int = 5, percent: int = 80, segment_bytes: int = 4 << 20
 ) -> tuple[DataFrame, DataFrame]:
@@ -499,8 +647,9 @@ def jaccard_components(
     Two documents link when 100 * intersection >= percent * union of their sets
     of distinct k-word shingles; component_id is the smallest doc_id reachable
     by links. All texts with a signature in common are compared to the smallest
-    of them first; what then remains in different components is compared pair
-    by pair, where sizes and sketches allow a link. No link is lost, and none
+    of them first. Where texts in different components then remain, the pairs of
+    a few are compared, if sizes and sketches allow a link; many meet only in what
+    they differ in from one of them, see difference_keys. No link is lost, and none
     is listed within a component that is known already. A null text or one
     without words is linked with nothing. Rows without a doc_id take part in
     nothing and get a null component; rows that share a doc_id share a
@@ -514,24 +663,34 @@ def jaccard_components(
     pairs = members.join(first, "sig").where("node <> a").select("a", F.col("node").alias("b"))
     links = verified(_near(pairs.distinct(), linked, percent), sets, percent)
 
-    known = components(links)
-    placed = members.join(known, "node", "left").select(
-        "sig", "node", F.coalesce("component", "node").alias("c")
+    known = stored(components(links))
+    zero = F.lit(0)
+    anywhere = F.struct(
+        F.lit(OUTER).alias("role"), zero.alias("size"), zero.alias("r"), zero.alias("rest")
     )
-    mixed = (
-        placed.groupBy("sig")
-        .agg(F.min("c").alias("lo"), F.max("c").alias("hi"))
-        .where("lo < hi")
-        .select("sig")
-    )
-    open_members = stored(
-        placed.join(mixed, "sig").select("sig", F.struct("node", "c").alias("m")), release=True
-    )
-    rest = _pairs(_met(open_members).where("p.c <> q.c"))
-    more = verified(_near(rest, linked, percent), sets, percent)
-    drop(open_members)
-
-    labels = components(links.union(more).union(known.select("node", "component")))
+    left = _open(members.withColumn("at", anywhere), known)
+    few, many = left.where(F.col("rows") <= FEW), left.where(F.col("rows") > FEW)
+    past = [left]
+    if not many.isEmpty():
+        measured = _measured(many, sets, percent)
+        new = measured.where("element is null").select("a", "b")
+        if not new.isEmpty():
+            known = stored(components(new.union(known)))
+        keys = measured.where("element is not null").select(
+            F.xxhash64("a", "element").alias("sig"),
+            F.col("b").alias("node"),
+            F.struct("role", "size", "r", "rest").alias("at"),
+        )
+        apart = _open(keys, known)
+        drop(measured)
+        few = few.union(apart)
+        past.append(apart)
+    met = _met(few.select("sig", "m")).where(_meets(percent))
+    more = verified(_near(_pairs(met), linked, percent), sets, percent)
+    for table in past:
+        drop(table)
+
+    labels = components(more.union(known))
     linked_to = F.when(F.col("doc_id").isNotNull(), F.col("component"))
     return (
         texts.join(labels, "node", "left")
