@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.llm import plain
+from whosaid.llm import sharding
 from whosaid.llm.mixing import mixed
 from whosaid.llm.queries import mixture_levels, op2_sharding, shard_dims
 from whosaid.llm.sharding import shards
@@ -191,3 +192,18 @@ def test_native_operators_stay_in_the_jvm(spark):
     df = plain.frame(spark, plain.odd_texts(seed=1, count=3))
     for got in (op2_sharding(spark, sf), mixed(df, mixture_levels(), F.col("total"))):
         assert "Python" not in got._jdf.queryExecution().toString()
+
+
+def test_cuts_read_the_points_once(spark, monkeypatch):
+    """Histograms read stored keys; points are not joined to their nodes for each."""
+    plans = []
+    stored = sharding.stored
+
+    def planned(df, *args, **more):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return stored(df, *args, **more)
+
+    monkeypatch.setattr(sharding, "stored", planned)
+    shards(plain.frame(spark, plain.odd_texts(), False), shard_dims(), n_shards=4).collect()
+    reads = [sum("Relation" in x and "tie#" in x for x in p.splitlines()) for p in plans]
+    assert max(reads) == 1

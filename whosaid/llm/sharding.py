@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from whosaid.llm.tables import stored
+from whosaid.llm.tables import drop, stored
 
 #: Bits of a coordinate and of the order among equal ones; digits of the key
 #: that one histogram resolves, and the number of histograms.
@@ -58,7 +58,11 @@ def shards(
     coords = [f"q{i}" for i in range(len(dims))]
     levels = max(0, ((points.agg(F.max("n")).first()[0] or 1) - 1).bit_length())
     for _ in range(levels):
-        points = stored(_cut(points, coords))
+        nodes, keyed = _keyed(points, coords)
+        cut = stored(_cut(points, coords, nodes, keyed))
+        for past in (nodes, keyed, points):
+            drop(past)
+        points = cut
     return _numbered(points.withColumn("shard", F.col("lo").cast("int")))
 
 
@@ -120,22 +124,35 @@ def _points(
     )
 
 
-def _cut(points: DataFrame, coords: Sequence[str]) -> DataFrame:
-    """Each node of two shards or more in two."""
+def _key(coords: Sequence[str]) -> Column:
+    along = F.element_at(F.array(*coords), F.col("dim"))
+    return F.shiftleft(along, TIE).bitwiseOR(F.col("tie"))
+
+
+def _keyed(points: DataFrame, coords: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """The nodes of two shards or more, and the keys of their points, as stored tables:
+    each histogram reads the keys, none joins the points to their nodes again."""
     spread = [(F.max(q) - F.min(q)).alias(f"w_{q}") for q in coords]
     nodes = points.where("n > 1").groupBy("lo", "n").agg(F.sum("size").alias("bytes"), *spread)
     widest = F.array_max(F.array(*[F.col(f"w_{q}") for q in coords]))
     dim = F.array_position(F.array(*[F.col(f"w_{q}") for q in coords]), widest)
-    nodes = nodes.select(
-        "lo",
-        dim.cast("int").alias("dim"),
-        # The bytes of the left part, as near as rows allow.
-        (F.col("bytes") * F.floor(F.col("n") / 2) / F.col("n")).alias("wanted"),
+    nodes = stored(
+        nodes.select(
+            "lo",
+            dim.cast("int").alias("dim"),
+            # The bytes of the left part, as near as rows allow.
+            (F.col("bytes") * F.floor(F.col("n") / 2) / F.col("n")).alias("wanted"),
+        )
     )
-    along = F.element_at(F.array(*coords), F.col("dim"))
-    key = F.shiftleft(along, TIE).bitwiseOR(F.col("tie"))
-    keyed = points.join(nodes.select("lo", "dim"), "lo").select("lo", "size", key.alias("key"))
+    key = _key(coords).alias("key")
+    keyed = points.join(nodes.select("lo", "dim"), "lo").select("lo", "size", key)
+    return nodes, stored(keyed)
+
 
+def _cut(
+    points: DataFrame, coords: Sequence[str], nodes: DataFrame, keyed: DataFrame
+) -> DataFrame:
+    """Each node of two shards or more in two."""
     # state: the key's first digits at the cut, and the bytes below them.
     state = nodes.select(
         "lo", "wanted", F.lit(0).cast("long").alias("prefix"), F.lit(0).cast("long").alias("below")
@@ -179,7 +196,7 @@ def _cut(points: DataFrame, coords: Sequence[str]) -> DataFrame:
     take = F.col("below") + F.col("bytes") - F.col("wanted") <= F.col("wanted") - F.col("below")
     cut = state.select("lo", F.when(take, F.col("prefix")).otherwise(F.col("prefix") - 1).alias("cut"))
     left = F.floor(F.col("n") / 2)
-    goes_right = key > F.col("cut")
+    goes_right = _key(coords) > F.col("cut")
     placed = points.join(nodes.select("lo", "dim"), "lo", "left").join(cut, "lo", "left")
     return placed.select(
         "doc_id",
