@@ -406,3 +406,46 @@ def test_pairs_of_near_copies_are_not_all_listed(spark, monkeypatch):
         assert got == plain.components(sets, 90)
         listed[count] = rows.pop()
     assert listed[300] < 6 * max(listed[100], 300), listed
+
+
+def test_elements_that_no_other_set_has(spark):
+    rng = np.random.default_rng(3)
+    pool = rng.integers(0, 1 << 64, 400, dtype=np.uint64)
+    sets = [np.unique(rng.choice(pool, n)) for n in rng.integers(1, 60, 50)]
+    times = Counter(e for s in sets for e in s.tolist())
+    rows = [(i - 25, len(s), bytearray(s.tobytes())) for i, s in enumerate(sets)]
+    df = spark.createDataFrame(rows, "key long, size long, elements binary").repartition(3)
+    want = {i - 25: sum(times[e] == 1 for e in s.tolist()) for i, s in enumerate(sets)}
+    assert any(want.values())
+    for segment_bytes in (500, 1 << 20):
+        got = segments.unshared(df, segment_bytes).collect()
+        assert len(got) == len({r.key for r in got}) == len(sets)
+        assert {r.key: r.own for r in got} == want
+    assert segments.unshared(df.limit(0), 500).collect() == []
+
+
+def test_texts_that_only_share_a_passage_do_not_meet(spark, monkeypatch):
+    """Most signatures of theirs are of the passage, and no pair of them is compared."""
+    near_, compared = jaccard_join._near, []
+
+    def near(pairs, texts, percent):
+        compared.append(pairs.count())
+        return near_(pairs, texts, percent)
+
+    monkeypatch.setattr(jaccard_join, "_near", near)
+    passage = [f"p{i}" for i in range(15)]
+    texts = [" ".join([f"w{i}-{j}" for j in range(45)] + passage) for i in range(80)]
+    texts += [" ".join([texts[0].rpartition(" ")[0], "other"])]
+    got = {r.doc_id: r.component_id for r in jaccard_components(
+        plain.frame(spark, texts, extra=False), k=1, percent=80
+    ).collect()}
+    assert got == {i: 0 if i == 80 else i for i in range(81)}
+    assert sum(compared) == 1
+
+
+def test_signatures_of_a_family_have_one_pivot(spark):
+    signed = {9: (1, 2, 3), 1: (1, 4), 2: (2, 4), 3: (3, 4), 7: (5,), 8: (5,)}
+    rows = [(sig, node, 0) for node, sigs in signed.items() for sig in sigs]
+    members = spark.createDataFrame(rows, "sig long, node long, c long")
+    got = {r.sig: r.pivot.node for r in jaccard_join._pivots(members).collect()}
+    assert got == {1: 9, 2: 9, 3: 9, 4: 9, 5: 8}

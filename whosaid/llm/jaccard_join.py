@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from whosaid.llm.components import components
-from whosaid.llm.segments import flags, found, merged, repeated_keys, segments
+from whosaid.llm.segments import flags, found, merged, repeated_keys, segments, unshared
 from whosaid.llm.tables import drop, stored
 
 #: Longs of the parity sketch of a set.
@@ -334,6 +334,22 @@ def prepared(docs: DataFrame, k: int, percent: int, segment_bytes: int) -> DataF
     )
 
 
+def linkable(texts: DataFrame, percent: int, segment_bytes: int) -> DataFrame:
+    """The texts that may have a link, as a stored table.
+
+    They have a signature in common with another, and enough elements: a link needs
+    percent of a set in the other one, so a set of which more than the rest is in no
+    other has none. Most texts that share no more than a passage go here, before any of
+    them meet; no text that has a link does.
+    """
+    signed = texts.where("node is not null and size(sigs) > 0")
+    own = unshared(signed.select("key", "size", "elements"), segment_bytes)
+    may = own.join(signed.select("key", "size"), "key").where(
+        100 * (F.col("size") - F.col("own")) >= percent * F.col("size")
+    )
+    return stored(signed.drop("ids").join(stored(may.select("key")), "key", "left_semi"), release=True)
+
+
 def may_link(a: str, b: str, percent: int) -> Column:
     """False only for sets that are too far apart: by size, then by sketch."""
     size_a, size_b = F.col(f"{a}.size"), F.col(f"{b}.size")
@@ -461,20 +477,30 @@ def difference_keys(
     return keys, max(0, r - outer + 1), r
 
 
+def _pivots(members: DataFrame) -> DataFrame:
+    """Rows (sig, pivot), one for each signature of the members (sig, node, c); pivot is
+    (degree, node, c) of a set.
+
+    Any set can be the pivot of a signature. Each member names the one with the most
+    signatures of all that it shares one with, and the most named is the pivot: the
+    signatures of a family seldom have different ones, and its texts few pivots.
+    """
+    ranked = members.join(members.groupBy("node").agg(F.count("*").alias("degree")), "node")
+    first = ranked.groupBy("sig").agg(F.max(F.struct("degree", "node", "c")).alias("pivot"))
+    best = members.join(first, "sig").groupBy("node").agg(F.max("pivot").alias("pivot"))
+    votes = members.join(best, "node").groupBy("sig", "pivot").agg(F.count("*").alias("votes"))
+    return votes.groupBy("sig").agg(F.max(F.struct("votes", "pivot"))["pivot"].alias("pivot"))
+
+
 def _measured(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Stored rows (a, b, element, role, size, r, rest): b's keys from a, the pivot of a
     signature of b, with b's role and size, the size of its difference from a and the
     number of elements after this one; and a row without an element for each b that
     links with an a of another component.
-
-    The pivot of a signature is the member with the most signatures, so that the
-    signatures of a family seldom have different ones.
     """
     one = members.select("sig", "m.node", "m.c")
-    ranked = one.join(one.groupBy("node").agg(F.count("*").alias("degree")), "node")
-    pivots = ranked.groupBy("sig").agg(F.max(F.struct("degree", "node", "c")).alias("pivot"))
     pairs = (
-        one.join(pivots, "sig")
+        one.join(_pivots(one), "sig")
         .where("node <> pivot.node")
         .select(
             F.col("pivot.node").alias("a"),
@@ -582,7 +608,7 @@ def jaccard_links(
     n links; that many are compared.
     """
     texts = prepared(docs, k, percent, segment_bytes)
-    linked = texts.where("node is not null and size(sigs) > 0").select(
+    linked = linkable(texts, percent, segment_bytes).select(
         F.col("key").alias("node"), "size", "sketch", "sigs", "wide", "elements"
     )
     members = linked.select(
@@ -656,7 +682,7 @@ def jaccard_components(
     component. An empty table gives no rows.
     """
     texts = prepared(docs, k, percent, segment_bytes)
-    linked = texts.where("node is not null and size(sigs) > 0")
+    linked = linkable(texts, percent, segment_bytes)
     sets = linked.select("node", "size", "wide", "elements")
     members = linked.select(F.explode(F.array_distinct("sigs")).alias("sig"), "node")
     first = members.groupBy("sig").agg(F.min("node").alias("a"))

@@ -27,6 +27,18 @@ BITS = pa.schema(
     [("seg", pa.int32()), ("bucket", pa.int32()), ("n", pa.int64()), ("bits", pa.binary())]
 )
 
+OWNED = pa.schema(
+    [
+        ("bucket", pa.int32()),
+        ("chunk", pa.int64()),
+        ("n", pa.int64()),
+        ("run", pa.binary()),
+        ("owners", pa.binary()),
+        ("keys", pa.binary()),
+    ]
+)
+LONELY = pa.schema([("chunk", pa.int64()), ("keys", pa.binary()), ("own", pa.binary())])
+
 Keys = tuple[np.ndarray, np.ndarray]
 
 
@@ -150,3 +162,86 @@ def repeated_keys(
         send, "bucket int, seg int, n long, run binary"
     )
     return shared_bits(sent)
+
+
+def _owned_runs(sets: list[tuple[int, np.ndarray]], buckets: int) -> pa.RecordBatch:
+    """The elements of some sets (key, elements), dealt to buckets: per bucket a sorted
+    run, the place of each element's owner among the keys of this run's owners, and
+    these keys."""
+    keys = np.array([key for key, _ in sets], np.int64)
+    elements = np.concatenate([s for _, s in sets])
+    owners = np.repeat(np.arange(len(sets)), [len(s) for _, s in sets])
+    order = np.argsort(elements, kind="stable")
+    elements, owners = elements[order], owners[order]
+    at = cuts(elements, buckets)
+    rows = []
+    for b in np.flatnonzero(np.diff(at)).tolist():
+        part = slice(at[b], at[b + 1])
+        present, places = np.unique(owners[part], return_inverse=True)
+        rows.append(
+            {
+                "bucket": b,
+                "chunk": int(keys[0]),
+                "n": int(at[b + 1] - at[b]),
+                "run": pack(elements[part]),
+                "owners": places.astype(np.uint16).tobytes(),
+                "keys": keys[present].tobytes(),
+            }
+        )
+    return pa.RecordBatch.from_pylist(rows, schema=OWNED)
+
+
+def unshared(sets: DataFrame, segment_bytes: int) -> DataFrame:
+    """Rows (key, own) for rows (key, size, elements) of sets of 64-bit hashes: how many
+    elements of a set no other row has. Sets without such elements may be left out.
+
+    Chunks of sets send each bucket of the key space one run, and the bucket gives
+    each chunk one count for each of its sets.
+    """
+    total = sets.agg(F.sum("size")).first()[0] or 0
+    buckets = max(1, -(-8 * total // segment_bytes))
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chunk: list[tuple[int, np.ndarray]] = []
+        size = 0
+        for batch in batches:
+            for key, elements in zip(batch.column(0), batch.column(1)):
+                chunk.append((key.as_py(), np.frombuffer(elements.as_py(), np.uint64)))
+                size += chunk[-1][1].nbytes
+                if size >= segment_bytes or len(chunk) == 1 << 16:
+                    yield _owned_runs(chunk, buckets)
+                    chunk, size = [], 0
+        if chunk:
+            yield _owned_runs(chunk, buckets)
+
+    def answer(bucket: pa.Table) -> pa.Table:
+        runs_ = zip(bucket["run"].to_pylist(), bucket["n"].to_pylist())
+        parts = [unpack(r, n) for r, n in runs_]
+        keys = np.sort(np.concatenate(parts))
+        twice = np.unique(keys[1:][keys[1:] == keys[:-1]])
+        own = [
+            np.bincount(np.frombuffer(o, np.uint16)[~found(part, twice)], minlength=len(k) // 8)
+            for part, o, k in zip(parts, bucket["owners"].to_pylist(), bucket["keys"].to_pylist())
+        ]
+        return pa.table(
+            {
+                "chunk": bucket["chunk"],
+                "keys": bucket["keys"],
+                "own": [o.astype(np.int64).tobytes() for o in own],
+            }
+        ).cast(LONELY)
+
+    def summed(chunk: pa.Table) -> pa.Table:
+        keys, own = (
+            np.frombuffer(b"".join(chunk[c].to_pylist()), np.int64) for c in ("keys", "own")
+        )
+        keys, places = np.unique(keys, return_inverse=True)
+        sums = np.zeros(len(keys), np.int64)
+        np.add.at(sums, places, own)
+        return pa.table({"key": keys, "own": sums})
+
+    sent = sets.select("key", "elements").mapInArrow(
+        send, "bucket int, chunk long, n long, run binary, owners binary, keys binary"
+    )
+    counted = sent.groupBy("bucket").applyInArrow(answer, "chunk long, keys binary, own binary")
+    return counted.groupBy("chunk").applyInArrow(summed, "key long, own long")
